@@ -1,0 +1,179 @@
+"""Workbook (.xlsx) feeds: one sheet of every file as rows.
+
+Spark lists and distributes the files; each is decoded where it lands. A workbook
+is a zip archive, so it cannot be split, but the format holds at most 1,048,576
+rows per sheet, and rows leave the decoder in chunks.
+"""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.functions.columns import col
+from tidemark.sources.feeds import FILE_COLUMN
+
+_CHUNK = 20000
+
+
+def _local(tag: str) -> str:
+    return tag.rsplit("}", 1)[-1]
+
+
+def _text(element) -> str:
+    return "".join(t.text or "" for t in element.iter() if _local(t.tag) == "t")
+
+
+def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in book.namelist():
+        return []
+    out = []
+    with book.open("xl/sharedStrings.xml") as part:
+        for _, element in ElementTree.iterparse(part):
+            if _local(element.tag) == "si":
+                out.append(_text(element))
+                element.clear()
+    return out
+
+
+def _sheet_part(book: zipfile.ZipFile, sheet: str) -> str:
+    """Archive member of a sheet given by name, or by position if it is all digits."""
+    sheets = [e for e in ElementTree.fromstring(book.read("xl/workbook.xml")).iter() if _local(e.tag) == "sheet"]
+    by_name = {e.get("name"): e for e in sheets}
+    if sheet in by_name:
+        chosen = by_name[sheet]
+    elif sheet.isdigit() and int(sheet) < len(sheets):
+        chosen = sheets[int(sheet)]
+    else:
+        raise ValueError(f"no sheet {sheet!r} among {sorted(by_name)}")
+    link = next(v for k, v in chosen.attrib.items() if _local(k) == "id" and k != "sheetId")
+    for relation in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")):
+        if relation.get("Id") == link:
+            target = relation.get("Target")
+            return target.lstrip("/") if target.startswith("/") else "xl/" + target
+    raise ValueError(f"sheet {sheet!r} has no part")
+
+
+def _column_number(reference: str) -> int:
+    number = 0
+    for letter in re.match(r"[A-Z]+", reference).group():
+        number = number * 26 + ord(letter) - ord("A") + 1
+    return number - 1
+
+
+def _rows(book: zipfile.ZipFile, part: str, strings: list[str]) -> Iterator[tuple[int, dict[int, str]]]:
+    """``(row number, {column number: text})`` per row, from 0."""
+    with book.open(part) as stream:
+        expected = 0
+        for _, row in ElementTree.iterparse(stream):
+            if _local(row.tag) != "row":
+                continue
+            number = int(row.get("r", expected + 1)) - 1
+            cells, position = {}, 0
+            for cell in row:
+                if cell.get("r"):
+                    position = _column_number(cell.get("r"))
+                kind = cell.get("t")
+                value = next((v.text for v in cell if _local(v.tag) == "v"), None)
+                if kind == "s" and value is not None:
+                    value = strings[int(value)]
+                elif kind == "inlineStr":
+                    value = _text(cell)
+                elif kind == "e":
+                    value = None
+                if value not in (None, ""):
+                    cells[position] = value
+                position += 1
+            yield number, cells
+            expected = number + 1
+            row.clear()
+
+
+def read_sheet(content: bytes, columns: list[str], sheet: str = "0", header_row: int = 0) -> Iterator[pd.DataFrame]:
+    """Chunks of one sheet as text, the declared columns by (trimmed, any-case)
+    header name; a column the sheet lacks is None. Blank rows are skipped."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        wanted, chunk = None, []
+        for number, cells in _rows(book, _sheet_part(book, str(sheet)), _shared_strings(book)):
+            if number < header_row:
+                continue
+            if wanted is None:
+                found = {v.strip().casefold(): i for i, v in cells.items()} if number == header_row else {}
+                wanted = [found.get(c.casefold()) for c in columns]
+                continue
+            if cells:
+                chunk.append([cells.get(i) for i in wanted])
+            if len(chunk) >= _CHUNK:
+                yield pd.DataFrame(chunk, columns=columns, dtype=object)
+                chunk = []
+        if chunk:
+            yield pd.DataFrame(chunk, columns=columns, dtype=object)
+
+
+def author(content: bytes) -> str | None:
+    """Who last saved the workbook, else who created it."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as book:
+            core = ElementTree.fromstring(book.read("docProps/core.xml"))
+    except (KeyError, zipfile.BadZipFile, ElementTree.ParseError):
+        return None
+    found = {_local(e.tag): (e.text or "").strip() for e in core}
+    return found.get("lastModifiedBy") or found.get("creator") or None
+
+
+def _typed(name: str, kind: T.DataType) -> Column:
+    """Cell text as the declared type. Dates are stored as days since 1899-12-30."""
+    text = col(name)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        seconds = F.round(text.try_cast("double") * 86400).cast("bigint")
+        serial = F.timestamp_seconds(seconds - F.lit(25569 * 86400))
+        return F.coalesce(text.try_cast(kind), serial.cast(kind)).alias(name)
+    if isinstance(kind, T.IntegralType):  # whole numbers may be stored as 5.0
+        return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind)).alias(name)
+    return text.try_cast(kind).alias(name)
+
+
+def decode(files: DataFrame, schema: T.StructType | str, sheet: str = "0", header_row: int = 0) -> DataFrame:
+    """Rows of the workbooks in ``files(path, content)``, with the file of each row."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = declared.names
+
+    def read(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                for rows in read_sheet(bytes(content), names, sheet, header_row):
+                    yield rows.assign(**{FILE_COLUMN: path})
+
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, FILE_COLUMN]])
+    out = files.select("path", "content").mapInPandas(read, texts)
+    return out.select(*[_typed(f.name, f.dataType) for f in declared.fields], FILE_COLUMN)
+
+
+def scan(
+    spark: SparkSession,
+    paths: list[str],
+    schema: T.StructType | str,
+    sheet: str = "0",
+    header_row: int = 0,
+) -> DataFrame:
+    """Workbook files as one relation."""
+    if not paths:
+        declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return spark.createDataFrame([], T.StructType([*declared.fields, T.StructField(FILE_COLUMN, T.StringType())]))
+    return decode(spark.read.format("binaryFile").load(paths), schema, sheet, header_row)
+
+
+def owners(files: DataFrame) -> DataFrame:
+    """``(file_path, file_owner)`` from the workbooks' own properties."""
+
+    def read(batches):
+        for batch in batches:
+            yield pd.DataFrame({"file_path": batch["path"], "file_owner": [author(bytes(c)) for c in batch["content"]]})
+
+    return files.select("path", "content").mapInPandas(read, "file_path string, file_owner string")
