@@ -152,7 +152,7 @@ def test_merge_preserve_and_newer(spark):
     source = spark.createDataFrame([(1, "A", "run_2", 6), (2, "B", "run_2", 4), (3, "C", "run_2", 1)], schema)
     assert values(upsert(target, source, ["K"], preserve=["INS"])) == [
         (1, "A", "run_1", 6), (2, "B", "run_1", 4), (3, "C", "run_2", 1)]
-    assert values(upsert(target, source, ["k"], newer_by="at")) == [
+    assert values(upsert(target, source, ["k"], newer_by=["at"])) == [
         (1, "A", "run_2", 6), (2, "b", "run_1", 5), (3, "C", "run_2", 1)]
 
 

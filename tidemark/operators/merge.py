@@ -3,7 +3,7 @@ updated, unmatched source rows inserted, everything else kept."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,14 +39,15 @@ def upsert(
     source: DataFrame,
     keys: Iterable[str],
     preserve: Iterable[str] = (),
-    newer_by: str | None = None,
+    newer_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target after ``MERGE ... UPDATE SET * ... INSERT *``.
 
     * Source keys must be unique; the caller checks or deduplicates.
     * Target rows that share a key are all updated, and NULL keys never match.
     * ``preserve`` keeps the target's value of those columns on a match.
-    * ``newer_by`` updates only if the source is not older in that column.
+    * ``newer_by`` updates only if the source is not older by those columns,
+      compared in order with NULL as the oldest.
 
     Both joins keep the target on the left: a small source is broadcast and the
     target is not shuffled, and in a shuffled join a hot target key can be split
@@ -66,8 +67,8 @@ def upsert(
     joined = joinable.join(incoming, condition, "left")
     take = F.col("__hit").isNotNull()
     if newer_by:
-        [clock] = require_columns(target.columns, [newer_by])
-        take = take & (col(clock).isNull() | (col(f"__new_{clock}") >= col(clock)))
+        clock = require_columns(target.columns, newer_by)
+        take = take & (F.struct(*[col(f"__new_{c}") for c in clock]) >= F.struct(*[col(c).alias(f"__new_{c}") for c in clock]))
     updated = joined.select(*[
         col(c) if c in kept else F.when(take, col(f"__new_{c}")).otherwise(col(c)).alias(c)
         for c in target.columns

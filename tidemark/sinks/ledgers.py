@@ -18,6 +18,7 @@ from tidemark.functions.names import as_utc, identifier, sql_text, unique, utc_n
 from tidemark.operators.ledger import FAILED, SUCCESS
 from tidemark.operators.watermark import latest_per_job
 from tidemark.sinks import ddl
+from tidemark.sinks.places import path_exists
 from tidemark.sources.tables import rows
 
 # Characters that table partition folders percent-encode.
@@ -46,7 +47,8 @@ class Ledger:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(self.database)}")
         full = T.StructType([*self._stored.fields]).add(self.scope, self.scope_type).add("commit_id", "string")
         self.spark.sql(ddl.create_table(self.name, full, self.root, [self.scope, "commit_id"]))
-        self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+        if path_exists(self.spark, self.root):
+            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
 
     @property
     def root(self) -> str:

@@ -27,10 +27,20 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{unique(purpose)}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete one file or folder through the file system it is on."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    return system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
 
 
 def parent_folder(file_path: str) -> str:

@@ -13,7 +13,7 @@ transactional tables (``tidemark.sinks.native``) has no such window.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -203,7 +203,7 @@ class ParquetTable:
         source: DataFrame,
         keys: Iterable[str],
         preserve: Iterable[str] = (),
-        newer_by: str | None = None,
+        newer_by: Sequence[str] = (),
         metrics: Iterable[Column] = (),
         keys_verified: bool = False,
     ) -> Staged:

@@ -154,7 +154,8 @@ def without_extras(df: DataFrame) -> DataFrame:
 
 
 def file_counts(df: DataFrame) -> DataFrame:
-    """``(file_path, record_count, corrupt_count)`` for all files in one job."""
+    """``(file_path, record_count, corrupt_count)`` for all files in one job. Meant
+    for the stored form of a scan: two narrow columns, and nothing is parsed again."""
     corrupt = F.count_if(col(CORRUPT_COLUMN).isNotNull()) if CORRUPT_COLUMN in df.columns else F.lit(0).cast("bigint")
     return df.groupBy(col(FILE_COLUMN).alias("file_path")).agg(
         F.count(F.lit(1)).alias("record_count"), corrupt.alias("corrupt_count")

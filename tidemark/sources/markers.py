@@ -29,8 +29,7 @@ def scan(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
     """One row per marker file below ``path``: its path, the time of the record
     and its keys. A file with an error but no status line is a failed run."""
     text = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True).text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
         .select("value", F.col("_metadata.file_path").alias("marker"))
     )
     columns = {

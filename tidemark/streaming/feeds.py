@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.columns import col
 from tidemark.operators.dedup import latest
 from tidemark.sinks.places import delete_path, fresh_folder
 from tidemark.sinks.tables import ParquetTable
@@ -34,7 +35,9 @@ def read(
 def without_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of each other; the state
     kept is bounded by the watermark."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    clock = "__event_time"  # watermarks need a zoned timestamp
+    timed = stream.withColumn(clock, col(event_time).cast("timestamp")).withWatermark(clock, delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop(clock)
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -61,7 +64,7 @@ def upsert(
         if not table.exists():
             table.ensure_database()
             table.create(source.schema)
-        table.merge(source, keys, newer_by=newest_by[0], keys_verified=True)
+        table.merge(source, keys, newer_by=newest_by, keys_verified=True)
         delete_path(spark, folder)
 
     return (
