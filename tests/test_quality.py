@@ -1,0 +1,97 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import values
+from tidemark.operators import quality
+from tidemark.operators.dedup import latest
+from tidemark.operators.quality import QualityError, QualityRules, check
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rnd = random.Random(5)
+    return [(rnd.choice([1, 1, 1, 2, 3, 4, 5, 6, 7, None]), rnd.choice(["a", "b", None]), i) for i in range(300)]
+
+
+@pytest.fixture
+def data(spark, rows):
+    return spark.createDataFrame(rows, "k int, g string, v int")
+
+
+def test_counts_match_brute_force(data, rows):
+    groups = Counter((k, g) for k, g, _ in rows)
+    dup = {key for key, n in groups.items() if n > 1}
+    assert quality.duplicate_count(data, ["K", "g"]).first()[0] == len(dup)
+    assert values(quality.duplicate_rows(data, ["k", "g"]), "v") == sorted((v,) for k, g, v in rows if (k, g) in dup)
+    nulls = [v for k, g, v in rows if k is None or g is None]
+    assert quality.null_count(data, ["k", "g"]).first()[0] == len(nulls)
+    measured = quality.measure(data, QualityRules(null_check=("k", "g"), unique_check=("k", "g"))).first()
+    assert tuple(measured) == (300, len(nulls), len(dup))
+
+
+def test_rules_fail_in_order(data, spark):
+    with pytest.raises(QualityError, match="minimum_rows"):
+        check(data, QualityRules(minimum_rows=301, null_check=("k",)))
+    with pytest.raises(QualityError, match="null_check"):
+        check(data, QualityRules(null_check=("k", "g"), unique_check=("k",)))
+    with pytest.raises(QualityError, match="unique_check"):
+        check(data, QualityRules(unique_check=("k",)))
+    assert check(data, QualityRules(unique_check=("v",), minimum_rows=300)).processed_rows == 300
+    assert check(data, QualityRules(enabled=False, unique_check=("k",))).total_rows == 0
+    assert check(None, QualityRules()).passed
+
+
+def test_empty_input_passes_unless_rows_are_required(data):
+    empty = data.where("false")
+    assert check(empty, QualityRules(null_check=("k",), unique_check=("k",))).passed
+    with pytest.raises(QualityError):
+        check(empty, QualityRules(minimum_rows=1))
+
+
+def test_merge_keys_are_the_fallback(data):
+    with pytest.raises(QualityError, match="null_check"):
+        check(data, QualityRules(), ["k"])
+    with pytest.raises(QualityError, match="unique_check"):
+        check(data.where("k is not null"), QualityRules(), ["k"])
+    assert check(data, QualityRules(check_null_keys=False, check_duplicate_keys=False), ["k"]).passed
+
+
+def test_report_is_one_scan(data, spark):
+    report = quality.report(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"),
+                            QualityRules(null_check=("l_shipdate",)), ["l_orderkey"])
+    assert [r["rule"] for r in report.collect()] == ["minimum_rows", "null_check", "unique_check"]
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2  # initial + final plan
+
+
+def test_sample_is_at_most_fifty(data):
+    assert quality.sample(quality.null_rows(data, ["k", "g"])).count() <= 50
+
+
+def test_latest_matches_brute_force_and_prunes_before_the_shuffle(data, rows):
+    best = {}
+    for k, g, v in rows:
+        best[k] = max(best.get(k, -1), v)
+    out = latest(data, ["k"], ["v"])
+    assert values(out, "k", "v") == sorted(best.items(), key=lambda t: (t[0] is not None, t[0] or 0))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # partial and final
+
+
+def test_hot_duplicate_key_is_split(spark, tmp_path):
+    hot = spark.range(300000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+                                     F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    hot.repartition(8).write.parquet(f"{tmp_path}/t")
+    session = spark.newSession()
+    for name, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000", "spark.sql.shuffle.partitions": "16",
+    }.items():
+        session.conf.set(name, value)
+    found = quality.duplicate_rows(session.read.parquet(f"{tmp_path}/t"), ["k"])
+    assert len(found.collect()) == 100000
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
