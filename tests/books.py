@@ -1,0 +1,50 @@
+"""Workbooks for tests, with shared strings, styles-free dates and properties."""
+
+import zipfile
+from xml.sax.saxutils import escape
+
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def letters(index):
+    out = ""
+    index += 1
+    while index:
+        index, rest = divmod(index - 1, 26)
+        out = chr(65 + rest) + out
+    return out
+
+
+def write_book(path, sheets, creator=None, editor=None):
+    """``sheets``: {name: rows}; None is an absent cell, numbers are stored as such."""
+    strings = []
+
+    def cell(value, row, column):
+        at = f'r="{letters(column)}{row + 1}"'
+        if value is None:
+            return ""
+        if isinstance(value, bool):
+            return f'<c {at} t="b"><v>{int(value)}</v></c>'
+        if isinstance(value, (int, float)):
+            return f"<c {at}><v>{value}</v></c>"
+        strings.append(value)
+        return f'<c {at} t="s"><v>{len(strings) - 1}</v></c>'
+
+    with zipfile.ZipFile(path, "w") as book:
+        entries, relations = "", ""
+        for i, (name, rows) in enumerate(sheets.items(), 1):
+            body = "".join(
+                f'<row r="{r + 1}">' + "".join(cell(v, r, c) for c, v in enumerate(row)) + "</row>"
+                for r, row in enumerate(rows) if any(v is not None for v in row))
+            book.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>')
+            entries += f'<sheet name="{escape(name)}" sheetId="{i}" r:id="rId{i}"/>'
+            relations += f'<Relationship Id="rId{i}" Target="worksheets/sheet{i}.xml"/>'
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{MAIN}" xmlns:r="{LINKS}"><sheets>{entries}</sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels",
+                      f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{relations}</Relationships>')
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">' + "".join(f"<si><t>{escape(s)}</t></si>" for s in strings) + "</sst>")
+        if creator or editor:
+            dc, cp = "http://purl.org/dc/elements/1.1/", "http://schemas.openxmlformats.org/package/2006/metadata/core-properties"
+            book.writestr("docProps/core.xml", f'<cp:coreProperties xmlns:cp="{cp}" xmlns:dc="{dc}">'
+                          f"<dc:creator>{creator or ''}</dc:creator><cp:lastModifiedBy>{editor or ''}</cp:lastModifiedBy></cp:coreProperties>")

@@ -43,6 +43,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as file listings spell it."""
+    system, target = _file_system(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def parent_folder(file_path: str) -> str:
     """Folder of a ``_metadata.file_path`` value, which is URI-encoded."""
     return unquote(file_path.rsplit("/", 1)[0])

@@ -10,28 +10,36 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import col, find_column
+from tidemark.sinks.places import path_exists, qualified
 
 # Columns the scans add to what the files hold; dropped before publishing.
 FILE_COLUMN = "__source_file"
 CORRUPT_COLUMN = "__corrupt_record"
 
+LISTING = "file_name string, file_path string, file_size bigint, last_modified string, file_owner string"
+
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
     """``(file_name, file_path, file_size, last_modified, file_owner)`` of the
-    matching files. Contents are not read. The owner is unknown to Spark and not
-    guessed; ``last_modified`` is UTC text."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    else:
-        path = path.rstrip("/") + "/*"
-    return reader.load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("path").alias("file_path"),
-        F.col("length").alias("file_size"),
-        F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSS").alias("last_modified"),
-        F.lit(None).cast("string").alias("file_owner"),
+    matching files; a missing folder has none. Contents are not read. The owner is
+    unknown to Spark and not guessed; ``last_modified`` is UTC text."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LISTING)
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True).load(path)
+        .select(
+            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            F.col("path").alias("file_path"),
+            F.col("length").alias("file_size"),
+            F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSS").alias("last_modified"),
+            F.lit(None).cast("string").alias("file_owner"),
+        )
     )
+    if recursive:
+        return files
+    folder = qualified(spark, path).rstrip("/")
+    return files.where(F.col("file_path") == F.concat(F.lit(folder + "/"), "file_name"))
 
 
 def new_files(listing: DataFrame, ledger: DataFrame, identity: Sequence[str] = ("file_path", "file_size", "last_modified")) -> DataFrame:

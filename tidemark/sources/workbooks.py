@@ -133,7 +133,7 @@ def _typed(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         seconds = F.round(text.try_cast("double") * 86400).cast("bigint")
         serial = F.timestamp_seconds(seconds - F.lit(25569 * 86400))
-        return F.coalesce(text.try_cast(kind), serial.cast(kind)).alias(name)
+        return F.coalesce(serial.cast(kind), text.try_cast(kind)).alias(name)
     if isinstance(kind, T.IntegralType):  # whole numbers may be stored as 5.0
         return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind)).alias(name)
     return text.try_cast(kind).alias(name)
