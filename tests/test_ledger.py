@@ -61,6 +61,8 @@ def test_dependencies(spark):
     tasks = spark.createDataFrame([("a", []), ("b", ["a"]), ("c", ["a", "zz"])], "task_id string, depends_on array<string>")
     assert values(ledger.task_edges(tasks)) == [("b", "a"), ("c", "a"), ("c", "zz")]
     assert values(ledger.missing_dependencies(tasks)) == [("c", "zz")]
+    overrides = spark.createDataFrame([("c", ["b"]), ("a", [])], "task_id string, depends_on array<string>")
+    assert values(ledger.task_edges(ledger.with_overrides(tasks, overrides))) == [("b", "a"), ("c", "b")]
 
 
 def test_missing_feeds(spark):

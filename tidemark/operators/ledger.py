@@ -191,6 +191,13 @@ def task_edges(tasks: DataFrame) -> DataFrame:
     return tasks.select("task_id", F.explode("depends_on").alias("depends_on"))
 
 
+def with_overrides(tasks: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Tasks whose ``depends_on`` a job's own task list replaces where it has one."""
+    theirs = overrides.select("task_id", F.col("depends_on").alias("__theirs"))
+    joined = tasks.join(theirs, "task_id", "left")
+    return joined.withColumn("depends_on", F.coalesce("__theirs", "depends_on")).drop("__theirs")
+
+
 def without_parent(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent: missing dependencies of a task graph,
     or broken references of a fact table. NULL keys have no parent."""

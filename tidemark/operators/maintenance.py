@@ -13,15 +13,16 @@ MEGABYTE = 1024 * 1024
 
 
 def files_of(df: DataFrame, partition: str | None = None) -> DataFrame:
-    """``(partition, file_path, file_size, modified_at)`` of the files a file-based
-    relation reads. Only file footers are opened; files without rows are absent."""
+    """``(partition, file_path, file_size, modified_at)`` of the files a parquet
+    relation reads: the first row of every file stands for it, so footers are
+    opened and no column is read. Files without rows are absent."""
     value = col(partition).cast("string") if partition else F.lit(None).cast("string")
-    return df.select(
+    return df.where("_metadata.row_index = 0").select(
         value.alias("partition"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
-    ).distinct()
+    )
 
 
 def compaction_plan(files: DataFrame, target_mb: int = 128) -> DataFrame:

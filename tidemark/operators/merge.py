@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import any_null, col, require_columns
 
+MATCHED = "__matched"
+
 
 def on_keys(keys: Iterable[str], left: str, right: str) -> Column:
     """``left.k = right.k AND ...``; not null-safe, as MERGE conditions are."""
@@ -21,12 +23,6 @@ def on_keys(keys: Iterable[str], left: str, right: str) -> Column:
     return condition
 
 
-def matched_keys(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Distinct keys present on both sides; reads only key columns."""
-    names = [col(k) for k in keys]
-    return target.select(*names).join(source.select(*names), list(keys), "left_semi").distinct()
-
-
 def touched_values(target: DataFrame, source: DataFrame, keys: Iterable[str], partition: str) -> DataFrame:
     """Distinct partition values of the target that hold a row with a source key."""
     names = [col(k) for k in keys]
@@ -34,45 +30,65 @@ def touched_values(target: DataFrame, source: DataFrame, keys: Iterable[str], pa
     return located.join(source.select(*names), list(keys), "left_semi").select("__partition").distinct()
 
 
-def upsert(
+def update_matched(
     target: DataFrame,
     source: DataFrame,
     keys: Iterable[str],
     preserve: Iterable[str] = (),
     newer_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Target after ``MERGE ... UPDATE SET * ... INSERT *``.
+    """Every target row, updated if its key is in the source, plus ``MATCHED``.
 
-    * Source keys must be unique; the caller checks or deduplicates.
-    * Target rows that share a key are all updated, and NULL keys never match.
-    * ``preserve`` keeps the target's value of those columns on a match.
-    * ``newer_by`` updates only if the source is not older by those columns,
-      compared in order with NULL as the oldest.
-
-    Both joins keep the target on the left: a small source is broadcast and the
-    target is not shuffled, and in a shuffled join a hot target key can be split
-    by adaptive skew handling. Rows with NULL keys take no part in the join.
-    """
+    The target is the left side: a small source is broadcast and the target not
+    shuffled at all, and in a shuffled join adaptive skew handling can split a hot
+    target key. Rows with NULL keys take no part in the join."""
     names = require_columns(target.columns, keys)
     if not names:
         raise ValueError("a merge needs at least one key")
     kept = set(require_columns(target.columns, preserve))
-    source = source.select(*[col(c) for c in require_columns(source.columns, target.columns)]).toDF(*target.columns)
-
-    joinable = target.where(~any_null(names))
     incoming = source.select(F.lit(True).alias("__hit"), *[col(c).alias(f"__new_{c}") for c in source.columns])
     condition = F.lit(True)
     for k in names:
         condition = condition & (col(k) == col(f"__new_{k}"))
-    joined = joinable.join(incoming, condition, "left")
-    take = F.col("__hit").isNotNull()
+    joined = target.where(~any_null(names)).join(incoming, condition, "left")
+
+    hit = F.col("__hit").isNotNull()
+    take = hit
     if newer_by:
         clock = require_columns(target.columns, newer_by)
-        take = take & (F.struct(*[col(f"__new_{c}") for c in clock]) >= F.struct(*[col(c).alias(f"__new_{c}") for c in clock]))
-    updated = joined.select(*[
-        col(c) if c in kept else F.when(take, col(f"__new_{c}")).otherwise(col(c)).alias(c)
-        for c in target.columns
-    ])
-
-    inserted = source.join(matched_keys(joinable, source, names), names, "left_anti")
-    return updated.unionByName(target.where(any_null(names))).unionByName(inserted)
+        take = hit & (F.struct(*[col(f"__new_{c}") for c in clock]) >= F.struct(*[col(c).alias(f"__new_{c}") for c in clock]))
+    values = [
+        col(c) if c in kept else F.when(take, col(f"__new_{c}")).otherwise(col(c)).alias(c) for c in target.columns
+    ]
+    keyless = target.where(any_null(names)).withColumn(MATCHED, F.lit(False))
+    return joined.select(*values, hit.alias(MATCHED)).unionByName(keyless)
+
+
+def unmatched(source: DataFrame, present: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Source rows to insert: their key is not among ``present``, or is NULL. The
+    present keys are made distinct first, so a hot one is one row per task."""
+    names = require_columns(source.columns, keys)
+    known = present.select(*[col(k) for k in names]).distinct()
+    rest = source.where(~any_null(names)).join(known, names, "left_anti")
+    return rest.unionByName(source.where(any_null(names)))
+
+
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Iterable[str],
+    preserve: Iterable[str] = (),
+    newer_by: Sequence[str] = (),
+) -> DataFrame:
+    """Target after ``MERGE ... UPDATE SET * ... INSERT *``.
+
+    * Source keys must be unique; the caller checks or deduplicates.
+    * Target rows that share a key are all updated, and NULL keys never match.
+    * ``preserve`` keeps the target's value of those columns on a match.
+    * ``newer_by`` updates only if the source is not older by those columns,
+      compared in order with NULL as the oldest.
+    """
+    names = require_columns(target.columns, keys)
+    source = source.select(*[col(c) for c in require_columns(source.columns, target.columns)]).toDF(*target.columns)
+    updated = update_matched(target, source, names, preserve, newer_by).drop(MATCHED)
+    return updated.unionByName(unmatched(source, target, names))

@@ -214,9 +214,12 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
         if rules.enabled and rules.unique_check and total:
             duplicates = duplicate_count(staged.rows(spark), rules.unique_check).first()[0]
         verdict = enforce(judge(rules, total, staged.metrics["nulls"], duplicates))
-        if counts is not None:  # before the publish may move the staged files
-            counted = [(r["file_path"], r["record_count"]) for r in counts.collect()]  # one row per file
-            counts = spark.createDataFrame(counted, "file_path string, record_count bigint")
+        ambiguous = bool(keys and total) and not (rules.enabled and set(rules.unique_check) == set(keys)) and bool(
+            duplicate_count(staged.rows(spark).where(~any_null(keys)), keys).first()[0])
+        if counts is not None:  # kept apart, as publishing may drop the staged files
+            counted = fresh_folder(spark, "counts")
+            counts.select("file_path", "record_count").write.parquet(counted)
+            counts = spark.read.schema("file_path string, record_count bigint").parquet(counted)
     except Exception:
         delete_path(spark, staged.path)
         raise
@@ -224,7 +227,7 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     if isinstance(table, NativeTable):
         _publish_native(spark, spec, table, staged, exists, keys)
     else:
-        _publish(spark, spec, table, staged, exists, visible, keys, bool(rules.unique_check) and not duplicates)
+        _publish(spark, spec, table, staged, exists, visible, keys, ambiguous)
 
     mark = since
     if spec.load.is_incremental:
@@ -232,9 +235,8 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
         if high:
             store.put(spec.task.id, high)
     if found.listing is not None:
-        FileAudit(spark, state_database).record(
-            found.listing, _plain_paths(counts), spec.target.full_name
-        )
+        FileAudit(spark, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
+        delete_path(spark, counted)
     outcome |= hooks.postload(spec, table, mark)
     return LoadResult("SUCCESS", run["run_id"], total, total, mark, verdict, outcome)
 
@@ -249,7 +251,7 @@ def _stage(spark, table, df, metrics) -> Staged:
     return Staged(path, df.schema, None, seen.get)
 
 
-def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible, keys, keys_verified) -> None:
+def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible, keys, ambiguous) -> None:
     if not exists and not keys:
         table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN))
         return
@@ -258,13 +260,16 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
     else:
         table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
     if keys:
-        source = feeds.without_extras(staged.rows(spark))
+        source, chosen = feeds.without_extras(staged.rows(spark)), None
         clock = spec.load.watermark_column
-        newest_by = [renamed(clock, spec.transform.rename)] if clock else []
-        if newest_by and not keys_verified:
-            source = latest(source, keys, newest_by)
-        table.merge(source, keys, spec.load.preserve, keys_verified=keys_verified or bool(newest_by))
+        if ambiguous and clock:  # stored, because a merge reads its source several times
+            chosen = fresh_folder(spark, "newest")
+            latest(source, keys, [renamed(clock, spec.transform.rename)]).write.parquet(chosen)
+            source = spark.read.schema(source.schema).parquet(chosen)
+        table.merge(source, keys, spec.load.preserve, keys_verified=not ambiguous or chosen is not None)
         table.discard(staged)
+        if chosen:
+            delete_path(spark, chosen)
     elif spec.load.type != "full":
         table.publish_append(staged)
     elif spec.target.replaces_all(spec.load, spec.source):

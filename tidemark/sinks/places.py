@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-from urllib.parse import unquote
-
 from pyspark.sql import SparkSession
 
 from tidemark.functions.names import unique
@@ -47,8 +45,3 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it."""
     system, target = _file_system(spark, path)
     return system.makeQualified(target).toString()
-
-
-def parent_folder(file_path: str) -> str:
-    """Folder of a ``_metadata.file_path`` value, which is URI-encoded."""
-    return unquote(file_path.rsplit("/", 1)[0])

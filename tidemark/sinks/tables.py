@@ -21,14 +21,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.columns import any_null, col, find_column, require_columns
 from tidemark.functions.names import identifier, sql_text, unique
 from tidemark.functions.partitioning import PartitionRule
-from tidemark.operators.merge import touched_values, upsert
+from tidemark.operators.merge import MATCHED, touched_values, unmatched, update_matched
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.schema import SchemaError, add_columns_ddl, additions, conform
 from tidemark.sinks import ddl
-from tidemark.sinks.places import delete_path, parent_folder
+from tidemark.sinks.places import delete_path
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _STATEMENT_PARTITIONS = 200
+_UNKNOWN = object()
 
 
 class MergeError(Exception):
@@ -53,9 +54,13 @@ class Staged:
         return self.rule.drop_from(df) if self.rule else df
 
     def partitions(self, spark: SparkSession) -> dict[str, str]:
-        """``{'column=value': folder}``; as many as the batch has partitions."""
-        files = self.read(spark).select(F.regexp_replace("_metadata.file_path", "[^/]+$", "x").alias("f")).distinct()
-        folders = [parent_folder(r["f"]) for r in files.collect()]
+        """``{'column=value': folder}`` from the file listing; no file is opened.
+        As many as the batch has partitions."""
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").load(self.path)
+        )
+        folders = [r[0] for r in files.select(F.regexp_extract("path", "^(.*)/", 1)).distinct().collect()]
         return {folder.rsplit("/", 1)[-1]: folder for folder in folders}
 
 
@@ -66,7 +71,7 @@ class ParquetTable:
         self.spark = spark
         self.database, self.table = database, table
         self.name = identifier(database, table)
-        self._declared = partition
+        self._declared, self._stored = partition, _UNKNOWN
 
     # -- catalog ---------------------------------------------------------
 
@@ -79,8 +84,11 @@ class ParquetTable:
     @property
     def partition(self) -> PartitionRule | None:
         """The existing table's rule; the declared one for a table to be created."""
-        if not self.exists():
-            return self._declared
+        if self._stored is _UNKNOWN and self.exists():
+            self._stored = self._stored_rule()
+        return self._declared if self._stored is _UNKNOWN else self._stored
+
+    def _stored_rule(self) -> PartitionRule | None:
         properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
         if ddl.PARTITION_PROPERTY in properties:
             return ddl.rule_from_text(properties[ddl.PARTITION_PROPERTY])
@@ -204,7 +212,6 @@ class ParquetTable:
         keys: Iterable[str],
         preserve: Iterable[str] = (),
         newer_by: Sequence[str] = (),
-        metrics: Iterable[Column] = (),
         keys_verified: bool = False,
     ) -> Staged:
         """Upsert ``source`` and publish. It is read several times, so stage it
@@ -213,37 +220,51 @@ class ParquetTable:
 
         Only partitions that hold a matched key or receive a row are rewritten;
         which these are takes a scan of the key columns, and not even that if the
-        partition follows from a key."""
+        partition follows from a key. Their rows are then read, joined and written
+        once, each marked whether it matched; the marks say which source rows are
+        left to insert."""
         names = require_columns(self.schema().names, keys)
         source = conform(source, self.schema())
         if not keys_verified and duplicate_keys(source.where(~any_null(names)), names).head(1):
             raise MergeError(f"several source rows share a key {names}")
-        rule = self.partition
+        rule, scope, touched = self.partition, self.read(), set()
+        if rule:
+            scope, touched = self._touched(source, names, preserve)
+        staged = self.stage(update_matched(scope, source, names, preserve, newer_by))
+        present = staged.rows(self.spark).where(F.col(MATCHED))
+        self._stage_more(staged, unmatched(source, present, names))
         if rule is None:
-            staged = self.stage(upsert(self.read(), source, names, preserve, newer_by), metrics)
             self.publish_replace(staged)
             return staged
+        incoming = staged.partitions(self.spark)
+        emptied = {s for s in self._partition_specs() - set(incoming) if _spec_value(s) in touched}
+        self._point(incoming)
+        self._drop(emptied)
+        return staged
 
-        whole = self.spark.table(self.name)
+    def _touched(self, source: DataFrame, keys: list[str], preserve: Iterable[str]) -> tuple[DataFrame, set[str]]:
+        """The rows of the partitions a merge has to rewrite, and their values."""
+        whole, rule = self.spark.table(self.name), self.partition
         physical = require_columns(whole.columns, [rule.name])[0]
-        arriving = rule.add_to(source).select(col(rule.name).alias("__partition")).distinct()
-        follows = find_column(names, rule.column) is not None and find_column(list(preserve), rule.column) is None
-        touched = arriving if follows else arriving.union(touched_values(whole, source, names, physical)).distinct()
+        found = rule.add_to(source).select(col(rule.name).alias("__partition")).distinct()
+        follows = find_column(keys, rule.column) is not None
+        if not follows:
+            found = found.union(touched_values(whole, source, keys, physical)).distinct()
         # Partition values only: at most one row per partition of the table.
-        found = touched.select("__partition", F.col("__partition").cast("string").alias("text")).collect()
-        values = [r["__partition"] for r in found]
-        in_scope = col(physical).isin([v for v in values if v is not None])
+        rows = found.select("__partition", F.col("__partition").cast("string").alias("text")).collect()
+        values = [r["__partition"] for r in rows]
+        scope = col(physical).isin([v for v in values if v is not None])
         if None in values:
-            in_scope = in_scope | col(physical).isNull()
-        scoped = rule.drop_from(whole.where(in_scope))
-        staged = self.stage(upsert(scoped, source, names, preserve, newer_by), metrics)
+            scope = scope | col(physical).isNull()
+        return rule.drop_from(whole.where(scope)), {_NULL_PARTITION if r["text"] is None else r["text"] for r in rows}
 
-        incoming = staged.partitions(self.spark)
-        texts = {_NULL_PARTITION if r["text"] is None else r["text"] for r in found}
-        emptied = {s for s in self._partition_specs() - set(incoming) if _spec_value(s) in texts}
-        self._point(incoming)
-        self._drop(emptied)
-        return staged
+    def _stage_more(self, staged: Staged, df: DataFrame) -> None:
+        """Add rows to a staged folder nobody reads yet."""
+        rule = staged.rule
+        if rule:
+            df = rule.add_to(df).hint("rebalance", col(rule.name))
+        writer = df.write.mode("append").option("compression", "zstd")
+        (writer.partitionBy(rule.name) if rule else writer).parquet(staged.path)
 
     # -- partition pointers ----------------------------------------------
 
