@@ -29,7 +29,7 @@ from tidemark.plans.spec import LoadSpec, SpecError
 from tidemark.sinks.ledgers import FileAudit, NotificationAudit, RunLedger, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder
-from tidemark.sinks.tables import ParquetTable, Staged
+from tidemark.sinks.tables import MergeError, ParquetTable, Staged
 from tidemark.sources import feeds, jdbc, tables, workbooks
 
 log = logging.getLogger(__name__)
@@ -252,24 +252,21 @@ def _stage(spark, table, df, metrics) -> Staged:
 
 
 def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible, keys, ambiguous) -> None:
-    if not exists and not keys:
+    clock = spec.load.watermark_column
+    if ambiguous and clock:  # several rows of a key: the newest one counts
+        rows = feeds.without_extras(staged.rows(spark))
+        newest = table.stage(latest(rows, keys, [renamed(clock, spec.transform.rename)]))
+        table.discard(staged)
+        staged, ambiguous = newest, False
+    if ambiguous:
+        raise MergeError(f"several rows of the batch share a key {keys}")
+    if not exists:
         table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN))
         return
-    if not exists:
-        table.create(visible)
-    else:
-        table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
+    table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
     if keys:
-        source, chosen = feeds.without_extras(staged.rows(spark)), None
-        clock = spec.load.watermark_column
-        if ambiguous and clock:  # stored, because a merge reads its source several times
-            chosen = fresh_folder(spark, "newest")
-            latest(source, keys, [renamed(clock, spec.transform.rename)]).write.parquet(chosen)
-            source = spark.read.schema(source.schema).parquet(chosen)
-        table.merge(source, keys, spec.load.preserve, keys_verified=not ambiguous or chosen is not None)
+        table.merge(feeds.without_extras(staged.rows(spark)), keys, spec.load.preserve, keys_verified=True)
         table.discard(staged)
-        if chosen:
-            delete_path(spark, chosen)
     elif spec.load.type != "full":
         table.publish_append(staged)
     elif spec.target.replaces_all(spec.load, spec.source):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import traceback
 import uuid
-from collections.abc import Iterable
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,7 +19,7 @@ from tidemark.operators.ledger import FAILED, SUCCESS
 from tidemark.operators.watermark import latest_per_job
 from tidemark.sinks import ddl
 from tidemark.sinks.places import path_exists
-from tidemark.sources.tables import rows
+from tidemark.sources.tables import row
 
 # Characters that table partition folders percent-encode.
 _ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
@@ -64,10 +64,10 @@ class Ledger:
             f"(`{self.scope}` = {sql_text(scope)}, commit_id = {sql_text(commit)}) LOCATION {sql_text(path)}"
         )
 
-    def append_rows(self, values: Iterable[tuple], scope) -> None:
-        """Rows held by the driver, given in column order."""
-        exact = [tuple(as_utc(v) if isinstance(v, datetime) else v for v in row) for row in values]
-        self.append(rows(self.spark, exact, self._stored).coalesce(1), scope)
+    def append_row(self, values: Sequence, scope) -> None:
+        """One row held by the driver, given in column order."""
+        exact = [as_utc(v) if isinstance(v, datetime) else v for v in values]
+        self.append(row(self.spark, exact, self._stored).coalesce(1), scope)
 
     def read(self) -> DataFrame:
         self.ensure()
@@ -90,14 +90,13 @@ class WatermarkStore:
         self.ledger = Ledger(spark, database, table, ddl.WATERMARKS, "job_id", "string")
 
     def get(self, job_id: str) -> str | None:
-        row = self.history(job_id).select(F.max_by("watermark_value", "updated_at")).first()
-        return row[0]
+        return self.history(job_id).select(F.max_by("watermark_value", "updated_at")).first()[0]
 
     def put(self, job_id: str, value: str, at: datetime | None = None) -> None:
         """Raises on an empty value, and if the write fails."""
         if value is None or not str(value).strip():
             raise ValueError(f"empty watermark for job {job_id!r}")
-        self.ledger.append_rows([(str(value), at or utc_now())], job_id)
+        self.ledger.append_row((str(value), at or utc_now()), job_id)
 
     def history(self, job_id: str) -> DataFrame:
         self.ledger.ensure()
@@ -116,15 +115,14 @@ class RunLedger(Ledger):
 
     def record(self, run: dict, error: BaseException | None = None) -> None:
         """Append a run; with an error it is a failed one."""
-        row = dict(run)
-        row["status"] = FAILED if error else row.get("status", SUCCESS)
+        run = {"status": SUCCESS, "end_time": utc_now()} | run
         if error:
-            row["error_type"] = type(error).__name__
-            row["error_message"] = str(error)
-            row["error_trace"] = "".join(traceback.format_exception(error))
-        row.setdefault("end_time", utc_now())
-        row["duration_seconds"] = (row["end_time"] - row["start_time"]).total_seconds()
-        self.append_rows([tuple(row.get(n) for n in self.fields.names)], row["end_time"].date())
+            run |= {
+                "status": FAILED, "error_type": type(error).__name__, "error_message": str(error),
+                "error_trace": "".join(traceback.format_exception(error)),
+            }
+        run["duration_seconds"] = (run["end_time"] - run["start_time"]).total_seconds()
+        self.append_row([run.get(n) for n in self.fields.names], run["end_time"].date())
 
 
 class FileAudit(Ledger):
@@ -165,5 +163,5 @@ class NotificationAudit(Ledger):
         super().__init__(spark, database, table, ddl.NOTIFICATIONS, "commit_day", "date")
 
     def record(self, notification: dict) -> None:
-        row = {"notification_id": str(uuid.uuid4()), "sent_timestamp": utc_now()} | notification
-        self.append_rows([tuple(row.get(n) for n in self.fields.names)], row["sent_timestamp"].date())
+        notice = {"notification_id": str(uuid.uuid4()), "sent_timestamp": utc_now()} | notification
+        self.append_row([notice.get(n) for n in self.fields.names], notice["sent_timestamp"].date())

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.operators.transform import project
@@ -29,6 +29,12 @@ def scan(
     return project(df, columns)
 
 
+def row(spark: SparkSession, values: Sequence, schema: T.StructType) -> DataFrame:
+    """One row of literals: a projection, so no Python worker is involved."""
+    literals = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields, strict=True)]
+    return spark.range(1).select(*literals)
+
+
 def rows(spark: SparkSession, values: Iterable, schema) -> DataFrame:
     """Rows held by the driver (a run record, seed rows) under a declared schema;
     inference would fail on columns that are all NULL."""
