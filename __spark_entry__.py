@@ -117,7 +117,7 @@ def scan_incremental(spark, folder):
 def scan_incremental_partitioned(spark, folder):
     """The same scan of a table partitioned by month: older months are not opened."""
     t = _filled(spark, _table(spark, folder, "orders"), "months", "o_orderdate")
-    return tables.scan(spark, t.name, ["o_orderkey", "o_orderdate"], ("o_orderdate", "2000-01-01 00:00:00", "timestamp"), t.partition)
+    return tables.scan(spark, t.name, ["o_orderkey", "o_orderdate"], watermark.Watermark("o_orderdate", "2000-01-01 00:00:00"), t.partition)
 
 
 @query("""

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.watermark import Watermark
 from tidemark.sources import jdbc
 from tidemark.sources.jdbc import Connection, JdbcOptions, connection_from_env
 
@@ -109,6 +110,22 @@ def test_missing_bounds_are_asked_for(spark, connection, orders):
     assert "partitionColumn" not in empty.log[1]
 
 
+@pytest.mark.parametrize("watermark,url,sql", [
+    (Watermark("u", "2024-01-01 00:00:00"), "jdbc:oracle:x", "u > TIMESTAMP '2024-01-01 00:00:00'"),
+    (Watermark("u", "2024-01-01 00:00:00"), "jdbc:sqlserver://x", "u > '2024-01-01 00:00:00'"),
+    (Watermark("u", "2024-01-01", "date"), "jdbc:mysql://x", "u > DATE '2024-01-01'"),
+    (Watermark("u", "17", "numeric"), "jdbc:mysql://x", "u > 17"),
+    (Watermark("u", "x' OR '1'='1"), "jdbc:mysql://x", "u > TIMESTAMP 'x'' OR ''1''=''1'"),
+    (Watermark("u", None), "jdbc:mysql://x", None),
+])
+def test_bounds_of_an_incremental_scan_are_those_of_the_new_rows(spark, connection, orders, watermark, url, sql):
+    assert jdbc.newer_sql(watermark, url) == sql
+    if url.startswith("jdbc:oracle"):
+        session = Session(table=orders.withColumnRenamed("o_orderdate", "u"), query=spark.createDataFrame([(3, 99)], "lo int, hi int"))
+        jdbc.scan(session, Connection("c", url, "d"), "t", JdbcOptions("k"), watermark=watermark, load_type="incremental")
+        assert session.log[0]["query"] == f"SELECT MIN(k) AS lo, MAX(k) AS hi FROM t WHERE {sql}"
+
+
 def test_predicates_replace_the_split_column(spark, connection, orders):
     session = Session(table=orders)
     jdbc.scan(session, connection, "t", predicates=["k % 2 = 0", "k % 2 = 1"])
@@ -117,7 +134,7 @@ def test_predicates_replace_the_split_column(spark, connection, orders):
 
 def test_watermark_filters_before_projection(spark, connection, orders):
     out = jdbc.scan(Session(table=orders), connection, "t", columns=["o_orderkey"],
-                    watermark=("O_ORDERDATE", "2000-01-01 00:00:00", "timestamp"), load_type="incremental")
+                    watermark=Watermark("O_ORDERDATE", "2000-01-01 00:00:00"), load_type="incremental")
     assert out.columns == ["o_orderkey"]
     assert out.count() == orders.where("o_orderdate > timestamp_ntz'2000-01-01'").count()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in out._jdf.queryExecution().executedPlan().toString()

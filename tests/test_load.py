@@ -219,6 +219,39 @@ def test_workbook_feed(spark, database, tmp_path):
         run_load(spark, undeclared, state_database=database, force=True)
 
 
+def test_overlap_catches_late_rows(spark, database):
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    load = {"type": "upsert", "incremental": {"column": "at"}, "options": {"overlap": "2 hours"}}
+    spec = make(database, load, keys={"merge_keys": ["k"]})
+    run = lambda rows: run_load(spark, spec, batch=spark.createDataFrame(rows, "k int, at timestamp_ntz"), state_database=database, force=True)
+    run([(1, at(5)), (2, at(10))])
+    result = run([(1, at(5)), (2, at(10)), (3, at(10)), (4, at(9)), (5, at(8))])
+    assert result.rows_read == 3 and values(target(spark, database).read(), "k") == [(1,), (2,), (3,), (4,)]
+    with pytest.raises(SpecError):
+        make(database, {"type": "incremental", "incremental": {"column": "at"}, "options": {"overlap": "1 hour"}})
+
+
+def test_files_arriving_during_a_load_stay_new(spark, database, tmp_path, monkeypatch):
+    from tidemark.plans import load as module
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("ID,NAME\n1,ann\n")
+    publish = module._publish
+
+    def late(*arguments):
+        (folder / "b.csv").write_text("ID,NAME\n2,bob\n")
+        publish(*arguments)
+
+    monkeypatch.setattr(module, "_publish", late)
+    spec = LoadSpec.from_dict({**feed_spec(database, folder).raw, "load": {"type": "full", "options": {"overwrite": "partitions"}}})
+    run = lambda day: run_load(spark, spec, state_database=database, force=True, as_of=dt.datetime(2024, 1, day))
+    assert run(1).rows_read == 1
+    assert values(FileAudit(spark, database).read(), "file_name") == [("a.csv",)]
+    assert run(2).rows_read == 1
+    assert values(target(spark, database).read(), "ID") == [(1,), (2,)]
+
+
 def test_slices_equal_one_load_under_any_cut(spark, database, orders):
     full = make(database, target={"table": "whole"})
     run_load(spark, full, batch=orders, state_database=database)

@@ -71,6 +71,8 @@ class PartitionRule:
         [source] = require_columns(df.columns, [self.column])
         if self.is_identity:
             return df
+        if find_column(df.columns, self.name):
+            raise ValueError(f"column {self.name!r} is reserved for the table's partitioning")
         return df.withColumn(self.name, self.value(col(source)))
 
     def drop_from(self, df: DataFrame) -> DataFrame:

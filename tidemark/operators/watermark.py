@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, require_columns
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.functions.types import INITIAL_WATERMARKS, watermark_literal
 
 
+@dataclass(frozen=True)
+class Watermark:
+    """The value a scan continues from. ``overlap`` reads again what lies that far
+    before it (``'1 hour'``, or a number), for sources that deliver late or with
+    equal values; only a keyed upsert can absorb the repeats."""
+
+    column: str
+    value: str | None
+    kind: str = "timestamp"
+    overlap: str | None = None
+
+    def literal(self, data_type: T.DataType) -> Column:
+        """Typed like the column, so the comparison reaches the scan."""
+        literal = watermark_literal(self.value, data_type, self.kind)
+        if not self.overlap:
+            return literal
+        if self.kind == "numeric":
+            return (literal - F.lit(self.overlap).cast(data_type)).cast(data_type)
+        return (literal - F.expr(f"INTERVAL {self.overlap}")).cast(data_type)
+
+    def newer(self, df: DataFrame, partition: PartitionRule | None = None) -> DataFrame:
+        """Rows strictly past the value; everything if there is none. For a table
+        partitioned by a transform of the column the implied partition predicate is
+        added, so older partitions are never opened."""
+        if self.value in (None, ""):
+            return df
+        [name] = require_columns(df.columns, [self.column])
+        literal = self.literal(df.schema[name].dataType)
+        out = df.where(col(name) > literal)
+        if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns:
+            implied = partition.implied_by_after(literal)
+            out = out if implied is None else out.where(implied)
+        return out
+
+
 def newer_than(
-    df: DataFrame,
-    column: str,
-    value: str | None,
-    kind: str = "timestamp",
-    partition: PartitionRule | None = None,
+    df: DataFrame, column: str, value: str | None, kind: str = "timestamp", partition: PartitionRule | None = None
 ) -> DataFrame:
-    """Rows strictly past the watermark; everything if there is none.
-
-    The literal has the column's own type, so the comparison reaches the scan.
-    For a table partitioned by a transform of that column the implied partition
-    predicate is added, so older partitions are never opened."""
-    if value is None or value == "":
-        return df
-    [name] = require_columns(df.columns, [column])
-    literal = watermark_literal(value, df.schema[name].dataType, kind)
-    out = df.where(col(name) > literal)
-    if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns:
-        implied = partition.implied_by_after(literal)
-        out = out if implied is None else out.where(implied)
-    return out
+    return Watermark(column, value, kind).newer(df, partition)
 
 
 def high_value(column: str) -> Column:

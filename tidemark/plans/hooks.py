@@ -24,13 +24,13 @@ def _run(operations: Iterable[str], actions: Mapping[str, Callable]) -> dict:
     return {name: actions[name]() for name in operations}
 
 
-def preload(spec: LoadSpec, table, store: WatermarkStore, plan_source: Callable[[], object]) -> dict:
-    """``validate_source`` plans the scan without running it, ``validate_target``
+def preload(spec: LoadSpec, table, store: WatermarkStore, source_is_there: Callable[[], bool]) -> dict:
+    """``validate_source`` checks settings and presence of the source, ``validate_target``
     says whether the table exists, ``check_watermark`` reports the last value."""
     if not spec.preload.enabled:
         return {}
     return _run(spec.preload.operations, {
-        "validate_source": lambda: plan_source() is not None,
+        "validate_source": source_is_there,
         "validate_target": table.exists,
         "check_watermark": lambda: store.get(spec.task.id),
     })

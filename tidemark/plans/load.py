@@ -22,13 +22,13 @@ from tidemark.operators import ledger as runs
 from tidemark.operators.dedup import latest
 from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge
 from tidemark.operators.schema import additions, conform
-from tidemark.operators.transform import transform
-from tidemark.operators.watermark import advance, high_value, start_value
+from tidemark.operators.transform import project, transform
+from tidemark.operators.watermark import Watermark, advance, high_value, start_value
 from tidemark.plans import hooks
 from tidemark.plans.spec import LoadSpec, SpecError
 from tidemark.sinks.ledgers import FileAudit, NotificationAudit, RunLedger, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
-from tidemark.sinks.places import delete_path, fresh_folder
+from tidemark.sinks.places import delete_path, fresh_folder, path_exists
 from tidemark.sinks.tables import MergeError, ParquetTable, Staged
 from tidemark.sources import feeds, jdbc, tables, workbooks
 
@@ -52,6 +52,7 @@ class LoadResult:
 class _Batch:
     df: DataFrame | None
     listing: DataFrame | None = None  # the files of a feed
+    pinned: str | None = None  # where the listing is stored
 
 
 class LoadFailed(Exception):
@@ -129,13 +130,11 @@ def _start(spec: LoadSpec, store: WatermarkStore) -> str | None:
 
 def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: str | None) -> _Batch:
     source, load = spec.source, spec.load
-    mark = (load.watermark_column, since, load.watermark_type) if load.is_incremental else None
+    mark = None
+    if load.is_incremental:
+        mark = Watermark(load.watermark_column, since, load.watermark_type, load.overlap)
     if batch is not None:
-        from tidemark.operators.transform import project
-        from tidemark.operators.watermark import newer_than
-
-        df = newer_than(batch, *mark) if mark else batch
-        return _Batch(project(df, source.columns))
+        return _Batch(project(mark.newer(batch) if mark else batch, source.columns))
     if source.type == "table":
         rule = ParquetTable(spark, source.schema, source.table).partition
         return _Batch(tables.scan(spark, source.full_name, source.columns, mark, rule))
@@ -148,9 +147,14 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
     feed = source.feed
     audit = FileAudit(spark, state_database)
     listing = feeds.list_files(spark, feed.path, feed.pattern, feed.recursive)
-    fresh = feeds.new_files(listing, audit.loaded(spec.target.full_name))
+    # Stored at once: what is audited later must be the files read now, not what
+    # the folder holds by then.
+    pinned = fresh_folder(spark, "files")
+    feeds.new_files(listing, audit.loaded(spec.target.full_name)).write.parquet(pinned)
+    fresh = spark.read.schema(feeds.LISTING).parquet(pinned)
     paths = sorted(r["file_path"] for r in fresh.select("file_path").collect())  # the reader takes a list
     if not paths:
+        delete_path(spark, pinned)
         return _Batch(None)
     if feed.format in ("excel", "xlsx"):
         if not feed.schema:
@@ -160,7 +164,19 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
         fresh = fresh.drop("file_owner").join(owners, "file_path", "left").select(*listing.columns)
     else:
         df = feeds.csv_scan(spark, paths, feed.header, feed.delimiter, feed.encoding, feed.schema)
-    return _Batch(df, fresh)
+    return _Batch(df, fresh, pinned)
+
+
+def _validate_source(spark, spec: LoadSpec, batch, connection) -> bool:
+    """Settings are complete and the source is there; nothing is read."""
+    source = spec.source
+    if batch is not None or connection is not None:
+        return True
+    if source.is_feed:
+        return path_exists(spark, source.feed.path)
+    if source.type == "table":
+        return spark.catalog.tableExists(source.full_name)
+    return bool(jdbc.connection_from_env(source.connection, source.type, source.schema))
 
 
 def _transformed(spec: LoadSpec, df, run_id, job_user, as_of):
@@ -174,7 +190,7 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     store = WatermarkStore(spark, state_database)
     table = open_target(spark, spec)
     since = _start(spec, store)
-    outcome = hooks.preload(spec, table, store, lambda: _extract(spark, spec, batch, connection, state_database, since))
+    outcome = hooks.preload(spec, table, store, lambda: _validate_source(spark, spec, batch, connection))
 
     found = _extract(spark, spec, batch, connection, state_database, since)
     if found.df is None:
@@ -237,6 +253,7 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     if found.listing is not None:
         FileAudit(spark, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
         delete_path(spark, counted)
+        delete_path(spark, found.pinned)
     outcome |= hooks.postload(spec, table, mark)
     return LoadResult("SUCCESS", run["run_id"], total, total, mark, verdict, outcome)
 

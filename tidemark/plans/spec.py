@@ -133,6 +133,7 @@ class Load:
     merge_keys: tuple[str, ...] = ()
     overwrite: str | None = None  # what a full load replaces: all | partitions
     preserve: tuple[str, ...] = ()
+    overlap: str | None = None  # how far before the watermark to read again
 
     @property
     def is_incremental(self) -> bool:
@@ -326,10 +327,13 @@ def _load(s: _Section, key_section: tuple[str, ...], primary: tuple[str, ...]) -
     overwrite = options.get("overwrite")
     if overwrite not in (None, "all", "partitions"):
         raise SpecError(f"[load.options] overwrite must be all or partitions, not {overwrite!r}")
+    overlap = options.get("overlap")
+    if overlap and not keys:
+        raise SpecError("[load.options] overlap needs merge keys, or rows would repeat")
     return Load(
         kind, column, watermark_type if watermark_type in ("timestamp", "numeric", "date") else "timestamp",
         None if initial is None else str(initial), keys, overwrite,
-        _Section("load.options", options).names("preserve"),
+        _Section("load.options", options).names("preserve"), str(overlap) if overlap else None,
     )
 
 

@@ -12,6 +12,9 @@ from tidemark.operators.maintenance import MEGABYTE, compaction_plan, files_of,
 from tidemark.sinks.places import delete_path
 from tidemark.sinks.tables import ParquetTable, Staged
 
+# Partitions rewritten by one job; more are done in several.
+_BLOCK = 5000
+
 
 def table_files(table: ParquetTable) -> DataFrame:
     rule = table.partition
@@ -26,11 +29,10 @@ def compact(table: ParquetTable, target_mb: int = 128) -> int:
     todo = plan.select("partition", "files", "target_files").collect()  # one row per partition
     if not todo:
         return 0
-    staged = _rewrite_partitions(table, todo) if table.partition else _rewrite_whole(table, target_mb)
-    if staged.rule:
-        table.publish_partitions(staged)
-    else:
-        table.publish_replace(staged)
+    if table.partition is None:
+        table.publish_replace(_rewrite_whole(table, target_mb))
+    for start in range(0, len(todo) if table.partition else 0, _BLOCK):
+        table.publish_partitions(_rewrite_partitions(table, todo[start:start + _BLOCK]))
     return sum(r["files"] for r in todo)
 
 
@@ -48,7 +50,7 @@ def _rewrite_whole(table: ParquetTable, target_mb: int) -> Staged:
 
 
 def _rewrite_partitions(table: ParquetTable, todo: list) -> Staged:
-    """One job for all partitions: rows of a partition are dealt evenly to its
+    """One job for a block of partitions: rows of a partition are dealt evenly to its
     planned number of files by their position in the old file, so neither a large
     partition nor many equal rows end up in one task."""
     spark, rule = table.spark, table.partition
@@ -60,9 +62,9 @@ def _rewrite_partitions(table: ParquetTable, todo: list) -> Staged:
     )
     if None in planned:
         scope = scope | col(rule.name).isNull()
-    counts = spark.createDataFrame(
+    counts = F.broadcast(spark.createDataFrame(  # at most _BLOCK rows
         [(v, int(n)) for v, n in planned.items()], "__partition string, __files bigint"
-    )
+    ))
     dealt = (
         whole.where(scope)
         .withColumn("__row", F.xxhash64("_metadata.file_path", "_metadata.row_index"))

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.transform import project
-from tidemark.operators.watermark import newer_than
+from tidemark.operators.watermark import Watermark
 
 
 class ConnectionSettingsError(ValueError):
@@ -131,12 +131,26 @@ def table_name(schema: str | None, table: str) -> str:
     return f"{schema}.{table.strip()}" if schema else table.strip()
 
 
-def stride_bounds(spark: SparkSession, base: Mapping[str, str], table: str, column: str) -> tuple[str, str] | None:
+def newer_sql(watermark: Watermark, url: str) -> str | None:
+    """The watermark condition as SQL text, for the bounds query."""
+    if watermark.value in (None, "") or watermark.overlap:
+        return None
+    value = str(watermark.value).replace("'", "''")
+    if watermark.kind == "numeric":
+        return f"{watermark.column} > {float(value) if not value.lstrip('-').isdigit() else value}"
+    typed = "" if url.startswith("jdbc:sqlserver") else "DATE " if watermark.kind == "date" else "TIMESTAMP "
+    return f"{watermark.column} > {typed}'{value}'"
+
+
+def stride_bounds(
+    spark: SparkSession, base: Mapping[str, str], table: str, column: str, where: str | None = None
+) -> tuple[str, str] | None:
     """Smallest and largest value of the split column, computed by the database
-    (one row comes back); None for an empty table."""
+    (one row comes back); None if there is no row."""
+    condition = f" WHERE {where}" if where else ""
     row = (
         spark.read.format("jdbc").options(**base)
-        .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
+        .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}{condition}")
         .load().select(F.col("lo").cast("string"), F.col("hi").cast("string")).first()
     )
     return None if row is None or row[0] is None else (row[0], row[1])
@@ -148,16 +162,18 @@ def scan(
     table: str,
     options: JdbcOptions = JdbcOptions(),
     columns: Iterable[str] | None = None,
-    watermark: tuple[str, str | None, str] | None = None,
+    watermark: Watermark | None = None,
     load_type: str = "full",
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A lazy table scan.
 
-    * ``columns`` and the watermark filter ``(column, last value, type)`` are
-      DataFrame operations; Spark sends both to the database in its dialect.
+    * ``columns`` and the watermark filter are DataFrame operations; Spark sends
+      both to the database in its dialect.
     * With a split column the read is ``num_partitions`` range queries; missing
-      bounds are asked from the database, so no range is guessed.
+      bounds are asked from the database, so no range is guessed. An incremental
+      scan asks for the bounds of the new rows: they would else share the last
+      ranges of the whole table.
     * ``predicates`` splits by arbitrary disjoint conditions instead, for tables
       whose split column is too skewed to range over.
     """
@@ -170,7 +186,8 @@ def scan(
         if options.partition_column:
             bounds = (options.lower_bound, options.upper_bound)
             if None in bounds:
-                found = stride_bounds(spark, base, table, options.partition_column) or (None, None)
+                where = newer_sql(watermark, connection.url) if watermark else None
+                found = stride_bounds(spark, base, table, options.partition_column, where) or (None, None)
                 bounds = tuple(given if given is not None else asked for given, asked in zip(bounds, found))
             if None not in bounds:
                 reader = reader.options(
@@ -181,8 +198,7 @@ def scan(
                 )
         df = reader.load()
     if watermark:
-        column, value, kind = watermark
-        df = newer_than(df, column, value, kind)
+        df = watermark.newer(df)
     return project(df, columns)
 
 

@@ -8,22 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.operators.transform import project
-from tidemark.operators.watermark import newer_than
+from tidemark.operators.watermark import Watermark
 
 
 def scan(
     spark: SparkSession,
     name: str,
     columns: Iterable[str] | None = None,
-    watermark: tuple[str, str | None, str] | None = None,
+    watermark: Watermark | None = None,
     partition: PartitionRule | None = None,
 ) -> DataFrame:
     """A catalog table; columns, watermark and its implied partition predicate
     all end up in the file scan."""
     df = spark.table(name)
     if watermark:
-        column, value, kind = watermark
-        df = newer_than(df, column, value, kind, partition)
+        df = watermark.newer(df, partition)
     if partition:
         df = partition.drop_from(df)
     return project(df, columns)
