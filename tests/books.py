@@ -17,13 +17,16 @@ def letters(index):
 
 
 def write_book(path, sheets, creator=None, editor=None):
-    """``sheets``: {name: rows}; None is an absent cell, numbers are stored as such."""
+    """``sheets``: {name: rows}; None is an absent cell, numbers are stored as such,
+    and a ("date", number) pair as a number with a date style."""
     strings = []
 
     def cell(value, row, column):
         at = f'r="{letters(column)}{row + 1}"'
         if value is None:
             return ""
+        if isinstance(value, tuple):
+            return f'<c {at} s="1"><v>{value[1]}</v></c>'
         if isinstance(value, bool):
             return f'<c {at} t="b"><v>{int(value)}</v></c>'
         if isinstance(value, (int, float)):
@@ -44,6 +47,8 @@ def write_book(path, sheets, creator=None, editor=None):
         book.writestr("xl/_rels/workbook.xml.rels",
                       f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{relations}</Relationships>')
         book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">' + "".join(f"<si><t>{escape(s)}</t></si>" for s in strings) + "</sst>")
+        book.writestr("xl/styles.xml", f'<styleSheet xmlns="{MAIN}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/></numFmts>'
+                      '<cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>')
         if creator or editor:
             dc, cp = "http://purl.org/dc/elements/1.1/", "http://schemas.openxmlformats.org/package/2006/metadata/core-properties"
             book.writestr("docProps/core.xml", f'<cp:coreProperties xmlns:cp="{cp}" xmlns:dc="{dc}">'

@@ -105,6 +105,19 @@ def test_workbooks(spark, tmp_path):
         workbooks.scan(spark, paths, schema, "Missing").collect()
 
 
+def test_workbook_columns_are_inferred(spark, tmp_path):
+    write_book(tmp_path / "a.xlsx", {"S": [["CARD", "N", "AMOUNT", "AT", "OK", "MIX", "EMPTY"],
+                                           ["0042", 1, 2, ("date", 45292), True, "x", None], ["7", 5, 2.5, None, False, 3, None]]})
+    write_book(tmp_path / "b.xlsx", {"S": [["N", "LATE"], [9, 1.5]]})
+    paths = [f"file:{tmp_path}/a.xlsx", f"file:{tmp_path}/b.xlsx"]
+    out = feeds.without_extras(workbooks.scan(spark, paths))
+    assert dict(out.dtypes) == {"CARD": "string", "N": "bigint", "AMOUNT": "double", "AT": "timestamp", "OK": "boolean",
+                                "MIX": "string", "EMPTY": "string", "LATE": "double"}
+    assert values(out, "N", "CARD", "AMOUNT", "MIX", "LATE") == [
+        (1, "0042", 2.0, "x", None), (5, "7", 2.5, "3", None), (9, None, None, None, 1.5)]
+    assert out.where("AT = timestamp'2024-01-01'").count() == 1
+
+
 def test_markers(spark, tmp_path):
     (tmp_path / "20240101").mkdir()
     (tmp_path / "20240101" / "a.toml_101010.txt").write_text(

@@ -157,8 +157,6 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
         delete_path(spark, pinned)
         return _Batch(None)
     if feed.format in ("excel", "xlsx"):
-        if not feed.schema:
-            raise SpecError("[source.sftp] a workbook feed needs columns_ddl")
         df = workbooks.scan(spark, paths, feed.schema, feed.sheet, feed.header_row)
         owners = workbooks.owners(spark.read.format("binaryFile").load(paths))
         fresh = fresh.drop("file_owner").join(owners, "file_path", "left").select(*listing.columns)

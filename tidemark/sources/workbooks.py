@@ -21,6 +21,18 @@ from tidemark.sources.feeds import FILE_COLUMN
 
 _CHUNK = 20000
 
+# Ids of the built-in date and time formats.
+_DATE_FORMATS = ("14", "15", "16", "17", "18", "19", "20", "21", "22", "45", "46", "47")
+
+# Column types by the kinds of cells found; anything else is text.
+_KINDS = {
+    frozenset(["whole"]): T.LongType(),
+    frozenset(["number"]): T.DoubleType(),
+    frozenset(["whole", "number"]): T.DoubleType(),
+    frozenset(["bool"]): T.BooleanType(),
+    frozenset(["date"]): T.TimestampType(),
+}
+
 
 def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
@@ -67,8 +79,43 @@ def _column_number(reference: str) -> int:
     return number - 1
 
 
-def _rows(book: zipfile.ZipFile, part: str, strings: list[str]) -> Iterator[tuple[int, dict[int, str]]]:
-    """``(row number, {column number: text})`` per row, from 0."""
+def _date_styles(book: zipfile.ZipFile) -> set[str]:
+    """Indexes of the cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    tree = ElementTree.fromstring(book.read("xl/styles.xml"))
+    formats = set(_DATE_FORMATS)
+    for element in tree.iter():
+        if _local(element.tag) == "numFmt":
+            code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", element.get("formatCode", ""))
+            if re.search("[dmyhs]", code, re.I):
+                formats.add(element.get("numFmtId"))
+    used = next((e for e in tree if _local(e.tag) == "cellXfs"), ())
+    return {str(i) for i, xf in enumerate(used) if xf.get("numFmtId") in formats}
+
+
+def _cell(cell, strings: list[str], dates: set[str]) -> tuple[str, str | None]:
+    """``(kind, text)`` of a cell; the kind is one of ``_KINDS``."""
+    kind = cell.get("t", "n")
+    value = next((v.text for v in cell if _local(v.tag) == "v"), None)
+    if kind == "inlineStr":
+        return "text", _text(cell)
+    if kind == "e" or value is None:
+        return "text", None
+    if kind == "s":
+        return "text", strings[int(value)]
+    if kind == "b":
+        return "bool", value
+    if kind != "n":
+        return "text", value
+    if cell.get("s") in dates:
+        return "date", value
+    return ("whole" if re.fullmatch(r"-?\d{1,18}", value) else "number"), value
+
+
+def _rows(book: zipfile.ZipFile, part: str) -> Iterator[tuple[int, dict[int, tuple[str, str]]]]:
+    """``(row number, {column number: (kind, text)})`` of the non-blank cells, from 0."""
+    strings, dates = _shared_strings(book), _date_styles(book)
     with book.open(part) as stream:
         expected = 0
         for _, row in ElementTree.iterparse(stream):
@@ -79,41 +126,53 @@ def _rows(book: zipfile.ZipFile, part: str, strings: list[str]) -> Iterator[tupl
             for cell in row:
                 if cell.get("r"):
                     position = _column_number(cell.get("r"))
-                kind = cell.get("t")
-                value = next((v.text for v in cell if _local(v.tag) == "v"), None)
-                if kind == "s" and value is not None:
-                    value = strings[int(value)]
-                elif kind == "inlineStr":
-                    value = _text(cell)
-                elif kind == "e":
-                    value = None
+                kind, value = _cell(cell, strings, dates)
                 if value not in (None, ""):
-                    cells[position] = value
+                    cells[position] = (kind, value)
                 position += 1
             yield number, cells
             expected = number + 1
             row.clear()
 
 
+def _body(content: bytes, sheet: str, header_row: int) -> Iterator[dict[int, tuple[str, str]]]:
+    """The header's cells (maybe none), then those of every non-blank row below."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        begun = False
+        for number, cells in _rows(book, _sheet_part(book, str(sheet))):
+            if not begun and number >= header_row:
+                begun = True
+                yield cells if number == header_row else {}
+                if number == header_row:
+                    continue
+            if begun and cells:
+                yield cells
+
+
 def read_sheet(content: bytes, columns: list[str], sheet: str = "0", header_row: int = 0) -> Iterator[pd.DataFrame]:
     """Chunks of one sheet as text, the declared columns by (trimmed, any-case)
     header name; a column the sheet lacks is None. Blank rows are skipped."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        wanted, chunk = None, []
-        for number, cells in _rows(book, _sheet_part(book, str(sheet)), _shared_strings(book)):
-            if number < header_row:
-                continue
-            if wanted is None:
-                found = {v.strip().casefold(): i for i, v in cells.items()} if number == header_row else {}
-                wanted = [found.get(c.casefold()) for c in columns]
-                continue
-            if cells:
-                chunk.append([cells.get(i) for i in wanted])
-            if len(chunk) >= _CHUNK:
-                yield pd.DataFrame(chunk, columns=columns, dtype=object)
-                chunk = []
-        if chunk:
+    rows = _body(content, sheet, header_row)
+    found = {text.strip().casefold(): i for i, (_, text) in next(rows, {}).items()}
+    wanted = [found.get(c.casefold()) for c in columns]
+    chunk = []
+    for cells in rows:
+        chunk.append([cells[i][1] if i in cells else None for i in wanted])
+        if len(chunk) >= _CHUNK:
             yield pd.DataFrame(chunk, columns=columns, dtype=object)
+            chunk = []
+    if chunk:
+        yield pd.DataFrame(chunk, columns=columns, dtype=object)
+
+
+def sheet_columns(content: bytes, sheet: str = "0", header_row: int = 0) -> list[tuple[str, int, str]]:
+    """``(column, position, kind)`` for every kind of cell a column holds."""
+    rows = _body(content, sheet, header_row)
+    header = {i: text.strip() for i, (_, text) in next(rows, {}).items()}
+    kinds = {(i, "none") for i in header}
+    for cells in rows:
+        kinds.update((i, kind) for i, (kind, _) in cells.items() if i in header)
+    return [(header[i], i, kind) for i, kind in sorted(kinds)]
 
 
 def author(content: bytes) -> str | None:
@@ -155,14 +214,38 @@ def decode(files: DataFrame, schema: T.StructType | str, sheet: str = "0", heade
     return out.select(*[_typed(f.name, f.dataType) for f in declared.fields], FILE_COLUMN)
 
 
+def infer(files: DataFrame, sheet: str = "0", header_row: int = 0) -> T.StructType:
+    """Columns and types over all workbooks in ``files(path, content)``, in the
+    order of their first position; one small row per column reaches the driver."""
+
+    def read(batches):
+        for batch in batches:
+            found = [line for content in batch["content"] for line in sheet_columns(bytes(content), sheet, header_row)]
+            yield pd.DataFrame(found, columns=["name", "position", "kind"])
+
+    columns = (
+        files.select("content").mapInPandas(read, "name string, position int, kind string")
+        .groupBy("name").agg(F.min("position").alias("position"), F.collect_set("kind").alias("kinds"))
+        .orderBy("position", "name").collect()
+    )
+    return T.StructType([
+        T.StructField(c["name"], _KINDS.get(frozenset(c["kinds"]) - {"none"}, T.StringType())) for c in columns
+    ])
+
+
 def scan(
     spark: SparkSession,
     paths: list[str],
-    schema: T.StructType | str,
+    schema: T.StructType | str | None = None,
     sheet: str = "0",
     header_row: int = 0,
 ) -> DataFrame:
-    """Workbook files as one relation."""
+    """Workbook files as one relation. Without declared columns they are inferred
+    from the cells, which decodes the files once more."""
+    if schema is None:
+        if not paths:
+            raise ValueError("no files and no declared schema")
+        schema = infer(spark.read.format("binaryFile").load(paths), sheet, header_row)
     if not paths:
         declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         return spark.createDataFrame([], T.StructType([*declared.fields, T.StructField(FILE_COLUMN, T.StringType())]))
