@@ -650,6 +650,21 @@ def orphan_candidates(spark, folder):
     return orphans.select(F.regexp_extract("file_path", "o_orderdate_year=([0-9]+)/", 1).alias("y")).distinct()
 
 
+@query("SELECT CAST(1 AS BIGINT) AS versions, CAST(1 AS BIGINT) AS expired, CAST(count(*) AS BIGINT) AS n FROM orders")
+def expire_versions(spark, folder):
+    """A replaced table loses its old version after the retention."""
+    orders = _table(spark, folder, "orders")
+    target = _filled(spark, orders.where("o_orderstatus = 'F'"))
+    target.publish_replace(target.stage(orders))
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=4)
+    expired = maintenance.expire_versions(target, older_than_days=3, now=later)
+    left = maintenance.versions(target).agg(F.count(F.lit(1)).alias("versions"))
+    counted = target.read().agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+    both = left.select("versions", zero.alias("n")).unionByName(counted.select(zero.alias("versions"), "n"))
+    return both.agg(F.sum("versions").alias("versions"), F.lit(expired).cast("bigint").alias("expired"), F.sum("n").alias("n"))
+
+
 # --- ledger ---------------------------------------------------------------
 
 @query("""
@@ -888,6 +903,45 @@ def load_audits_files(spark, folder):
     return label(loaded, "load").unionAll(label(audited, "audited"))
 
 
+@query("""
+SELECT 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_type, CAST(count(*) AS BIGINT) AS rows_written, CAST(count(*) AS BIGINT) AS in_target FROM lineitem
+UNION ALL SELECT 'FAILED', 'QualityError', NULL, CAST(count(*) AS BIGINT) FROM lineitem""")
+def load_gate_failure(spark, folder):
+    """The second load repeats keys: it is refused and recorded, the target stays."""
+    from tidemark.sinks.ledgers import RunLedger
+
+    database, lineitem = _database(spark), _table(spark, folder, "lineitem")
+    run_load(spark, _spec(database, {"type": "full"}), batch=lineitem, state_database=database)
+    gated = _spec(database, {"type": "full"}, data_quality={"unique_check": ["l_orderkey", "l_linenumber"]})
+    try:
+        run_load(spark, gated, batch=lineitem.unionAll(lineitem), state_database=database, force=True)
+    except quality.QualityError:
+        pass
+    held = ParquetTable(spark, database, "target").read().count()
+    runs = RunLedger(spark, database).read()
+    return runs.select("status", "error_type", "rows_written", F.lit(held).cast("bigint").alias("in_target"))
+
+
+@query("""
+SELECT 'on_quality_failure' AS event_type, 'DATA_QUALITY_FAILED' AS pipeline_status, 'dq@example.org' AS recipients_to,
+       'minimum_rows: ' || count(*) || ' row(s), at least ' || (count(*) + 1) || ' required' AS error_message FROM orders""")
+def load_failure_notice(spark, folder):
+    """Who should hear of a refused load, by the routing rules of its spec."""
+    from tidemark.sinks.ledgers import NotificationAudit
+
+    database, orders = _database(spark), _table(spark, folder, "orders")
+    spec = _spec(
+        database, {"type": "full"}, data_quality={"minimum_rows": orders.count() + 1},
+        email_notification={"enabled": True, "to": "ops@example.org", "events": [
+            {"event": "on_failure", "to": "on-call@example.org"}, {"event": "on_quality_failure", "to": "dq@example.org"}]},
+    )
+    try:
+        run_load(spark, spec, batch=orders, state_database=database)
+    except quality.QualityError:
+        pass
+    return NotificationAudit(spark, database).read().select("event_type", "pipeline_status", "recipients_to", "error_message")
+
+
 # --- driver contract ------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -73,6 +73,21 @@ def test_incremental_append_then_empty_batch(spark, database, orders):
     assert values(target(spark, database).read()) == values(orders)
 
 
+@pytest.mark.parametrize("partition", [{}, {"type": "years", "column": "o_orderdate"}])
+def test_empty_batches(spark, database, orders, partition):
+    spec = make(database, target={"partition": partition})
+    none = orders.where("o_orderkey < 0")
+    run_load(spark, spec, batch=none, state_database=database)
+    assert target(spark, database).read().count() == 0
+    run_load(spark, spec, batch=orders, state_database=database, force=True)
+    files = sorted(spark.table(target(spark, database).name).inputFiles())
+    keyed = make(database, keys={"merge_keys": ["o_orderkey"]}, target={"partition": partition})
+    run_load(spark, keyed, batch=none, state_database=database, force=True)
+    assert sorted(spark.table(target(spark, database).name).inputFiles()) == files  # nothing rewritten
+    run_load(spark, spec, batch=none, state_database=database, force=True)
+    assert target(spark, database).read().count() == 0  # a full load of nothing
+
+
 def test_upsert_takes_the_newest_row_and_keeps_insert_values(spark, database):
     schema = "K int, v string, AT timestamp_ntz, ins string"
     day = lambda n: dt.datetime(2024, 1, n)

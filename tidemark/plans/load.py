@@ -116,7 +116,7 @@ def dry_run(spark: SparkSession, spec: LoadSpec, batch: DataFrame | None = None,
 
 
 def succeeded_on(ledger: RunLedger, job_id: str, day) -> bool:
-    todays = runs.on_day(ledger.since(day), day)
+    todays = runs.on_day(ledger.since(day), day, "end_time")
     return bool(todays.where((F.col("job_id") == job_id) & (F.col("status") == runs.SUCCESS)).head(1))
 
 
@@ -272,6 +272,7 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
         rows = feeds.without_extras(staged.rows(spark))
         newest = table.stage(latest(rows, keys, [renamed(clock, spec.transform.rename)]))
         table.discard(staged)
+        newest.metrics = staged.metrics
         staged, ambiguous = newest, False
     if ambiguous:
         raise MergeError(f"several rows of the batch share a key {keys}")
@@ -279,6 +280,9 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
         table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN))
         return
     table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
+    if not staged.metrics["rows"] and (keys or spec.load.is_incremental):
+        table.discard(staged)  # nothing to add
+        return
     if keys:
         table.merge(feeds.without_extras(staged.rows(spark)), keys, spec.load.preserve, keys_verified=True)
         table.discard(staged)
