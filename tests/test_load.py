@@ -136,6 +136,26 @@ def test_merge_gate_defaults(spark, database):
     assert values(target(spark, database).read()) == [(None, "b"), (None, "b"), (1, "a")]  # NULL keys never match
 
 
+def test_primary_key_is_checked_on_request(spark, database):
+    doubled = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    keys = {"primary_key": ["k"]}
+    assert run_load(spark, make(database, keys=keys), batch=doubled, state_database=database).rows_read == 2
+    with pytest.raises(QualityError, match="unique_check"):
+        run_load(spark, make(database, keys=keys, data_quality={"check_duplicate_keys": True}), batch=doubled, state_database=database, force=True)
+
+
+def test_dry_run_of_a_feed_leaves_no_trace(spark, database, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("ID,NAME\n1,ann\n")
+    spec = feed_spec(database, folder)
+    before = {t.name for t in spark.catalog.listTables(database)}
+    assert dry_run(spark, spec, state_database=database).names[:2] == ["ID", "NAME"]
+    incremental = make(database, {"type": "incremental", "incremental": {"column": "k"}})
+    dry_run(spark, incremental, batch=spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "k timestamp"), state_database=database)
+    assert {t.name for t in spark.catalog.listTables(database)} == before == set()
+
+
 def test_schema_evolution_and_refusal(spark, database, customer):
     run_load(spark, make(database), batch=customer.select("c_custkey"), state_database=database)
     with pytest.raises(SchemaError):

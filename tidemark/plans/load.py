@@ -110,7 +110,8 @@ def dry_run(spark: SparkSession, spec: LoadSpec, batch: DataFrame | None = None,
     is the schema that would be loaded."""
     hooks.verify_names(spec)
     store = WatermarkStore(spark, state_database)
-    found = _extract(spark, spec, batch, connection, state_database, _start(spec, store))
+    stored = store.get(spec.task.id) if spark.catalog.tableExists(store.ledger.name) else None
+    found = _extract(spark, spec, batch, connection, None, _start(spec, stored))
     out = _transformed(spec, found.df, "dry_run", None, None)
     return None if out is None else feeds.without_extras(out).schema
 
@@ -122,13 +123,15 @@ def succeeded_on(ledger: RunLedger, job_id: str, day) -> bool:
 
 # --- steps ----------------------------------------------------------------
 
-def _start(spec: LoadSpec, store: WatermarkStore) -> str | None:
+def _start(spec: LoadSpec, stored: str | None) -> str | None:
     if not spec.load.is_incremental:
         return None
-    return start_value(store.get(spec.task.id), spec.load.initial_watermark, spec.load.watermark_type)
+    return start_value(stored, spec.load.initial_watermark, spec.load.watermark_type)
 
 
 def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: str | None) -> _Batch:
+    """The scan of the source. Without a state database it is only planned: all
+    files of a feed count as new."""
     source, load = spec.source, spec.load
     mark = None
     if load.is_incremental:
@@ -144,17 +147,19 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
             spark, connection, jdbc.table_name(source.schema, source.table), source.jdbc, source.columns, mark, load.type,
         ))
 
-    feed = source.feed
-    audit = FileAudit(spark, state_database)
-    listing = feeds.list_files(spark, feed.path, feed.pattern, feed.recursive)
-    # Stored at once: what is audited later must be the files read now, not what
-    # the folder holds by then.
-    pinned = fresh_folder(spark, "files")
-    feeds.new_files(listing, audit.loaded(spec.target.full_name)).write.parquet(pinned)
-    fresh = spark.read.schema(feeds.LISTING).parquet(pinned)
+    feed, pinned = source.feed, None
+    listing = fresh = feeds.list_files(spark, feed.path, feed.pattern, feed.recursive)
+    if state_database:
+        # Stored at once: what is audited later must be the files read now, not
+        # what the folder holds by then.
+        pinned = fresh_folder(spark, "files")
+        loaded = FileAudit(spark, state_database).loaded(spec.target.full_name)
+        feeds.new_files(listing, loaded).write.parquet(pinned)
+        fresh = spark.read.schema(feeds.LISTING).parquet(pinned)
     paths = sorted(r["file_path"] for r in fresh.select("file_path").collect())  # the reader takes a list
     if not paths:
-        delete_path(spark, pinned)
+        if pinned:
+            delete_path(spark, pinned)
         return _Batch(None)
     if feed.format in ("excel", "xlsx"):
         df = workbooks.scan(spark, paths, feed.schema, feed.sheet, feed.header_row)
@@ -187,7 +192,7 @@ def _transformed(spec: LoadSpec, df, run_id, job_user, as_of):
 def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_user, as_of) -> LoadResult:
     store = WatermarkStore(spark, state_database)
     table = open_target(spark, spec)
-    since = _start(spec, store)
+    since = _start(spec, store.get(spec.task.id) if spec.load.is_incremental else None)
     outcome = hooks.preload(spec, table, store, lambda: _validate_source(spark, spec, batch, connection))
 
     found = _extract(spark, spec, batch, connection, state_database, since)
@@ -209,7 +214,10 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     rules = spec.quality
     if keys and rules.check_duplicate_keys is None and spec.load.watermark_column:
         rules = replace(rules, check_duplicate_keys=False)  # the newest row of a key is taken instead
-    rules = rules.effective(visible.names, keys, spec.transform.rename)
+    if not keys:  # the primary key is checked only where the spec asks for it
+        rules = replace(rules, check_null_keys=bool(rules.check_null_keys), check_duplicate_keys=bool(rules.check_duplicate_keys))
+    checked = keys or [renamed(k, spec.transform.rename) for k in spec.primary_key]
+    rules = rules.effective(visible.names, checked, spec.transform.rename)
 
     high = None
     metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(any_null(rules.null_check)).alias("nulls")]
@@ -239,7 +247,7 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
         raise
 
     if isinstance(table, NativeTable):
-        _publish_native(spark, spec, table, staged, exists, keys)
+        _publish_native(spark, spec, table, staged, exists, keys, ambiguous)
     else:
         _publish(spark, spec, table, staged, exists, visible, keys, ambiguous)
 
@@ -294,8 +302,10 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
         table.publish_partitions(staged)
 
 
-def _publish_native(spark, spec, table: NativeTable, staged: Staged, exists, keys) -> None:
+def _publish_native(spark, spec, table: NativeTable, staged: Staged, exists, keys, ambiguous) -> None:
     source = feeds.without_extras(staged.rows(spark))
+    if ambiguous and spec.load.watermark_column:
+        source = latest(source, keys, [renamed(spec.load.watermark_column, spec.transform.rename)])
     if not exists:
         table.create(source)
     else:

@@ -10,6 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import col, find_column
+from tidemark.operators.schema import conform
 from tidemark.sinks.places import path_exists, qualified
 
 # Columns the scans add to what the files hold; dropped before publishing.
@@ -67,7 +68,7 @@ def headers(spark: SparkSession, paths: Sequence[str], encoding: str = "utf-8")
     text = reading.read.option("encoding", encoding).text(list(paths))
     lines = text.where(F.col("value") != "").select(F.col("_metadata.file_path").alias("path"), "value")
     found = lines.mapInPandas(first_line, "path string, value string").collect()
-    return [(r["path"], r["value"].lstrip("﻿").rstrip("\r")) for r in found]
+    return [(r["path"], r["value"].lstrip("\ufeff").rstrip("\r")) for r in found]
 
 
 def csv_scan(
@@ -120,9 +121,7 @@ def csv_scan(
     out = union_by_name(parts)
     if declared is None:
         return out
-    known = [F.coalesce(col(c)).alias(f.name) if (c := find_column(out.columns, f.name)) else
-             F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields]
-    return out.select(*known, CORRUPT_COLUMN, FILE_COLUMN)
+    return conform(out, _with_extras(declared))
 
 
 def _declared_field(declared: T.StructType, name: str) -> T.StructField:
