@@ -8,8 +8,10 @@ from conftest import values
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.operators.merge import upsert
 from tidemark.operators.schema import SchemaError
+from tidemark.operators.watermark import Watermark
 from tidemark.sinks import maintenance
 from tidemark.sinks.tables import MergeError, ParquetTable
+from tidemark.sources import tables
 
 
 def new_table(spark, database, df, rule=None, name="t"):
@@ -214,6 +216,28 @@ def test_compaction_keeps_the_rows(spark, database, orders):
     assert values(parts.read()) == values(orders)
 
 
+def test_compaction_deals_rows_evenly_even_if_all_are_equal(spark, database):
+    same = spark.range(40000).select(F.lit("x").alias("p"), F.lit(5).alias("v"), F.sha2(F.lit("a"), 512).alias("s"))
+    other = spark.range(2000).select(F.lit("y").alias("p"), F.col("id").cast("int").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("s"))
+    table = ParquetTable(spark, database, "t", PartitionRule.parse(None, "p"))
+    table.publish_new(table.stage(same.union(other).repartition(30), rebalance=False))
+    sizes = {r["partition"]: r for r in maintenance.compaction_plan(maintenance.table_files(table), 0.03).collect()}
+    assert sizes["x"]["rewrite"] and sizes["x"]["target_files"] >= 2
+    assert maintenance.compact(table, 0.03) == sum(r["files"] for r in sizes.values() if r["rewrite"])
+    counts = [r["count"] for r in spark.table(table.name).where("p = 'x'").groupBy("_metadata.file_path").count().collect()]
+    assert sum(counts) == 40000 and len(counts) > 1 and max(counts) < 3 * 40000 / sizes["x"]["target_files"]
+    assert table.read().where("p = 'y'").count() == 2000
+
+
+def test_scan_prunes_partitions_and_columns(spark, database, orders):
+    table = new_table(spark, database, orders, PartitionRule.parse("months", "o_orderdate"))
+    out = tables.scan(spark, table.name, ["o_orderkey"], Watermark("o_orderdate", "2000-05-17 00:00:00"), table.partition)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "(o_orderdate_month" in plan.split("PartitionFilters:")[1].split("]")[0] and ">= 2000-05" in plan
+    assert "GreaterThan(o_orderdate" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
 def test_orphans_and_expired_versions(spark, database, orders):
     table = new_table(spark, database, orders)
     first = {f.replace("file:///", "file:/") for f in spark.table(table.name).inputFiles()}

@@ -25,7 +25,7 @@ def files_of(df: DataFrame, partition: str | None = None) -> DataFrame:
     )
 
 
-def compaction_plan(files: DataFrame, target_mb: int = 128) -> DataFrame:
+def compaction_plan(files: DataFrame, target_mb: float = 128) -> DataFrame:
     """Per partition: files and bytes now, files after rewriting to the target
     size, and whether that is an improvement."""
     target = F.lit(target_mb * MEGABYTE)

@@ -21,7 +21,7 @@ def table_files(table: ParquetTable) -> DataFrame:
     return files_of(table.spark.table(table.name), rule.name if rule else None)
 
 
-def compact(table: ParquetTable, target_mb: int = 128) -> int:
+def compact(table: ParquetTable, target_mb: float = 128) -> int:
     """Rewrite the partitions that hold more files than they need; returns how
     many files were replaced. Rows are unchanged, and readers keep the old files
     until they are removed as orphans."""
@@ -36,11 +36,11 @@ def compact(table: ParquetTable, target_mb: int = 128) -> int:
     return sum(r["files"] for r in todo)
 
 
-def _rewrite_whole(table: ParquetTable, target_mb: int) -> Staged:
+def _rewrite_whole(table: ParquetTable, target_mb: float) -> Staged:
     """Map-only: a scan task takes as many small files as fit the target size and
     writes one file. The settings live in a session of their own."""
     session = table.spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", str(target_mb * MEGABYTE))
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(int(target_mb * MEGABYTE)))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     path = f"{table.versions}/{unique('v')}"
