@@ -216,6 +216,19 @@ def test_compaction_keeps_the_rows(spark, database, orders):
     assert values(parts.read()) == values(orders)
 
 
+@pytest.mark.parametrize("kind", [None, "years"])
+def test_an_empty_table_survives_maintenance(spark, database, orders, kind):
+    table = new_table(spark, database, orders, PartitionRule.parse(kind, "o_orderdate" if kind else None))
+    table.publish_replace(table.stage(orders.where("o_orderkey < 0")))
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=10)
+    assert maintenance.expire_versions(table, now=later) == (0 if kind else 1)
+    maintenance.remove_orphans(table, now=later)
+    assert maintenance.find_orphans(table, now=later).count() == 0
+    assert table.read().count() == 0
+    table.append(orders)
+    assert values(table.read()) == values(orders)
+
+
 def test_compaction_deals_rows_evenly_even_if_all_are_equal(spark, database):
     same = spark.range(40000).select(F.lit("x").alias("p"), F.lit(5).alias("v"), F.sha2(F.lit("a"), 512).alias("s"))
     other = spark.range(2000).select(F.lit("y").alias("p"), F.col("id").cast("int").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("s"))

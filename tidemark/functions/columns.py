@@ -48,3 +48,9 @@ def any_null(names: Iterable[str]) -> Column:
     for name in names:
         condition = condition | col(name).isNull()
     return condition
+
+
+def plain_path(path: Column) -> Column:
+    """A ``_metadata.file_path`` value (URI-encoded) as file listings spell it."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:///", "file:/")

@@ -16,7 +16,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.columns import any_null, find_column, renamed, require_columns
+from tidemark.functions.columns import any_null, find_column, plain_path, renamed, require_columns
 from tidemark.functions.names import utc_now
 from tidemark.operators import ledger as runs
 from tidemark.operators.dedup import latest
@@ -337,9 +337,7 @@ def _refuse_bad_rows(spec, counts, listing, audit: FileAudit) -> None:
 
 
 def _plain_paths(df: DataFrame) -> DataFrame:
-    """File paths as the listing spells them (``_metadata`` URI-encodes them)."""
-    plain = F.regexp_replace(F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
-    return df.withColumn("file_path", plain)
+    return df.withColumn("file_path", plain_path(F.col("file_path")))
 
 
 def _notify(spark, spec: LoadSpec, run: dict, state_database: str, problem: BaseException) -> None:

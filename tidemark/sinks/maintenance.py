@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, plain_path
 from tidemark.functions.names import as_utc, unique, utc_now
 from tidemark.operators.maintenance import MEGABYTE, compaction_plan, files_of, orphan_files
 from tidemark.sinks.places import delete_path
@@ -93,9 +93,13 @@ def version_files(table: ParquetTable) -> DataFrame:
 
 def find_orphans(table: ParquetTable, older_than_days: float = 3, now: datetime | None = None) -> DataFrame:
     """Files in the version folders the table does not read, older than the
-    retention."""
+    retention. The folder of an unpartitioned table is left alone: what it holds is
+    the table, be it files without rows."""
     cutoff = (now or utc_now()) - timedelta(days=older_than_days)
-    return orphan_files(version_files(table), table_files(table), cutoff)
+    listed = version_files(table)
+    if table.partition is None:
+        listed = listed.where(~plain_path(F.col("file_path")).startswith(table.location + "/"))
+    return orphan_files(listed, table_files(table), cutoff)
 
 
 def remove_orphans(table: ParquetTable, older_than_days: float = 3, now: datetime | None = None) -> int:
@@ -128,7 +132,10 @@ def expire_versions(table: ParquetTable, older_than_days: float = 3, now: dateti
     """Delete whole version folders the table no longer reads and that are older
     than the retention (the parquet form of expiring snapshots)."""
     cutoff = F.lit(as_utc((now or utc_now()) - timedelta(days=older_than_days)))
-    old = versions(table).where((F.col("used_files") == 0) & (F.col("modified_at") < cutoff))
+    current = table.location  # kept even if it holds no rows
+    old = versions(table).where(
+        (F.col("used_files") == 0) & (F.col("modified_at") < cutoff) & (plain_path(F.col("version")) != F.lit(current))
+    )
     removed = 0
     for row in old.select("version").toLocalIterator():
         removed += bool(delete_path(table.spark, _decoded(row["version"])))

@@ -103,6 +103,12 @@ class ParquetTable:
         base = self.spark.catalog.getDatabase(self.database).locationUri
         return f"{base.rstrip('/')}/{self.table}__versions"
 
+    @property
+    def location(self) -> str:
+        """The folder the table itself points at."""
+        lines = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
+        return next(r["data_type"] for r in lines if r["col_name"] == "Location").rstrip("/")
+
     def schema(self) -> T.StructType:
         return self.read().schema
 
