@@ -266,3 +266,14 @@ def test_orphans_and_expired_versions(spark, database, orders):
     table.publish_replace(table.stage(orders))
     assert maintenance.remove_orphans(table, now=later) == 1
     assert values(table.read()) == values(orders)
+
+
+def test_schema_diff(spark):
+    from pyspark.sql import types as T
+    from tidemark.operators.schema import diff
+
+    source = T.StructType.fromDDL("ID int, amt decimal(10,2), note string, s string")
+    target = T.StructType.fromDDL("id bigint, amt decimal(18,2), s int")
+    assert [tuple(r) for r in diff(spark, source, target).collect()] == [
+        ("ID", "int", "bigint", "widen"), ("amt", "decimal(10,2)", "decimal(18,2)", "widen"),
+        ("note", "string", None, "add"), ("s", "string", "int", "conflict")]
