@@ -959,6 +959,15 @@ def entry(spark: SparkSession) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").cast("decimal(28,2)").alias("total"))
 
 
+try:
+    from tidemark.llm import queries as _llm
+except ImportError:
+    _llm = None
+else:
+    _QUERIES.update(_llm.QUERIES)
+    _SQL.update(_llm.SQL)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
