@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ngram_join
+from tidemark.llm import decontamination, language, mixing, ngram_join, token_files
+from tidemark.llm.folders import folder as scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +48,87 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r USING (doc_id) GR
 def op6_ngram_jaccard(spark, folder):
     found = ngram_join.near_duplicates(_table(spark, folder, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM b, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM w, lengths, unnest(generate_series(1, len(w) - n + 1)) AS t(i) WHERE len(w) >= n),
+found AS (SELECT doc_id, item, d.n, i FROM doc_windows d JOIN item_windows x ON d.n = x.n AND d.g = x.g),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM found, unnest(generate_series(i, i + n - 1)) AS t(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op1_decontamination(spark, folder):
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+#: Fixed by the contract of op8: the tokenizer's file and the id at the end of each document.
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op8_token_files(spark, folder):
+    return token_files.write_tokens(
+        _table(spark, folder, "documents"), scratch(spark, "tokens"), tokenizer_path(), END_ID).withColumnRenamed("id", "doc_id")
+
+
+def held_out(column: str, divisor: int, remainder: int):
+    """Rows that no model learns from: CRC-32 of the id as text, by its remainder."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % divisor == remainder, F.lit(False))
+
+
+@query()
+def op9_language_id(spark, folder):
+    documents = _table(spark, folder, "documents")
+    model = language.fit(documents.where(~held_out("doc_id", 4, 2)))
+    return language.predict(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS hash FROM documents),
+s AS (SELECT source, sum(size)::DOUBLE AS n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+-- sources in the order in which they fill up: the first ones stop at three times their size
+f AS (SELECT *, coalesce(sum(3 * n) OVER o, 0) AS spent, sum(w) OVER (ORDER BY 3 * n / w DESC, source ROWS UNBOUNDED PRECEDING) AS rest,
+             sum(n) OVER () AS total FROM s WINDOW o AS (ORDER BY 3 * n / w, source DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stop AS (SELECT min(3 * n / w) AS at FROM f WHERE (total - spent) / rest <= 3 * n / w),
+level AS (SELECT (max(total) - coalesce(sum(3 * n) FILTER (WHERE 3 * n / w < at), 0)) AS left_over, sum(w) FILTER (WHERE 3 * n / w >= at) AS open_weight, max(at) AS at
+  FROM f, stop),
+t AS (SELECT source, n, CASE WHEN 3 * n / w < at THEN 3 * n ELSE left_over * w / open_weight END AS target FROM f, level),
+p AS (SELECT *, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS whole FROM t),
+h AS (SELECT source, hash, sum(size) AS inside, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d GROUP BY source, hash),
+x AS (SELECT h.source, h.hash, CASE WHEN upto < target - whole * n THEN 1
+    WHEN upto - inside < target - whole * n AND 2 * (target - whole * n - upto + inside) >= inside THEN 1 ELSE 0 END AS more
+  FROM h JOIN p ON h.source IS NOT DISTINCT FROM p.source)
+SELECT d.doc_id, d.size::BIGINT AS size, p.n::BIGINT AS source_size, p.target, (d.size * (whole + more))::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN x ON x.source IS NOT DISTINCT FROM d.source AND x.hash = d.hash
+""")
+def op10_mixing(spark, folder):
+    mixed = mixing.mix(_table(spark, folder, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

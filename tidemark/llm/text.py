@@ -24,7 +24,8 @@ LONG_WORD = 256
 
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-_CODES = (np.random.default_rng(20240115).integers(0, 2**63, 256, dtype=U64) * U64(2) + U64(1))[_LOWER]
+_CODES = np.random.default_rng(20240115).integers(0, 2**63, 256, dtype=U64) * U64(2) + U64(1)
+_FOLDED_CODES = _CODES[_LOWER]
 LOWER = _LOWER.astype(np.uint8)
 
 
@@ -86,8 +87,9 @@ class Block:
         starts = np.flatnonzero(first)
         return starts, np.flatnonzero(last) + 1, np.searchsorted(self.offsets, starts, "right") - 1
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray, limit: int | None = None) -> np.ndarray:
-        """Hash of each word with A-Z lower-cased; with a limit, of its first bytes, at most so many."""
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, limit: int | None = None, fold: bool = True) -> np.ndarray:
+        """Hash of each word, with A-Z lower-cased if ``fold``; with a limit, of its first bytes, at most so many."""
+        codes = _FOLDED_CODES if fold else _CODES
         out = np.empty(len(starts), U64)
         stops = ends if limit is None else np.minimum(ends, starts + limit)
         k = 0
@@ -100,12 +102,13 @@ class Block:
                 continue
             power, inverse = _power_tables(int(end - at))
             total = np.zeros(len(power) + 1, U64)
-            np.cumsum(_CODES[self.data[at:end]] * power, out=total[1:])
+            np.cumsum(codes[self.data[at:end]] * power, out=total[1:])
             s, e = starts[k:to] - at, stops[k:to] - at
             out[k:to] = mix((total[e] - total[s]) * inverse[s])
             k = to
         for k in np.flatnonzero(stops - starts > LONG_WORD):
-            out[k] = xxhash.xxh3_64_intdigest(LOWER[self.data[starts[k]:stops[k]]].tobytes())
+            word = self.data[starts[k]:stops[k]]
+            out[k] = xxhash.xxh3_64_intdigest((LOWER[word] if fold else word).tobytes())
         return out
 
 
