@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontamination, language, mixing, ngram_join, token_files
+from tidemark.llm import (
+    chat, decontamination, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
 from tidemark.llm.folders import folder as scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,10 +117,10 @@ s AS (SELECT source, sum(size)::DOUBLE AS n, (row_number() OVER (ORDER BY source
 -- sources in the order in which they fill up: the first ones stop at three times their size
 f AS (SELECT *, coalesce(sum(3 * n) OVER o, 0) AS spent, sum(w) OVER (ORDER BY 3 * n / w DESC, source ROWS UNBOUNDED PRECEDING) AS rest,
              sum(n) OVER () AS total FROM s WINDOW o AS (ORDER BY 3 * n / w, source DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-stop AS (SELECT min(3 * n / w) AS at FROM f WHERE (total - spent) / rest <= 3 * n / w),
-level AS (SELECT (max(total) - coalesce(sum(3 * n) FILTER (WHERE 3 * n / w < at), 0)) AS left_over, sum(w) FILTER (WHERE 3 * n / w >= at) AS open_weight, max(at) AS at
+stop AS (SELECT min(3 * n / w) AS mark FROM f WHERE (total - spent) / rest <= 3 * n / w),
+level AS (SELECT (max(total) - coalesce(sum(3 * n) FILTER (WHERE 3 * n / w < mark), 0)) AS left_over, sum(w) FILTER (WHERE 3 * n / w >= mark) AS open_weight, max(mark) AS mark
   FROM f, stop),
-t AS (SELECT source, n, CASE WHEN 3 * n / w < at THEN 3 * n ELSE left_over * w / open_weight END AS target FROM f, level),
+t AS (SELECT source, n, CASE WHEN 3 * n / w < mark THEN 3 * n ELSE left_over * w / open_weight END AS target FROM f, level),
 p AS (SELECT *, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS whole FROM t),
 h AS (SELECT source, hash, sum(size) AS inside, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash ROWS UNBOUNDED PRECEDING) AS upto
   FROM d GROUP BY source, hash),
@@ -132,3 +133,70 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN x ON x.source IS NO
 def op10_mixing(spark, folder):
     mixed = mixing.mix(_table(spark, folder, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+rules(kind, rank, pattern, grp, least) AS (VALUES
+  ('assign', 0, '(?i:(password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  ('access', 1, 'AKIA[A-Z0-9]{16,}', 0, 20), ('hex', 2, '[0-9a-f]{24,}', 0, 24)),
+pieces AS (
+  SELECT doc_id, kind, rank, least, regexp_extract_all(text, pattern) AS m, regexp_extract_all(text, pattern, grp) AS g,
+         string_split_regex(text, pattern) AS b FROM d, rules),
+places AS (
+  SELECT doc_id, kind, rank, least, i, len(m[i]) AS size, len(g[i]) AS counted,
+         list_sum(list_transform(b[:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: len(x))), 0) AS start
+  FROM pieces, unnest(generate_series(1, len(m))) AS t(i)),
+spans AS (SELECT doc_id, kind, rank, start::BIGINT AS start, (start + size)::BIGINT AS after FROM places WHERE counted >= least),
+s AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS a, count(*) FILTER (WHERE kind = 'access') AS c, count(*) FILTER (WHERE kind = 'hex') AS h,
+             string_agg(kind || ':' || start || ':' || after, ',' ORDER BY start, rank) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s USING (doc_id)
+""")
+def op2_secret_scan(spark, folder):
+    found = secrets.scan(_table(spark, folder, "documents"), scratch(spark, "ledger"))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    text = secrets.joined(F.col("spans"))
+    return found.select(F.col("path").alias("doc_id"), *[number(r.kind) for r in secrets.BASE_RULES],
+                        F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
+
+
+@query()
+def op3_toxicity(spark, folder):
+    documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.ToxicityModel.fit(documents, labels.where(~held_out("doc_id", 5, 0)))
+    return model.score(documents).select(
+        F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op4_url_filter(spark, folder):
+    return url_filter.judge(_table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, list(role || chr(0) || text ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+kept AS (SELECT conv_id, len(turns) AS n_turns FROM c a WHERE NOT EXISTS (
+  SELECT 1 FROM c b WHERE b.turns[1] = a.turns[1] AND len(b.turns) >= len(a.turns) AND b.turns[:len(a.turns)] = a.turns
+    AND (len(b.turns) > len(a.turns) OR b.conv_id < a.conv_id)))
+SELECT conv_id, (turn // 256)::BIGINT AS part, any_value(n_turns)::BIGINT AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+FROM t JOIN kept USING (conv_id) GROUP BY ALL
+""")
+def op5_chat_format(spark, folder):
+    return chat.render(_table(spark, folder, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op7_vector_search(spark, folder):
+    vectors = _table(spark, folder, "embeddings")
+    return vector_search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0)).withColumnRenamed("id", "vec_id")
