@@ -125,8 +125,12 @@ def _compare(block: Block, index: Index) -> tuple[np.ndarray, np.ndarray, np.nda
     return number, rows[first], first - begin[rows[first]], last + 1 - begin[rows[first]], pairs
 
 
+_EMPTY_SPANS, _EMPTY_ITEMS = "array<struct<first:long,after:long>>", "array<string>"
+
+
 def _scan(source: DataFrame, index: Index) -> DataFrame:
-    """``(id, mark, n_words, spans, items)`` of each document against one index."""
+    """The documents' columns without the text, and ``(n_words, spans, items)`` against one index."""
+    kept = [c for c in source.columns if c != "text"]
     sent = source.sparkSession.sparkContext.broadcast(index)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,20 +141,21 @@ def _scan(source: DataFrame, index: Index) -> DataFrame:
                 number, owner, first, end, pairs = _compare(block, known)
                 ends = lambda rows: pa.array(np.append(0, np.cumsum(np.bincount(rows, minlength=len(block)))), pa.int32())
                 spans = pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["first", "after"])
+                part = batch.slice(block.first, len(block))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("id").slice(block.first, len(block)), batch.column("mark").slice(block.first, len(block)),
-                    pa.array(number.astype(np.int64)), pa.ListArray.from_arrays(ends(owner), spans),
+                    *[part.column(c) for c in kept], pa.array(number.astype(np.int64)), pa.ListArray.from_arrays(ends(owner), spans),
                     pa.ListArray.from_arrays(ends(pairs[:, 0]), names.take(pa.array(pairs[:, 1]))),
-                ], ["id", "mark", "n_words", "spans", "items"])
+                ], [*kept, "n_words", "spans", "items"])
 
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(
-        read, f"id {kind}, mark binary, n_words long, spans array<struct<first:long,after:long>>, items array<string>")
+    schema = source.select(*kept).schema.add("n_words", "long")
+    for name, kind in (("spans", _EMPTY_SPANS), ("items", _EMPTY_ITEMS)):
+        schema = schema.add(name, source.sparkSession.range(0).select(F.lit(None).cast(kind)).schema[0].dataType)
+    return source.mapInArrow(read, schema)
 
 
 def _united(spans: Column) -> Column:
     """Spans from several indexes as spans that don't overlap."""
-    empty = F.array().cast("array<struct<first:long,after:long>>")
+    empty = F.array().cast(_EMPTY_SPANS)
 
     def add(done: Column, span: Column) -> Column:
         last = F.try_element_at(done, F.lit(-1))
@@ -163,8 +168,8 @@ def _united(spans: Column) -> Column:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   item_column: str = "item_id", item_text_column: str = "text", window: int = 10,
-                  index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """``(id, n_words, n_hit, spans, items)`` of each document.
+                  index_bytes: int = INDEX_BYTES, carry: bool = False) -> DataFrame:
+    """``(id, n_words, n_hit, spans, items)`` of each document; with ``carry``, also all its columns as ``row``.
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. A
     word is hit if it is in an occurrence of ``window`` consecutive words of an item;
@@ -183,25 +188,27 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_column: str = "
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // index_bytes) + 1
     text = F.col(text_column).cast("string")
-    source = documents.select(
-        F.col(id_column).alias("id"), text.alias("text"),
-        (F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)) if parts > 1 else F.lit(None).cast("binary")).alias("mark"))
+    source = documents.select(F.col(id_column).alias("id"), text.alias("text"), *([F.struct("*").alias("row")] if carry else []))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
-    scans = [_scan(source, build_index(items.where(part == k).toArrow(), window)) for k in range(parts)]
-    if parts == 1:
-        found = scans[0]
-    else:
-        # Equal rows have equal results, so a row is known by its id and text.
-        base = written(scans[0], "scan")
-        hits = written(base.where("size(items) > 0 or size(spans) > 0"), "hits")
-        for more in scans[1:]:
-            hits = hits.unionByName(more.where("size(items) > 0 or size(spans) > 0"))
-        hits = hits.groupBy(F.col("id").alias("i"), F.col("mark").alias("m")).agg(
-            _united(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-        found = base.select("id", "mark", "n_words").join(
-            hits, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left").select(
-            "id", "n_words", F.coalesce("spans", F.array().cast("array<struct<first:long,after:long>>")).alias("spans"),
-            F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    indexes = (build_index(items.where(part == k).toArrow(), window) for k in range(parts))
+    found = _scan(source, next(indexes)) if parts == 1 else _scan_parts(source, indexes)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["after"] - s["first"])
     listed = F.array_sort(F.array_distinct(F.filter("items", lambda x: x.isNotNull())))
-    return found.select("id", "n_words", hit.alias("n_hit"), "spans", listed.alias("items"))
+    return found.withColumns({"n_hit": hit, "items": listed}).select("id", "n_words", "n_hit", "spans", "items", *(["row"] if carry else []))
+
+
+def _scan_parts(source: DataFrame, indexes: Iterator[Index]) -> DataFrame:
+    """Results of several indexes united. Rows of one id and text have one result, so these two name a row."""
+    marked = source.withColumn("mark", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    hits, base = None, None
+    for index in indexes:
+        found = _scan(marked if base is None else marked.select("id", "text", "mark"), index)
+        if base is None:
+            base = found = written(found, "scan")
+        found = found.where("size(spans) > 0").select("id", "mark", "spans", "items")
+        hits = found if hits is None else hits.unionByName(found)
+    hits = hits.groupBy(F.col("id").alias("i"), F.col("mark").alias("m")).agg(
+        F.collect_set("spans").alias("s"), F.collect_set("items").alias("t")).select(
+        "i", "m", _united(F.flatten("s")).alias("s"), F.flatten("t").alias("t"))
+    return base.drop("spans", "items").join(hits, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left").withColumns({
+        "spans": F.coalesce("s", F.array().cast(_EMPTY_SPANS)), "items": F.coalesce("t", F.array().cast(_EMPTY_ITEMS))})

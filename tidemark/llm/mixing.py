@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.folders import written
 from tidemark.llm.text import NON_SPACE, blocks
@@ -94,9 +94,30 @@ def _finer(sized: DataFrame, state: DataFrame, bits: int) -> DataFrame:
                           at["inside"].alias("inside"))
 
 
+def _hash(id_column: str, text_column: str) -> Column:
+    key = F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def _plan(sized: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
+    """``(s, source_size, target, whole, below, edge)`` of each source s."""
+    sums = sized.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
+    if len(sums) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    wanted = targets([(r[0], r[1]) for r in sums], weights, repeats)
+    plan = sized.sparkSession.createDataFrame(
+        [(r[0], r[1], t, *_whole(t, r[1])) for r, t in zip(sums, wanted)], "s string, source_size long, target double, whole int, budget double")
+    limits = _thresholds(sized, plan.where("budget > 0").withColumnRenamed("s", "source"))
+    return written(plan.join(limits, F.col("source").eqNullSafe(F.col("s")), "left").drop("source", "budget"), "plan")
+
+
+def _copies(hash_: Column) -> Column:
+    return F.col("whole") + F.coalesce((hash_ < F.col("below")) | (hash_ == F.col("edge")), F.lit(False)).cast("int")
+
+
 def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3) -> DataFrame:
-    """``(id, source, hash, size, source_size, target, copies)`` of each document.
+    """``(id, source, size, source_size, target, copies)`` of each document.
 
     Sources in order of code points, null last, have the weights in turn. ``target`` are
     the words the source shall give, ``copies`` how often the document is taken whole:
@@ -105,24 +126,25 @@ def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     Null and empty texts have size 0 and are taken like others of their hash. A source
     of no words has target 0. The result depends on the rows alone, not on their order.
     """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    key = F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(":"), text))
-    source = documents.select(
-        F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), F.col(text_column).cast("string").alias("text"),
-        F.conv(F.substring(key, 1, HASH_BITS // 4), 16, 10).cast("long").alias("hash"))
-    sized = written(word_counts(source), "sizes")
-    sums = sized.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(sums) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    wanted = targets([(r[0], r[1]) for r in sums], weights, repeats)
-    plan = [(r[0], r[1], t, *_whole(t, r[1])) for r, t in zip(sums, wanted)]
-    plan = documents.sparkSession.createDataFrame(plan, "source string, source_size long, target double, whole int, budget double")
-    limits = _thresholds(sized, plan.where("budget > 0"))
-    plan = plan.join(limits.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = plan.withColumnRenamed("source", "s")
-    more = F.coalesce((F.col("hash") < F.col("below")) | (F.col("hash") == F.col("edge")), F.lit(False))
+    sized = _sized(documents, id_column, text_column, source_column)
+    plan = _plan(sized, weights, repeats)
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "id", "source", "hash", "size", "source_size", "target", (F.col("whole") + more.cast("int")).alias("copies"))
+        "id", "source", "size", "source_size", "target", _copies(F.col("hash")).alias("copies"))
+
+
+def _sized(documents: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
+    return written(word_counts(documents.select(
+        F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), F.col(text_column).cast("string").alias("text"),
+        _hash(id_column, text_column).alias("hash"))), "sizes")
+
+
+def taken(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+          weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3) -> DataFrame:
+    """The documents that ``mix`` takes, with all columns, each as often as it is taken."""
+    plan = _plan(_sized(documents, id_column, text_column, source_column), weights, repeats)
+    rows = documents.select(F.struct("*").alias("row"), F.col(source_column).cast("string").alias("source"), _hash(id_column, text_column).alias("hash"))
+    copies = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row", _copies(F.col("hash")).alias("copies"))
+    return copies.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def _whole(target: float, size: int) -> tuple[int, float]:

@@ -328,19 +328,9 @@ def _stars(lists: DataFrame, turn: int, threshold: int) -> DataFrame:
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    n: int = 5, threshold: int = 80) -> DataFrame:
-    """``(id, n_shingles, component_id)`` for each document.
-
-    Two documents are linked if ``100 * |A and B| >= threshold * |A or B|`` for their
-    sets of n-grams of words (A-Z lower-cased, cut at white space). A text of fewer words
-    is one n-gram; a null, empty or blank text has none and is linked with nothing.
-    ``component_id`` is the smallest id reachable by links. Repeated rows and equal ids
-    are allowed: every row gets its own result. A null id is never a component's
-    smallest unless its members have none else. Other columns are ignored.
-
-    The filters hold for thresholds of 80 and more. N-grams are compared by 64-bit hashes.
-    """
+def _classes(documents: DataFrame, id_column: str, text_column: str, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, n_grams, key)`` of each document, and ``(key, id, component)`` of each set
+    that is not empty; id is the smallest one with the set."""
     if threshold < 80 or threshold > 100:
         raise ValueError("threshold must be 80 to 100")
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -361,6 +351,23 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     drop_written(batches)
     member = ids.join(nodes, ids["key"] == nodes["node"], "left").select(
         "key", "id", F.coalesce("component", "key").alias("component"))
+    return sets, member
+
+
+def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    n: int = 5, threshold: int = 80) -> DataFrame:
+    """``(id, n_shingles, component_id)`` for each document.
+
+    Two documents are linked if ``100 * |A and B| >= threshold * |A or B|`` for their
+    sets of n-grams of words (A-Z lower-cased, cut at white space). A text of fewer words
+    is one n-gram; a null, empty or blank text has none and is linked with nothing.
+    ``component_id`` is the smallest id reachable by links. Repeated rows and equal ids
+    are allowed: every row gets its own result. A null id is never a component's
+    smallest unless its members have none else. Other columns are ignored.
+
+    The filters hold for thresholds of 80 and more. N-grams are compared by 64-bit hashes.
+    """
+    sets, member = _classes(documents, id_column, text_column, n, threshold)
     smallest = member.groupBy("component").agg(F.min("id").alias("component_id"))
     classes = member.join(smallest, "component").select("key", "component_id")
     return sets.join(classes, "key", "left").select(
@@ -368,6 +375,48 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
         F.when(F.col("n_grams") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def deduplicate(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                n: int = 5, threshold: int = 80) -> DataFrame:
+    """The documents, of each component of ``near_duplicates`` only one, with all columns.
+
+    The one with the smallest id stays. Texts without words are linked with nothing and
+    all stay. Of rows that share their id and set, one stays.
+    """
+    sets, member = _classes(documents, id_column, text_column, n, threshold)
+    kept = member.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("k")).select(
+        F.col("k.id").alias("kept_id"), F.col("k.key").alias("kept_key"))
+    kept = written(kept.unionByName(sets.where("n_grams = 0").select(F.col("id").alias("kept_id"), F.lit(None).cast("binary").alias("kept_key"))), "kept")
+    row = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.struct("*").alias("row"))
+    same = F.col("id").eqNullSafe(F.col("kept_id"))
+    again = sets.groupBy(F.col("id").alias("again")).count().where("count > 1 or again is null").select("again")
+    if not again.head(1):
+        return row.join(kept, same, "left_semi").select("row.*")
+    # Ids of several rows don't tell which of them to keep; their sets do.
+    again = written(again, "again")
+    repeated = F.col("id").eqNullSafe(F.col("again"))
+    plain = row.join(again, repeated, "left_anti").join(kept, same, "left_semi").select("row")
+    keyed = _keyed(row.join(again, repeated, "left_semi"), n)
+    empty = keyed.where("n_grams = 0").select("row")
+    chosen = keyed.where("n_grams > 0").join(kept, same & (F.col("key") == F.col("kept_key")), "left_semi")
+    return plain.unionByName(empty).unionByName(chosen.dropDuplicates(["id", "key"]).select("row")).select("row.*")
+
+
+def _keyed(rows: DataFrame, n: int) -> DataFrame:
+    """``(id, text, row)`` with ``n_grams`` and ``key`` of each text."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                value, sizes = _sets(block, n)
+                part = batch.slice(block.first, len(block))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("row"), pa.array(sizes.astype(np.int64)), _binary(_set_keys(value, sizes))],
+                    ["id", "row", "n_grams", "key"])
+
+    schema = rows.select("id", "row").schema.add("n_grams", "long").add("key", "binary")
+    return rows.mapInArrow(read, schema)
+
+
 def _fragments(batches: DataFrame) -> int:
     """So many hash ranges that each has TASK_GRAMS n-grams at most, and every shuffle task has one."""
     grams = batches.agg(F.sum(F.length("grams") / 8)).first()[0] or 0
