@@ -967,6 +967,15 @@ else:
     _QUERIES.update(_llm.QUERIES)
     _SQL.update(_llm.SQL)
 
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
+else:
+    _QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        _SQL["pipeline"] = _pipeline.ORACLE_SQL
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
