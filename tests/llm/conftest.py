@@ -1,0 +1,18 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import samples  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return samples.documents(spark).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return samples.empty(spark)
