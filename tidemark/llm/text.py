@@ -118,9 +118,11 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = SPAN) -> Iterator[Blo
         column = column.combine_chunks()
     if not len(column):
         return
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
     row = 0
     while row < len(column):
