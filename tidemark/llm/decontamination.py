@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.folders import written
-from tidemark.llm.text import ALPHANUMERIC, U64, Block, blocks, grams, ranges
+from tidemark.llm.text import ALPHANUMERIC, U64, Block, blocks, bounded_batches, grams, ranges
 
 #: Words of consecutive k-grams; a window of W words has W - K + 1 of them.
 K = 6
@@ -183,6 +183,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_column: str = "
     as it needs; documents are not shuffled unless there are several. Words and windows
     are compared by hashes: a false hit needs two independent collisions of 64 bits.
     """
+    bounded_batches(documents.sparkSession)
     items = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(item_text_column).cast("string").alias("text"))
     items = items.where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.text import Block, blocks
+from tidemark.llm.text import Block, blocks, bounded_batches
 
 #: Labelled rows that the classifier is fitted on: those with the smallest hashes of their ids.
-FIT_ROWS = 6_000
+FIT_ROWS = 4_000
 PLACES = 1 << 16
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
@@ -113,7 +113,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langua
     for _ in range(epochs):
         for start in range(0, len(fitted), batch):
             mine = fitted[start:start + batch]
-            at, inverse = np.unique(np.concatenate([np.append(texts[k][0], PLACES) for k in mine]), return_inverse=True)
+            at, inverse = np.unique(np.concatenate([np.append(texts[k][0].astype(np.int64), PLACES) for k in mine]), return_inverse=True)
             x = np.concatenate([np.append(texts[k][1] * idf[texts[k][0]] * _SCALE, 1.0) for k in mine])
             ends = np.cumsum([len(texts[k][0]) + 1 for k in mine])
             starts = np.append(0, ends[:-1])
@@ -140,6 +140,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langua
 def fit(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang",
         rows: int = FIT_ROWS) -> Classifier:
     """Fit on up to ``rows`` labelled documents. Rows without a text, label or letter teach nothing."""
+    bounded_batches(documents.sparkSession)
     labelled = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"),
                                 F.col(label_column).cast("string").alias("label")).where("text is not null and label is not null")
     chosen = labelled.select("id", F.xxhash64("id").alias("h")).distinct().orderBy("h", "id").limit(rows).select(F.col("id").alias("chosen"))
@@ -165,7 +166,7 @@ def fit(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     table = table.where("length(places) > 0").orderBy(F.xxhash64("id"), F.xxhash64("label", "shares")).limit(rows).toArrow()
     labels = table.column("label").to_pylist()
     languages = sorted(set(labels))
-    texts = [(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(b, np.float32).astype(np.float64))
+    texts = [(np.frombuffer(a, np.uint16), np.frombuffer(b, np.float32))
              for a, b in zip(table.column("places").to_pylist(), table.column("shares").to_pylist())]
     number = {x: k for k, x in enumerate(languages)}
     return train(texts, np.array([number[x] for x in labels], np.int64), languages)
@@ -179,6 +180,7 @@ def predict(documents: DataFrame, model: Classifier, text: Column | str = "text"
     there was no labelled row to learn from. Other columns stay; a column of one of
     the new names is replaced.
     """
+    bounded_batches(documents.sparkSession)
     source = documents.drop(*names).withColumn("__text", (F.col(text) if isinstance(text, str) else text).cast("string"))
     sent = documents.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in source.columns if c != "__text"]

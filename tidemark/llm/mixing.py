@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.folders import written
-from tidemark.llm.text import NON_SPACE, blocks
+from tidemark.llm.text import NON_SPACE, blocks, bounded_batches
 
 #: Bits of a hash, and how many each level of buckets looks at.
 HASH_BITS, LEVEL_BITS = 60, 12
@@ -26,6 +26,7 @@ MAX_SOURCES = 1_000_000
 
 def word_counts(documents: DataFrame, text_column: str = "text", name: str = "size") -> DataFrame:
     """The documents with their number of words between white space instead of the text; 0 for a null."""
+    bounded_batches(documents.sparkSession)
     source = documents.withColumn("__text", F.col(text_column).cast("string")).drop(text_column, name)
     kept = [c for c in source.columns if c != "__text"]
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.folders import drop_written, written
-from tidemark.llm.text import NON_SPACE, U64, Block, blocks, grams, mix, ranges
+from tidemark.llm.text import NON_SPACE, U64, Block, blocks, bounded_batches, grams, mix, ranges
 
 #: Ids of texts up to this number (some 20 MB) are broadcast to find their rows; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -109,18 +109,20 @@ def batch_table(documents: DataFrame, n: int, whole: bool) -> DataFrame:
             "counts": pa.array([counts.tobytes()], pa.binary()), "grams": pa.array([value.tobytes()], pa.binary())})
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, found, size = [], [], 0
         for batch in batches:
-            first, found, size = 0, [], 0
             for block in blocks(batch.column(1)):
                 value, sizes = _sets(block, n)
                 keys = _set_keys(value, sizes)
                 value, counts = taken(value, sizes, keys)
+                ids.append(batch.column(0).slice(block.first, len(block)))
                 found.append((sizes, keys, counts, value))
                 size += len(block.data)
-                end = block.first + len(block)
-                if size >= BATCH_BYTES or end == batch.num_rows:
-                    yield pack(batch.column(0).slice(first, end - first), found)
-                    first, found, size = end, [], 0
+                if size >= BATCH_BYTES:
+                    yield pack(pa.concat_arrays(ids), found)
+                    ids, found, size = [], [], 0
+        if found:
+            yield pack(pa.concat_arrays(ids), found)
 
     return documents.select("id", "text").mapInArrow(
         read, f"batch string, ids array<{kind.simpleString()}>, sizes binary, keys binary, counts binary, grams binary")
@@ -333,6 +335,7 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, n: int, thr
     that is not empty; id is the smallest one with the set."""
     if threshold < 80 or threshold > 100:
         raise ValueError("threshold must be 80 to 100")
+    bounded_batches(documents.sparkSession)
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     batches = written(batch_table(source, n, False), "batches")
     sets = written(document_table(batches), "sets")

@@ -13,12 +13,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _INVERSE = U64(pow(int(_BASE), -1, 2**64))
 #: Bytes of text that are hashed together; bounds the memory of a step.
 SPAN = 1 << 20
+#: Bytes of a batch of rows on its way to Python; Spark's default is sixteen times that.
+BATCH = 4 << 20
 #: Longer words are hashed one by one: sums of powers modulo 2^64 are weak there.
 LONG_WORD = 256
 
@@ -112,6 +115,15 @@ class Block:
         return out
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send rows to Python in smaller batches: a worker and its executor
+    hold several copies of one, and texts are long. A smaller setting is left alone."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = spark.conf.get(name).rstrip("b")
+    if not digits.isdigit() or int(digits) > BATCH:
+        spark.conf.set(name, f"{BATCH}b")
+
+
 def blocks(column: pa.Array | pa.ChunkedArray, size: int = SPAN) -> Iterator[Block]:
     """Blocks of about ``size`` bytes; a longer text is a block of its own."""
     if isinstance(column, pa.ChunkedArray):

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import perfect_hash
 from tidemark.llm.chunk_encoder import encoder
 from tidemark.llm.folders import written
-from tidemark.llm.text import U64, blocks
+from tidemark.llm.text import U64, blocks, bounded_batches
 
 BLOCK_IDS = 1 << 20
 #: Keys in one part of the index.
 PART_KEYS = 1 << 16
 #: Bytes of text that are encoded together.
-_BLOCK_BYTES = 4 << 20
+_BLOCK_BYTES = 2 << 20
 _TYPES = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
 
@@ -44,6 +44,7 @@ def _kind(df: DataFrame, column: str) -> str:
 def write_payload(documents: DataFrame, folder: str, tokenizer: str, end_id: int, id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
     """Encode and write all documents. A null text is an empty one; each text gets ``end_id`` at its end."""
+    bounded_batches(documents.sparkSession)
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.folders import written
-from tidemark.llm.text import ALPHANUMERIC, U64, Block, blocks
+from tidemark.llm.text import ALPHANUMERIC, U64, Block, blocks, bounded_batches
 
 #: Labelled rows that everything is fitted on: those with the smallest hashes of their ids.
 FIT_ROWS = 12_000
@@ -192,6 +192,7 @@ class ToxicityModel:
             label_column: str = "toxic", rows: int = FIT_ROWS) -> ToxicityModel:
         """Fit on up to ``rows`` labelled documents. Null labels, ids and texts teach nothing;
         of several labels of an id the highest counts."""
+        bounded_batches(documents.sparkSession)
         chosen = labels.select(F.col(id_column).alias("i"), F.col(label_column).cast("int").alias("label")).where("i is not null and label is not null")
         chosen = chosen.groupBy("i").agg((F.max("label") > 0).cast("int").alias("label")).orderBy(F.xxhash64("i"), "i").limit(rows)
         source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).where("text is not null")
@@ -219,6 +220,7 @@ class ToxicityModel:
         The score is the calibrated probability. Calibration maps many documents to one
         value, so a thousandth of the score is the trees' own probability.
         """
+        bounded_batches(documents.sparkSession)
         source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.lit(0).alias("half"))
         if self.trees is None:
             return source.select("id", F.lit(self.base).alias("score"))

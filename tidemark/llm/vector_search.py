@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.folders import written
+from tidemark.llm.text import bounded_batches
 
 #: Vectors for each pivot, most pivots, rings of a pivot, and the sample of the first scores.
 PIVOT_VECTORS, MAX_PIVOTS, RINGS, SAMPLE = 8_192, 256, 8, 2_048
@@ -86,6 +87,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "
     equal query rows are one. No vectors, or no queries, give no rows.
     """
     spark = vectors.sparkSession
+    bounded_batches(spark)
     base = written(quantised(vectors, id_column, vector_column, scale), "vectors")
     total, widest = base.agg(F.count("*"), F.max(F.length("v"))).first()
     dimension = int(widest or 0) // 4
