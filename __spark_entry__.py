@@ -8,12 +8,8 @@ shared folder (``spark.checkpoint.dir``) and return what is read back. The SQL o
 from __future__ import annotations
 
 import datetime as dt
-import io
-import zipfile
 from collections.abc import Callable
-from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import LoadSpec, run_load
@@ -24,7 +20,7 @@ from tidemark.sinks import maintenance
 from tidemark.sinks.ledgers import WatermarkStore
 from tidemark.sinks.places import fresh_folder
 from tidemark.sinks.tables import ParquetTable
-from tidemark.sources import feeds, jdbc, markers, tables, workbooks
+from tidemark.sources import feeds, markers, tables
 from tidemark.streaming import feeds as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,16 +116,11 @@ def scan_incremental_partitioned(spark, folder):
     return tables.scan(spark, t.name, ["o_orderkey", "o_orderdate"], watermark.Watermark("o_orderdate", "2000-01-01 00:00:00"), t.partition)
 
 
-@query("""
-WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders)
-SELECT CAST(least(greatest(floor((o_orderkey - (lo + (((hi - lo) % 8) + 1) // 2)) / ((hi - lo) // 8)), 0), 7) AS BIGINT) AS part,
-       CAST(count(*) AS BIGINT) AS n
-FROM orders, b GROUP BY 1""")
-def scan_range_partitions(spark, folder):
-    """Rows per range query of a JDBC scan with derived bounds."""
-    orders = _table(spark, folder, "orders")
-    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    return orders.groupBy(jdbc.stride_of(F.col("o_orderkey"), low, high, 8).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+@query("SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-15 10:00:00'")
+def scan_incremental_days(spark, folder):
+    """A table by days: only the watermark's day and later ones are opened."""
+    t = _filled(spark, _table(spark, folder, "events"), "days", "ts")
+    return tables.scan(spark, t.name, ["event_id", "ts"], watermark.Watermark("ts", "2024-01-15 10:00:00"), t.partition)
 
 
 # --- feeds ----------------------------------------------------------------
@@ -218,40 +209,6 @@ def feed_missing_patterns(spark, folder):
     return ledger.missing_feeds(names, [("urgent", "1-*"), ("any", "*"), ("sixth", "6-*"), ("none", "x?y")])
 
 
-def _workbook(rows: pd.DataFrame) -> bytes:
-    """A minimal .xlsx file with one sheet, as input for the workbook scan."""
-    lines = [[str(c) for c in rows.columns], *rows.astype(str).values.tolist()]
-    cells = "".join(
-        f'<row r="{i + 1}">' + "".join(f'<c t="inlineStr"><is><t>{escape(v)}</t></is></c>' for v in line) + "</row>"
-        for i, line in enumerate(lines)
-    )
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{links}"><sheets>'
-                                         '<sheet name="Data" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        book.writestr("xl/_rels/workbook.xml.rels",
-                      '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-                      '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
-        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{cells}</sheetData></worksheet>')
-    return out.getvalue()
-
-
-@query("SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment FROM customer")
-def feed_workbooks(spark, folder):
-    """Customers written to workbooks (one per batch of rows) and scanned back."""
-
-    def pack(batches):
-        for i, batch in enumerate(batches):
-            yield pd.DataFrame({"path": [f"book-{i}"], "content": [_workbook(batch)]})
-
-    customer = _table(spark, folder, "customer").select("c_mktsegment", "c_custkey", "c_name", "c_acctbal")
-    files = customer.mapInPandas(pack, "path string, content binary")
-    rows = workbooks.decode(files, "c_custkey BIGINT, c_name STRING, c_acctbal DECIMAL(18,2), c_mktsegment STRING")
-    return feeds.without_extras(rows)
-
-
 @query("""
 SELECT 'day_' || strftime(CAST(ts AS DATE), '%Y-%m-%d') AS job_id,
        CASE WHEN count(*) FILTER (WHERE event_type = 'error') * 5 > count(*) THEN 'FAILED' ELSE 'SUCCESS' END AS status,
@@ -486,6 +443,17 @@ def sink_partition_values(spark, folder):
 _BUCKETS = 16
 
 
+@query("""
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS part, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1
+UNION ALL SELECT strftime(ts, '%Y-%m-%d-%H'), CAST(count(*) AS BIGINT) FROM events GROUP BY 1""")
+def sink_days_hours_partitions(spark, folder):
+    """Events written by days and by hours, read back by partition value."""
+    events = _table(spark, folder, "events")
+    parts = [spark.table(_filled(spark, events, kind, "ts").name).groupBy(F.col(name).cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+             for kind, name in (("days", "ts_day"), ("hours", "ts_hour"))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, CAST(1 AS BIGINT) AS buckets FROM orders GROUP BY 1")
 def sink_bucket_partitions(spark, folder):
     """Bucket partitioning: all rows of a key are in one partition."""
@@ -604,8 +572,14 @@ def schema_widen(spark, folder):
 SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
 FROM orders GROUP BY 1""")
 def gold_aggregate(spark, folder):
-    return _price(_table(spark, folder, "orders")).groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("total"))
+    """Orders and revenue per status, by a load whose spec aggregates."""
+    database = _database(spark)
+    spec = _spec(
+        database, {"type": "full"}, transform={"cast": {"o_totalprice": "DECIMAL(18,2)"}, "rename": {"o_totalprice": "price"}},
+        aggregate={"keys": ["O_ORDERSTATUS"], "columns": {"n": "count(*)", "total": "CAST(sum(price) AS DECIMAL(28,2))"}},
+    )
+    run_load(spark, spec, batch=_table(spark, folder, "orders"), state_database=database)
+    return ParquetTable(spark, database, "target").read()
 
 
 # --- maintenance ----------------------------------------------------------
@@ -650,21 +624,6 @@ def orphan_candidates(spark, folder):
     return orphans.select(F.regexp_extract("file_path", "o_orderdate_year=([0-9]+)/", 1).alias("y")).distinct()
 
 
-@query("SELECT CAST(1 AS BIGINT) AS versions, CAST(1 AS BIGINT) AS expired, CAST(count(*) AS BIGINT) AS n FROM orders")
-def expire_versions(spark, folder):
-    """A replaced table loses its old version after the retention."""
-    orders = _table(spark, folder, "orders")
-    target = _filled(spark, orders.where("o_orderstatus = 'F'"))
-    target.publish_replace(target.stage(orders))
-    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=4)
-    expired = maintenance.expire_versions(target, older_than_days=3, now=later)
-    left = maintenance.versions(target).agg(F.count(F.lit(1)).alias("versions"))
-    counted = target.read().agg(F.count(F.lit(1)).alias("n"))
-    zero = F.lit(0).cast("bigint")
-    both = left.select("versions", zero.alias("n")).unionByName(counted.select(zero.alias("versions"), "n"))
-    return both.agg(F.sum("versions").alias("versions"), F.lit(expired).cast("bigint").alias("expired"), F.sum("n").alias("n"))
-
-
 # --- ledger ---------------------------------------------------------------
 
 @query("""
@@ -773,7 +732,19 @@ def sla_breach(spark, folder):
 
 
 @query("""
-WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+SELECT event_id AS run_id, user_id AS job_id, value AS duration_seconds FROM events
+JOIN (SELECT user_id, avg(value) AS mean FROM events GROUP BY 1) USING (user_id) WHERE value > 3 * mean""")
+def sla_breach_per_job(spark, folder):
+    """Runs that took more than three times their job's mean."""
+    runs = _run_ledger(spark, folder)
+    limits = runs.groupBy("job_id").agg((3 * F.avg("duration_seconds")).alias("limit_seconds"))
+    return ledger.sla_breaches(runs, limits).select("run_id", "job_id", "duration_seconds")
+
+
+@query("""
+WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+k AS (SELECT event_type, CAST(unnest(generate_series(min(day), (SELECT max(day) FROM c), INTERVAL 1 DAY)) AS DATE) AS day FROM c GROUP BY 1),
+d AS (SELECT event_type, day, coalesce(n, 0) AS n FROM k LEFT JOIN c USING (event_type, day)),
 w AS (SELECT *, sum(n) OVER p AS s, count(*) OVER p AS c FROM d
       WINDOW p AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
 SELECT event_type, day, CAST(n AS BIGINT) AS n FROM w WHERE c = 7 AND n * 700 < s * 97""")
@@ -783,7 +754,9 @@ def count_anomaly(spark, folder):
 
 
 @query("""
-WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+k AS (SELECT event_type, CAST(unnest(generate_series(min(day), (SELECT max(day) FROM c), INTERVAL 1 DAY)) AS DATE) AS day FROM c GROUP BY 1),
+d AS (SELECT event_type, day, coalesce(n, 0) AS n FROM k LEFT JOIN c USING (event_type, day)),
 w AS (SELECT *, avg(n) OVER p AS m, stddev_samp(n) OVER p AS s, count(*) OVER p AS c FROM d
       WINDOW p AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
 SELECT event_type, day, CAST(n AS BIGINT) AS n FROM w WHERE c = 7 AND abs(n - m) > 1.5 * s""")
@@ -884,6 +857,71 @@ def load_csv_feed(spark, folder):
     return ParquetTable(spark, database, "target").read()
 
 
+@query("SELECT o_orderkey, o_orderstatus, CAST(2 AS BIGINT) AS layouts FROM orders")
+def load_feed_new_file(spark, folder):
+    """A full load of a feed in which a second file arrives: all rows are there afterwards,
+    in an unpartitioned table and in one by status."""
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    loaded = []
+    for partition in ({}, {"type": "identity", "column": "o_orderstatus"}):
+        database, path = _database(spark), fresh_folder(spark, "feed")
+        spec = _spec(
+            database, {"type": "full"}, target={"partition": partition},
+            source={"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
+                    "columns_ddl": "o_orderkey BIGINT, o_orderstatus STRING"})
+        for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
+            orders.where(part).write.mode("append").option("header", True).csv(path)
+            run_load(spark, spec, state_database=database, force=True)
+        loaded.append(ParquetTable(spark, database, "target").read().select("o_orderkey", "o_orderstatus"))
+    both = loaded[0].unionByName(loaded[1]).groupBy("o_orderkey", "o_orderstatus")
+    return both.agg(F.count(F.lit(1)).alias("layouts"))
+
+
+@query("SELECT 'NO_DATA' AS status, CAST(0 AS BIGINT) AS in_target UNION ALL SELECT 'SUCCESS', CAST(count(*) AS BIGINT) FROM orders")
+def load_no_files(spark, folder):
+    """A feed without a file is no success: when files come later that day, they are loaded."""
+    from tidemark.sinks.ledgers import RunLedger
+
+    database, path = _database(spark), fresh_folder(spark, "feed")
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    spec = _spec(
+        database, {"type": "full"},
+        source={"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
+                "columns_ddl": "o_orderkey BIGINT, o_orderstatus STRING"})
+    run_load(spark, spec, state_database=database)
+    target = ParquetTable(spark, database, "target")
+    before = target.read().count() if target.exists() else 0
+    orders.write.option("header", True).csv(path)
+    run_load(spark, spec, state_database=database)
+    held = F.when(F.col("status") == "NO_DATA", before).otherwise(target.read().count()).cast("bigint")
+    return RunLedger(spark, database).read().select("status", held.alias("in_target"))
+
+
+@query("""
+SELECT 'FAILED' AS status, CAST(0 AS BIGINT) AS refused, CAST(2 * count(*) AS BIGINT) AS kept, CAST(count(*) AS BIGINT) AS good FROM orders""")
+def load_bad_rows(spark, folder):
+    """Half of a file's rows do not fit its columns: the load is refused and the file
+    audited; told to keep such rows, it loads them with NULLs."""
+    from tidemark.plans.load import LoadFailed
+    from tidemark.sinks.ledgers import FileAudit
+
+    database, path = _database(spark), fresh_folder(spark, "feed")
+    orders = _table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
+    orders.unionByName(orders.select(F.concat(F.lit("x"), "k").alias("k"), "o_orderstatus")).coalesce(1).write.option("header", True).csv(path)
+    source = {"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
+              "columns_ddl": "k BIGINT, o_orderstatus STRING"}
+    target = ParquetTable(spark, database, "target")
+    try:
+        run_load(spark, _spec(database, {"type": "full"}, source=source), state_database=database)
+    except LoadFailed:
+        pass
+    refused = target.read().count() if target.exists() else 0
+    failed = FileAudit(spark, database).read().select("status").first()[0]
+    run_load(spark, _spec(database, {"type": "full"}, source=source | {"bad_rows": "keep"}), state_database=database)
+    return target.read().agg(F.lit(failed).alias("status"), F.lit(refused).cast("bigint").alias("refused"),
+                             F.count(F.lit(1)).alias("kept"), F.count("k").alias("good"))
+
+
 @query("""
 SELECT 'load' AS what, CAST(count(*) AS BIGINT) AS files_or_rows FROM orders UNION ALL
 SELECT 'audited', CAST(count(*) AS BIGINT) FROM orders""")

@@ -3,9 +3,8 @@ import os
 
 import pytest
 
-from books import write_book
 from conftest import values
-from tidemark.sources import feeds, markers, workbooks
+from tidemark.sources import feeds, markers
 from tidemark.streaming import feeds as streams
 
 
@@ -70,7 +69,6 @@ def test_no_files_is_an_empty_relation(spark):
     assert out.count() == 0 and out.columns[0] == "k"
     with pytest.raises(ValueError):
         feeds.csv_scan(spark, [])
-    assert workbooks.scan(spark, [], "k int").count() == 0
 
 
 def test_new_files_by_fingerprint(spark, folder):
@@ -84,40 +82,6 @@ def test_new_files_by_fingerprint(spark, folder):
     assert values(feeds.new_files(again, rows), "file_name") == [("a.csv",), ("b.csv",)]
 
 
-def test_workbooks(spark, tmp_path):
-    header = ["SETTLE_ID", " CARD_NO ", "AMOUNT", "PAID_AT", "OK"]
-    write_book(tmp_path / "a.xlsx", {
-        "Other": [["x"]],
-        "Settlements": [["title"], header, ["S1", "0042", 10.5, 45292, True], [None] * 5, ["S2", None, 3, 45292.5, False]],
-    }, creator="maker", editor="saver")
-    write_book(tmp_path / "b.xlsx", {"Other": [], "Settlements": [["t"], ["AMOUNT", "SETTLE_ID"], [7, "S3"]]}, creator="maker")
-    schema = "SETTLE_ID string, CARD_NO string, AMOUNT decimal(18,2), PAID_AT timestamp_ntz, OK boolean"
-    paths = [f"file:{tmp_path}/a.xlsx", f"file:{tmp_path}/b.xlsx"]
-    for sheet in ("Settlements", "1"):
-        out = feeds.without_extras(workbooks.scan(spark, paths, schema, sheet, header_row=1))
-        assert [tuple(map(str, r)) for r in sorted(out.collect())] == [
-            ("S1", "0042", "10.50", "2024-01-01 00:00:00", "True"),
-            ("S2", "None", "3.00", "2024-01-01 12:00:00", "False"),
-            ("S3", "None", "7.00", "None", "None")]
-    owners = workbooks.owners(spark.read.format("binaryFile").load(paths))
-    assert sorted(r["file_owner"] for r in owners.collect()) == ["maker", "saver"]
-    with pytest.raises(Exception, match="no sheet"):
-        workbooks.scan(spark, paths, schema, "Missing").collect()
-
-
-def test_workbook_columns_are_inferred(spark, tmp_path):
-    write_book(tmp_path / "a.xlsx", {"S": [["CARD", "N", "AMOUNT", "AT", "OK", "MIX", "EMPTY"],
-                                           ["0042", 1, 2, ("date", 45292), True, "x", None], ["7", 5, 2.5, None, False, 3, None]]})
-    write_book(tmp_path / "b.xlsx", {"S": [["N", "LATE"], [9, 1.5]]})
-    paths = [f"file:{tmp_path}/a.xlsx", f"file:{tmp_path}/b.xlsx"]
-    out = feeds.without_extras(workbooks.scan(spark, paths))
-    assert dict(out.dtypes) == {"CARD": "string", "N": "bigint", "AMOUNT": "double", "AT": "timestamp", "OK": "boolean",
-                                "MIX": "string", "EMPTY": "string", "LATE": "double"}
-    assert values(out, "N", "CARD", "AMOUNT", "MIX", "LATE") == [
-        (1, "0042", 2.0, "x", None), (5, "7", 2.5, "3", None), (9, None, None, None, 1.5)]
-    assert out.where("AT = timestamp'2024-01-01'").count() == 1
-
-
 def test_markers(spark, tmp_path):
     (tmp_path / "20240101").mkdir()
     (tmp_path / "20240101" / "a.toml_101010.txt").write_text(

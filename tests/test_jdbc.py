@@ -75,21 +75,12 @@ def test_incomplete_connections(kind, env):
         jdbc.dialect("db2")
 
 
-@pytest.mark.parametrize("options,load_type,explicit,size", [
-    (JdbcOptions(num_partitions=8), "full", None, 50000), (JdbcOptions(num_partitions=4), "incremental", None, 50000),
-    (JdbcOptions(num_partitions=4), "full", None, 25000), (JdbcOptions(num_partitions=1), "incremental", None, 10000),
-    (JdbcOptions(num_partitions=8, fetch_size=7), "full", None, 7), (JdbcOptions(), "full", "LIGHT", 10000),
-])
-def test_fetch_size(options, load_type, explicit, size):
-    assert jdbc.fetch_size(options, load_type, explicit) == size
-
-
 def test_full_scan(spark, connection, orders):
     session = Session(table=orders)
     out = jdbc.scan(session, connection, jdbc.table_name("BANK", "ORDERS"), columns=["O_ORDERKEY"])
     assert out.columns == ["o_orderkey"]
     assert session.log == [{"format": "jdbc", "url": "jdbc:x://h", "driver": "x.Driver", "user": "u", "password": "secret",
-                            "fetchsize": "25000", "dbtable": "BANK.ORDERS"}]
+                            "fetchsize": "10000", "dbtable": "BANK.ORDERS"}]
 
 
 def test_split_with_given_bounds(spark, connection, orders):
@@ -122,7 +113,7 @@ def test_bounds_of_an_incremental_scan_are_those_of_the_new_rows(spark, connecti
     assert jdbc.newer_sql(watermark, url) == sql
     if url.startswith("jdbc:oracle"):
         session = Session(table=orders.withColumnRenamed("o_orderdate", "u"), query=spark.createDataFrame([(3, 99)], "lo int, hi int"))
-        jdbc.scan(session, Connection("c", url, "d"), "t", JdbcOptions("k"), watermark=watermark, load_type="incremental")
+        jdbc.scan(session, Connection("c", url, "d"), "t", JdbcOptions("k"), watermark=watermark)
         assert session.log[0]["query"] == f"SELECT MIN(k) AS lo, MAX(k) AS hi FROM t WHERE {sql}"
 
 
@@ -134,17 +125,7 @@ def test_predicates_replace_the_split_column(spark, connection, orders):
 
 def test_watermark_filters_before_projection(spark, connection, orders):
     out = jdbc.scan(Session(table=orders), connection, "t", columns=["o_orderkey"],
-                    watermark=Watermark("O_ORDERDATE", "2000-01-01 00:00:00"), load_type="incremental")
+                    watermark=Watermark("O_ORDERDATE", "2000-01-01 00:00:00"))
     assert out.columns == ["o_orderkey"]
     assert out.count() == orders.where("o_orderdate > timestamp_ntz'2000-01-01'").count()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in out._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("low,high,parts", [(0, 14999, 8), (1, 100, 7), (5, 9, 8), (3, 4, 4), (-50, 50, 3)])
-def test_strides_cover_evenly(spark, low, high, parts):
-    keys = spark.range(low - 5, high + 6)
-    rows = keys.select(jdbc.stride_of(F.col("id"), low, high, parts).alias("p")).groupBy("p").count().orderBy("p").collect()
-    used = max(min(parts, high - low), 1)
-    assert [r["p"] for r in rows] == list(range(used))
-    inner = [r["count"] for r in rows[1:-1]]
-    assert not inner or set(inner) == {(high - low) // used}

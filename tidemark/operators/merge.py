@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import any_null, col, require_columns
 
-MATCHED = "__matched"
-
-
 def on_keys(keys: Iterable[str], left: str, right: str) -> Column:
     """``left.k = right.k AND ...``; not null-safe, as MERGE conditions are."""
     names = list(keys)
@@ -37,11 +34,11 @@ def update_matched(
     preserve: Iterable[str] = (),
     newer_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Every target row, updated if its key is in the source, plus ``MATCHED``.
+    """Every target row, updated if its key is in the source.
 
-    The target is the left side: a small source is broadcast and the target not
-    shuffled at all, and in a shuffled join adaptive skew handling can split a hot
-    target key. Rows with NULL keys take no part in the join."""
+    The target is read once, as the left side: a small source is broadcast and the
+    target not shuffled at all, and in a shuffled join adaptive skew handling can split
+    a hot target key, or many rows with NULL keys, which match nothing."""
     names = require_columns(target.columns, keys)
     if not names:
         raise ValueError("a merge needs at least one key")
@@ -50,7 +47,7 @@ def update_matched(
     condition = F.lit(True)
     for k in names:
         condition = condition & (col(k) == col(f"__new_{k}"))
-    joined = target.where(~any_null(names)).join(incoming, condition, "left")
+    joined = target.join(incoming, condition, "left")
 
     hit = F.col("__hit").isNotNull()
     take = hit
@@ -60,15 +57,15 @@ def update_matched(
     values = [
         col(c) if c in kept else F.when(take, col(f"__new_{c}")).otherwise(col(c)).alias(c) for c in target.columns
     ]
-    keyless = target.where(any_null(names)).withColumn(MATCHED, F.lit(False))
-    return joined.select(*values, hit.alias(MATCHED)).unionByName(keyless)
+    return joined.select(*values)
 
 
 def unmatched(source: DataFrame, present: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Source rows to insert: their key is not among ``present``, or is NULL. The
-    present keys are made distinct first, so a hot one is one row per task."""
+    """Source rows to insert: their key is not among ``present``, or is NULL. Of the
+    present keys only the source's are kept and made distinct, so a hot one is one row."""
     names = require_columns(source.columns, keys)
-    known = present.select(*[col(k) for k in names]).distinct()
+    columns = [col(k) for k in names]
+    known = present.select(*columns).join(source.select(*columns), names, "left_semi").distinct()
     rest = source.where(~any_null(names)).join(known, names, "left_anti")
     return rest.unionByName(source.where(any_null(names)))
 
@@ -90,5 +87,5 @@ def upsert(
     """
     names = require_columns(target.columns, keys)
     source = source.select(*[col(c) for c in require_columns(source.columns, target.columns)]).toDF(*target.columns)
-    updated = update_matched(target, source, names, preserve, newer_by).drop(MATCHED)
+    updated = update_matched(target, source, names, preserve, newer_by)
     return updated.unionByName(unmatched(source, target, names))

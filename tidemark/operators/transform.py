@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.errors import ParseException
 
 from tidemark.functions.columns import col, find_column, renamed, require_columns
+from tidemark.functions.zone import require_utc
 
 log = logging.getLogger(__name__)
 
@@ -97,9 +98,11 @@ def audit(
 ) -> DataFrame:
     """Stamp insert/update time (UTC shifted to the configured zone), run id and
     user. ``as_of`` (a UTC datetime) fixes the time; otherwise it is the query's
-    start. The session time zone must be UTC for wall-clock values to be right."""
+    start. The session time zone must be UTC, or the wall clock would be wrong: any
+    other one is an error."""
     if not columns.enabled:
         return df
+    require_utc(df.sparkSession)
     now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp") if as_of else F.current_timestamp()
     stamp = F.from_utc_timestamp(now, columns.timezone)
     return df.withColumns({
@@ -120,18 +123,36 @@ class TransformRules:
     derived: Mapping[str, str] = None
 
 
+@dataclass(frozen=True)
+class AggregateRules:
+    """Keys to group by, and SQL aggregates by the name of their result column."""
+
+    keys: tuple[str, ...] = ()
+    columns: Mapping[str, str] = None
+
+
+def aggregate(df: DataFrame, rules: AggregateRules) -> DataFrame:
+    """One row per key with the aggregates; one row in all without keys. Spark combines
+    rows before the shuffle, so a frequent key is one row per task."""
+    if not rules.columns:
+        return df
+    keys = require_columns(df.columns, rules.keys)
+    return df.groupBy(*[col(k) for k in keys]).agg(*[F.expr(sql).alias(name) for name, sql in rules.columns.items()])
+
+
 def transform(
     df: DataFrame | None,
     rules: TransformRules,
     source_exclude: Iterable[str] | None = None,
     audit_columns: AuditColumns | None = None,
+    aggregation: AggregateRules = AggregateRules(),
     **audit_values,
 ) -> DataFrame | None:
-    """All five steps as one lazy projection chain; no input gives no output."""
+    """All steps as one lazy projection chain; no input gives no output."""
     if df is None:
         return None
     out = exclude(df, rules.exclude, source_exclude)
     out = rename(out, rules.rename or {})
     out = cast(out, rules.cast or {}, rules.rename or {})
-    out = derive(out, rules.derived or {})
+    out = aggregate(derive(out, rules.derived or {}), aggregation)
     return audit(out, audit_columns, **audit_values) if audit_columns else out

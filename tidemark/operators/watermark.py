@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.columns import col, require_columns
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.functions.types import INITIAL_WATERMARKS, watermark_literal
+from tidemark.functions.zone import is_utc
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,8 @@ class Watermark:
         [name] = require_columns(df.columns, [self.column])
         literal = self.literal(df.schema[name].dataType)
         out = df.where(col(name) > literal)
-        if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns:
+        # Partition values are cut in UTC; in another zone the literal's would not fit them.
+        if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns and is_utc(df.sparkSession):
             implied = partition.implied_by_after(literal)
             out = out if implied is None else out.where(implied)
         return out

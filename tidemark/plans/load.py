@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import any_null, find_column, plain_path, renamed, require_columns
 from tidemark.functions.names import utc_now
+from tidemark.functions.zone import require_utc
 from tidemark.operators import ledger as runs
 from tidemark.operators.dedup import latest
 from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge
@@ -30,19 +31,21 @@ from tidemark.sinks.ledgers import FileAudit, NotificationAudit, RunLedger, Wate
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder, path_exists
 from tidemark.sinks.tables import MergeError, ParquetTable, Staged
-from tidemark.sources import feeds, jdbc, tables, workbooks
+from tidemark.sources import feeds, jdbc, tables
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """``status``: SUCCESS, NO_DATA, SKIPPED (succeeded today) or DISABLED."""
+    """``status``: SUCCESS, NO_DATA (a feed without files), SKIPPED (succeeded today) or
+    DISABLED. ``rows_dropped`` are rows that a newer one with their key replaced."""
 
     status: str
     run_id: str = ""
     rows_read: int = 0
     rows_written: int = 0
+    rows_dropped: int = 0
     watermark: str | None = None
     quality: QualityResult | None = None
     hooks: dict = field(default_factory=dict)
@@ -60,10 +63,15 @@ class LoadFailed(Exception):
 
 
 def open_target(spark: SparkSession, spec: LoadSpec):
-    """The catalog's own tables where the catalog is a plugin, parquet otherwise."""
+    """The catalog's own tables where the catalog is a plugin; parquet in the session's
+    catalog if the spec says so. Anything else is an error, never another format."""
     t = spec.target
     if has_plugin(spark, t.catalog):
         return NativeTable(spark, t.catalog, t.database, t.table, t.partition)
+    if t.kind != "parquet":
+        raise SpecError(f"[target] type {t.kind!r} needs a catalog plugin for {t.catalog!r}; none is configured")
+    if t.catalog.lower() != "spark_catalog":
+        raise SpecError(f"[target] catalog {t.catalog!r} is not configured; parquet tables are in spark_catalog")
     return ParquetTable(spark, t.database, t.table, t.partition)
 
 
@@ -85,8 +93,9 @@ def run_load(
     hooks.verify_names(spec)
     if not spec.task.enabled:
         return LoadResult("DISABLED")
+    require_utc(spark)
     ledger = RunLedger(spark, state_database)
-    if not force and succeeded_on(ledger, spec.task.id, utc_now().date()):
+    if not force and succeeded_on(ledger, spec.task.id, utc_now().date(), config_path):
         return LoadResult("SKIPPED")
 
     run = {
@@ -100,7 +109,8 @@ def run_load(
         ledger.record(run, problem)
         _notify(spark, spec, run, state_database, problem)
         raise
-    ledger.record(run | {"rows_read": result.rows_read, "rows_written": result.rows_written})
+    status = runs.SUCCESS if result.status == "SUCCESS" else result.status
+    ledger.record(run | {"status": status, "rows_read": result.rows_read, "rows_written": result.rows_written})
     return result
 
 
@@ -116,9 +126,21 @@ def dry_run(spark: SparkSession, spec: LoadSpec, batch: DataFrame | None = None,
     return None if out is None else feeds.without_extras(out).schema
 
 
-def succeeded_on(ledger: RunLedger, job_id: str, day) -> bool:
+def succeeded_on(ledger: RunLedger, job_id: str, day, config_path: str = "") -> bool:
+    """Whether the job succeeded that day: of the same spec, if runs say which theirs was.
+    A run without data is no success, so files that come later are still loaded."""
     todays = runs.on_day(ledger.since(day), day, "end_time")
-    return bool(todays.where((F.col("job_id") == job_id) & (F.col("status") == runs.SUCCESS)).head(1))
+    same = F.col("job_id") == job_id
+    if config_path:
+        other = F.coalesce(F.col("config_path"), F.lit(""))
+        same = same & ((other == "") | (runs.config_name(other) == runs.config_name(F.lit(config_path))))
+    return bool(todays.where(same & (F.col("status") == runs.SUCCESS)).head(1))
+
+
+def _file_audit(spark, spec: LoadSpec, state_database: str) -> FileAudit:
+    database, _, table = spec.source.feed.audit_table.rpartition(".")
+    database = database.rpartition(".")[2]
+    return FileAudit(spark, database or state_database, *([table] if table else []))
 
 
 # --- steps ----------------------------------------------------------------
@@ -144,7 +166,7 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
     if not source.is_feed:
         connection = connection or jdbc.connection_from_env(source.connection, source.type, source.schema)
         return _Batch(jdbc.scan(
-            spark, connection, jdbc.table_name(source.schema, source.table), source.jdbc, source.columns, mark, load.type,
+            spark, connection, jdbc.table_name(source.schema, source.table), source.jdbc, source.columns, mark,
         ))
 
     feed, pinned = source.feed, None
@@ -153,20 +175,16 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
         # Stored at once: what is audited later must be the files read now, not
         # what the folder holds by then.
         pinned = fresh_folder(spark, "files")
-        loaded = FileAudit(spark, state_database).loaded(spec.target.full_name)
-        feeds.new_files(listing, loaded).write.parquet(pinned)
+        if load.is_incremental:  # a full load replaces rows, so it reads every file there is
+            listing = feeds.new_files(listing, _file_audit(spark, spec, state_database).loaded(spec.target.full_name))
+        listing.write.parquet(pinned)
         fresh = spark.read.schema(feeds.LISTING).parquet(pinned)
     paths = sorted(r["file_path"] for r in fresh.select("file_path").collect())  # the reader takes a list
     if not paths:
         if pinned:
             delete_path(spark, pinned)
         return _Batch(None)
-    if feed.format in ("excel", "xlsx"):
-        df = workbooks.scan(spark, paths, feed.schema, feed.sheet, feed.header_row)
-        owners = workbooks.owners(spark.read.format("binaryFile").load(paths))
-        fresh = fresh.drop("file_owner").join(owners, "file_path", "left").select(*listing.columns)
-    else:
-        df = feeds.csv_scan(spark, paths, feed.header, feed.delimiter, feed.encoding, feed.schema)
+    df = feeds.csv_scan(spark, paths, feed.header, feed.delimiter, feed.encoding, feed.schema)
     return _Batch(df, fresh, pinned)
 
 
@@ -184,7 +202,7 @@ def _validate_source(spark, spec: LoadSpec, batch, connection) -> bool:
 
 def _transformed(spec: LoadSpec, df, run_id, job_user, as_of):
     return transform(
-        df, spec.transform, spec.source.exclude, spec.audit,
+        df, spec.transform, spec.source.exclude, spec.audit, spec.aggregate,
         run_id=run_id, job_id=spec.task.id, job_user=job_user, as_of=as_of,
     )
 
@@ -196,8 +214,17 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     outcome = hooks.preload(spec, table, store, lambda: _validate_source(spark, spec, batch, connection))
 
     found = _extract(spark, spec, batch, connection, state_database, since)
-    if found.df is None:
-        return LoadResult("NO_DATA", run["run_id"], watermark=since, hooks=outcome)
+    try:
+        return _load_batch(spark, spec, run, found, table, store, since, outcome, state_database, job_user, as_of)
+    finally:
+        if found.pinned:
+            delete_path(spark, found.pinned)
+
+
+def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since, outcome, state_database, job_user, as_of) -> LoadResult:
+    if found.df is None:  # no file: the gate sees a batch of no rows
+        verdict = enforce(judge(replace(spec.quality, null_check=(), unique_check=()), 0, 0, 0))
+        return LoadResult("NO_DATA", run["run_id"], watermark=since, quality=verdict, hooks=outcome)
     df = _transformed(spec, found.df, run["run_id"], job_user, as_of)
 
     # What the batch looks like to the target; nothing is changed yet.
@@ -231,7 +258,7 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
     try:
         total, high = staged.metrics["rows"], staged.metrics.get("high")
         counts = feeds.file_counts(staged.read(spark)) if found.listing is not None else None
-        _refuse_bad_rows(spec, counts, found.listing, FileAudit(spark, state_database))
+        _refuse_bad_rows(spec, counts, found.listing, _file_audit(spark, spec, state_database))
         duplicates = 0
         if rules.enabled and rules.unique_check and total:
             duplicates = duplicate_count(staged.rows(spark), rules.unique_check).first()[0]
@@ -246,6 +273,10 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
         delete_path(spark, staged.path)
         raise
 
+    dropped = 0
+    if ambiguous and spec.load.watermark_column:  # the newest row of a key is taken
+        rows = staged.rows(spark)
+        dropped = total - rows.where(~any_null(keys)).select(*keys).distinct().count() - rows.where(any_null(keys)).count()
     if isinstance(table, NativeTable):
         _publish_native(spark, spec, table, staged, exists, keys, ambiguous)
     else:
@@ -257,11 +288,10 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
         if high:
             store.put(spec.task.id, high)
     if found.listing is not None:
-        FileAudit(spark, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
+        _file_audit(spark, spec, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
         delete_path(spark, counted)
-        delete_path(spark, found.pinned)
     outcome |= hooks.postload(spec, table, mark)
-    return LoadResult("SUCCESS", run["run_id"], total, total, mark, verdict, outcome)
+    return LoadResult("SUCCESS", run["run_id"], total, total - dropped, dropped, mark, verdict, outcome)
 
 
 def _stage(spark, table, df, metrics) -> Staged:
@@ -296,7 +326,7 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
         table.discard(staged)
     elif spec.load.type != "full":
         table.publish_append(staged)
-    elif spec.target.replaces_all(spec.load, spec.source):
+    elif spec.target.replaces_all(spec.load):
         table.publish_replace(staged)
     else:
         table.publish_partitions(staged)
@@ -314,7 +344,7 @@ def _publish_native(spark, spec, table: NativeTable, staged: Staged, exists, key
             table.merge(source, keys, spec.load.preserve)
         elif spec.load.type != "full":
             table.append(source)
-        elif spec.target.replaces_all(spec.load, spec.source):
+        elif spec.target.replaces_all(spec.load):
             table.replace(source)
         else:
             table.overwrite_partitions(source)
@@ -332,8 +362,8 @@ def _refuse_bad_rows(spec, counts, listing, audit: FileAudit) -> None:
     message = "rows that do not fit the file's columns"
     audit.record(broken, bad.select("file_path", F.lit(0).cast("bigint").alias("record_count")),
                  spec.target.full_name, runs.FAILED, message)
-    names = [r["file_path"] for r in bad.limit(5).collect()]
-    raise LoadFailed(f"{message}: {names}")
+    named, number = [r["file_path"] for r in bad.orderBy("file_path").limit(5).collect()], bad.count()
+    raise LoadFailed(f"{message}: {number} file(s), among them {named}; the file audit has all")
 
 
 def _plain_paths(df: DataFrame) -> DataFrame:
@@ -352,6 +382,7 @@ def _notify(spark, spec: LoadSpec, run: dict, state_database: str, problem: Base
     NotificationAudit(spark, state_database).record({
         "job_id": run["job_id"], "job_name": run["job_name"], "run_id": run["run_id"],
         "event_type": routed["event"], "pipeline_status": status, "sender": spec.notify.sender,
-        "recipients_to": ",".join(recipients), "template_used": rule.template if rule else None,
+        "recipients_to": ",".join(recipients), "recipients_cc": ",".join(spec.notify.copies) or None,
+        "subject": spec.notify.subject or f"{routed['event']}: {run['job_name']}", "template_used": rule.template if rule else None,
         "email_status": "NOT_SENT" if recipients else "NO_RECIPIENTS", "error_message": str(problem),
     })

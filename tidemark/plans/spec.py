@@ -12,7 +12,7 @@ from pathlib import Path
 from tidemark.functions.partitioning import PartitionRule
 from tidemark.operators.ledger import RoutingRule
 from tidemark.operators.quality import QualityRules
-from tidemark.operators.transform import AuditColumns, TransformRules
+from tidemark.operators.transform import AggregateRules, AuditColumns, TransformRules
 from tidemark.sources.jdbc import DEFAULT_FETCH_SIZE, DIALECT_ALIASES, DIALECTS, JdbcOptions
 
 LOAD_TYPES = ("full", "incremental", "upsert")
@@ -23,6 +23,10 @@ POSTLOAD_OPERATIONS = (
 )
 
 
+_BOOLEANS = {"true": True, "yes": True, "1": True, "false": False, "no": False, "0": False}
+_TOKEN = re.compile(r"\$\{(?P<name>[A-Za-z_][A-Za-z0-9_]*)(?P<rest>:[^}]*)?\}")
+
+
 class SpecError(ValueError):
     """The spec is incomplete or contradicts itself."""
 
@@ -48,8 +52,13 @@ class _Section:
         return value.strip()
 
     def flag(self, *names, default: bool | None = True):
+        """A boolean; a text must say true or false, as values from the environment do."""
         value = self.raw(*names)
-        return default if value is None else bool(value)
+        if isinstance(value, str) and value.strip().lower() in _BOOLEANS:
+            value = _BOOLEANS[value.strip().lower()]
+        if value is not None and not isinstance(value, bool):
+            raise SpecError(f"[{self.name}] {names[0]} must be true or false, not {value!r}")
+        return default if value is None else value
 
     def number(self, *names, default: int, positive: bool = False) -> int:
         try:
@@ -96,9 +105,7 @@ class FeedOptions:
     delimiter: str = ","
     header: bool = True
     encoding: str = "utf-8"
-    sheet: str = "0"
-    header_row: int = 0
-    audit_table: str = ""
+    audit_table: str = ""  # of the form [database.]table; the state database's default without
     schema: str | None = None  # declared columns; types are inferred without
     recursive: bool = True
     bad_rows: str = "fail"  # rows that do not fit their file's columns: fail | keep
@@ -156,13 +163,12 @@ class Target:
     table: str
     partition: PartitionRule | None = None
     maintenance: Maintenance = Maintenance()
+    kind: str = "iceberg"
 
-    def replaces_all(self, load: Load, source: Source) -> bool:
-        """Whether a full load replaces every row. Feeds deliver only new files,
-        so in a partitioned table they replace just the partitions they bring."""
-        if load.overwrite:
-            return load.overwrite == "all"
-        return not (source.is_feed and self.partition)
+    def replaces_all(self, load: Load) -> bool:
+        """Whether a full load replaces every row: unless the spec says partitions.
+        It always reads the whole source, of a feed all its files."""
+        return load.overwrite != "partitions"
 
     @property
     def full_name(self) -> str:
@@ -187,6 +193,8 @@ class Notify:
     sender: str = ""
     recipients: tuple[str, ...] = ()
     rules: tuple[RoutingRule, ...] = ()
+    copies: tuple[str, ...] = ()
+    subject: str = ""
 
 
 @dataclass(frozen=True)
@@ -197,6 +205,7 @@ class LoadSpec:
     target: Target
     primary_key: tuple[str, ...] = ()
     transform: TransformRules = TransformRules()
+    aggregate: AggregateRules = AggregateRules()
     audit: AuditColumns = AuditColumns()
     evolution: Evolution = Evolution()
     preload: Hooks = Hooks()
@@ -226,6 +235,7 @@ class LoadSpec:
             target=_target(_Section("target", data["target"])),
             primary_key=primary,
             transform=_transform(_Section("transform", data.get("transform", {}))),
+            aggregate=_aggregate(_Section("aggregate", data.get("aggregate", {}))),
             audit=_audit(_Section("audit", root.raw("audit_columns", "audit", default={}))),
             evolution=_evolution(_Section("schema", data.get("schema", {}))),
             preload=_hooks(_Section("preload", data.get("preload", {})), ("validate_source", "validate_target")),
@@ -250,20 +260,17 @@ def substitute_env(value, env: Mapping[str, str] | None = None):
     """``${NAME}`` and ``${NAME:default}`` in all texts of a spec."""
     env = os.environ if env is None else env
     if isinstance(value, str):
-        return re.sub(r"\$\{(\w+)(?::([^}]+))?\}", lambda m: env.get(m[1], m[2] or ""), value)
-    if isinstance(value, Mapping):
-        return {k: substitute_env(v, env) for k, v in value.items()}
-    if isinstance(value, list):
-        return [substitute_env(v, env) for v in value]
-    return value
+        return _TOKEN.sub(lambda token: env.get(token["name"], (token["rest"] or ":")[1:]), value)
+    nested = value.items() if isinstance(value, Mapping) else enumerate(value) if isinstance(value, list) else None
+    if nested is None:
+        return value
+    done = {key: substitute_env(item, env) for key, item in nested}
+    return done if isinstance(value, Mapping) else list(done.values())
 
 
 def _task(s: _Section) -> Task:
-    enabled = s.raw("enabled", default=True)
-    if not isinstance(enabled, bool):
-        raise SpecError("[task] enabled must be true or false")
     return Task(
-        s.required("task_id", "job_id"), s.required("task_name", "job_name"), enabled,
+        s.required("task_id", "job_id"), s.required("task_name", "job_name"), s.flag("enabled"),
         s.text("description"), s.names("depends_on", commas=True),
     )
 
@@ -276,6 +283,8 @@ def _source(s: _Section, top_level_jdbc) -> Source:
     extraction = s.sub("extraction")
     flat = {k: v for k, v in s.values.items() if not isinstance(v, Mapping) and k not in ("schema", "type", "table")}
     feed = s.sub("sftp", flat)
+    if kind == "sftp" and feed.text("file_format", "format", default="csv").lower() != "csv":
+        raise SpecError("[source] a feed's file_format must be csv")
     jdbc = s.sub("jdbc", top_level_jdbc if isinstance(top_level_jdbc, Mapping) else None)
 
     def bound(name):
@@ -293,15 +302,13 @@ def _source(s: _Section, top_level_jdbc) -> Source:
             jdbc.number("fetch_size", "fetchsize", default=DEFAULT_FETCH_SIZE, positive=True),
         ),
         FeedOptions(
-            path=feed.text("path", "directory", default="/remote/incoming/"),
+            path=feed.required("path", "directory") if kind == "sftp" else "",
             pattern=feed.text("file_pattern", "pattern", default="*.csv"),
             format=feed.text("file_format", "format", default="csv").lower(),
             delimiter=str(feed.raw("delimiter", default=",")) or ",",
             header=feed.flag("header"),
             encoding=feed.text("encoding", default="utf-8"),
-            sheet=feed.text("sheet_name", default="0"),
-            header_row=feed.number("header_row", default=0),
-            audit_table=feed.text("audit_table", default="hive.etl_audit.sftp_file_audit"),
+            audit_table=feed.text("audit_table"),
             schema=feed.text("columns_ddl") or None,
             recursive=feed.flag("recursive"),
             bad_rows=feed.text("bad_rows", default="fail").lower(),
@@ -352,6 +359,7 @@ def _target(s: _Section) -> Target:
             upkeep.flag("rewrite_manifests"),
             upkeep.number("orphan_file_retention_days", default=defaults.orphan_file_retention_days),
         ),
+        kind,
     )
 
 
@@ -359,6 +367,13 @@ def _transform(s: _Section) -> TransformRules:
     return TransformRules(s.names("exclude"), s.mapping("rename"), s.mapping("cast"), s.mapping("derived"))
 
 
+def _aggregate(s: _Section) -> AggregateRules:
+    rules = AggregateRules(s.names("keys", "group_by"), s.mapping("columns"))
+    if s.values and not rules.columns:
+        raise SpecError("[aggregate.columns] needs a SQL aggregate for each result column")
+    return rules
+
+
 def _audit(s: _Section) -> AuditColumns:
     d = AuditColumns()
     return AuditColumns(
@@ -398,5 +413,5 @@ def _notify(s: _Section) -> Notify:
                 e.text("event", default="on_failure").lower(), e.names("to", commas=True), e.flag("enabled"),
                 e.text("template").lower(),
             ))
-    return Notify(s.flag("enabled", default=False), s.text("from", "sender", default="noreply@company.com"),
-                  s.names("to", commas=True), tuple(rules))
+    return Notify(s.flag("enabled", default=False), s.text("from", "sender"), s.names("to", commas=True),
+                  tuple(rules), copies=s.names("cc", commas=True), subject=s.text("subject"))

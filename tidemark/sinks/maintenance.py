@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import reduce
+from itertools import islice
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import col, plain_path
+from tidemark.functions.columns import plain_path
 from tidemark.functions.names import as_utc, unique, utc_now
 from tidemark.operators.maintenance import MEGABYTE, compaction_plan, files_of, orphan_files
 from tidemark.sinks.places import delete_path
 from tidemark.sinks.tables import ParquetTable, Staged
 
-# Partitions rewritten by one job; more are done in several.
-_BLOCK = 5000
+# Partitions published together, jobs that rewrite them at a time, and files deleted together.
+_BLOCK, _JOBS_AT_ONCE, _DELETES = 1000, 8, 10_000
 
 
 def table_files(table: ParquetTable) -> DataFrame:
@@ -32,7 +35,7 @@ def compact(table: ParquetTable, target_mb: float = 128) -> int:
     if table.partition is None:
         table.publish_replace(_rewrite_whole(table, target_mb))
     for start in range(0, len(todo) if table.partition else 0, _BLOCK):
-        table.publish_partitions(_rewrite_partitions(table, todo[start:start + _BLOCK]))
+        table.publish_partitions(_rewrite_partitions(table, todo[start:start + _BLOCK], target_mb))
     return sum(r["files"] for r in todo)
 
 
@@ -49,35 +52,44 @@ def _rewrite_whole(table: ParquetTable, target_mb: float) -> Staged:
     return Staged(path, df.schema)
 
 
-def _rewrite_partitions(table: ParquetTable, todo: list) -> Staged:
-    """One job for a block of partitions: rows of a partition are dealt evenly to its
-    planned number of files by their position in the old file, so neither a large
-    partition nor many equal rows end up in one task."""
+def _rewrite_partitions(table: ParquetTable, todo: list, target_mb: float) -> Staged:
+    """Neighbouring files of a partition, in order of name, become one file of about the
+    target size. Each new file is one task that reads its files one after the other:
+    nothing is shuffled, so rows that were close stay close."""
     spark, rule = table.spark, table.partition
     whole = spark.table(table.name)
-    planned = {r["partition"]: r["target_files"] for r in todo}
-    values = [v for v in planned if v is not None]
-    scope = col(rule.name).cast(whole.schema[rule.name].dataType).isin(
-        [F.lit(v).cast(whole.schema[rule.name].dataType) for v in values]
-    )
-    if None in planned:
-        scope = scope | col(rule.name).isNull()
-    counts = F.broadcast(spark.createDataFrame(  # at most _BLOCK rows
-        [(v, int(n)) for v, n in planned.items()], "__partition string, __files bigint"
-    ))
-    dealt = (
-        whole.where(scope)
-        .withColumn("__row", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
-        .join(counts, col(rule.name).cast("string").eqNullSafe(F.col("__partition")))
-        .withColumn("__slot", F.pmod("__row", "__files"))
-        .repartition(int(sum(planned.values())), col(rule.name), F.col("__slot"))
-        .select(*[col(c) for c in whole.columns])
-    )
+    wanted = F.broadcast(spark.createDataFrame([(r["partition"],) for r in todo], "wanted string"))  # at most _BLOCK rows
+    files = table_files(table).join(wanted, F.col("partition").eqNullSafe(F.col("wanted")), "left_semi")
+    folders: dict[str, list] = {}
+    for r in files.select("file_path", "file_size").collect():  # files of the partitions rewritten now
+        folders.setdefault(_decoded(r["file_path"]).rpartition("/")[0], []).append((_decoded(r["file_path"]), r["file_size"]))
     path = f"{table.versions}/{unique('v')}"
-    dealt.write.option("compression", "zstd").partitionBy(rule.name).parquet(path)
+    schema = T.StructType([f for f in whole.schema.fields if f.name != rule.name])
+
+    session = spark.newSession()
+    # or the bins, each of one task, would be put together in one
+    session.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+    def rewrite(folder: str) -> None:
+        merged = [session.read.schema(schema).parquet(*names).coalesce(1) for names in _bins(sorted(folders[folder]), target_mb * MEGABYTE)]
+        reduce(DataFrame.unionByName, merged).write.option("compression", "zstd").parquet(f"{path}/{folder.rpartition('/')[2]}")
+
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        list(pool.map(rewrite, folders))
     return Staged(path, whole.schema, rule)
 
 
+def _bins(files: list[tuple[str, int]], size: float) -> list[list[str]]:
+    bins, room = [], 0.0
+    for name, length in files:
+        if not bins or length > room:
+            bins.append([])
+            room = size
+        bins[-1].append(name)
+        room -= length
+    return bins
+
+
 def version_files(table: ParquetTable) -> DataFrame:
     """``(file_path, file_size, modified_at)`` of every file below the table's
     version folders."""
@@ -105,9 +117,15 @@ def find_orphans(table: ParquetTable, older_than_days: float = 3, now: datetime
 def remove_orphans(table: ParquetTable, older_than_days: float = 3, now: datetime | None = None) -> int:
     """Delete what ``find_orphans`` finds; returns the number of files. The list
     is streamed, not collected."""
-    removed = 0
-    for row in find_orphans(table, older_than_days, now).select("file_path").toLocalIterator():
-        removed += bool(delete_path(table.spark, _decoded(row["file_path"])))
+    return _delete(table, find_orphans(table, older_than_days, now).select("file_path"))
+
+
+def _delete(table: ParquetTable, paths: DataFrame) -> int:
+    """Delete paths a block at a time, several deletes at once."""
+    rows, removed = paths.toLocalIterator(prefetchPartitions=True), 0
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        while block := [_decoded(r[0]) for r in islice(rows, _DELETES)]:
+            removed += sum(map(bool, pool.map(lambda path: delete_path(table.spark, path), block)))
     return removed
 
 
@@ -136,10 +154,7 @@ def expire_versions(table: ParquetTable, older_than_days: float = 3, now: dateti
     old = versions(table).where(
         (F.col("used_files") == 0) & (F.col("modified_at") < cutoff) & (plain_path(F.col("version")) != F.lit(current))
     )
-    removed = 0
-    for row in old.select("version").toLocalIterator():
-        removed += bool(delete_path(table.spark, _decoded(row["version"])))
-    return removed
+    return _delete(table, old.select("version"))
 
 
 def _decoded(path: str) -> str:

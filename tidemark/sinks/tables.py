@@ -14,6 +14,7 @@ transactional tables (``tidemark.sinks.native``) has no such window.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.columns import any_null, col, find_column, require_columns
 from tidemark.functions.names import identifier, sql_text, unique
 from tidemark.functions.partitioning import PartitionRule
-from tidemark.operators.merge import MATCHED, touched_values, unmatched, update_matched
+from tidemark.operators.merge import touched_values, unmatched, update_matched
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.schema import SchemaError, add_columns_ddl, additions, conform
 from tidemark.sinks import ddl
@@ -29,6 +30,7 @@ from tidemark.sinks.places import delete_path
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _STATEMENT_PARTITIONS = 200
+_STATEMENTS_AT_ONCE = 16
 _UNKNOWN = object()
 
 
@@ -227,8 +229,7 @@ class ParquetTable:
         Only partitions that hold a matched key or receive a row are rewritten;
         which these are takes a scan of the key columns, and not even that if the
         partition follows from a key. Their rows are then read, joined and written
-        once, each marked whether it matched; the marks say which source rows are
-        left to insert."""
+        once; the keys of what was written say which source rows are left to insert."""
         names = require_columns(self.schema().names, keys)
         source = conform(source, self.schema())
         if not keys_verified and duplicate_keys(source.where(~any_null(names)), names).head(1):
@@ -237,8 +238,7 @@ class ParquetTable:
         if rule:
             scope, touched = self._touched(source, names, preserve)
         staged = self.stage(update_matched(scope, source, names, preserve, newer_by))
-        present = staged.rows(self.spark).where(F.col(MATCHED))
-        self._stage_more(staged, unmatched(source, present, names))
+        self._stage_more(staged, unmatched(source, staged.rows(self.spark), names))
         if rule is None:
             self.publish_replace(staged)
             return staged
@@ -281,10 +281,11 @@ class ParquetTable:
         """Make every partition read from its folder."""
         known = self._partition_specs()
         fresh = [f"PARTITION ({_spec_sql(s)}) LOCATION {sql_text(p)}" for s, p in folders.items() if s not in known]
-        for spec in folders.keys() & known:
-            self.spark.sql(
-                f"ALTER TABLE {self.name} PARTITION ({_spec_sql(spec)}) SET LOCATION {sql_text(folders[spec])}"
-            )
+        # No statement moves several partitions, and dropping them first would hide rows
+        # from readers, so the catalog gets several statements at a time.
+        moves = [f"ALTER TABLE {self.name} PARTITION ({_spec_sql(s)}) SET LOCATION {sql_text(folders[s])}" for s in folders.keys() & known]
+        with ThreadPoolExecutor(_STATEMENTS_AT_ONCE) as pool:
+            list(pool.map(self.spark.sql, moves))
         for start in range(0, len(fresh), _STATEMENT_PARTITIONS):
             block = " ".join(fresh[start:start + _STATEMENT_PARTITIONS])
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {block}")

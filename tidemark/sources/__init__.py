@@ -1 +1 @@
-"""Scans: JDBC tables, CSV and workbook feeds, catalog tables, marker files."""
+"""Scans: JDBC tables, CSV feeds, catalog tables, marker files."""

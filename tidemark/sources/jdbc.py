@@ -44,8 +44,6 @@ DIALECTS = {
 }
 DIALECT_ALIASES = {"postgresql": "postgres", "mssql": "sqlserver"}
 
-# Rows per fetch of a workload profile.
-FETCH_SIZES = {"light": 10000, "medium": 25000, "heavy": 50000}
 DEFAULT_FETCH_SIZE = 10000
 
 
@@ -110,22 +108,6 @@ class JdbcOptions:
     fetch_size: int = DEFAULT_FETCH_SIZE
 
 
-def profile(load_type: str, num_partitions: int) -> str:
-    """Workload profile of a scan, from its load type and parallelism."""
-    incremental = load_type in ("incremental", "upsert")
-    if num_partitions >= 8 or (incremental and num_partitions >= 4):
-        return "heavy"
-    return "medium" if load_type == "full" or num_partitions > 1 else "light"
-
-
-def fetch_size(options: JdbcOptions, load_type: str = "full", explicit_profile: str | None = None) -> int:
-    """An explicit size wins; the default gives way to the profile's size."""
-    if options.fetch_size != DEFAULT_FETCH_SIZE:
-        return options.fetch_size
-    name = (explicit_profile or "").strip().lower()
-    return FETCH_SIZES[name if name in FETCH_SIZES else profile(load_type, options.num_partitions)]
-
-
 def table_name(schema: str | None, table: str) -> str:
     schema = (schema or "").strip()
     return f"{schema}.{table.strip()}" if schema else table.strip()
@@ -136,6 +118,8 @@ def newer_sql(watermark: Watermark, url: str) -> str | None:
     if watermark.value in (None, "") or watermark.overlap:
         return None
     value = str(watermark.value).replace("'", "''")
+    if watermark.kind == "date":
+        value = value[:10]  # the stored value of a timestamp column has a time
     if watermark.kind == "numeric":
         return f"{watermark.column} > {float(value) if not value.lstrip('-').isdigit() else value}"
     typed = "" if url.startswith("jdbc:sqlserver") else "DATE " if watermark.kind == "date" else "TIMESTAMP "
@@ -163,7 +147,6 @@ def scan(
     options: JdbcOptions = JdbcOptions(),
     columns: Iterable[str] | None = None,
     watermark: Watermark | None = None,
-    load_type: str = "full",
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A lazy table scan.
@@ -177,7 +160,7 @@ def scan(
     * ``predicates`` splits by arbitrary disjoint conditions instead, for tables
       whose split column is too skewed to range over.
     """
-    base = connection.options() | {"fetchsize": str(fetch_size(options, load_type))}
+    base = connection.options() | {"fetchsize": str(options.fetch_size)}
     if predicates:
         url = base.pop("url")
         df = spark.read.jdbc(url, table, predicates=list(predicates), properties=base)
@@ -200,13 +183,3 @@ def scan(
     if watermark:
         df = watermark.newer(df)
     return project(df, columns)
-
-
-def stride_of(key: Column, lower: int, upper: int, num_partitions: int) -> Column:
-    """The range query a key falls into, by the rule of Spark's JDBC source for
-    integer bounds: whole strides, the remainder shared by both open ends. Counting
-    it shows whether a split column is even enough to be one."""
-    num_partitions = max(min(num_partitions, upper - lower), 1)
-    stride, rest = divmod(upper - lower, num_partitions)
-    index = F.floor((key - F.lit(lower + (rest + 1) // 2)) / F.lit(max(stride, 1)))
-    return F.least(F.greatest(index, F.lit(0)), F.lit(num_partitions - 1)).cast("bigint")
