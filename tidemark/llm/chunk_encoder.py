@@ -15,7 +15,9 @@ from tidemark.llm.text import U64, Block, ranges
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker remembers; it forgets older ones beyond that.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
+#: Pieces that are encoded together: the library keeps a kilobyte or so for each.
+AT_ONCE = 4_096
 _CHECK_CODES = np.random.default_rng(77).integers(0, 2**63, 256, dtype=U64)
 
 
@@ -45,7 +47,7 @@ class ChunkEncoder:
         rows = np.searchsorted(block.offsets, starts, "right") - 1
         place = self._places(block, kinds, checks[first], starts[first], ends[first])
         if place is None or (checks != checks[first][kind]).any():
-            found = [x.ids for x in self.tokenizer.encode_batch([block.text(k) for k in range(len(block))], add_special_tokens=False)]
+            found = [self.tokenizer.encode(block.text(k), add_special_tokens=False).ids for k in range(len(block))]
             return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
         lengths = self.lengths[place][kind]
         return self.ids[ranges(self.starts[place][kind], lengths)], np.bincount(rows, lengths, minlength=len(block)).astype(np.int64)
@@ -62,10 +64,14 @@ class ChunkEncoder:
             return None
         new = np.flatnonzero(~known)
         if len(new):
-            pieces = [block.data[a:b].tobytes().decode() for a, b in zip(starts[new], ends[new])]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            lengths = np.array([len(x) for x in found], np.int64)
-            ids = np.array([i for x in found for i in x], np.uint32)
+            ids, lengths = [], []
+            for at in range(0, len(new), AT_ONCE):
+                mine = new[at:at + AT_ONCE]
+                pieces = [block.data[a:b].tobytes().decode() for a, b in zip(starts[mine], ends[mine])]
+                found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+                lengths.append(np.array([len(x) for x in found], np.int64))
+                ids.append(np.array([i for x in found for i in x], np.uint32))
+            ids, lengths = np.concatenate(ids), np.concatenate(lengths)
             begin = len(self.ids) + np.cumsum(lengths) - lengths
             self.keys, self.checks = np.insert(self.keys, at[new], kinds[new]), np.insert(self.checks, at[new], checks[new])
             self.starts, self.lengths = np.insert(self.starts, at[new], begin), np.insert(self.lengths, at[new], lengths)
