@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, size string, score string, row string, key string"
 
 
@@ -40,3 +42,13 @@ def spaced(text):
 
 def plain(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return documents(spark).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return empty(spark)

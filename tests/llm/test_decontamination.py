@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from samples import plain, words
+from samples import nothing, plain, words  # noqa: F401
 from tidemark.llm.decontamination import contamination
 
 

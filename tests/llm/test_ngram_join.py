@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from samples import spaced, words
+from samples import docs, nothing, spaced, words  # noqa: F401
 from tidemark.llm import ngram_join
 from tidemark.llm.components import components
 

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from samples import docs, nothing  # noqa: F401
 from tidemark.llm import perfect_hash, token_files
 from tidemark.llm.chunk_encoder import ChunkEncoder
 from tidemark.llm.folders import folder
