@@ -65,8 +65,8 @@ class ChunkEncoder:
         new = np.flatnonzero(~known)
         if len(new):
             ids, lengths = [], []
-            for at in range(0, len(new), AT_ONCE):
-                mine = new[at:at + AT_ONCE]
+            for first in range(0, len(new), AT_ONCE):
+                mine = new[first:first + AT_ONCE]
                 pieces = [block.data[a:b].tobytes().decode() for a, b in zip(starts[mine], ends[mine])]
                 found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
                 lengths.append(np.array([len(x) for x in found], np.int64))
