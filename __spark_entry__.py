@@ -980,6 +980,46 @@ def load_failure_notice(spark, folder):
     return NotificationAudit(spark, database).read().select("event_type", "pipeline_status", "recipients_to", "error_message")
 
 
+@query("""
+SELECT 'on_missing_file' AS event_type, 'MISSING_FILE' AS pipeline_status, 'feeds@example.org' AS recipients_to, CAST(0 AS BIGINT) AS in_target
+UNION ALL SELECT 'on_sla_breach', 'SLA_BREACHED', 'ops@example.org', CAST(count(*) AS BIGINT) FROM orders""")
+def load_monitor_events(spark, folder):
+    """A feed whose file is missing, then a load beyond its limit, each with its event."""
+    from tidemark.sinks.ledgers import NotificationAudit
+
+    database, path = _database(spark), fresh_folder(spark, "feed")
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    spec = _spec(
+        database, {"type": "full"}, task={"task_id": "job", "task_name": "job", "sla_seconds": 1},
+        source={"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "columns_ddl": "o_orderkey BIGINT, o_orderstatus STRING"},
+        email_notification={"enabled": True, "to": "ops@example.org", "events": [{"event": "on_missing_file", "to": "feeds@example.org"}]})
+    run_load(spark, spec, state_database=database)
+    orders.write.option("header", True).csv(path)
+    slow = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(minutes=5)
+    run_load(spark, spec, state_database=database, started=slow)
+    held = F.when(F.col("event_type") == "on_sla_breach", ParquetTable(spark, database, "target").read().count()).otherwise(0).cast("bigint")
+    return NotificationAudit(spark, database).read().select("event_type", "pipeline_status", "recipients_to", held.alias("in_target"))
+
+
+@query("""
+SELECT event_type AS job_id, strftime(max(date_trunc('week', ts)), '%Y-%m-%d') AS watermark, CAST(count(DISTINCT date_trunc('week', ts)) AS BIGINT) AS commits,
+       CAST(1 AS BIGINT) AS partitions FROM events GROUP BY 1""")
+def ledger_roll_up(spark, folder):
+    """A commit for each week and kind of event, rolled up to one for each kind."""
+    from tidemark.sinks.ledgers import WatermarkStore
+
+    days = _table(spark, folder, "events").select("event_type", F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("day")).distinct()
+    store = WatermarkStore(spark, _database(spark))
+    for row in sorted(days.collect()):  # a commit each
+        store.put(row["event_type"], row["day"])
+    store.ledger.roll_up()
+    parts = spark.sql(f"SHOW PARTITIONS {store.ledger.name}").select(F.regexp_extract("partition", "job_id=([^/]*)/", 1).alias("job_id"))
+    parts = parts.groupBy("job_id").agg(F.count(F.lit(1)).alias("partitions"))
+    commits = store.ledger.read().groupBy("job_id").agg(F.count(F.lit(1)).alias("commits"))
+    now = store.current().select("job_id", F.col("watermark_value").alias("watermark"))
+    return now.join(commits, "job_id").join(parts, "job_id")
+
+
 # --- driver contract ------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -179,3 +179,28 @@ def test_file_audit(spark, database):
     assert len(audit.read().columns) == 10
     assert values(audit.loaded("db.t")) == [("/x/a.csv", 10, "t1")]
     assert audit.loaded("db.u").count() == 0
+
+
+def test_roll_up_keeps_rows_and_open_days(spark, database):
+    from tidemark.sinks.ledgers import RunLedger, WatermarkStore
+
+    store = WatermarkStore(spark, database)
+    for k in range(4):
+        store.put("a/b=c job", str(k))
+    store.put("other", "x")
+    before = values(store.ledger.read())
+    assert store.ledger.roll_up(keep=["a/b=c job"]) == 0 and store.ledger.roll_up() == 3
+    assert values(store.ledger.read()) == before and store.get("a/b=c job") == "3"
+    store.put("a/b=c job", "4")
+    assert store.get("a/b=c job") == "4" and store.ledger.roll_up() == 1
+    ledger_ = RunLedger(spark, database)
+    for k in range(3):
+        ledger_.record({"run_id": str(k), "job_id": "j", "start_time": dt.datetime(2024, 1, 1)})
+    today = dt.datetime.now(dt.timezone.utc).date()
+    assert ledger_.roll_up(keep=[today]) == 0 and ledger_.roll_up() == 2 and ledger_.read().count() == 3
+
+
+def test_a_day_without_rows_is_a_drop(spark):
+    rows = [("j", dt.date(2024, 1, d), 100) for d in range(1, 15) if d != 9]
+    daily = spark.createDataFrame(rows, "job string, day date, n long")
+    assert dt.date(2024, 1, 9) in [d for _, d in values(ledger.drops(daily, "job", 3), "job", "day")]

@@ -86,8 +86,9 @@ def run_load(
     as_of: datetime | None = None,
     config_path: str = "",
     force: bool = False,
+    started: datetime | None = None,
 ) -> LoadResult:
-    """Execute the spec. ``batch`` replaces the scan of the source (a DataFrame
+    """Execute the spec. ``started`` is when the run was due, if it waited before this call. ``batch`` replaces the scan of the source (a DataFrame
     read elsewhere); the watermark filter still applies to it. ``as_of`` fixes the
     audit time. Failures are recorded in the run ledger and raised."""
     hooks.verify_names(spec)
@@ -101,7 +102,7 @@ def run_load(
     run = {
         "run_id": run_id or str(uuid.uuid4()), "job_id": spec.task.id, "job_name": spec.task.name,
         "source_type": spec.source.type, "target_table": spec.target.full_name,
-        "load_type": spec.load.type, "config_path": config_path, "start_time": utc_now(),
+        "load_type": spec.load.type, "config_path": config_path, "start_time": started or utc_now(),
     }
     try:
         result = _execute(spark, spec, run, batch, connection, state_database, job_user, as_of)
@@ -109,8 +110,13 @@ def run_load(
         ledger.record(run, problem)
         _notify(spark, spec, run, state_database, problem)
         raise
-    status = runs.SUCCESS if result.status == "SUCCESS" else result.status
-    ledger.record(run | {"status": status, "rows_read": result.rows_read, "rows_written": result.rows_written})
+    ended = utc_now()
+    ledger.record(run | {"status": result.status, "end_time": ended, "rows_read": result.rows_read, "rows_written": result.rows_written})
+    seconds = (ended - run["start_time"]).total_seconds()
+    if result.status == "NO_DATA":
+        _notify(spark, spec, run, state_database, "no file matches the feed", "MISSING_FILE")
+    elif spec.task.sla_seconds and seconds > spec.task.sla_seconds:
+        _notify(spark, spec, run, state_database, f"{seconds:.0f} s, the limit is {spec.task.sla_seconds} s", "SLA_BREACHED")
     return result
 
 
@@ -370,11 +376,12 @@ def _plain_paths(df: DataFrame) -> DataFrame:
     return df.withColumn("file_path", plain_path(F.col("file_path")))
 
 
-def _notify(spark, spec: LoadSpec, run: dict, state_database: str, problem: BaseException) -> None:
-    """Record who should hear about a failure; the mail itself is sent elsewhere."""
+def _notify(spark, spec: LoadSpec, run: dict, state_database: str, problem: BaseException | str, status: str | None = None) -> None:
+    """Record who should hear about a failure or a monitor's event; the mail itself is
+    sent elsewhere."""
     if not spec.notify.enabled:
         return
-    status = "DATA_QUALITY_FAILED" if isinstance(problem, QualityError) else runs.FAILED
+    status = status or ("DATA_QUALITY_FAILED" if isinstance(problem, QualityError) else runs.FAILED)
     one = tables.rows(spark, [(status,)], "status string")
     routed = runs.route(one, spec.notify.rules, spec.notify.recipients).first()
     rule = next((r for r in spec.notify.rules if r.enabled and r.event == routed["rule"]), None)

@@ -95,6 +95,7 @@ class Task:
     enabled: bool = True
     description: str = ""
     depends_on: tuple[str, ...] = ()
+    sla_seconds: int = 0  # a longer run is reported; 0 is no limit
 
 
 @dataclass(frozen=True)
@@ -271,7 +272,7 @@ def substitute_env(value, env: Mapping[str, str] | None = None):
 def _task(s: _Section) -> Task:
     return Task(
         s.required("task_id", "job_id"), s.required("task_name", "job_name"), s.flag("enabled"),
-        s.text("description"), s.names("depends_on", commas=True),
+        s.text("description"), s.names("depends_on", commas=True), s.number("sla_seconds", default=0),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import traceback
 import uuid
+from urllib.parse import unquote
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -21,12 +22,13 @@ from tidemark.sinks import ddl
 from tidemark.sinks.places import path_exists
 from tidemark.sources.tables import row
 
-# Characters that table partition folders percent-encode.
-_ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+#: Scopes that a roll-up merges in one job.
+_SCOPES_AT_ONCE = 200
 
 
-def _folder_value(value) -> str:
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+def _folder_value(spark: SparkSession, value) -> str:
+    """A value as partition folders spell it."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
 
 
 class Ledger:
@@ -57,7 +59,7 @@ class Ledger:
     def append(self, df: DataFrame, scope) -> None:
         self.ensure()
         commit = unique("c")
-        path = f"{self.root}/{self.scope}={_folder_value(scope)}/commit_id={commit}"
+        path = f"{self.root}/{self.scope}={_folder_value(self.spark, scope)}/commit_id={commit}"
         df.select(*self._stored.names).write.option("compression", "zstd").parquet(path)
         self.spark.sql(
             f"ALTER TABLE {self.name} ADD PARTITION "
@@ -73,6 +75,35 @@ class Ledger:
         self.ensure()
         return self.spark.table(self.name).select(*self.fields.names)
 
+    def roll_up(self, keep: Sequence = ()) -> int:
+        """Merge the commits of a scope (a day, a job) into one, but for the scopes in
+        ``keep``, such as a day that is not over; returns how many commits went. The
+        merged commit is attached before the others are detached: readers in between
+        see rows twice, which no lookup of a ledger minds, and never miss one. Files are
+        kept, as a reader may still use them."""
+        self.ensure()
+        commits: dict[str, list[str]] = {}
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            scope, _, commit = spec.partition("/commit_id=")
+            commits.setdefault(unquote(scope.partition("=")[2]), []).append(commit)
+        kept = {str(k) for k in keep}
+        todo = {s: c for s, c in commits.items() if len(c) > 1 and s not in kept}
+        scopes = sorted(todo)
+        for at in range(0, len(scopes), _SCOPES_AT_ONCE):
+            self._merge_commits({s: todo[s] for s in scopes[at:at + _SCOPES_AT_ONCE]})
+        return sum(len(c) - 1 for c in todo.values())
+
+    def _merge_commits(self, commits: dict[str, list[str]]) -> None:
+        table = self.spark.table(self.name)
+        rows = table.where(F.col(self.scope).cast("string").isin(list(commits)) & F.col("commit_id").isin([c for v in commits.values() for c in v]))
+        path, merged = f"{self.root}/_{unique('rollup')}", unique("r")
+        rows.drop("commit_id").repartition(F.col(self.scope)).write.option("compression", "zstd").partitionBy(self.scope).parquet(path)
+        spec = lambda scope, commit: f"PARTITION (`{self.scope}` = {sql_text(scope)}, commit_id = {sql_text(commit)})"
+        added = [f"{spec(s, merged)} LOCATION {sql_text(f'{path}/{self.scope}={_folder_value(self.spark, s)}')}" for s in commits]
+        self.spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(added)}")
+        self.spark.sql(f"ALTER TABLE {self.name} DROP {', '.join(spec(s, c) for s, v in commits.items() for c in v)}")
+        self.spark.catalog.refreshTable(self.name)
+
     def since(self, day: date) -> DataFrame:
         """For day-scoped ledgers: commits of the day or later; older partitions
         are not opened. A run is committed when it ends, so all runs started on

@@ -8,6 +8,10 @@ from pyspark.sql import SparkSession
 from tidemark.functions.names import unique
 
 
+#: Of local sessions without a shared folder, by application; the session's settings stay as they are.
+_temporary: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``. Only a local
     session without that setting gets a temporary folder."""
@@ -16,8 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir("file:" + tempfile.mkdtemp(prefix="tidemark-"))
-        folder = context.getCheckpointDir()
+        if context.applicationId not in _temporary:
+            _temporary[context.applicationId] = "file:" + tempfile.mkdtemp(prefix="tidemark-")
+        folder = _temporary[context.applicationId]
     return folder.rstrip("/")
 
 
