@@ -2,7 +2,6 @@ import re
 
 from pyspark.sql import functions as F
 
-from samples import nothing  # noqa: F401
 from tidemark.llm import url_filter
 
 URLS = ["http://a.com/x", "https://EXAMPLE.com/en/1", "http://www.example.com/en/2?x=/en/", "http://b.www.Example.com/en/", "http://notexample.com/en/", "http://x.net/es/1",
@@ -51,7 +50,7 @@ def test_features(spark):
     assert abs(spark.range(1).select(url_filter._entropy(F.lit("aabb")).alias("e")).first().e - 1) < 1e-9
 
 
-def test_labels_of_one_kind_and_none(spark, nothing):
+def test_labels_of_one_kind_and_none(spark):
     rows = url_filter.judge(pages(spark, ["http://a.com/1", "http://b.org/"])).collect()
     assert {r.verdict for r in rows} == {"allow"}
     assert url_filter.judge(pages(spark, ["x"]).limit(0)).collect() == []
