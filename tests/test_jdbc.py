@@ -1,7 +1,6 @@
 """JDBC scans are tested by the options they give to Spark; no database is used."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators.watermark import Watermark
 from tidemark.sources import jdbc
