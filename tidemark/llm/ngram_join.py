@@ -31,7 +31,7 @@ from tidemark.llm.components import components
 from tidemark.llm.folders import drop_written, written
 from tidemark.llm.text import NON_SPACE, U64, Block, blocks, bounded_batches, grams, mix, ranges
 
-#: Ids of texts up to this number (some 20 MB) are broadcast to find their rows; more are joined by a shuffle.
+#: Ids up to this number (some 20 MB) are broadcast to find or drop their rows; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: N-grams for a task that looks for shared ones.
 TASK_GRAMS = 4_000_000
@@ -393,7 +393,11 @@ def deduplicate(documents: DataFrame, id_column: str = "doc_id", text_column: st
     same = F.col("id").eqNullSafe(F.col("kept_id"))
     again = sets.groupBy(F.col("id").alias("again")).count().where("count > 1 or again is null").select("again")
     if not again.head(1):
-        return row.join(kept, same, "left_semi").select("row.*")
+        # Fewer go than stay, so it is their ids that meet the rows.
+        dropped = written(sets.join(kept, same, "left_anti").select(F.col("id").alias("dropped")), "dropped")
+        if dropped.count() <= BROADCAST_IDS:
+            dropped = F.broadcast(dropped)
+        return row.join(dropped, F.col("id") == F.col("dropped"), "left_anti").select("row.*")
     # Ids of several rows don't tell which of them to keep; their sets do.
     again = written(again, "again")
     repeated = F.col("id").eqNullSafe(F.col("again"))
