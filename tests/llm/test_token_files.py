@@ -34,6 +34,20 @@ def test_pieces_give_the_ids_of_the_text(tokenizer, texts):
         assert number.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+WITH_NAME = st.lists(st.one_of(st.just("<|endoftext|>"), st.sampled_from(" \n\t\u00a0a'sé9.<|>"), st.just("endoftext")), max_size=20).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(WITH_NAME, min_size=1, max_size=5))
+def test_the_name_of_a_special_token_is_that_token(texts):
+    plain = Tokenizer.from_file(tokenizer_path())
+    for block in blocks(pa.array(["a<|endoftext|>b", *texts], pa.string())):
+        ids, number = known.encode_block(block)
+        want = [plain.encode(t, add_special_tokens=False).ids for t in ["a<|endoftext|>b", *texts]]
+        assert number.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+        assert ids[:3].tolist() == [64, 50256, 65]
+
+
 def test_one_hash_for_two_pieces_is_noticed(tokenizer, monkeypatch):
     from tidemark.llm.text import Block
     monkeypatch.setattr(Block, "hashes", lambda self, starts, ends, **_: np.ones(len(starts), np.uint64))

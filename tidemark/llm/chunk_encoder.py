@@ -1,7 +1,9 @@
 """Encodes texts with a tokenizer file, each distinct piece of them once.
 
 Byte-level tokenizers cut a text before they merge bytes. The places used here are
-among those cuts, so the ids of the pieces, one after the other, are those of the text.
+among those cuts, so the ids of the pieces, one after the other, are those of the text. None
+is inside the name of a special token without white space, such as <|endoftext|>: the
+library gives that name its own id wherever a text holds it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._forget()
 

@@ -43,7 +43,8 @@ def _kind(df: DataFrame, column: str) -> str:
 
 def write_payload(documents: DataFrame, folder: str, tokenizer: str, end_id: int, id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
-    """Encode and write all documents. A null text is an empty one; each text gets ``end_id`` at its end."""
+    """Encode and write all documents. A null text is an empty one; each text gets ``end_id`` at its end.
+    The name of a special token in a text is that token, as in the library's plain ``encode``."""
     bounded_batches(documents.sparkSession)
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
