@@ -49,5 +49,21 @@ def test_a_snapshot_goes_and_a_fork_stays(spark):
     assert sorted(r.conv for r in chat.render(table(spark, rows)).collect()) == [2, 3, 5]
 
 
+@pytest.mark.parametrize("turn", [None, 5])
+def test_a_conversation_of_one_turn_number_is_cut(spark, turn):
+    """A third of all rows have one conversation and one turn number: no task numbers them all."""
+    rows = [(None, turn, "user", f"text {k * 7919 % 3000}") for k in range(3000)] + [(k // 4 % 40, k % 4, "user", f"w{k % 4}{k // 4 % 40}") for k in range(6000)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        turns = table(spark, rows).selectExpr("conv_id AS conv", "CAST(turn AS long) AS turn", "role", "text")
+        hashed = chat.prefix_hashes(turns)
+        assert [r.place for r in hashed.where("conv IS NULL").select("place").orderBy("place").collect()] == list(range(1, 3001))
+        assert hashed.groupBy("conv", "task").count().agg({"count": "max"}).first()[0] < 1000
+        assert got(chat.render(table(spark, rows))) == brute(rows)
+    finally:
+        spark.conf.unset(name)
+
+
 def test_empty(spark):
     assert chat.render(table(spark, [(1, 0, "u", "a")]).limit(0)).collect() == []

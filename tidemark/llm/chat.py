@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.folders import written
 
-#: Turns that are hashed and rendered together. A longer conversation has several
-#: parts, so that no task holds a whole one however long.
+#: Turn numbers of a part, and turns that are rendered together before a part is put
+#: together from them.
 PART_TURNS = 256
 #: The rendering of a turn.
 TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
@@ -27,25 +27,29 @@ def _turn(role: Column, text: Column) -> Column:
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """``(conv, place, role, text, one, two)``: two 64-bit hashes of all turns up to each.
 
-    A conversation's turns are cut into parts by rank within ranges of turn numbers; sums
-    over parts come first and the running sums within a part are added to them.
+    Distinct turns are range-partitioned in their order, so a conversation is cut where a
+    task ends, whatever its turn numbers are. Counts and sums of a conversation's turns in
+    each task come first; those of earlier tasks are added to the places and the running
+    sums within a task.
     """
-    ordered = turns.groupBy("conv", "turn", "role", "text").count().drop("count")
-    ordered = ordered.withColumn("slot", F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS))
-    own = Window.partitionBy("conv", "slot").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    ordered = written(ordered.withColumn("k", F.row_number().over(own)), "turns")
-    slots = ordered.groupBy("conv", "slot").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumnsRenamed({"conv": "c", "slot": "s"})
-    placed = ordered.join(slots, F.col("conv").eqNullSafe(F.col("c")) & (F.col("slot") == F.col("s"))).withColumn("place", F.col("before") + F.col("k"))
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    ordered = turns.groupBy("conv", "turn", "role", "text").count().drop("count").repartitionByRange(*order).sortWithinPartitions(*order)
+    # the upper bits of this number are the task's
+    ordered = ordered.withColumn("at", F.monotonically_increasing_id())
+    ordered = written(ordered.withColumns({"task": F.shiftright("at", 33), "slot": F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS)}), "turns")
+    tasks = ordered.groupBy("conv", "task").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumnsRenamed({"conv": "c", "task": "s"})
+    same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("task") == F.col("s"))
+    placed = ordered.join(tasks, same).withColumn("place", F.col("before") + F.col("at") - F.col("first") + 1)
     hashed = placed.withColumns({name: F.xxhash64(F.lit(salt), "place", "role", "text") for salt, name in ((1, "one"), (2, "two"))})
-    sums = hashed.groupBy("conv", "slot").agg(F.bit_xor("one").alias("x"), F.bit_xor("two").alias("y"))
+    sums = hashed.groupBy("conv", "task").agg(F.bit_xor("one").alias("x"), F.bit_xor("two").alias("y"))
     sums = sums.withColumns({f"{c}_before": F.coalesce(F.bit_xor(c).over(earlier), F.lit(0)) for c in ("x", "y")}).select(
-        F.col("conv").alias("c"), F.col("slot").alias("s"), "x_before", "y_before")
-    hashed = hashed.drop("c", "s").join(sums, F.col("conv").eqNullSafe(F.col("c")) & (F.col("slot") == F.col("s")))
-    running = own.rowsBetween(Window.unboundedPreceding, 0)
+        F.col("conv").alias("c"), F.col("task").alias("s"), "x_before", "y_before")
+    hashed = hashed.drop("c", "s").join(sums, same)
+    running = Window.partitionBy("conv", "task").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return hashed.select(
-        "conv", "slot", "place", "turn", "role", "text", F.col("x_before").bitwiseXOR(F.bit_xor("one").over(running)).alias("one"),
+        "conv", "task", "slot", "place", "turn", "role", "text", F.col("x_before").bitwiseXOR(F.bit_xor("one").over(running)).alias("one"),
         F.col("y_before").bitwiseXOR(F.bit_xor("two").over(running)).alias("two"))
 
 
@@ -69,6 +73,9 @@ def render(conversations: DataFrame, id_column: str = "conv_id", turn_column: st
     are one conversation; repeated rows are one turn, and turns of one number are in
     order of role and text. Turns 0 to PART_TURNS - 1 are part 0, and so on; ``n_turns``
     counts the whole conversation. Other columns are ignored.
+
+    Only the last step holds a whole part: it is one text by contract, however many turns
+    have its numbers.
     """
     empty = F.lit("")
     turns = conversations.select(
@@ -76,6 +83,14 @@ def render(conversations: DataFrame, id_column: str = "conv_id", turn_column: st
         F.coalesce(F.col(role_column).cast("string"), empty).alias("role"), F.coalesce(F.col(text_column).cast("string"), empty).alias("text"))
     hashed = written(prefix_hashes(turns), "hashed")
     kept = maximal(hashed).withColumnsRenamed({"conv": "c"})
-    lines = hashed.join(kept, F.col("conv").eqNullSafe(F.col("c"))).groupBy("conv", F.col("slot").alias("part")).agg(
-        F.max("n_turns").alias("n_turns"), F.array_sort(F.collect_list(F.struct("place", _turn(F.col("role"), F.col("text")).alias("line")))).alias("lines"))
-    return lines.select("conv", "part", "n_turns", F.array_join("lines.line", "").alias("text"))
+    lines = hashed.join(kept, F.col("conv").eqNullSafe(F.col("c"))).select(
+        "conv", F.col("slot").alias("part"), F.floor((F.col("place") - 1) / PART_TURNS).alias("piece"), "place", "n_turns",
+        _turn(F.col("role"), F.col("text")).alias("line"))
+    pieces = _joined(lines, ["conv", "part", "piece"], "place", "line")
+    return _joined(pieces, ["conv", "part"], "piece", "line").withColumnRenamed("line", "text")
+
+
+def _joined(lines: DataFrame, keys: list[str], order: str, line: str) -> DataFrame:
+    """One text for each group, in order."""
+    lists = lines.groupBy(*keys).agg(F.max("n_turns").alias("n_turns"), F.array_sort(F.collect_list(F.struct(order, line))).alias("lines"))
+    return lists.select(*keys, "n_turns", F.array_join(f"lines.{line}", "").alias(line))
