@@ -44,6 +44,30 @@ def test_trees_learn_lexical_patterns(spark):
     assert sum((r.score >= 0.5) == (r.page_id % 2 == 1) for r in rows) >= 57
 
 
+def test_statistics_count_all_labelled_urls_and_the_trees_see_distinct_ones(spark):
+    """More labelled URLs than the trees are fitted on; half of the rows are one URL with the smallest hash of its kind."""
+    urls = [f"http://h{k}.org/{'buy-now/' * 3 if k % 2 else 'article/'}{k}" for k in range(400)]
+    hashes = pages(spark, urls).where("page_id % 2 = 1").select("url", F.xxhash64("url").alias("h"))
+    often = hashes.orderBy("h").first().url
+    labelled = pages(spark, urls + [often] * 400).select("url", F.col("url").contains("buy-now").cast("int").alias("blocked"))
+    model = url_filter.UrlFilter.fit(labelled, rows=40)
+    seen = {r.suffix: round(2.718281828459045 ** r.host_seen - 1) for r in model.statistics["host"].collect()}
+    assert seen == {f"h{k}.org": 1 + 400 * (urls[k] == often) for k in range(400)}
+    assert abs(model.base - 600 / 800) < 1e-9
+    fresh = pages(spark, [f"http://new{k}.org/{'buy-now/' * 3 if k % 2 else 'article/'}x{k}" for k in range(60)])
+    rows = model.score(fresh.select("page_id", "url", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))).collect()
+    assert sum((r.score >= 0.5) == (r.page_id % 2 == 1) for r in rows) >= 57
+
+
+def test_a_url_does_not_see_its_own_label(spark):
+    """Hosts that occur once tell nothing about themselves: labels at random stay unlearned."""
+    kind = lambda k: (k * 2654435761 >> 7) % 2
+    labelled = spark.createDataFrame([(f"http://h{k}.org/a/{k}", kind(k)) for k in range(1000, 1400)], "url string, blocked int")
+    model = url_filter.UrlFilter.fit(labelled)
+    rows = model.score(labelled.select("url", "blocked", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))).collect()
+    assert sum((r.score >= 0.5) == (r.blocked == 1) for r in rows) < 320
+
+
 def test_features(spark):
     row = spark.range(1).select(*[v.alias(k) for k, v in url_filter.features(F.lit("http://a1.b.com/x/y?p=1&q=2"), F.lit("a1.b.com"), F.lit("/x/y")).items()]).first()
     assert (row.url_length, row.host_depth, row.path_depth, row.parameters) == (27, 3, 2, 2) and abs(row.host_digits - 1 / 8) < 1e-9

@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.folders import written
 
-#: Labelled URLs of each kind that the trees are fitted on: those with the smallest hashes.
+#: Distinct labelled URLs of each kind that the trees are fitted on: those with the smallest hashes.
 FIT_ROWS = 10_000
+#: The trees see statistics of a labelled URL's suffixes without the labels of its own fold.
+FOLDS = 10
 TREES, DEPTH = 15, 4
 ALLOW, BLOCK = "allow", "block"
 
@@ -108,36 +110,38 @@ class UrlFilter:
 
     @classmethod
     def fit(cls, labelled: DataFrame, url: str = "url", label: str = "blocked", rows: int = FIT_ROWS) -> UrlFilter:
-        """Fit on ``label`` 1 (blocked) or 0 of URLs, up to ``rows`` of each. Null labels and
-        URLs teach nothing; labels of one kind, or none, give that kind's share as score."""
+        """Fit on ``label`` 1 (blocked) or 0 of URLs. Suffix statistics count all of them; the trees
+        see up to ``rows`` distinct URLs of each. Null labels and URLs teach nothing; labels of one
+        kind, or none, give that kind's share as score."""
         known = labelled.select(F.col(url).alias("url"), F.col(label).cast("int").alias("label")).where("url is not null and label is not null")
-        hashed = known.withColumn("h", F.xxhash64("url"))
-        sample = hashed.where("label = 1").orderBy("h", "url").limit(rows).unionByName(
-            hashed.where("label <> 1").orderBy("h", "url").limit(rows)).drop("h")
-        sample = sample.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-        sample = written(_with_features(sample), "urls")
-        counts = sample.agg(F.count("*"), F.sum("label")).first()
+        counted = known.groupBy("url", "label").agg(F.count("*").alias("n")).withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
+        counted = written(_with_suffixes(counted).withColumn("h", F.xxhash64("url")).withColumn("fold", F.pmod("h", F.lit(FOLDS))), "urls")
+        counts = counted.agg(F.sum("n"), F.sum(F.col("label") * F.col("n"))).first()
         base = float(counts[1] or 0) / counts[0] if counts[0] else 0.0
-        statistics = {}
-        for name in _suffixes(F.lit(""), F.lit("")):
-            # 10 labelled URLs weigh as much as the share of all
-            statistics[name] = sample.groupBy(F.col(f"suffix_{name}").alias("suffix")).agg(
-                ((F.sum("label") + 10 * F.lit(base)) / (F.count("*") + 10)).alias(f"{name}_blocked"),
-                F.log1p(F.count("*")).alias(f"{name}_seen"))
-        statistics = {name: written(table, "suffixes") for name, table in statistics.items()}
-        out = cls(None, statistics, [], base)
+        folds = {name: written(_counts(counted, f"suffix_{name}", "fold"), "folds") for name in _suffixes(F.lit(""), F.lit(""))}
+        totals = {name: written(_totals(table, f"suffix_{name}"), "suffixes") for name, table in folds.items()}
+        out = cls(None, {name: _statistic(table, name, base) for name, table in totals.items()}, [], base)
         if 0 < base < 1:
-            ready, out.names = out._ready(sample)
+            sample = written(counted.where("label = 1").orderBy("h", "url").limit(rows).unionByName(
+                counted.where("label <> 1").orderBy("h", "url").limit(rows)), "sample")
+            ready, out.names = out._ready(sample, {name: _statistic(_other_folds(table, totals[name], name), name, base, "fold") for name, table in folds.items()})
             trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=5, stepSize=0.2)
             # the sample is bounded: a few tasks each round are enough
-            out.model = trees.fit(ready.select("features", F.col("label").cast("double").alias("label")).coalesce(4))
+            ready = written(ready.select("features", F.col("label").cast("double").alias("label")), "ready")
+            out.model = trees.fit(ready.coalesce(4))
         return out
 
-    def _ready(self, urls: DataFrame) -> tuple[DataFrame, list[str]]:
+    def _ready(self, urls: DataFrame, of_folds: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[str]]:
+        """Rows with ``url``, ``host``, ``path`` and suffixes get their features; with ``of_folds``, by ``fold`` too."""
         names = list(features(F.lit(""), F.lit(""), F.lit("")))
-        for name, table in self.statistics.items():
-            urls = urls.join(table.withColumnRenamed("suffix", f"of_{name}"), F.col(f"suffix_{name}") == F.col(f"of_{name}"), "left").drop(f"of_{name}")
+        for name, table in (of_folds or self.statistics).items():
+            same = F.col(f"suffix_{name}") == F.col(f"of_{name}")
+            if of_folds:
+                table = table.withColumnRenamed("fold", f"fold_{name}")
+                same &= F.col("fold") == F.col(f"fold_{name}")
+            urls = urls.join(table.withColumnRenamed("suffix", f"of_{name}"), same, "left").drop(f"of_{name}", f"fold_{name}")
             names += [f"{name}_blocked", f"{name}_seen"]
+        urls = urls.withColumns({k: v.cast("double") for k, v in features(F.col("url"), F.col("host"), F.col("path")).items()})
         urls = urls.fillna({c: self.base for c in names if c.endswith("_blocked")} | {c: 0.0 for c in names if c.endswith("_seen")})
         return VectorAssembler(inputCols=names, outputCol="features").transform(urls), names
 
@@ -146,14 +150,36 @@ class UrlFilter:
         if self.model is None:
             return urls.withColumn("score", F.lit(self.base))
         kept = [c for c in urls.columns if c != "score"]
-        ready, _ = self._ready(_with_features(urls))
+        ready, _ = self._ready(_with_suffixes(urls))
         return self.model.transform(ready).select(*kept, F.element_at(vector_to_array("probability"), 2).alias("score"))
 
 
-def _with_features(urls: DataFrame) -> DataFrame:
-    url, host, path = F.col("url"), F.col("host"), F.col("path")
-    return urls.withColumns(
-        {k: v.cast("double") for k, v in features(url, host, path).items()} | {f"suffix_{k}": v for k, v in _suffixes(host, path).items()})
+def _with_suffixes(urls: DataFrame) -> DataFrame:
+    return urls.withColumns({f"suffix_{k}": v for k, v in _suffixes(F.col("host"), F.col("path")).items()})
+
+
+def _counts(counted: DataFrame, suffix: str, *more: str) -> DataFrame:
+    """``(suffix, blocked, seen)`` of all labelled URLs, copies included."""
+    return counted.groupBy(suffix, *more).agg(F.sum(F.col("label") * F.col("n")).alias("blocked"), F.sum("n").alias("seen"))
+
+
+def _totals(folds: DataFrame, suffix: str) -> DataFrame:
+    return folds.groupBy(suffix).agg(F.sum("blocked").alias("blocked"), F.sum("seen").alias("seen"))
+
+
+def _other_folds(folds: DataFrame, totals: DataFrame, name: str) -> DataFrame:
+    """What all folds but each one count."""
+    suffix = f"suffix_{name}"
+    whole = totals.withColumnsRenamed({"blocked": "all_blocked", "seen": "all_seen"})
+    return folds.join(whole, suffix).select(
+        suffix, "fold", (F.col("all_blocked") - F.col("blocked")).alias("blocked"), (F.col("all_seen") - F.col("seen")).alias("seen"))
+
+
+def _statistic(counts: DataFrame, name: str, base: float, *more: str) -> DataFrame:
+    """Share blocked, for which 10 labelled URLs weigh as much as the share of all, and number seen."""
+    return counts.select(
+        F.col(f"suffix_{name}").alias("suffix"), *more, ((F.col("blocked") + 10 * F.lit(base)) / (F.col("seen") + 10)).alias(f"{name}_blocked"),
+        F.log1p("seen").alias(f"{name}_seen"))
 
 
 def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:
