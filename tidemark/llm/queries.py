@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat, decontamination, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
+    chat, decontamination, fill_middle, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
 from tidemark.llm.folders import folder as scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,3 +200,23 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 def op7_vector_search(spark, folder):
     vectors = _table(spark, folder, "embeddings")
     return vector_search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0)).withColumnRenamed("id", "vec_id")
+
+
+@query("""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+x AS (SELECT *, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS one, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS two FROM d),
+f AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[:least(one, two)], '') AS p, array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS m,
+    array_to_string(u[greatest(one, two) + 1:], '') AS s FROM x)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN len(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN len(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM f
+""")
+def op12_fill_middle(spark, folder):
+    return fill_middle.digests(_table(spark, folder, "documents"), rate=100, spm=50, seed=7).withColumnRenamed("id", "doc_id")
