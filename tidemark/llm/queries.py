@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat, decontamination, fill_middle, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
+    alignment, chat, decontamination, fill_middle, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
 from tidemark.llm.folders import folder as scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,3 +220,9 @@ FROM f
 """)
 def op12_fill_middle(spark, folder):
     return fill_middle.digests(_table(spark, folder, "documents"), rate=100, spm=50, seed=7).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_token_alignment(spark, folder):
+    aligned = alignment.align(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return aligned.withColumnRenamed("id", "doc_id")
