@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    alignment, chat, decontamination, fill_middle, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
+    alignment, archives, chat, decontamination, fill_middle, language, mixing, ngram_join, secrets, token_files, toxicity, url_filter, vector_search)
 from tidemark.llm.folders import folder as scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,3 +226,22 @@ def op12_fill_middle(spark, folder):
 def op13_token_alignment(spark, folder):
     aligned = alignment.align(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     return aligned.withColumnRenamed("id", "doc_id")
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT *, strlen(body) AS n, sha1(body) AS hex FROM p),
+f AS (SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS first FROM h WINDOW w AS (PARTITION BY hex ORDER BY page_id NULLS LAST)),
+b AS (SELECT *, list_transform(generate_series(0, 31), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(hex, (5 * (i // 4) + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) % 32, 1)) AS digits FROM f)
+SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(digits, '') AS payload_digest,
+       CASE WHEN n >= 0 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 0 AND place > 1 THEN first END AS refers_to
+FROM b
+""")
+def op11_warc(spark, folder):
+    home = scratch(spark, "archives")
+    archives.write_arc(_table(spark, folder, "pages"), f"{home}/arc")
+    archives.convert(spark, f"{home}/arc", f"{home}/warc", least=0)
+    return archives.read_warc(spark, f"{home}/warc").where("record_type <> 'warcinfo'").select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
