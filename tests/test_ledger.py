@@ -204,3 +204,78 @@ def test_a_day_without_rows_is_a_drop(spark):
     rows = [("j", dt.date(2024, 1, d), 100) for d in range(1, 15) if d != 9]
     daily = spark.createDataFrame(rows, "job string, day date, n long")
     assert dt.date(2024, 1, 9) in [d for _, d in values(ledger.drops(daily, "job", 3), "job", "day")]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("method, calls", [("_place", 0), ("_place", 1), ("_attach", 0), ("detach", 1), ("detach", 2)])
+def test_a_roll_up_that_stops_changes_no_count(spark, database, monkeypatch, method, calls):
+    """It stops before, while or after the merged commits are placed, attached, and the others
+    detached (the first detach is the one of an earlier stop); the next one finishes it."""
+    from tidemark.sinks.ledgers import Ledger
+
+    book = Ledger(spark, database, "book", "k bigint, kind string", "kind", "string")
+    for n in range(3):
+        for kind in ("a", "b c/d"):
+            book.append(spark.range(n + 1).select(F.col("id").alias("k")), kind)
+    before = values(book.read())
+    assert len(before) == 12
+    done, whole, failed = [], getattr(Ledger, method), []
+
+    def stops(self, *args):
+        done.append(1)
+        if len(done) > calls and not failed:
+            failed.append(1)
+            raise Stopped
+        return whole(self, *args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Ledger, method, stops)
+        try:
+            book.roll_up()
+        except Stopped:
+            pass
+    assert values(book.read()) == before
+    # another catalog over the folder sees the same, whatever was left there
+    spark.sql(f"DROP TABLE {book.name}")
+    assert values(book.read()) == before
+    book.roll_up()
+    assert values(book.read()) == before and sorted(len(c) for c in book.commits().values()) == [1, 1]
+    assert book.roll_up() == 0 and values(book.read()) == before
+    book.append(spark.range(5).select(F.col("id").alias("k")), "a")
+    assert book.roll_up() == 1 and book.read().count() == 17
+    spark.sql(f"DROP TABLE {book.name}")
+    assert book.read().count() == 17  # merged commits of merged commits, and all that they replace, are there again
+
+
+def test_a_commit_that_was_not_finished_is_not_found(spark, database):
+    from tidemark.sinks.ledgers import Ledger
+
+    book = Ledger(spark, database, "book", "k bigint, kind string", "kind", "string")
+    book.append(spark.range(2).select(F.col("id").alias("k")), "a")
+    spark.range(3).select(F.col("id").alias("k")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{book.root}/kind=a/commit_id=c-half")
+    spark.sql(f"DROP TABLE {book.name}")
+    assert book.read().count() == 2
+
+
+def test_an_older_ledger_gets_the_column(spark, database):
+    from tidemark.sinks.ledgers import Ledger
+
+    book = Ledger(spark, database, "book", "k bigint, kind string", "kind", "string")
+    spark.sql(f"CREATE TABLE {book.name} (k BIGINT, kind STRING, commit_id STRING) USING parquet PARTITIONED BY (kind, commit_id) LOCATION '{book.root}'")
+    for n in range(2):
+        book.append(spark.range(2).select(F.col("id").alias("k")), "a")
+    assert book.roll_up() == 1 and book.read().count() == 4
+
+
+def test_a_roll_up_reads_closed_commits_only(spark, database):
+    store = WatermarkStore(spark, database)
+    for k in range(3):
+        store.put("a", str(k))
+        store.put("b", str(k))
+    store.ledger.roll_up()
+    plan = store.history("a")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("StartsWith") and plan.count("= a") >= 2  # the job's folders on both sides of the anti-join

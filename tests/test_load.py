@@ -350,3 +350,80 @@ def test_the_source_is_read_once(spark, database, orders):
                 data_quality={"null_check": ["o_custkey"], "unique_check": ["o_orderkey"], "minimum_rows": 1})
     run_load(spark, spec, batch=tapped, state_database=database)
     assert seen.value == orders.count()
+
+
+# --- rows of the watermark's own value ------------------------------------
+
+def _ties_spec(database, **options):
+    return LoadSpec.from_dict({
+        "task": {"task_id": "ties", "task_name": "ties"},
+        "source": {"type": "table", "connection": "none", "schema": "none", "table": "none"},
+        "load": {"type": "incremental", "incremental": {"column": "at"}, "options": options},
+        "target": {"type": "parquet", "catalog": "spark_catalog", "database": database, "table": "ties"},
+        "transform": {"rename": {"v": "value"}},
+        "preload": {"enabled": False}, "postload": {"enabled": False},
+    })
+
+
+def _ties(spark, rows):
+    return spark.createDataFrame(rows, "k int, at timestamp_ntz, v string")
+
+
+def test_rows_of_the_last_value_that_come_late_are_loaded_once(spark, database):
+    import datetime as dt
+
+    one, two, three = (dt.datetime(2024, 1, d, 1, 2, 3, 456789) for d in (1, 2, 3))
+    source = [(1, one, "a"), (2, two, None), (3, two, "x"), (3, two, "x")]
+    target = ParquetTable(spark, database, "ties")
+
+    def load(rows, **options):
+        result = run_load(spark, _ties_spec(database, **options), batch=_ties(spark, rows), state_database=database, force=True)
+        held = sorted(((r.k, r.at, r.value) for r in target.read().collect()), key=repr)
+        assert held == sorted(rows, key=repr)
+        return result.rows_read
+
+    assert load(source) == 4
+    assert load(source) == 0  # nothing new: every row at the value was there
+    source += [(4, two, None), (3, two, "x"), (5, two, "a")]
+    assert load(source) == 3  # one more copy of a row, and two others
+    assert load(source) == 0
+    source += [(6, three, "b"), (7, two, "with the old value")]
+    assert load(source) == 2  # the value moves on and takes what came late along
+    assert load(source) == 0
+    source += [(8, three, "b")]
+    assert load(source) == 1
+    assert load(source) == 0
+
+
+def test_ties_can_be_left_out(spark, database):
+    import datetime as dt
+
+    two = dt.datetime(2024, 1, 2)
+    spec = _ties_spec(database, ties="lose")
+    for rows in ([(1, two, "a")], [(1, two, "a"), (2, two, "b")]):
+        run_load(spark, spec, batch=_ties(spark, rows), state_database=database, force=True)
+    assert ParquetTable(spark, database, "ties").read().count() == 1
+
+
+def test_a_boundary_without_its_watermark_changes_nothing(spark, database, monkeypatch):
+    """The run stops between the two commits: the next one repeats the batch it has not recorded."""
+    import datetime as dt
+    from tidemark.sinks.ledgers import BoundaryStore, WatermarkStore
+
+    one, two = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    run_load(spark, _ties_spec(database), batch=_ties(spark, [(1, one, "a")]), state_database=database, force=True)
+    mark = WatermarkStore(spark, database).get("ties")
+    BoundaryStore(spark, database).put("ties", "2024-01-02 00:00:00", BoundaryStore(spark, database).get("ties", mark)[0], ["k"])
+    result = run_load(spark, _ties_spec(database), batch=_ties(spark, [(1, one, "a"), (2, two, "b")]), state_database=database, force=True)
+    assert result.rows_read == 1 and ParquetTable(spark, database, "ties").read().count() == 2
+    assert BoundaryStore(spark, database).get("ties", mark) is None  # what is past is detached
+
+
+def test_a_column_added_later_does_not_repeat_rows(spark, database):
+    import datetime as dt
+
+    two = dt.datetime(2024, 1, 2)
+    run_load(spark, _ties_spec(database), batch=_ties(spark, [(1, two, "a")]), state_database=database, force=True)
+    wider = spark.createDataFrame([(1, two, "a", 9), (2, two, "b", 8)], "k int, at timestamp_ntz, v string, more int")
+    assert run_load(spark, _ties_spec(database), batch=wider, state_database=database, force=True).rows_read == 1
+    assert sorted((r.k, r.more) for r in ParquetTable(spark, database, "ties").read().collect()) == [(1, None), (2, 8)]

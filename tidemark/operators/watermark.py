@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -22,6 +23,7 @@ class Watermark:
     value: str | None
     kind: str = "timestamp"
     overlap: str | None = None
+    ties: bool = False  # also rows that have the value itself
 
     def literal(self, data_type: T.DataType) -> Column:
         """Typed like the column, so the comparison reaches the scan."""
@@ -33,14 +35,14 @@ class Watermark:
         return (literal - F.expr(f"INTERVAL {self.overlap}")).cast(data_type)
 
     def newer(self, df: DataFrame, partition: PartitionRule | None = None) -> DataFrame:
-        """Rows strictly past the value; everything if there is none. For a table
+        """Rows past the value, with ``ties`` also those at it; everything if there is none. For a table
         partitioned by a transform of the column the implied partition predicate is
         added, so older partitions are never opened."""
         if self.value in (None, ""):
             return df
         [name] = require_columns(df.columns, [self.column])
         literal = self.literal(df.schema[name].dataType)
-        out = df.where(col(name) > literal)
+        out = df.where(col(name) >= literal if self.ties else col(name) > literal)
         # Partition values are cut in UTC; in another zone the literal's would not fit them.
         if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns and is_utc(df.sparkSession):
             implied = partition.implied_by_after(literal)
@@ -48,6 +50,51 @@ class Watermark:
         return out
 
 
+#: Column of a batch that tells its source rows apart; not part of any target.
+ROW_HASH = "__row_hash"
+
+
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits of a row's values, NULLs told from other values by their place."""
+    parts = []
+    for name in require_columns(df.columns, columns):
+        value = col(name)
+        if isinstance(df.schema[name].dataType, T.MapType):
+            value = F.array_sort(F.map_entries(value))
+        parts += [value.isNull(), value]
+    return F.struct(F.xxhash64(F.lit(1), *parts).alias("one"), F.xxhash64(F.lit(2), *parts).alias("two"))
+
+
+def without_seen(df: DataFrame, mark: Watermark, seen: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    """A scan with ``ties``, with ROW_HASH of ``columns``, less the rows at the watermark's
+    value that an earlier batch had.
+
+    ``seen`` has ``(row_hash, copies)``. Rows count as often as they come: of a row that
+    was there twice and now comes three times, one is new. Only rows that have the value
+    itself are grouped and joined; all others pass through. Without a value or ``seen``
+    every row of the scan is new.
+    """
+    hashed = df.withColumn(ROW_HASH, row_hash(df, columns))
+    if seen is None or mark.value in (None, ""):
+        return hashed
+    [name] = require_columns(df.columns, [mark.column])
+    literal = mark.literal(df.schema[name].dataType)
+    # Copies of a row are counted before the shuffle, so a row of many copies is one for each task.
+    at = hashed.where(col(name) == literal).groupBy(ROW_HASH).agg(
+        F.count(F.lit(1)).alias("there"), F.any_value(F.struct(*[col(c) for c in df.columns])).alias("row"))
+    known = seen.groupBy("row_hash").agg(F.sum("copies").alias("copies")).withColumnRenamed("row_hash", "known")
+    fresh = at.join(known, F.col(ROW_HASH) == F.col("known"), "left").withColumn("more", F.col("there") - F.coalesce("copies", F.lit(0)))
+    again = fresh.where("more > 0").select("row", ROW_HASH, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("more"))).alias("copy"))
+    return hashed.where(col(name) > literal).unionByName(again.select("row.*", ROW_HASH))
+
+
+def boundary(batch: DataFrame, column: str, high: str | None) -> DataFrame:
+    """``(row_hash, copies)`` of a batch's rows that have its highest watermark."""
+    [name] = require_columns(batch.columns, [column])
+    top = batch.where(col(name) == F.lit(high).cast(batch.schema[name].dataType))
+    return top.groupBy(F.col(ROW_HASH).alias("row_hash")).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def newer_than(
     df: DataFrame, column: str, value: str | None, kind: str = "timestamp", partition: PartitionRule | None = None
 ) -> DataFrame:

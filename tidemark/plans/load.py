@@ -24,10 +24,10 @@ from tidemark.operators.dedup import latest
 from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge
 from tidemark.operators.schema import additions, conform
 from tidemark.operators.transform import project, transform
-from tidemark.operators.watermark import Watermark, advance, high_value, start_value
+from tidemark.operators.watermark import ROW_HASH, Watermark, advance, boundary, high_value, start_value, without_seen
 from tidemark.plans import hooks
 from tidemark.plans.spec import LoadSpec, SpecError
-from tidemark.sinks.ledgers import FileAudit, NotificationAudit, RunLedger, WatermarkStore
+from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, RunLedger, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder, path_exists
 from tidemark.sinks.tables import MergeError, ParquetTable, Staged
@@ -56,6 +56,8 @@ class _Batch:
     df: DataFrame | None
     listing: DataFrame | None = None  # the files of a feed
     pinned: str | None = None  # where the listing is stored
+    hashed: tuple[str, ...] = ()  # source columns that tell rows of the watermark's value apart
+    seen: DataFrame | None = None  # rows of that value which were loaded before
 
 
 class LoadFailed(Exception):
@@ -164,16 +166,24 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
     mark = None
     if load.is_incremental:
         mark = Watermark(load.watermark_column, since, load.watermark_type, load.overlap)
-    if batch is not None:
-        return _Batch(project(mark.newer(batch) if mark else batch, source.columns))
-    if source.type == "table":
-        rule = ParquetTable(spark, source.schema, source.table).partition
-        return _Batch(tables.scan(spark, source.full_name, source.columns, mark, rule))
-    if not source.is_feed:
-        connection = connection or jdbc.connection_from_env(source.connection, source.type, source.schema)
-        return _Batch(jdbc.scan(
-            spark, connection, jdbc.table_name(source.schema, source.table), source.jdbc, source.columns, mark,
-        ))
+    known = None
+    ties = load.keeps_ties and not spec.aggregate.columns and bool(state_database)
+    if ties:
+        known = BoundaryStore(spark, state_database).get(spec.task.id, since)
+        mark = replace(mark, ties=known is not None)
+    if not source.is_feed or batch is not None:
+        if batch is not None:
+            df = project(mark.newer(batch) if mark else batch, source.columns)
+        elif source.type == "table":
+            rule = ParquetTable(spark, source.schema, source.table).partition
+            df = tables.scan(spark, source.full_name, source.columns, mark, rule)
+        else:
+            connection = connection or jdbc.connection_from_env(source.connection, source.type, source.schema)
+            df = jdbc.scan(spark, connection, jdbc.table_name(source.schema, source.table), source.jdbc, source.columns, mark)
+        if not ties:
+            return _Batch(df)
+        seen, hashed = known or (None, df.columns)
+        return _Batch(without_seen(df, mark, seen, hashed), hashed=tuple(hashed), seen=seen)
 
     feed, pinned = source.feed, None
     listing = fresh = feeds.list_files(spark, feed.path, feed.pattern, feed.recursive)
@@ -275,6 +285,10 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
             counted = fresh_folder(spark, "counts")
             counts.select("file_path", "record_count").write.parquet(counted)
             counts = spark.read.schema("file_path string, record_count bigint").parquet(counted)
+        if high and found.hashed:
+            tied, tied_path = boundary(staged.read(spark), clock, high), fresh_folder(spark, "ties")
+            tied.write.parquet(tied_path)
+            tied = spark.read.schema(tied.schema).parquet(tied_path)
     except Exception:
         delete_path(spark, staged.path)
         raise
@@ -291,8 +305,15 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
     mark = since
     if spec.load.is_incremental:
         mark = advance(since, high)
+        if high and found.hashed:
+            kept = BoundaryStore(spark, state_database)
+            same = found.seen if high == since else None  # more rows of the value that was there
+            kept.put(spec.task.id, high, tied.unionByName(same) if same is not None else tied, found.hashed)
+            delete_path(spark, tied_path)
         if high:
             store.put(spec.task.id, high)
+            if found.hashed:
+                kept.forget_before(spec.task.id, high)
     if found.listing is not None:
         _file_audit(spark, spec, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
         delete_path(spark, counted)
@@ -321,7 +342,7 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
     if ambiguous:
         raise MergeError(f"several rows of the batch share a key {keys}")
     if not exists:
-        table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN))
+        table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN, ROW_HASH))
         return
     table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
     if not staged.metrics["rows"] and (keys or spec.load.is_incremental):

@@ -142,11 +142,17 @@ class Load:
     overwrite: str | None = None  # what a full load replaces: all | partitions
     preserve: tuple[str, ...] = ()
     overlap: str | None = None  # how far before the watermark to read again
+    ties: bool = True  # an append loads rows that come late with the watermark's own value
 
     @property
     def is_incremental(self) -> bool:
         return self.type != "full"
 
+    @property
+    def keeps_ties(self) -> bool:
+        """For appends; an upsert may read an overlap again."""
+        return self.is_incremental and self.ties and not self.merge_keys
+
 
 @dataclass(frozen=True)
 class Maintenance:
@@ -338,10 +344,13 @@ def _load(s: _Section, key_section: tuple[str, ...], primary: tuple[str, ...]) -
     overlap = options.get("overlap")
     if overlap and not keys:
         raise SpecError("[load.options] overlap needs merge keys, or rows would repeat")
+    ties = options.get("ties", "keep")
+    if ties not in ("keep", "lose"):
+        raise SpecError(f"[load.options] ties must be keep or lose, not {ties!r}")
     return Load(
         kind, column, watermark_type if watermark_type in ("timestamp", "numeric", "date") else "timestamp",
         None if initial is None else str(initial), keys, overwrite,
-        _Section("load.options", options).names("preserve"), str(overlap) if overlap else None,
+        _Section("load.options", options).names("preserve"), str(overlap) if overlap else None, ties == "keep",
     )
 
 

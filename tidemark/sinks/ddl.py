@@ -39,6 +39,11 @@ FILE_AUDIT = (
     "target_table STRING, load_timestamp STRING, record_count BIGINT, status STRING, error_message STRING"
 )
 WATERMARKS = "job_id STRING, watermark_value STRING, updated_at TIMESTAMP"
+# Rows that a job's last batch had at its watermark.
+BOUNDARIES = (
+    "job_id STRING, watermark_value STRING, updated_at TIMESTAMP, source_columns ARRAY<STRING>, "
+    "row_hash STRUCT<one: BIGINT, two: BIGINT>, copies BIGINT"
+)
 RUNS = (
     "run_id STRING, job_id STRING, source_type STRING, target_table STRING, start_time TIMESTAMP, "
     "end_time TIMESTAMP, duration_seconds DOUBLE, rows_read BIGINT, rows_written BIGINT, status STRING, "

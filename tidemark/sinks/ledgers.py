@@ -7,23 +7,30 @@ of its own, which is then attached to the ledger table as a partition.
 
 from __future__ import annotations
 
+import hashlib
 import traceback
 import uuid
-from urllib.parse import unquote
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.names import as_utc, identifier, sql_text, unique, utc_now
 from tidemark.operators.ledger import FAILED, SUCCESS
 from tidemark.operators.watermark import latest_per_job
 from tidemark.sinks import ddl
-from tidemark.sinks.places import path_exists
-from tidemark.sources.tables import row
+from tidemark.sinks.places import delete_path, move_path, path_exists, paths_like, touch
+from tidemark.sources.tables import row, rows as rows_of
 
-#: Scopes that a roll-up merges in one job.
+#: Scopes that a roll-up merges in one job, and partitions in one statement.
 _SCOPES_AT_ONCE = 200
+#: How names of merged commits begin; those of others begin with c.
+_MERGED = "r"
+#: Column in which one row of a merged commit has the commits it replaces.
+_REPLACES = "replaced_commits"
+#: File that Spark leaves in a folder whose job has ended well.
+_WHOLE = "_SUCCESS"
 
 
 def _folder_value(spark: SparkSession, value) -> str:
@@ -45,71 +52,138 @@ class Ledger:
         """Create database and table if missing; a new catalog over an existing
         folder finds the commits that are there."""
         if self.spark.catalog.tableExists(self.name):
+            if _REPLACES not in self.spark.table(self.name).columns:  # made before commits could be merged safely
+                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({_REPLACES} ARRAY<STRING>)")
             return
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(self.database)}")
-        full = T.StructType([*self._stored.fields]).add(self.scope, self.scope_type).add("commit_id", "string")
+        full = T.StructType([*self._stored.fields]).add(_REPLACES, T.ArrayType(T.StringType())).add(self.scope, self.scope_type).add("commit_id", "string")
         self.spark.sql(ddl.create_table(self.name, full, self.root, [self.scope, "commit_id"]))
-        if path_exists(self.spark, self.root):
-            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+        self.recover()
+
+    def recover(self) -> None:
+        """Attach the whole commits below the ledger's folder: those with a mark of success. Of
+        merged commits and what they replace both may be there; readers skip the latter."""
+        found = {}
+        for path in paths_like(self.spark, f"{self.root}/{self.scope}=*/commit_id=*/{_WHOLE}"):
+            scope, commit = path.rsplit("/", 3)[1:3]
+            found.setdefault(unquote(scope.partition("=")[2]), []).append(commit.partition("=")[2])
+        self._attach(found)
 
     @property
     def root(self) -> str:
         return f"{self.spark.catalog.getDatabase(self.database).locationUri.rstrip('/')}/{self.table}"
 
+    def _folder(self, scope, commit: str) -> str:
+        return f"{self.root}/{self.scope}={_folder_value(self.spark, scope)}/commit_id={commit}"
+
+    def _partition(self, scope, commit: str) -> str:
+        return f"PARTITION (`{self.scope}` = {sql_text(scope)}, commit_id = {sql_text(commit)})"
+
+    def _attach(self, commits: Mapping[object, Sequence[str]]) -> None:
+        parts = [f"{self._partition(s, c)} LOCATION {sql_text(self._folder(s, c))}" for s, some in commits.items() for c in some]
+        for at in range(0, len(parts), _SCOPES_AT_ONCE):
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {' '.join(parts[at:at + _SCOPES_AT_ONCE])}")
+
+    def detach(self, commits: Mapping[object, Sequence[str]]) -> None:
+        """Forget commits; their files stay, as a reader may still use them."""
+        parts = [self._partition(s, c) for s, some in commits.items() for c in some]
+        for at in range(0, len(parts), _SCOPES_AT_ONCE):
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {', '.join(parts[at:at + _SCOPES_AT_ONCE])}")
+        if parts:
+            self.spark.catalog.refreshTable(self.name)
+
     def append(self, df: DataFrame, scope) -> None:
         self.ensure()
         commit = unique("c")
-        path = f"{self.root}/{self.scope}={_folder_value(self.spark, scope)}/commit_id={commit}"
-        df.select(*self._stored.names).write.option("compression", "zstd").parquet(path)
-        self.spark.sql(
-            f"ALTER TABLE {self.name} ADD PARTITION "
-            f"(`{self.scope}` = {sql_text(scope)}, commit_id = {sql_text(commit)}) LOCATION {sql_text(path)}"
-        )
+        df.select(*self._stored.names).write.option("compression", "zstd").parquet(self._folder(scope, commit))
+        self._attach({scope: [commit]})
 
     def append_row(self, values: Sequence, scope) -> None:
         """One row held by the driver, given in column order."""
         exact = [as_utc(v) if isinstance(v, datetime) else v for v in values]
         self.append(row(self.spark, exact, self._stored).coalesce(1), scope)
 
-    def read(self) -> DataFrame:
+    def visible(self) -> DataFrame:
+        """The table without the commits that a merged one replaces, whether or not they are
+        still attached. Merged commits say in one row what they replace; of all other
+        commits nothing but partition names is looked at for that."""
         self.ensure()
-        return self.spark.table(self.name).select(*self.fields.names)
+        rows = self.spark.table(self.name)
+        merged = rows.where(F.col("commit_id").startswith(_MERGED) & F.col(_REPLACES).isNotNull())
+        gone = merged.select(F.col(self.scope).alias("__scope"), F.explode(_REPLACES).alias("__commit")).distinct()
+        return rows.join(gone, (F.col(self.scope) == F.col("__scope")) & (F.col("commit_id") == F.col("__commit")), "left_anti")
 
-    def roll_up(self, keep: Sequence = ()) -> int:
-        """Merge the commits of a scope (a day, a job) into one, but for the scopes in
-        ``keep``, such as a day that is not over; returns how many commits went. The
-        merged commit is attached before the others are detached: readers in between
-        see rows twice, which no lookup of a ledger minds, and never miss one. Files are
-        kept, as a reader may still use them."""
+    def read(self) -> DataFrame:
+        return self.visible().select(*self.fields.names)
+
+    def commits(self) -> dict[str, list[str]]:
+        """The attached commits by scope, as text. One name for each comes to the driver."""
         self.ensure()
-        commits: dict[str, list[str]] = {}
+        found: dict[str, list[str]] = {}
         for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
             scope, _, commit = spec.partition("/commit_id=")
-            commits.setdefault(unquote(scope.partition("=")[2]), []).append(commit)
-        kept = {str(k) for k in keep}
-        todo = {s: c for s, c in commits.items() if len(c) > 1 and s not in kept}
+            found.setdefault(unquote(scope.partition("=")[2]), []).append(commit)
+        return found
+
+    def roll_up(self, keep: Sequence = ()) -> int:
+        """Merge the commits of a scope (a day, a job) into one, but for the scopes in
+        ``keep``, such as a day that is not over; returns how many commits went.
+
+        A merged commit names those it replaces, and readers skip these, so at no time a row
+        is seen twice or missed. A run that stopped half-way is finished by the next one:
+        what is replaced already is only detached. One roll-up of a ledger at a time."""
+        kept, before = {str(k) for k in keep}, self.commits()
+        some = {s: c for s, c in before.items() if len(c) > 1 and s not in kept}
+        replaced = self._replaced(some)
+        self.detach(replaced)  # left by a run that stopped
+        todo = {s: left for s, c in some.items() if len(left := [x for x in c if x not in replaced.get(s, ())]) > 1}
         scopes = sorted(todo)
         for at in range(0, len(scopes), _SCOPES_AT_ONCE):
             self._merge_commits({s: todo[s] for s in scopes[at:at + _SCOPES_AT_ONCE]})
-        return sum(len(c) - 1 for c in todo.values())
+        return sum(map(len, before.values())) - sum(map(len, self.commits().values()))
+
+    def _replaced(self, commits: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
+        """The attached commits that an attached merged one replaces."""
+        if not any(c.startswith(_MERGED) for some in commits.values() for c in some):
+            return {}
+        rows = self.spark.table(self.name).where(F.col("commit_id").startswith(_MERGED) & F.col(_REPLACES).isNotNull())
+        named = rows.select(F.col(self.scope).cast("string").alias("scope"), F.explode(_REPLACES).alias("commit")).distinct().collect()
+        found: dict[str, list[str]] = {}
+        for scope, commit in named:
+            if commit in commits.get(scope, ()):
+                found.setdefault(scope, []).append(commit)
+        return found
 
     def _merge_commits(self, commits: dict[str, list[str]]) -> None:
-        table = self.spark.table(self.name)
-        rows = table.where(F.col(self.scope).cast("string").isin(list(commits)) & F.col("commit_id").isin([c for v in commits.values() for c in v]))
-        path, merged = f"{self.root}/_{unique('rollup')}", unique("r")
-        rows.drop("commit_id").repartition(F.col(self.scope)).write.option("compression", "zstd").partitionBy(self.scope).parquet(path)
-        spec = lambda scope, commit: f"PARTITION (`{self.scope}` = {sql_text(scope)}, commit_id = {sql_text(commit)})"
-        added = [f"{spec(s, merged)} LOCATION {sql_text(f'{path}/{self.scope}={_folder_value(self.spark, s)}')}" for s in commits]
-        self.spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(added)}")
-        self.spark.sql(f"ALTER TABLE {self.name} DROP {', '.join(spec(s, c) for s, v in commits.items() for c in v)}")
+        """The name of a merged commit follows from what it replaces: a repeat writes the same one."""
+        merged = {s: _MERGED + hashlib.sha1(",".join(sorted(c)).encode()).hexdigest() for s, c in commits.items()}
+        names = rows_of(self.spark, [(s, merged[s], c) for s, c in commits.items()], "__scope string, __merged string, __replaces array<string>")
+        rows = self.visible().where(F.col(self.scope).cast("string").isin(list(commits)) & F.col("commit_id").isin([c for v in commits.values() for c in v]))
+        number = F.row_number().over(Window.partitionBy(self.scope).orderBy("commit_id"))
+        rows = rows.join(F.broadcast(names), F.col(self.scope).cast("string") == F.col("__scope")).withColumns({
+            _REPLACES: F.when(number == 1, F.col("__replaces")), "commit_id": F.col("__merged")})
+        path = f"{self.root}/_{unique('rollup')}"
+        rows.select(*self._stored.names, _REPLACES, self.scope, "commit_id").write.option("compression", "zstd").partitionBy(self.scope, "commit_id").parquet(path)
+        for scope, commit in merged.items():
+            self._place(f"{path}/{self._folder(scope, commit).removeprefix(self.root + '/')}", self._folder(scope, commit))
+        delete_path(self.spark, path)
+        self._attach({s: [c] for s, c in merged.items()})
         self.spark.catalog.refreshTable(self.name)
+        self.detach(commits)
+
+    def _place(self, written: str, folder: str) -> None:
+        """Move a written commit to its folder and mark it as whole."""
+        if path_exists(self.spark, f"{folder}/{_WHOLE}"):
+            return  # by an earlier run that stopped
+        delete_path(self.spark, folder)
+        move_path(self.spark, written, folder)
+        touch(self.spark, f"{folder}/{_WHOLE}")
 
     def since(self, day: date) -> DataFrame:
         """For day-scoped ledgers: commits of the day or later; older partitions
         are not opened. A run is committed when it ends, so all runs started on
         the day are among them."""
-        self.ensure()
-        recent = self.spark.table(self.name).where(F.col(self.scope) >= F.lit(day.isoformat()).cast("date"))
+        recent = self.visible().where(F.col(self.scope) >= F.lit(day.isoformat()).cast("date"))
         return recent.select(*self.fields.names)
 
 
@@ -130,14 +204,51 @@ class WatermarkStore:
         self.ledger.append_row((str(value), at or utc_now()), job_id)
 
     def history(self, job_id: str) -> DataFrame:
-        self.ledger.ensure()
-        return self.ledger.spark.table(self.ledger.name).where(F.col("job_id") == F.lit(job_id))
+        return self.ledger.visible().where(F.col("job_id") == F.lit(job_id))
 
     def current(self) -> DataFrame:
         """Newest value of every job."""
         return latest_per_job(self.ledger.read())
 
 
+class BoundaryStore:
+    """The rows a job has loaded that have its watermark's value, so that rows of the same
+    value that come later are told from them. One commit holds them all; a lookup opens
+    the job's files only."""
+
+    def __init__(self, spark: SparkSession, database: str = "etl_audit", table: str = "watermark_boundary"):
+        self.ledger = Ledger(spark, database, table, ddl.BOUNDARIES, "job_id", "string")
+
+    def _at(self, job_id: str, value: str) -> DataFrame:
+        return self.ledger.visible().where((F.col("job_id") == F.lit(job_id)) & (F.col("watermark_value") == F.lit(value)))
+
+    def get(self, job_id: str, value: str | None) -> tuple[DataFrame, list[str]] | None:
+        """``(row_hash, copies)`` at the value, and the source columns that were hashed; None if there are none."""
+        if value in (None, "") or not self.ledger.spark.catalog.tableExists(self.ledger.name):
+            return None
+        rows = self._at(job_id, value)
+        last = rows.agg(F.max_by(F.struct("commit_id", "source_columns"), F.struct("updated_at", "commit_id")).alias("last")).first()["last"]
+        if last is None:
+            return None
+        return rows.where(F.col("commit_id") == F.lit(last["commit_id"])).select("row_hash", "copies"), list(last["source_columns"])
+
+    def put(self, job_id: str, value: str, rows: DataFrame, columns: Sequence[str], at: datetime | None = None) -> None:
+        """Record ``(row_hash, copies)``: all rows at the value, not only new ones."""
+        total = rows.groupBy("row_hash").agg(F.sum("copies").alias("copies"))
+        stamp = F.lit((at or utc_now()).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+        self.ledger.append(total.select(
+            F.lit(value).alias("watermark_value"), stamp.alias("updated_at"),
+            F.array(*[F.lit(c) for c in columns]).alias("source_columns"), "row_hash", "copies"), job_id)
+
+    def forget_before(self, job_id: str, value: str) -> None:
+        """Detach what belongs to other values of the job's watermark."""
+        if not self.ledger.spark.catalog.tableExists(self.ledger.name):
+            return
+        rows = self.ledger.spark.table(self.ledger.name).where(F.col("job_id") == F.lit(job_id))
+        gone = [r[0] for r in rows.where(F.col("watermark_value") != F.lit(value)).select("commit_id").distinct().collect()]
+        self.ledger.detach({job_id: gone})
+
+
 class RunLedger(Ledger):
     """One row per run, successful or not."""
 

@@ -50,3 +50,23 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it."""
     system, target = _file_system(spark, path)
     return system.makeQualified(target).toString()
+
+
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of the file system, from listing folders."""
+    system, target = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in system.globStatus(target) or ()]
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder, with the folders above the new place."""
+    system, new = _file_system(spark, target)
+    system.mkdirs(new.getParent())
+    if not system.rename(_file_system(spark, source)[1], new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    system, target = _file_system(spark, path)
+    system.create(target, True).close()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import col, find_column
 from tidemark.operators.schema import conform
+from tidemark.operators.watermark import ROW_HASH
 from tidemark.sinks.places import path_exists, qualified
 
 # Columns the scans add to what the files hold; dropped before publishing.
@@ -157,7 +158,7 @@ def _numeric_only(kinds: set[str]) -> bool:
 
 
 def without_extras(df: DataFrame) -> DataFrame:
-    return df.drop(FILE_COLUMN, CORRUPT_COLUMN)
+    return df.drop(FILE_COLUMN, CORRUPT_COLUMN, ROW_HASH)
 
 
 def file_counts(df: DataFrame) -> DataFrame:
