@@ -23,7 +23,7 @@ def tokens(known, text):
     """Ids of a whole text by both, without any cut; none if bytes differ."""
     a = known.a.encode(" " + text, add_special_tokens=False).ids if text else []
     b = known.b.encode(text) if text else []
-    same = b"".join(known.bytes_a[k] for k in a) == b"".join(known.bytes_b[k] for k in b) == (" " + text).encode()
+    same = b"".join(known.spell_a.bytes[k] for k in a) == b"".join(known.spell_b.bytes[k] for k in b) == (" " + text).encode()
     return (a, b) if text and same else ([], [])
 
 
@@ -31,7 +31,7 @@ def aligned(known, text):
     """Groups and links by plain loops over byte ranges."""
     a, b = tokens(known, text or "")
     spans = []
-    for ids, names in ((a, known.bytes_a), (b, known.bytes_b)):
+    for ids, names in ((a, known.spell_a.bytes), (b, known.spell_b.bytes)):
         at, out = 0, []
         for k in ids:
             out.append((at, at + len(names[k])))
@@ -126,9 +126,9 @@ def test_one_hash_for_two_pieces_is_noticed(known, monkeypatch):
 
 
 def test_a_worker_that_forgets(spark, known, monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    monkeypatch.setattr(alignment, "REMEMBERED", 6)
     read = alignment.Reader(A, B)
-    for text in ("one two three four", "five six", "one two"):
+    for text in ("one two three four", "five six one\n\n", "one two", "seven \u3000 eight", "nine ten one", "one two seven\t x"):
         span = read.span(next(blocks(pa.array([" " + text]))))
         assert span.total(span.kinds.sums)[0].tolist()[:2] == [len(x) for x in tokens(known, text)]
 
