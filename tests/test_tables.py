@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import PartitionRule, PartitionRules
 from tidemark.operators.merge import upsert
 from tidemark.operators.schema import SchemaError
 from tidemark.operators.watermark import Watermark
@@ -311,3 +311,107 @@ def test_many_partitions_are_published_in_seconds(spark, database):
     start = time.monotonic()
     table.publish_partitions(staged)
     assert time.monotonic() - start < 60 and table.read().count() == 400
+
+
+# --- partitions by several columns ----------------------------------------
+
+BY_TWO = "days(at), status"
+FOUR = ("id", "at", "status", "text")
+
+
+def _notices(spark, rows):
+    return spark.createDataFrame(rows, "id int, at timestamp_ntz, status string, text string")
+
+
+def _day(n):
+    return dt.datetime(2024, 1, n, 5)
+
+
+def test_partitionings_as_text():
+    assert PartitionRules.parse("days(sent_at), email_status").names == ["sent_at_day", "email_status"]
+    assert PartitionRules.parse("bucket(16, k), years(`a, b`), `x y`").names == ["k_bucket", "a, b_year", "x y"]
+    assert PartitionRules.parse("hours(ts)") == PartitionRule("hour", "ts") and PartitionRules.parse(" ") is None
+    for bad in ("nonsense(x)", "bucket(0, k)", "days(at), days(at)"):
+        with pytest.raises(ValueError):
+            PartitionRules.parse(bad)
+
+
+def test_a_table_by_two_columns_is_written_overwritten_and_merged(spark, database):
+    table = ParquetTable(spark, database, "notices", PartitionRules.parse(BY_TWO))
+    rows = [(1, _day(1), "SENT", "a"), (2, _day(1), "FAILED", "b"), (3, _day(2), "SENT", "c"), (4, _day(2), "a/b =%", "d"), (5, None, None, "e"), (6, _day(3), None, "f")]
+    table.publish_new(table.stage(_notices(spark, rows)))
+    again = ParquetTable(spark, database, "notices")
+    assert again.partition == PartitionRules.parse(BY_TWO)
+    assert values(again.read(), *FOUR) == values(_notices(spark, rows), *FOUR)
+    assert len(again._partition_specs()) == 6
+
+    files = {r[0]: r[1] for r in spark.table(table.name).select("id", F.col("_metadata.file_path")).collect()}
+    again.publish_partitions(again.stage(_notices(spark, [(7, _day(1), "SENT", "new")])))  # only this pair of values
+    rows = [(7, _day(1), "SENT", "new"), *rows[1:]]
+    assert values(again.read(), *FOUR) == values(_notices(spark, rows), *FOUR)
+    now = {r[0]: r[1] for r in spark.table(table.name).select("id", F.col("_metadata.file_path")).collect()}
+    assert {k: f for k, f in files.items() if k != 1} == {k: f for k, f in now.items() if k != 7}
+
+    # rows move from one pair to another, one pair is emptied, two get a row
+    again.merge(_notices(spark, [(2, _day(2), "SENT", "moved"), (8, _day(9), "SENT", "x"), (6, _day(3), None, "F")]), ["id"])
+    rows = [(7, _day(1), "SENT", "new"), (2, _day(2), "SENT", "moved"), (3, _day(2), "SENT", "c"), (4, _day(2), "a/b =%", "d"), (5, None, None, "e"),
+            (6, _day(3), None, "F"), (8, _day(9), "SENT", "x")]
+    assert values(again.read(), *FOUR) == values(_notices(spark, rows), *FOUR)
+    assert "at_day=2024-01-01/status=FAILED" not in again._partition_specs()
+    after = {r[0]: r[1] for r in spark.table(table.name).select("id", F.col("_metadata.file_path")).collect()}
+    assert {k: now[k] for k in (7, 4, 5)} == {k: after[k] for k in (7, 4, 5)}  # not touched, so not rewritten
+
+    again.publish_append(again.stage(_notices(spark, [(9, _day(1), "SENT", "more"), (10, _day(20), "SENT", "day")])))
+    assert again.read().count() == 9
+    again.publish_replace(again.stage(_notices(spark, rows[:2])))
+    assert values(again.read(), *FOUR) == values(_notices(spark, rows[:2]), *FOUR) and len(again._partition_specs()) == 2
+
+
+def test_a_scan_of_a_table_by_two_columns_prunes_both(spark, database):
+    table = ParquetTable(spark, database, "notices", PartitionRules.parse(BY_TWO))
+    table.publish_new(table.stage(_notices(spark, [(k, _day(1 + k % 20), f"S{k % 3}", "t") for k in range(100)])))
+    out = tables.scan(spark, table.name, ["id", "at", "status"], Watermark("at", "2024-01-15 05:00:00"), table.partition).where("status = 'S1'")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "at_day" in filters and "status" in filters
+    assert {r.id for r in out.collect()} == {k for k in range(100) if k % 20 > 14 and k % 3 == 1}
+
+
+def test_maintenance_of_a_table_by_two_columns(spark, database):
+    table = ParquetTable(spark, database, "notices", PartitionRules.parse(BY_TWO))
+    rows = _notices(spark, [(k, _day(1 + k % 2) if k % 7 else None, ["x/y", None][k % 2], "t") for k in range(60)])
+    table.publish_new(table.stage(rows.repartition(12), rebalance=False))
+    parts = len(table._partition_specs())
+    assert len(spark.table(table.name).inputFiles()) > parts
+    assert maintenance.compact(table) > 0
+    assert len(spark.table(table.name).inputFiles()) == parts and values(table.read(), *FOUR) == values(rows, *FOUR)
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=9)
+    assert maintenance.remove_orphans(table, now=later) > 0 and values(table.read(), *FOUR) == values(rows, *FOUR)
+
+
+def test_compaction_is_one_job_for_many_partitions(spark, database):
+    table = ParquetTable(spark, database, "many", PartitionRule("identity", "p"))
+    table.publish_new(table.stage(spark.range(4000).selectExpr("id", "cast(id % 400 AS int) AS p").repartition(4), rebalance=False))
+    assert len(spark.table(table.name).inputFiles()) > 1200
+    spark.sparkContext.setJobGroup("compaction", "compaction")
+    plan = maintenance.compaction_plan(maintenance.table_files(table)).where("rewrite").select("partition", "files", "target_files").collect()
+    spark.sparkContext.setJobGroup("rewrite", "rewrite")
+    staged = maintenance._rewrite_partitions(table, plan, 128)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("rewrite")
+    spark.sparkContext.setJobGroup("", "")
+    stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    assert len(plan) == 400 and len(jobs) <= 8 and len(stages) < 30  # listings, parts of one adaptive query, and its write
+    table.publish_partitions(staged)
+    assert len(spark.table(table.name).inputFiles()) == 400 and table.read().count() == 4000
+
+
+def test_compaction_keeps_the_order_of_rows(spark, database):
+    table = ParquetTable(spark, database, "sorted", PartitionRule("identity", "p"))
+    table.publish_new(table.stage(spark.range(6000).selectExpr("id", "1 AS p").repartitionByRange(6, "id").sortWithinPartitions("id"), rebalance=False))
+    size = sum(r["file_size"] for r in maintenance.table_files(table).collect())
+    assert maintenance.compact(table, size / 2 / 1024 / 1024) == 6
+    files = spark.table(table.name).select("id", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r")).collect()
+    by_file = {}
+    for row in sorted(files, key=lambda x: (x.f, x.r)):
+        by_file.setdefault(row.f, []).append(row.id)
+    assert 2 <= len(by_file) <= 3 and all(ids == list(range(ids[0], ids[0] + len(ids))) for ids in by_file.values())

@@ -1,4 +1,4 @@
-"""Partition transforms: day, hour, month, year, bucket and identity.
+"""Partition transforms: day, hour, month, year, bucket and identity, alone or several of them.
 
 Parquet tables have no hidden partitioning, so a transform becomes a derived
 column that the table is partitioned by. Catalogs with transforms of their own
@@ -47,6 +47,14 @@ class PartitionRule:
             return None
         return cls(_ALIASES.get(text, "identity"), column.strip())
 
+    @property
+    def parts(self) -> tuple[PartitionRule, ...]:
+        return (self,)
+
+    @property
+    def names(self) -> list[str]:
+        return [self.name]
+
     @property
     def is_identity(self) -> bool:
         return self.kind == "identity"
@@ -94,12 +102,68 @@ class PartitionRule:
             return None
         return col(self.name) >= self.value(literal)
 
-    def native(self) -> Column:
+    def native(self) -> list[Column]:
         """The transform for catalogs that support partition transforms."""
         from pyspark.sql.functions import partitioning
 
         if self.kind == "bucket":
-            return partitioning.bucket(self.buckets, self.column)
+            return [partitioning.bucket(self.buckets, self.column)]
         if self.is_identity:
-            return F.col(self.column)
-        return getattr(partitioning, self.kind + "s")(self.column)
+            return [F.col(self.column)]
+        return [getattr(partitioning, self.kind + "s")(self.column)]
+
+
+@dataclass(frozen=True)
+class PartitionRules:
+    """Several rules, in their order: a table's partitions are tuples of their values."""
+
+    parts: tuple[PartitionRule, ...]
+
+    def __post_init__(self):
+        folded = [n.casefold() for n in self.names]
+        if len(set(folded)) < len(folded):
+            raise ValueError(f"the partitioning names {self.names} more than once")
+
+    @classmethod
+    def parse(cls, text: str | None) -> PartitionRules | PartitionRule | None:
+        """``days(sent_at), status`` and the like; a single one is a plain rule. A column
+        whose name has commas or brackets needs backticks."""
+        found = re.findall(r"((?:`[^`]*`|\([^()]*\)|[^,(`])+)", text or "")
+        parts = []
+        for piece in (t.strip() for t in found):
+            if not piece:
+                continue
+            call = re.fullmatch(r"(\w+)\s*\((.*)\)", piece, re.S)
+            if not call:
+                rule = PartitionRule("identity", piece.strip("`").strip())
+            elif call[1].lower() == "bucket":
+                rule = PartitionRule.parse(piece, None)
+            elif call[1].lower() in (*_ALIASES, "identity"):
+                rule = PartitionRule.parse(call[1], call[2].strip().strip("`"))
+            else:
+                raise ValueError(f"unknown partition transform {call[1]!r}")
+            if rule is None:
+                raise ValueError(f"bad partition {piece!r}")
+            parts.append(rule)
+        return cls(tuple(parts)) if len(parts) > 1 else parts[0] if parts else None
+
+    @property
+    def names(self) -> list[str]:
+        return [rule.name for rule in self.parts]
+
+    def add_to(self, df: DataFrame) -> DataFrame:
+        for rule in self.parts:
+            df = rule.add_to(df)
+        return df
+
+    def drop_from(self, df: DataFrame) -> DataFrame:
+        for rule in self.parts:
+            df = rule.drop_from(df)
+        return df
+
+    def native(self) -> list[Column]:
+        return [column for rule in self.parts for column in rule.native()]
+
+
+#: What a table may be partitioned by.
+Partitioning = PartitionRule | PartitionRules

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,17 +15,25 @@ MEGABYTE = 1024 * 1024
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def files_of(df: DataFrame, partition: str | None = None) -> DataFrame:
+def files_of(df: DataFrame, depth: int = 0) -> DataFrame:
     """``(partition, file_path, file_size, modified_at)`` of the files a parquet
     relation reads, by listing their folders: no file is opened. The folders come from
-    the listing that Spark's driver holds to plan a scan."""
-    folders = sorted({path.rpartition("/")[0] for path in df.inputFiles()})
+    the listing that Spark's driver holds to plan a scan. ``depth`` is the number of
+    partition columns: of one, ``partition`` is its value, of several ``a=1/b=2`` as
+    folders spell it."""
+    folders = sorted({unquote(path).rpartition("/")[0] for path in df.inputFiles()})
     if not folders:
         return df.sparkSession.createDataFrame([], "partition string, file_path string, file_size long, modified_at timestamp")
     listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folders)
     path = F.col("_metadata.file_path")
-    text = F.regexp_extract(path, "/[^/=]+=([^/]*)/[^/]*$", 1)
-    value = F.when(text != NULL_PARTITION, F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))) if partition else F.lit(None).cast("string")
+    text = F.regexp_extract("path", "((?:/[^/=]+=[^/]*){%d})/[^/]*$" % depth, 1)
+    if depth > 1:
+        value = F.substring(text, F.lit(2), F.length(text))
+    elif depth:
+        text = F.regexp_replace(text, "^/[^/=]+=", "")
+        value = F.when(text != NULL_PARTITION, F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))))
+    else:
+        value = F.lit(None).cast("string")
     return listed.select(
         value.alias("partition"), path.alias("file_path"), F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified_at"))

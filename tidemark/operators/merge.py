@@ -20,11 +20,11 @@ def on_keys(keys: Iterable[str], left: str, right: str) -> Column:
     return condition
 
 
-def touched_values(target: DataFrame, source: DataFrame, keys: Iterable[str], partition: str) -> DataFrame:
-    """Distinct partition values of the target that hold a row with a source key."""
-    names = [col(k) for k in keys]
-    located = target.select(*names, col(partition).alias("__partition"))
-    return located.join(source.select(*names), list(keys), "left_semi").select("__partition").distinct()
+def touched_values(target: DataFrame, source: DataFrame, keys: Iterable[str], partition: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    """Distinct partition values of the target, under new names, that hold a row with a source key."""
+    columns = [col(k) for k in keys]
+    located = target.select(*columns, *[value.alias(name) for value, name in zip(partition, names, strict=True)])
+    return located.join(source.select(*columns), list(keys), "left_semi").select(*names).distinct()
 
 
 def update_matched(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import col, require_columns
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning
 from tidemark.functions.types import INITIAL_WATERMARKS, watermark_literal
 from tidemark.functions.zone import is_utc
 
@@ -34,7 +34,7 @@ class Watermark:
             return (literal - F.lit(self.overlap).cast(data_type)).cast(data_type)
         return (literal - F.expr(f"INTERVAL {self.overlap}")).cast(data_type)
 
-    def newer(self, df: DataFrame, partition: PartitionRule | None = None) -> DataFrame:
+    def newer(self, df: DataFrame, partition: Partitioning | None = None) -> DataFrame:
         """Rows past the value, with ``ties`` also those at it; everything if there is none. For a table
         partitioned by a transform of the column the implied partition predicate is
         added, so older partitions are never opened."""
@@ -44,9 +44,10 @@ class Watermark:
         literal = self.literal(df.schema[name].dataType)
         out = df.where(col(name) >= literal if self.ties else col(name) > literal)
         # Partition values are cut in UTC; in another zone the literal's would not fit them.
-        if partition and partition.column.casefold() == name.casefold() and partition.name in df.columns and is_utc(df.sparkSession):
-            implied = partition.implied_by_after(literal)
-            out = out if implied is None else out.where(implied)
+        for rule in partition.parts if partition and is_utc(df.sparkSession) else ():
+            if rule.column.casefold() == name.casefold() and rule.name in df.columns:
+                implied = rule.implied_by_after(literal)
+                out = out if implied is None else out.where(implied)
         return out
 
 
@@ -96,7 +97,7 @@ def boundary(batch: DataFrame, column: str, high: str | None) -> DataFrame:
 
 
 def newer_than(
-    df: DataFrame, column: str, value: str | None, kind: str = "timestamp", partition: PartitionRule | None = None
+    df: DataFrame, column: str, value: str | None, kind: str = "timestamp", partition: Partitioning | None = None
 ) -> DataFrame:
     return Watermark(column, value, kind).newer(df, partition)
 

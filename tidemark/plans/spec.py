@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning, PartitionRule, PartitionRules
 from tidemark.operators.ledger import RoutingRule
 from tidemark.operators.quality import QualityRules
 from tidemark.operators.transform import AggregateRules, AuditColumns, TransformRules
@@ -168,7 +168,7 @@ class Target:
     catalog: str
     database: str
     table: str
-    partition: PartitionRule | None = None
+    partition: Partitioning | None = None
     maintenance: Maintenance = Maintenance()
     kind: str = "iceberg"
 
@@ -362,7 +362,7 @@ def _target(s: _Section) -> Target:
     defaults = Maintenance()
     return Target(
         s.required("catalog"), s.required("database"), s.required("table"),
-        PartitionRule.parse(partition.text("type"), partition.text("column") or None),
+        PartitionRules.parse(partition.text("by")) or PartitionRule.parse(partition.text("type"), partition.text("column") or None),
         Maintenance(
             upkeep.flag("enabled"), upkeep.flag("compact_small_files"),
             upkeep.number("target_file_size_mb", default=defaults.target_file_size_mb, positive=True),

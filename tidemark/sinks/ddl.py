@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import quoted
 from tidemark.functions.names import sql_text
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning, PartitionRule, PartitionRules
 
 _AUDIT = "dwh_insert_ts TIMESTAMP, dwh_updated_ts TIMESTAMP, dwh_etl_run_id STRING, dwh_job_user STRING"
 
@@ -57,6 +58,15 @@ NOTIFICATIONS = (
     "template_used STRING, email_status STRING, error_message STRING, sent_timestamp TIMESTAMP"
 )
 
+# Partitioning of the governance tables, for catalogs with transforms and for
+# copies of the ledgers; a ledger itself is partitioned by scope and commit.
+GOVERNANCE = {
+    "watermark_store": (WATERMARKS, "job_id"),
+    "sftp_file_audit": (FILE_AUDIT, "target_table"),
+    "etl_pipeline_telemetry": (RUNS, "days(start_time)"),
+    "etl_email_audit": (NOTIFICATIONS, "days(sent_timestamp), email_status"),
+}
+
 PARTITION_PROPERTY = "tidemark.partition"
 
 
@@ -84,10 +94,15 @@ def create_table(
     return statement
 
 
-def rule_text(rule: PartitionRule) -> str:
-    return f"{rule.kind}:{rule.buckets}:{rule.column}"
+def rule_text(rule: Partitioning) -> str:
+    """One rule as ``kind:buckets:column``, several as a JSON list of such texts."""
+    texts = [f"{r.kind}:{r.buckets}:{r.column}" for r in rule.parts]
+    return texts[0] if len(texts) == 1 else json.dumps(texts)
 
 
-def rule_from_text(text: str) -> PartitionRule:
-    kind, buckets, column = text.split(":", 2)
-    return PartitionRule(kind, column, int(buckets))
+def rule_from_text(text: str) -> Partitioning:
+    texts = json.loads(text) if text.startswith("[") else [text]
+    rules = []
+    for kind, buckets, column in (t.split(":", 2) for t in texts):
+        rules.append(PartitionRule(kind, column, int(buckets)))
+    return rules[0] if len(rules) == 1 else PartitionRules(tuple(rules))

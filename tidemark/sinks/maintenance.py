@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
-from functools import reduce
 from itertools import islice
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import plain_path
+from tidemark.functions.columns import col, plain_path, require_columns
 from tidemark.functions.names import as_utc, unique, utc_now
-from tidemark.operators.maintenance import MEGABYTE, compaction_plan, files_of, orphan_files
+from tidemark.functions.partitioning import Partitioning
+from tidemark.operators.maintenance import MEGABYTE, NULL_PARTITION, compaction_plan, files_of, orphan_files
 from tidemark.sinks.places import delete_path
-from tidemark.sinks.tables import ParquetTable, Staged
+from tidemark.sinks.tables import ParquetTable, Staged, spec_values
 
-# Partitions published together, jobs that rewrite them at a time, and files deleted together.
-_BLOCK, _JOBS_AT_ONCE, _DELETES = 1000, 8, 10_000
+# Partitions rewritten and published together, deletes at a time, and files deleted together.
+_BLOCK, _DELETES_AT_ONCE, _DELETES = 1000, 8, 10_000
 
 
 def table_files(table: ParquetTable) -> DataFrame:
     rule = table.partition
-    return files_of(table.spark.table(table.name), rule.name if rule else None)
+    return files_of(table.spark.table(table.name), len(rule.names) if rule else 0)
 
 
 def compact(table: ParquetTable, target_mb: float = 128) -> int:
@@ -53,41 +53,38 @@ def _rewrite_whole(table: ParquetTable, target_mb: float) -> Staged:
 
 
 def _rewrite_partitions(table: ParquetTable, todo: list, target_mb: float) -> Staged:
-    """Neighbouring files of a partition, in order of name, become one file of about the
-    target size. Each new file is one task that reads its files one after the other:
-    nothing is shuffled, so rows that were close stay close."""
+    """One job: neighbouring files of a partition, in order of name, become one file of
+    about the target size, rows in the order they had.
+
+    A file's place in the running sum of its partition's sizes says which new file it
+    goes to, and each new file is one task. Only rows of partitions that are rewritten are
+    read and move; the folder of such a partition is new, so all its files are written."""
     spark, rule = table.spark, table.partition
     whole = spark.table(table.name)
-    wanted = F.broadcast(spark.createDataFrame([(r["partition"],) for r in todo], "wanted string"))  # at most _BLOCK rows
-    files = table_files(table).join(wanted, F.col("partition").eqNullSafe(F.col("wanted")), "left_semi")
-    folders: dict[str, list] = {}
-    for r in files.select("file_path", "file_size").collect():  # files of the partitions rewritten now
-        folders.setdefault(_decoded(r["file_path"]).rpartition("/")[0], []).append((_decoded(r["file_path"]), r["file_size"]))
+    first, bins = [], 0
+    for r in todo:  # at most _BLOCK rows
+        first.append((r["partition"], bins))
+        bins += r["target_files"]
+    wanted = F.broadcast(spark.createDataFrame(first, "wanted string, first long"))
+    before = Window.partitionBy("partition").orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("file_size").over(before), F.lit(0))
+    files = table_files(table).join(wanted, F.col("partition").eqNullSafe(F.col("wanted"))).select(
+        F.col("file_path").alias("__path"), (F.col("first") + F.floor(start / F.lit(target_mb * MEGABYTE))).cast("int").alias("__bin"))
+    rows = whole.where(_in_partitions(whole, rule, [r["partition"] for r in todo])).select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    placed = rows.join(files, F.col("__file") == F.col("__path")).repartitionById(bins, F.col("__bin"))
+    ordered = placed.sortWithinPartitions(*[col(n) for n in rule.names], "__file", "__row")
     path = f"{table.versions}/{unique('v')}"
-    schema = T.StructType([f for f in whole.schema.fields if f.name != rule.name])
-
-    session = spark.newSession()
-    # or the bins, each of one task, would be put together in one
-    session.conf.set("spark.sql.unionOutputPartitioning", "false")
-
-    def rewrite(folder: str) -> None:
-        merged = [session.read.schema(schema).parquet(*names).coalesce(1) for names in _bins(sorted(folders[folder]), target_mb * MEGABYTE)]
-        reduce(DataFrame.unionByName, merged).write.option("compression", "zstd").parquet(f"{path}/{folder.rpartition('/')[2]}")
-
-    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
-        list(pool.map(rewrite, folders))
+    ordered.select(*[col(c) for c in whole.columns]).write.option("compression", "zstd").partitionBy(*rule.names).parquet(path)
     return Staged(path, whole.schema, rule)
 
 
-def _bins(files: list[tuple[str, int]], size: float) -> list[list[str]]:
-    bins, room = [], 0.0
-    for name, length in files:
-        if not bins or length > room:
-            bins.append([])
-            room = size
-        bins[-1].append(name)
-        room -= length
-    return bins
+def _in_partitions(whole: DataFrame, rule: Partitioning, partitions: list[str | None]) -> Column:
+    """Rows of the partitions, as ``files_of`` names them; the catalog prunes by it."""
+    texts = [F.coalesce(col(c).cast("string"), F.lit(NULL_PARTITION)) for c in require_columns(whole.columns, rule.names)]
+    if len(texts) == 1:
+        return texts[0].isin([NULL_PARTITION if p is None else p for p in partitions])
+    return F.array(*texts).isin([F.array(*map(F.lit, spec_values(p))) for p in partitions])
 
 
 def version_files(table: ParquetTable) -> DataFrame:
@@ -123,7 +120,7 @@ def remove_orphans(table: ParquetTable, older_than_days: float = 3, now: datetim
 def _delete(table: ParquetTable, paths: DataFrame) -> int:
     """Delete paths a block at a time, several deletes at once."""
     rows, removed = paths.toLocalIterator(prefetchPartitions=True), 0
-    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+    with ThreadPoolExecutor(_DELETES_AT_ONCE) as pool:
         while block := [_decoded(r[0]) for r in islice(rows, _DELETES)]:
             removed += sum(map(bool, pool.map(lambda path: delete_path(table.spark, path), block)))
     return removed

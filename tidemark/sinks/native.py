@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.names import identifier, utc_now
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning
 from tidemark.operators.merge import on_keys
 from tidemark.operators.schema import add_columns_ddl, additions
 
@@ -24,7 +24,7 @@ def has_plugin(spark: SparkSession, catalog: str) -> bool:
 
 class NativeTable:
     def __init__(self, spark: SparkSession, catalog: str, database: str, table: str,
-                 partition: PartitionRule | None = None, provider: str = "iceberg"):
+                 partition: Partitioning | None = None, provider: str = "iceberg"):
         self.spark, self.catalog, self.database, self.table = spark, catalog, database, table
         self.partition, self.provider = partition, provider
         self.name = identifier(catalog, database, table)
@@ -50,7 +50,7 @@ class NativeTable:
     def create(self, df: DataFrame) -> None:
         writer = df.writeTo(self.name).using(self.provider)
         if self.partition:
-            writer = writer.partitionedBy(self.partition.native())
+            writer = writer.partitionedBy(*self.partition.native())
         writer.create()
 
     def replace(self, df: DataFrame) -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidemark.functions.columns import any_null, col, find_column, require_columns
 from tidemark.functions.names import identifier, sql_text, unique
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning, PartitionRule, PartitionRules
 from tidemark.operators.merge import touched_values, unmatched, update_matched
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.schema import SchemaError, add_columns_ddl, additions, conform
@@ -44,7 +44,7 @@ class Staged:
 
     path: str
     schema: T.StructType
-    rule: PartitionRule | None = None
+    rule: Partitioning | None = None
     metrics: dict = field(default_factory=dict)
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -56,20 +56,21 @@ class Staged:
         return self.rule.drop_from(df) if self.rule else df
 
     def partitions(self, spark: SparkSession) -> dict[str, str]:
-        """``{'column=value': folder}`` from the file listing; no file is opened.
-        As many as the batch has partitions."""
+        """``{'column=value': folder}`` (``'a=1/b=2'`` of several columns) from the file
+        listing; no file is opened. As many as the batch has partitions."""
         files = (
             spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.parquet").load(self.path)
         )
         folders = [r[0] for r in files.select(F.regexp_extract("path", "^(.*)/", 1)).distinct().collect()]
-        return {folder.rsplit("/", 1)[-1]: folder for folder in folders}
+        depth = len(self.rule.names) if self.rule else 1
+        return {"/".join(folder.split("/")[-depth:]): folder for folder in folders}
 
 
 class ParquetTable:
-    """A catalog table on parquet files, optionally partitioned by one rule."""
+    """A catalog table on parquet files, optionally partitioned by one rule or several."""
 
-    def __init__(self, spark: SparkSession, database: str, table: str, partition: PartitionRule | None = None):
+    def __init__(self, spark: SparkSession, database: str, table: str, partition: Partitioning | None = None):
         self.spark = spark
         self.database, self.table = database, table
         self.name = identifier(database, table)
@@ -84,20 +85,19 @@ class ParquetTable:
         return self.spark.catalog.tableExists(self.name)
 
     @property
-    def partition(self) -> PartitionRule | None:
+    def partition(self) -> Partitioning | None:
         """The existing table's rule; the declared one for a table to be created."""
         if self._stored is _UNKNOWN and self.exists():
             self._stored = self._stored_rule()
         return self._declared if self._stored is _UNKNOWN else self._stored
 
-    def _stored_rule(self) -> PartitionRule | None:
+    def _stored_rule(self) -> Partitioning | None:
         properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
         if ddl.PARTITION_PROPERTY in properties:
             return ddl.rule_from_text(properties[ddl.PARTITION_PROPERTY])
         found = [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
-        if len(found) > 1:
-            raise SchemaError(f"{self.name} has {len(found)} partition columns; one is supported")
-        return PartitionRule("identity", found[0]) if found else None
+        rules = tuple(PartitionRule("identity", c) for c in found)
+        return PartitionRules(rules) if len(rules) > 1 else rules[0] if rules else None
 
     @property
     def versions(self) -> str:
@@ -143,14 +143,14 @@ class ParquetTable:
         if rule:
             out = rule.add_to(out)
             if rebalance:
-                out = out.hint("rebalance", col(rule.name))
+                out = out.hint("rebalance", *[col(n) for n in rule.names])
         measures = list(metrics)
         observation = Observation(unique("stage")) if measures else None
         if observation:
             out = out.observe(observation, *measures)
         path = f"{self.versions}/{unique('v')}"
         writer = out.write.option("compression", "zstd")
-        (writer.partitionBy(rule.name) if rule else writer).parquet(path)
+        (writer.partitionBy(*rule.names) if rule else writer).parquet(path)
         return Staged(path, _partition_last(out.schema, rule), rule, observation.get if observation else {})
 
     def discard(self, staged: Staged) -> None:
@@ -161,12 +161,11 @@ class ParquetTable:
     def create(self, schema: T.StructType, location: str | None = None) -> None:
         """Create the table empty, or over a staged folder (nothing is moved)."""
         rule = self._declared
-        full = schema
-        if rule and not rule.is_identity and not find_column(schema.names, rule.name):
-            full = T.StructType([*schema.fields, rule.field(schema)])
+        derived = [r for r in rule.parts if not r.is_identity and not find_column(schema.names, r.name)] if rule else []
+        full = T.StructType([*schema.fields, *[r.field(schema) for r in derived]])
         self.spark.sql(ddl.create_table(
             self.name, _partition_last(full, rule), location or f"{self.versions}/{unique('v')}",
-            [rule.name] if rule else [], {ddl.PARTITION_PROPERTY: ddl.rule_text(rule)} if rule else None,
+            rule.names if rule else [], {ddl.PARTITION_PROPERTY: ddl.rule_text(rule)} if rule else None,
         ))
         if rule and location:
             self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
@@ -243,34 +242,40 @@ class ParquetTable:
             self.publish_replace(staged)
             return staged
         incoming = staged.partitions(self.spark)
-        emptied = {s for s in self._partition_specs() - set(incoming) if _spec_value(s) in touched}
+        emptied = {s for s in self._partition_specs() - set(incoming) if spec_values(s) in touched}
         self._point(incoming)
         self._drop(emptied)
         return staged
 
-    def _touched(self, source: DataFrame, keys: list[str], preserve: Iterable[str]) -> tuple[DataFrame, set[str]]:
+    def _touched(self, source: DataFrame, keys: list[str], preserve: Iterable[str]) -> tuple[DataFrame, set[tuple]]:
         """The rows of the partitions a merge has to rewrite, and their values."""
         whole, rule = self.spark.table(self.name), self.partition
-        physical = require_columns(whole.columns, [rule.name])[0]
-        found = rule.add_to(source).select(col(rule.name).alias("__partition")).distinct()
-        follows = find_column(keys, rule.column) is not None
+        physical = [col(c) for c in require_columns(whole.columns, rule.names)]
+        own = [f"__partition{k}" for k in range(len(physical))]
+        found = rule.add_to(source).select(*[col(n).alias(o) for n, o in zip(rule.names, own)]).distinct()
+        follows = all(find_column(keys, r.column) is not None for r in rule.parts)
         if not follows:
-            found = found.union(touched_values(whole, source, keys, physical)).distinct()
+            found = found.union(touched_values(whole, source, keys, physical, own)).distinct()
         # Partition values only: at most one row per partition of the table.
-        rows = found.select("__partition", F.col("__partition").cast("string").alias("text")).collect()
-        values = [r["__partition"] for r in rows]
-        scope = col(physical).isin([v for v in values if v is not None])
-        if None in values:
-            scope = scope | col(physical).isNull()
-        return rule.drop_from(whole.where(scope)), {_NULL_PARTITION if r["text"] is None else r["text"] for r in rows}
+        rows = found.select(*own, *[F.coalesce(F.col(o).cast("string"), F.lit(_NULL_PARTITION)).alias(f"{o}_text") for o in own]).collect()
+        scope = F.lit(True)
+        for column, o in zip(physical, own):
+            values = {r[o] for r in rows}
+            inside = column.isin(sorted(v for v in values if v is not None))
+            scope = scope & (inside | column.isNull() if None in values else inside)
+        touched = {tuple(r[f"{o}_text"] for o in own) for r in rows}
+        if len(own) > 1:  # of several columns not every combination
+            text = F.array(*[F.coalesce(c.cast("string"), F.lit(_NULL_PARTITION)) for c in physical])
+            scope = scope & text.isin([F.array(*map(F.lit, t)) for t in sorted(touched)])
+        return rule.drop_from(whole.where(scope)), touched
 
     def _stage_more(self, staged: Staged, df: DataFrame) -> None:
         """Add rows to a staged folder nobody reads yet."""
         rule = staged.rule
         if rule:
-            df = rule.add_to(df).hint("rebalance", col(rule.name))
+            df = rule.add_to(df).hint("rebalance", *[col(n) for n in rule.names])
         writer = df.write.mode("append").option("compression", "zstd")
-        (writer.partitionBy(rule.name) if rule else writer).parquet(staged.path)
+        (writer.partitionBy(*rule.names) if rule else writer).parquet(staged.path)
 
     # -- partition pointers ----------------------------------------------
 
@@ -301,20 +306,21 @@ class ParquetTable:
             self.refresh()
 
 
-def _partition_last(schema: T.StructType, rule: PartitionRule | None) -> T.StructType:
+def _partition_last(schema: T.StructType, rule: Partitioning | None) -> T.StructType:
     if rule is None:
         return schema
-    last = [f for f in schema.fields if f.name.casefold() == rule.name.casefold()]
+    last = [next(f for f in schema.fields if f.name.casefold() == n.casefold()) for n in rule.names]
     return T.StructType([f for f in schema.fields if f not in last] + last)
 
 
-def _spec_value(spec: str) -> str:
+def spec_values(spec: str) -> tuple[str, ...]:
+    """The values of ``a=1/b=2``."""
     from urllib.parse import unquote
 
-    return unquote(spec.split("=", 1)[1])
+    return tuple(unquote(part.split("=", 1)[1]) for part in spec.split("/"))
 
 
 def _spec_sql(spec: str) -> str:
-    """``column = 'value'`` of a ``column=value`` folder name."""
-    value = _spec_value(spec)
-    return f"`{spec.split('=', 1)[0]}` = {sql_text(None if value == _NULL_PARTITION else value)}"
+    """``a = '1', b = '2'`` of the folder name ``a=1/b=2``."""
+    names = [part.split("=", 1)[0] for part in spec.split("/")]
+    return ", ".join(f"`{n}` = {sql_text(None if v == _NULL_PARTITION else v)}" for n, v in zip(names, spec_values(spec)))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.partitioning import PartitionRule
+from tidemark.functions.partitioning import Partitioning
 from tidemark.operators.transform import project
 from tidemark.operators.watermark import Watermark
 
@@ -16,7 +16,7 @@ def scan(
     name: str,
     columns: Iterable[str] | None = None,
     watermark: Watermark | None = None,
-    partition: PartitionRule | None = None,
+    partition: Partitioning | None = None,
 ) -> DataFrame:
     """A catalog table; columns, watermark and its implied partition predicate
     all end up in the file scan."""
