@@ -7,6 +7,8 @@ different ones differ but for a chance of 2^-64.
 
 from __future__ import annotations
 
+import ctypes
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,6 +126,24 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, f"{BATCH}b")
 
 
+#: Seconds between two times that a worker gives memory back.
+_PAUSE = 1.0
+_given_back = 0.0
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps workers between stages, and what
+    they hold on to is taken from their executor."""
+    global _given_back
+    if time.monotonic() - _given_back < _PAUSE:
+        return
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+    _given_back = time.monotonic()
+
+
 def blocks(column: pa.Array | pa.ChunkedArray, size: int = SPAN) -> Iterator[Block]:
     """Blocks of about ``size`` bytes; a longer text is a block of its own."""
     if isinstance(column, pa.ChunkedArray):
@@ -141,6 +161,7 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = SPAN) -> Iterator[Blo
         to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         yield Block(row, data[offsets[row]:offsets[to]], offsets[row:to + 1] - offsets[row])
         row = to
+    give_back()
 
 
 def grams(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
