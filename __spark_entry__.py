@@ -844,7 +844,7 @@ def load_orders_upsert(spark, folder):
 
 @query("SELECT o_orderkey AS invoice_id, o_orderstatus AS status, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS priority FROM orders")
 def load_csv_feed(spark, folder):
-    """A feed load by spec, run twice: the second finds no new files."""
+    """A full feed load by spec, run twice: the second replaces all rows by the same ones."""
     database, path = _database(spark), _csv_feed(spark, folder)
     spec = _spec(
         database, {"type": "full"},
@@ -1020,6 +1020,183 @@ def ledger_roll_up(spark, folder):
     return now.join(commits, "job_id").join(parts, "job_id")
 
 
+@query("SELECT o_orderkey, date_trunc('year', o_orderdate)::TIMESTAMP AS year, CAST(1 AS BIGINT) AS copies FROM orders")
+def load_late_ties(spark, folder):
+    """Appends by a watermark that very many rows share. Rows of the last value that come
+    late are loaded, and none twice, be the batch empty or repeated."""
+    database, orders = _database(spark), _table(spark, folder, "orders")
+    rows = orders.select("o_orderkey", F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("year"))
+    [mid] = rows.agg(F.percentile_approx("year", 0.5)).first()
+    early, at = F.col("year") < F.lit(mid), F.col("year") == F.lit(mid)
+    spec = _spec(database, {"type": "incremental", "incremental": {"column": "year"}})
+    for part in (early | (at & (F.col("o_orderkey") % 2 == 0)), early | at, early | at, F.col("year") < F.lit("1900-01-01").cast("timestamp_ntz"), F.lit(True)):
+        run_load(spark, spec, batch=rows.where(part), state_database=database, force=True)
+    return ParquetTable(spark, database, "target").read().groupBy("o_orderkey", "year").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("""
+SELECT s.stage, event_type, CAST(count(*) AS BIGINT) AS n, CAST(s.partitions AS BIGINT) AS partitions
+FROM events, (VALUES ('before', 3), ('stopped', 4), ('after', 1)) AS s(stage, partitions) GROUP BY ALL""")
+def ledger_roll_up_stopped(spark, folder):
+    """Three commits for each kind of event, merged by a roll-up that stops before it has
+    detached them: readers count the same before, then and after the next roll-up."""
+    from tidemark.sinks.ledgers import Ledger
+
+    class Stopping(Ledger):
+        def detach(self, commits):
+            if any(commits.values()):
+                raise InterruptedError
+
+    database, events = _database(spark), _table(spark, folder, "events").select("event_id", "event_type")
+    book = Ledger(spark, database, "book", "event_id bigint, event_type string", "event_type", "string")
+    kinds = [r[0] for r in events.select("event_type").distinct().collect()]  # a few
+    for kind in kinds:
+        for k in range(3):
+            book.append(events.where((F.col("event_type") == kind) & (F.pmod("event_id", F.lit(3)) == k)), kind)
+
+    def seen(stage):
+        counts = book.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        held = spark.createDataFrame([(k, len(c)) for k, c in book.commits().items()], "event_type string, partitions bigint")
+        out = counts.join(held, "event_type").select(F.lit(stage).alias("stage"), "event_type", "n", "partitions")
+        path = fresh_folder(spark, stage)
+        out.write.parquet(path)  # as it is now
+        return spark.read.parquet(path)
+
+    before = seen("before")
+    try:
+        Stopping(spark, database, "book", "event_id bigint, event_type string", "event_type", "string").roll_up()
+    except InterruptedError:
+        pass
+    stopped = seen("stopped")
+    book.roll_up()
+    return before.unionByName(stopped).unionByName(seen("after"))
+
+
+@query("""
+SELECT event_id, event_type, ts, CASE WHEN event_id % 5 = 0 THEN 'new' ELSE 'old' END AS state FROM events
+WHERE NOT (event_type = 'error' AND CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events))""")
+def sink_two_columns(spark, folder):
+    """A table by day and kind: written, one of its partitions emptied, others merged into."""
+    from tidemark.functions.partitioning import PartitionRules
+
+    events = _table(spark, folder, "events").select("event_id", "event_type", "ts", F.lit("old").alias("state"))
+    target = ParquetTable(spark, _database(spark), "target", PartitionRules.parse("days(ts), event_type"))
+    target.publish_new(target.stage(events))
+    [day] = events.agg(F.min(F.to_date("ts"))).first()
+    lost = (F.col("event_type") == "error") & (F.to_date("ts") == F.lit(day))
+    # keys of another partition: the rows of one pair of values move to another day, and go from there
+    moved = events.where(lost).withColumn("ts", F.lit("1999-01-01").cast("timestamp_ntz"))
+    target.merge(moved, ["event_id"])
+    kept = target.read().where(F.col("ts") > F.lit("2000-01-01").cast("timestamp_ntz"))
+    fresh = events.where((F.col("event_id") % 5 == 0) & ~lost).withColumn("state", F.lit("new"))
+    target.merge(fresh, ["event_id"])
+    return kept
+
+
+@query("SELECT count(*) AS n, count(*) AS in_one_split, true AS balanced FROM lineitem")
+def scan_equal_splits(spark, folder):
+    """Lineitem in 16 splits by part: every row is in exactly one, the largest has less than twice the mean."""
+    from tidemark.sources.splits import equal_splits
+
+    return _splits_report(_table(spark, folder, "lineitem"), ["l_partkey"], 16, equal_splits)
+
+
+@query("SELECT count(*) AS n, count(*) AS in_one_split, true AS balanced FROM lineitem")
+def scan_equal_splits_skewed(spark, folder):
+    """The same by a column of which one value, and no value, have a third of all rows each:
+    these are cut by the order."""
+    from tidemark.sources.splits import equal_splits
+
+    key = F.col("l_orderkey") % 3
+    skewed = _table(spark, folder, "lineitem").withColumn("k", F.when(key == 0, 5).when(key == 1, F.col("l_partkey")))
+    return _splits_report(skewed, ["k", "l_orderkey"], 16, equal_splits)
+
+
+def _splits_report(df, columns, number, equal_splits):
+    splits = equal_splits(df, columns, number)
+    inside = F.array(*[F.coalesce(s.condition, F.lit(False)) for s in splits])
+    counts = df.select(F.size(F.filter(inside, lambda x: x)).alias("hits"), F.array_position(inside, True).alias("split")).groupBy("split", "hits").agg(
+        F.count(F.lit(1)).alias("rows"))
+    return counts.agg(
+        F.sum("rows").alias("n"), F.sum(F.when(F.col("hits") == 1, F.col("rows"))).alias("in_one_split"),
+        (F.max("rows") < 2 * F.sum("rows") / number).alias("balanced"))
+
+
+@query("SELECT CAST(1 AS BIGINT) AS versions, CAST(1 AS BIGINT) AS expired, CAST(count(*) AS BIGINT) AS n FROM orders")
+def expire_versions(spark, folder):
+    """A replaced table loses its old version after the retention."""
+    orders = _table(spark, folder, "orders")
+    target = _filled(spark, orders.where("o_orderstatus = 'F'"))
+    target.publish_replace(target.stage(orders))
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=4)
+    expired = maintenance.expire_versions(target, older_than_days=3, now=later)
+    left = maintenance.versions(target).agg(F.count(F.lit(1)).alias("versions"), F.lit(expired).cast("bigint").alias("expired"))
+    return left.crossJoin(target.read().agg(F.count(F.lit(1)).alias("n")))  # a row each
+
+
+@query("""
+SELECT 'good' AS what, o_orderkey::VARCHAR AS k, o_orderstatus AS detail FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'rejected', 'x' || o_orderkey || ',' || o_orderstatus, 'o_orderkey: x' || o_orderkey || ' is no bigint' FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT 'rejected', 'y' || o_orderkey || ',' || o_orderstatus, 'o_orderkey: y' || o_orderkey || ' is no bigint' FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'refused', 'P', 'FAILED' UNION ALL SELECT 'accepted', 'other', 'SUCCESS'""")
+def load_quarantine(spark, folder):
+    """A feed of which one part has a few rows that do not fit, another nothing but such
+    rows: the good rows of the former are loaded, the bad ones of both stand apart with their
+    reason, and the files of the latter are refused."""
+    from tidemark.sinks.ledgers import FileAudit
+
+    database, path = _database(spark), fresh_folder(spark, "feed")
+    orders = _table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+    pending = F.col("o_orderstatus") == "P"
+    some = orders.where("o_orderkey % 50 = 0").withColumn("o_orderkey", F.concat(F.lit("x"), "o_orderkey"))
+    # bad rows lie among good ones of their file
+    other = orders.where(~pending).unionByName(some).repartition(4, F.pmod(F.regexp_replace("o_orderkey", "x", "").cast("bigint"), F.lit(7)))
+    other.write.option("header", True).csv(f"{path}/other")
+    orders.where(pending).withColumn("o_orderkey", F.concat(F.lit("y"), "o_orderkey")).write.option("header", True).csv(f"{path}/P")
+    spec = _spec(
+        database, {"type": "incremental", "incremental": {"column": "o_orderkey", "watermark_type": "numeric"}},
+        source={"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
+                "columns_ddl": "o_orderkey BIGINT, o_orderstatus STRING", "bad_rows": "quarantine", "bad_share": 0.5})
+    run_load(spark, spec, state_database=database)
+    good = ParquetTable(spark, database, "target").read().select(F.lit("good").alias("what"), F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderstatus").alias("detail"))
+    bad = spark.table(identifier(database, "target_rejected")).select(F.lit("rejected").alias("what"), F.col("raw_text").alias("k"), F.col("reason").alias("detail"))
+    files = FileAudit(spark, database).read().select(
+        F.when(F.col("status") == "FAILED", "refused").otherwise("accepted").alias("what"),
+        F.regexp_extract("file_path", "/([^/]*)/[^/]*$", 1).alias("k"), F.col("status").alias("detail")).distinct()
+    return good.unionByName(bad).unionByName(files)
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS BIGINT) AS loads FROM orders""")
+def load_feed_incremental(spark, folder):
+    """Three upserts of a feed: all files, nothing, then only a rewritten and a new file are
+    read. Each row has the number of the load that brought it."""
+    database, path = _database(spark), fresh_folder(spark, "feed")
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    finished, opened = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
+    read = []
+
+    def load(number):
+        spec = _spec(
+            database, {"type": "upsert", "incremental": {"column": "loads", "watermark_type": "numeric"}}, keys={"merge_keys": ["o_orderkey"]},
+            source={"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
+                    "columns_ddl": "o_orderkey BIGINT, o_orderstatus STRING"},
+            transform={"derived": {"loads": f"CAST({number} AS BIGINT)"}})
+        read.append(run_load(spark, spec, state_database=database, force=True).rows_read)
+
+    write = lambda rows, name: rows.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+    write(orders.where(finished), "finished")
+    write(orders.where(opened).withColumn("o_orderstatus", F.lit("?")), "open")
+    load(1)
+    load(9)  # no new file
+    write(orders.where(opened), "open")
+    write(orders.where(~finished & ~opened), "pending")
+    load(2)
+    if read != [orders.where(finished | opened).count(), 0, orders.where(~finished).count()]:
+        raise AssertionError(f"rows read: {read}")
+    return ParquetTable(spark, database, "target").read()
+
+
 # --- driver contract ------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:

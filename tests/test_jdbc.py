@@ -51,9 +51,9 @@ def connection():
 
 @pytest.mark.parametrize("kind,env,url,driver", [
     ("oracle", {"DB_HOST": "h", "DB_SERVICE_NAME": "s"}, "jdbc:oracle:thin:@//h:1521/s", "oracle.jdbc.OracleDriver"),
-    ("mysql", {"DB_HOST": "h"}, "jdbc:mysql://h:3306/sales?useSSL=false&allowPublicKeyRetrieval=true", "com.mysql.cj.jdbc.Driver"),
+    ("mysql", {"DB_HOST": "h"}, "jdbc:mysql://h:3306/sales", "com.mysql.cj.jdbc.Driver"),
     ("postgresql", {"DB_HOST": "h", "DB_PORT": "6", "DB_DB": "d"}, "jdbc:postgresql://h:6/d", "org.postgresql.Driver"),
-    ("mssql", {"DB_HOST": "h", "DB_DATABASE": "d"}, "jdbc:sqlserver://h:1433;databaseName=d;encrypt=false;",
+    ("mssql", {"DB_HOST": "h", "DB_DATABASE": "d"}, "jdbc:sqlserver://h:1433;databaseName=d",
      "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
     ("postgres", {"DB_JDBC_URL": "jdbc:own"}, "jdbc:own", "org.postgresql.Driver"),
 ])

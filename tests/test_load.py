@@ -427,3 +427,81 @@ def test_a_column_added_later_does_not_repeat_rows(spark, database):
     wider = spark.createDataFrame([(1, two, "a", 9), (2, two, "b", 8)], "k int, at timestamp_ntz, v string, more int")
     assert run_load(spark, _ties_spec(database), batch=wider, state_database=database, force=True).rows_read == 1
     assert sorted((r.k, r.more) for r in ParquetTable(spark, database, "ties").read().collect()) == [(1, None), (2, 8)]
+
+
+# --- rows that do not fit, set apart --------------------------------------
+
+def _feed(database, path, load=None, **feed):
+    return make(
+        database, load, source={"type": "sftp", "path": f"file:{path}", "columns_ddl": "k BIGINT, at TIMESTAMP_NTZ, v STRING", "bad_rows": "quarantine", **feed})
+
+
+def _rejected(spark, database):
+    rows = spark.table(f"{database}.t_rejected").collect()
+    return sorted((r.file_path.rsplit("/", 1)[-1], r.raw_text, r.reason) for r in rows)
+
+
+def test_bad_rows_are_set_apart_with_their_reason(spark, database, tmp_path):
+    (tmp_path / "a.csv").write_text("k,at,v\n1,2024-01-01 00:00:00,x\nq,2024-01-01 00:00:00,y\n2,never,z\n3,2024-01-02 00:00:00,w\n")
+    (tmp_path / "b c.csv").write_text("v,k\n\"p,q\",4\nonly\nr,5,6\n")
+    spec = _feed(database, tmp_path, {"type": "incremental", "incremental": {"column": "at"}}, bad_share=0.7)
+    result = run_load(spark, spec, state_database=database)
+    assert (result.rows_read, result.watermark) == (3, "2024-01-02 00:00:00")
+    assert values(target(spark, database).read(), "k", "v") == [(1, "x"), (3, "w"), (4, "p,q")]
+    assert _rejected(spark, database) == [
+        ("a.csv", "2,never,z", "at: never is no timestamp_ntz"), ("a.csv", "q,2024-01-01 00:00:00,y", "k: q is no bigint"),
+        ("b c.csv", "only", "fewer than 2 field(s), or an open quote"), ("b c.csv", "r,5,6", "more than 2 field(s)")]
+    audited = FileAudit(spark, database).read().select("file_name", "status", "record_count")
+    assert values(audited) == [("a.csv", "SUCCESS", 2), ("b c.csv", "SUCCESS", 1)]
+    assert spark.table(f"{database}.t").columns == ["k", "at", "v"]
+    # nothing is new, so nothing is added
+    assert run_load(spark, spec, state_database=database, force=True).status == "NO_DATA"
+    assert len(_rejected(spark, database)) == 4
+
+
+@pytest.mark.parametrize("limits", [{"bad_share": 0.3}, {"bad_share": 1, "bad_limit": 1}])
+def test_a_file_beyond_its_limit_is_left_out(spark, database, tmp_path, limits):
+    good = "k,at,v\n" + "".join(f"{n},2024-01-0{1 + n % 3} 00:00:00,g\n" for n in range(5)) + "bad,2024-01-01 00:00:00,g\n"
+    (tmp_path / "good.csv").write_text(good)
+    (tmp_path / "bad.csv").write_text("k,at,v\n77,2025-01-01 00:00:00,b\nx,2024-01-01 00:00:00,b\ny,2024-01-01 00:00:00,b\n")
+    load = {"type": "incremental", "incremental": {"column": "at"}}
+    result = run_load(spark, _feed(database, tmp_path, load, **limits), state_database=database)
+    assert (result.rows_read, result.watermark) == (5, "2024-01-03 00:00:00")  # of the accepted file alone
+    assert target(spark, database).read().count() == 5
+    assert [r[0] for r in _rejected(spark, database)] == ["bad.csv", "bad.csv", "good.csv"]
+    audited = FileAudit(spark, database).read()
+    assert values(audited.select("file_name", "status", "record_count")) == [("bad.csv", "FAILED", 0), ("good.csv", "SUCCESS", 5)]
+    # mended, it is a new file
+    (tmp_path / "bad.csv").write_text("k,at,v\n77,2025-01-01 00:00:00,b\n78,2024-01-01 00:00:00,b\n")
+    assert run_load(spark, _feed(database, tmp_path, load, **limits), state_database=database, force=True).rows_read == 2
+    assert target(spark, database).read().count() == 7
+
+
+def test_a_full_load_with_a_refused_file_changes_nothing(spark, database, tmp_path):
+    (tmp_path / "a.csv").write_text("k,at,v\n1,2024-01-01 00:00:00,x\n")
+    run_load(spark, _feed(database, tmp_path), state_database=database)
+    before = values(target(spark, database).read())
+    (tmp_path / "b.csv").write_text("k,at,v\nx,2024-01-01 00:00:00,b\n")
+    with pytest.raises(LoadFailed, match="b.csv"):
+        run_load(spark, _feed(database, tmp_path), state_database=database, force=True)
+    assert values(target(spark, database).read()) == before and not spark.catalog.tableExists(f"{database}.t_rejected")
+
+
+def test_the_gate_sees_good_rows_only(spark, database, tmp_path):
+    (tmp_path / "a.csv").write_text("k,at,v\n1,2024-01-01 00:00:00,x\n1x,2024-01-01 00:00:00,x\nbad,,\n")
+    rules = {"null_check": ["k"], "unique_check": ["k"], "minimum_rows": 1}
+    spec = make(database, source={"type": "sftp", "path": f"file:{tmp_path}", "columns_ddl": "k BIGINT, at TIMESTAMP_NTZ, v STRING",
+                                  "bad_rows": "quarantine", "bad_share": 1}, data_quality=rules,
+                target={"partition": {"by": "days(at), v"}})
+    run_load(spark, spec, state_database=database)
+    assert values(target(spark, database).read(), "k") == [(1,)] and len(_rejected(spark, database)) == 2
+    with pytest.raises(SpecError):
+        _feed(database, tmp_path, bad_rows="maybe")
+    with pytest.raises(SpecError):
+        _feed(database, tmp_path, bad_share=2)
+
+
+def test_a_feed_of_bad_rows_alone(spark, database, tmp_path):
+    (tmp_path / "a.csv").write_text("k,at,v\nx,2024-01-01 00:00:00,x\n")
+    run_load(spark, _feed(database, tmp_path, bad_share=1), state_database=database)
+    assert target(spark, database).read().count() == 0 and len(_rejected(spark, database)) == 1

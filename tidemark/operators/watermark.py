@@ -102,9 +102,9 @@ def newer_than(
     return Watermark(column, value, kind).newer(df, partition)
 
 
-def high_value(column: str) -> Column:
+def high_value(column: str | Column) -> Column:
     """Aggregate: the batch's high watermark as text, NULL for no rows."""
-    return F.max(col(column)).cast("string")
+    return F.max(col(column) if isinstance(column, str) else column).cast("string")
 
 
 def batch_high(df: DataFrame, column: str) -> DataFrame:

@@ -16,7 +16,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.columns import any_null, find_column, plain_path, renamed, require_columns
+from tidemark.functions.columns import any_null, col, find_column, plain_path, renamed, require_columns
 from tidemark.functions.names import utc_now
 from tidemark.functions.zone import require_utc
 from tidemark.operators import ledger as runs
@@ -24,9 +24,10 @@ from tidemark.operators.dedup import latest
 from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge
 from tidemark.operators.schema import additions, conform
 from tidemark.operators.transform import project, transform
-from tidemark.operators.watermark import ROW_HASH, Watermark, advance, boundary, high_value, start_value, without_seen
+from tidemark.operators.watermark import Watermark, advance, boundary, high_value, start_value, without_seen
 from tidemark.plans import hooks
 from tidemark.plans.spec import LoadSpec, SpecError
+from tidemark.sinks import ddl
 from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, RunLedger, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder, path_exists
@@ -35,6 +36,9 @@ from tidemark.sources import feeds, jdbc, tables
 
 log = logging.getLogger(__name__)
 
+#: Column by which good and bad rows of a feed are staged apart.
+_VERDICT = "__verdict"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -200,7 +204,7 @@ def _extract(spark, spec: LoadSpec, batch, connection, state_database, since: st
         if pinned:
             delete_path(spark, pinned)
         return _Batch(None)
-    df = feeds.csv_scan(spark, paths, feed.header, feed.delimiter, feed.encoding, feed.schema)
+    df = feeds.csv_scan(spark, paths, feed.header, feed.delimiter, feed.encoding, feed.schema, feed.bad_rows == "quarantine")
     return _Batch(df, fresh, pinned)
 
 
@@ -262,19 +266,27 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
     checked = keys or [renamed(k, spec.transform.rename) for k in spec.primary_key]
     rules = rules.effective(visible.names, checked, spec.transform.rename)
 
+    apart = found.listing is not None and spec.source.feed.bad_rows == "quarantine"
+    fits = F.col(feeds.CORRUPT_COLUMN).isNull() if apart else F.lit(True)
     high = None
-    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(any_null(rules.null_check)).alias("nulls")]
+    metrics = [F.count_if(fits).alias("rows"), F.count_if(fits & any_null(rules.null_check)).alias("nulls"),
+               F.count_if(~fits).alias("misfits")]
     if spec.load.is_incremental:
         clock = find_column(visible.names, renamed(spec.load.watermark_column, spec.transform.rename))
         if clock is None:
             raise SpecError(f"watermark column {spec.load.watermark_column!r} is not in the batch")
-        metrics.append(high_value(clock).alias("high"))
+        metrics.append(high_value(F.when(fits, col(clock))).alias("high"))
 
-    staged = _stage(spark, table, df, metrics)
+    rejected = None
+    staged = _stage(spark, table, df.withColumn(_VERDICT, F.when(fits, "good").otherwise("bad")) if apart else df, metrics, _VERDICT if apart else None)
+    written, listing = staged, found.listing
     try:
+        counts = feeds.file_counts(staged.read(spark)) if listing is not None and not apart else None
+        if apart:
+            staged, rejected, counts, listing = _set_apart(spark, spec, table, written, metrics, listing, _file_audit(spark, spec, state_database))
         total, high = staged.metrics["rows"], staged.metrics.get("high")
-        counts = feeds.file_counts(staged.read(spark)) if found.listing is not None else None
-        _refuse_bad_rows(spec, counts, found.listing, _file_audit(spark, spec, state_database))
+        if not apart:
+            _refuse_bad_rows(spec, counts, listing, _file_audit(spark, spec, state_database))
         duplicates = 0
         if rules.enabled and rules.unique_check and total:
             duplicates = duplicate_count(staged.rows(spark), rules.unique_check).first()[0]
@@ -290,7 +302,9 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
             tied.write.parquet(tied_path)
             tied = spark.read.schema(tied.schema).parquet(tied_path)
     except Exception:
-        delete_path(spark, staged.path)
+        delete_path(spark, written.path)
+        if staged is not written:
+            delete_path(spark, staged.path)
         raise
 
     dropped = 0
@@ -301,6 +315,9 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
         _publish_native(spark, spec, table, staged, exists, keys, ambiguous)
     else:
         _publish(spark, spec, table, staged, exists, visible, keys, ambiguous)
+    if rejected is not None and written.metrics["misfits"]:
+        _record_rejected(spark, spec, table, rejected.read(spark), run["run_id"])
+        delete_path(spark, rejected.path)
 
     mark = since
     if spec.load.is_incremental:
@@ -314,21 +331,70 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
             store.put(spec.task.id, high)
             if found.hashed:
                 kept.forget_before(spec.task.id, high)
-    if found.listing is not None:
-        _file_audit(spark, spec, state_database).record(found.listing, _plain_paths(counts), spec.target.full_name)
+    if listing is not None:
+        _file_audit(spark, spec, state_database).record(listing, _plain_paths(counts), spec.target.full_name)
         delete_path(spark, counted)
     outcome |= hooks.postload(spec, table, mark)
     return LoadResult("SUCCESS", run["run_id"], total, total - dropped, dropped, mark, verdict, outcome)
 
 
-def _stage(spark, table, df, metrics) -> Staged:
+def _stage(spark, table, df, metrics, tag: str | None = None) -> Staged:
     if isinstance(table, ParquetTable):
-        return table.stage(df, metrics)
+        return table.stage(df, metrics, tag=tag)
     from pyspark.sql import Observation
 
     seen, path = Observation(), fresh_folder(spark, "stage")
-    df.observe(seen, *metrics).write.option("compression", "zstd").parquet(path)
-    return Staged(path, df.schema, None, seen.get)
+    writer = df.observe(seen, *metrics).write.option("compression", "zstd")
+    (writer.partitionBy(tag) if tag else writer).parquet(path)
+    return Staged(path, T.StructType([f for f in df.schema.fields if f.name != tag]), None, seen.get)
+
+
+def _set_apart(spark, spec: LoadSpec, table, written: Staged, metrics, listing, audit: FileAudit):
+    """The rows that fit, the others, counts of the former by file, and the files they are from.
+
+    Both were staged by one write. Files with too many misfits are refused: audited as FAILED,
+    and their good rows left out, for which alone rows are written again. A full load replaces
+    all rows, so there a refused file refuses the load."""
+    feed = spec.source.feed
+    good, bad = (written.tagged(spark, _VERDICT, v) for v in ("good", "bad"))
+    both = good.read(spark).unionByName(bad.read(spark))
+    counts, path = feeds.file_counts(both), fresh_folder(spark, "counts")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    over = F.col("corrupt_count") > feed.bad_share * F.col("record_count")
+    if feed.bad_limit > 0:
+        over = over | (F.col("corrupt_count") > feed.bad_limit)
+    refused = counts.where(over)
+    if refused.head(1):
+        plain = _plain_paths(refused)
+        audit.record(listing.join(plain, "file_path", "left_semi").select(*listing.columns),
+                     plain.select("file_path", F.lit(0).cast("bigint").alias("record_count")), spec.target.full_name, runs.FAILED,
+                     f"more than {feed.bad_share:.0%}{f' or {feed.bad_limit}' if feed.bad_limit > 0 else ''} of its rows do not fit its columns")
+        listing = listing.join(plain, "file_path", "left_anti").select(*listing.columns)
+        if spec.load.type == "full" or not listing.head(1):
+            named = [r["file_path"] for r in plain.orderBy("file_path").limit(5).collect()]
+            raise LoadFailed(f"too many rows that do not fit the file's columns: {plain.count()} file(s), among them {named}; the file audit has all")
+        kept = good.read(spark).join(refused.select(F.col("file_path").alias(feeds.FILE_COLUMN)), feeds.FILE_COLUMN, "left_anti")
+        kept = kept.select(*good.schema.names)
+        good = _stage(spark, table, written.rule.drop_from(kept) if written.rule else kept, metrics)
+    accepted = counts.where(~over).select("file_path", (F.col("record_count") - F.col("corrupt_count")).alias("record_count"))
+    return good, bad, accepted, listing
+
+
+def _record_rejected(spark, spec: LoadSpec, table, rows: DataFrame, run_id: str) -> None:
+    """Append rows that did not fit: file, raw text and reason."""
+    name = spec.source.feed.rejected_table or f"{spec.target.table}_rejected"
+    out = rows.select(
+        plain_path(F.col(feeds.FILE_COLUMN)).alias("file_path"), F.col(feeds.CORRUPT_COLUMN).alias("raw_text"),
+        F.col(feeds.REASON_COLUMN).alias("reason"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("rejected_at"))
+    if isinstance(table, NativeTable):
+        store = NativeTable(spark, table.catalog, table.database, name)
+        store.append(out) if store.exists() else store.create(out)
+        return
+    store = ParquetTable(spark, table.database, name)
+    if not store.exists():
+        store.create(T.StructType.fromDDL(ddl.REJECTED))
+    store.publish_append(store.stage(out))
 
 
 def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible, keys, ambiguous) -> None:
@@ -342,7 +408,7 @@ def _publish(spark, spec, table: ParquetTable, staged: Staged, exists, visible,
     if ambiguous:
         raise MergeError(f"several rows of the batch share a key {keys}")
     if not exists:
-        table.publish_new(staged, (feeds.FILE_COLUMN, feeds.CORRUPT_COLUMN, ROW_HASH))
+        table.publish_new(staged, feeds.EXTRAS)
         return
     table.reconcile(visible, spec.evolution.evolution, spec.evolution.add_columns)
     if not staged.metrics["rows"] and (keys or spec.load.is_incremental):

@@ -109,7 +109,10 @@ class FeedOptions:
     audit_table: str = ""  # of the form [database.]table; the state database's default without
     schema: str | None = None  # declared columns; types are inferred without
     recursive: bool = True
-    bad_rows: str = "fail"  # rows that do not fit their file's columns: fail | keep
+    bad_rows: str = "fail"  # rows that do not fit their file's columns: fail | keep | quarantine
+    bad_share: float = 0.1  # a file with a larger share of such rows is refused
+    bad_limit: int = 0  # so is one with more of them; 0 is no limit
+    rejected_table: str = ""  # where they go; the target's name and _rejected without
 
 
 @dataclass(frozen=True)
@@ -307,6 +310,7 @@ def _source(s: _Section, top_level_jdbc) -> Source:
             jdbc.text("partition_column", "split_column") or None, bound("lower_bound"), bound("upper_bound"),
             jdbc.number("num_partitions", "partitions", default=4, positive=True),
             jdbc.number("fetch_size", "fetchsize", default=DEFAULT_FETCH_SIZE, positive=True),
+            _one_of(jdbc, "split", "width", "rows"),
         ),
         FeedOptions(
             path=feed.required("path", "directory") if kind == "sftp" else "",
@@ -318,11 +322,32 @@ def _source(s: _Section, top_level_jdbc) -> Source:
             audit_table=feed.text("audit_table"),
             schema=feed.text("columns_ddl") or None,
             recursive=feed.flag("recursive"),
-            bad_rows=feed.text("bad_rows", default="fail").lower(),
+            bad_rows=_one_of(feed, "bad_rows", "fail", "keep", "quarantine"),
+            bad_share=_share(feed, "bad_share", 0.1),
+            bad_limit=feed.number("bad_limit", default=0),
+            rejected_table=feed.text("rejected_table"),
         ),
     )
 
 
+def _one_of(s: _Section, name: str, *choices: str) -> str:
+    """A setting with a few values, the first of them by default."""
+    value = s.text(name, default=choices[0]).lower()
+    if value not in choices:
+        raise SpecError(f"[{s.name}] {name} must be one of {list(choices)}, not {value!r}")
+    return value
+
+
+def _share(s: _Section, name: str, default: float) -> float:
+    try:
+        value = float(s.raw(name, default=default))
+    except (TypeError, ValueError):
+        value = -1.0
+    if not 0 <= value <= 1:
+        raise SpecError(f"[{s.name}] {name} must be a share from 0 to 1")
+    return value
+
+
 def _load(s: _Section, key_section: tuple[str, ...], primary: tuple[str, ...]) -> Load:
     kind = s.required("type").lower()
     if kind not in LOAD_TYPES:

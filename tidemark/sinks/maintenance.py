@@ -149,7 +149,7 @@ def expire_versions(table: ParquetTable, older_than_days: float = 3, now: dateti
     cutoff = F.lit(as_utc((now or utc_now()) - timedelta(days=older_than_days)))
     current = table.location  # kept even if it holds no rows
     old = versions(table).where(
-        (F.col("used_files") == 0) & (F.col("modified_at") < cutoff) & (plain_path(F.col("version")) != F.lit(current))
+        (F.col("used_files") == 0) & (F.col("modified_at") < cutoff) & ~F.lit(f"{current}/").startswith(F.concat(plain_path(F.col("version")), F.lit("/")))
     )
     return _delete(table, old.select("version"))
 

@@ -70,3 +70,8 @@ def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     system, target = _file_system(spark, path)
     system.create(target, True).close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)

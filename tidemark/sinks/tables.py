@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -26,7 +26,7 @@ from tidemark.operators.merge import touched_values, unmatched, update_matched
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.schema import SchemaError, add_columns_ddl, additions, conform
 from tidemark.sinks import ddl
-from tidemark.sinks.places import delete_path
+from tidemark.sinks.places import delete_path, make_folder
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _STATEMENT_PARTITIONS = 200
@@ -51,6 +51,12 @@ class Staged:
         """With the physical partition column, if there is one."""
         return spark.read.schema(self.schema).parquet(self.path)
 
+    def tagged(self, spark: SparkSession, tag: str, value: str) -> Staged:
+        """The rows with a value of the tag column they were staged with; there may be none."""
+        path = f"{self.path}/{tag}={value}"
+        make_folder(spark, path)
+        return replace(self, path=path)
+
     def rows(self, spark: SparkSession) -> DataFrame:
         df = self.read(spark)
         return self.rule.drop_from(df) if self.rule else df
@@ -131,8 +137,9 @@ class ParquetTable:
 
     # -- staging ---------------------------------------------------------
 
-    def stage(self, df: DataFrame, metrics: Iterable[Column] = (), rebalance: bool = True) -> Staged:
-        """Write a folder in the table's layout, measuring on the way.
+    def stage(self, df: DataFrame, metrics: Iterable[Column] = (), rebalance: bool = True, tag: str | None = None) -> Staged:
+        """Write a folder in the table's layout, measuring on the way. Rows of different
+        values of a ``tag`` column go to folders of their own (``tagged``), by the same write.
 
         For a partitioned table rows are first brought together by partition
         (``rebalance``: AQE splits large and merges small ones), or every task
@@ -143,15 +150,17 @@ class ParquetTable:
         if rule:
             out = rule.add_to(out)
             if rebalance:
-                out = out.hint("rebalance", *[col(n) for n in rule.names])
+                out = out.hint("rebalance", *[col(n) for n in ([tag] if tag else []) + rule.names])
         measures = list(metrics)
         observation = Observation(unique("stage")) if measures else None
         if observation:
             out = out.observe(observation, *measures)
         path = f"{self.versions}/{unique('v')}"
         writer = out.write.option("compression", "zstd")
-        (writer.partitionBy(*rule.names) if rule else writer).parquet(path)
-        return Staged(path, _partition_last(out.schema, rule), rule, observation.get if observation else {})
+        folders = ([tag] if tag else []) + (rule.names if rule else [])
+        (writer.partitionBy(*folders) if folders else writer).parquet(path)
+        schema = T.StructType([f for f in out.schema.fields if f.name != tag])
+        return Staged(path, _partition_last(schema, rule), rule, observation.get if observation else {})
 
     def discard(self, staged: Staged) -> None:
         delete_path(self.spark, staged.path)

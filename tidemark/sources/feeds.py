@@ -7,7 +7,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import col, find_column
 from tidemark.operators.schema import conform
@@ -17,6 +17,8 @@ from tidemark.sinks.places import path_exists, qualified
 # Columns the scans add to what the files hold; dropped before publishing.
 FILE_COLUMN = "__source_file"
 CORRUPT_COLUMN = "__corrupt_record"
+REASON_COLUMN = "__reject_reason"
+EXTRAS = (FILE_COLUMN, CORRUPT_COLUMN, REASON_COLUMN, ROW_HASH)
 
 LISTING = "file_name string, file_path string, file_size bigint, last_modified string, file_owner string"
 
@@ -79,6 +81,7 @@ def csv_scan(
     delimiter: str = ",",
     encoding: str = "utf-8",
     schema: T.StructType | str | None = None,
+    reasons: bool = False,
 ) -> DataFrame:
     """All files as one relation, united by column name; a column a file lacks is
     NULL there. Files with the same header are read together, so the number of
@@ -86,12 +89,13 @@ def csv_scan(
 
     Without a declared ``schema`` types are inferred per layout (an extra pass;
     a column keeps its text type wherever one layout needs it). Two columns are
-    added: the file a row is from, and the raw text of rows that do not fit."""
+    added: the file a row is from, and the raw text of rows that do not fit; with
+    ``reasons`` a third says why they don't."""
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not paths:
         if declared is None:
             raise ValueError("no files and no declared schema")
-        return spark.createDataFrame([], _with_extras(declared))
+        return spark.createDataFrame([], _with_extras(declared, reasons))
     reader = lambda: (
         spark.read.option("header", header).option("sep", delimiter).option("encoding", encoding)
     )
@@ -116,13 +120,29 @@ def csv_scan(
             reader().schema(full).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(files)
         )
-        parts.append(part.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)))
+        why = [reject_reason(F.col(CORRUPT_COLUMN), part_schema, delimiter).alias(REASON_COLUMN)] if reasons else []
+        parts.append(part.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN), *why))
     if not parts:  # every file is empty
-        return spark.createDataFrame([], _with_extras(declared or T.StructType()))
+        return spark.createDataFrame([], _with_extras(declared or T.StructType(), reasons))
     out = union_by_name(parts)
     if declared is None:
         return out
-    return conform(out, _with_extras(declared))
+    return conform(out, _with_extras(declared, reasons))
+
+
+def reject_reason(raw: Column, schema: T.StructType, delimiter: str = ",") -> Column:
+    """Why a line does not fit its columns: the first value that is not of its column's
+    type, or the number of its fields. NULL for a NULL line."""
+    number = len(schema.fields)
+    names = [f"f{k}" for k in range(number + 1)]
+    cells = F.from_csv(raw, ", ".join(f"{n} STRING" for n in names), {"sep": delimiter})
+    reason = F.when(cells[names[-1]].isNotNull(), F.lit(f"more than {number} field(s)"))
+    for name, field in zip(names, schema.fields):
+        if not isinstance(field.dataType, T.StringType):
+            kind, cell = field.dataType.simpleString(), cells[name]
+            misfit = cell.isNotNull() & cell.try_cast(field.dataType).isNull()
+            reason = reason.when(misfit, F.concat(F.lit(f"{field.name}: "), F.substring(cell, 1, 100), F.lit(f" is no {kind}")))
+    return F.when(raw.isNotNull(), reason.otherwise(F.lit(f"fewer than {number} field(s), or an open quote")))
 
 
 def _declared_field(declared: T.StructType, name: str) -> T.StructField:
@@ -130,10 +150,9 @@ def _declared_field(declared: T.StructType, name: str) -> T.StructField:
     return T.StructField(name, declared[hit].dataType if hit else T.StringType())
 
 
-def _with_extras(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [
-        T.StructField(CORRUPT_COLUMN, T.StringType()), T.StructField(FILE_COLUMN, T.StringType()),
-    ])
+def _with_extras(schema: T.StructType, reasons: bool = False) -> T.StructType:
+    names = [CORRUPT_COLUMN, FILE_COLUMN] + [REASON_COLUMN] * reasons
+    return T.StructType(list(schema.fields) + [T.StructField(n, T.StringType()) for n in names])
 
 
 def union_by_name(parts: Iterable[DataFrame]) -> DataFrame:
@@ -158,7 +177,7 @@ def _numeric_only(kinds: set[str]) -> bool:
 
 
 def without_extras(df: DataFrame) -> DataFrame:
-    return df.drop(FILE_COLUMN, CORRUPT_COLUMN, ROW_HASH)
+    return df.drop(*EXTRAS)
 
 
 def file_counts(df: DataFrame) -> DataFrame:
