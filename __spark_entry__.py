@@ -764,6 +764,27 @@ def count_outliers(spark, folder):
     return ledger.outliers(ledger.daily_counts(_table(spark, folder, "events"), "event_type", "ts"), "event_type", 1.5)
 
 
+@query("""
+WITH s AS (SELECT user_id, event_id // 40 AS run, ts AS moment,
+    CASE event_type WHEN 'signup' THEN 'START' WHEN 'purchase' THEN 'END' ELSE 'BEAT' END AS signal FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:00:00'),
+r AS (SELECT user_id, run, coalesce(min(moment) FILTER (WHERE signal = 'START'), min(moment)) AS start_time,
+    max(moment) FILTER (WHERE signal = 'START') AS again, max(moment) FILTER (WHERE signal = 'END') AS ended, max(moment) FILTER (WHERE signal = 'BEAT') AS beat FROM s GROUP BY 1, 2),
+o AS (SELECT *, greatest(start_time, again, beat) AS last_seen FROM r WHERE ended IS NULL OR again > ended),
+x AS (SELECT *, (epoch_us(TIMESTAMP '2024-01-20 12:00:00') - epoch_us(start_time)) / 1000000 > 86400 * (1 + user_id % 9) AS overdue,
+    (epoch_us(TIMESTAMP '2024-01-20 12:00:00') - epoch_us(last_seen)) / 1000000 > 432000 AS silent FROM o)
+SELECT user_id AS job_id, run AS run_id, start_time, last_seen,
+    CASE WHEN overdue AND silent THEN 'OVERDUE,SILENT' WHEN overdue THEN 'OVERDUE' ELSE 'SILENT' END AS reason FROM x WHERE overdue OR silent""")
+def ledger_open_runs(spark, folder):
+    """Events read as signals (a signup starts a run, a purchase ends it, all else is a sign of
+    life): runs open longer than their job's limit, and those silent for five days."""
+    kind = F.when(F.col("event_type") == "signup", ledger.START).when(F.col("event_type") == "purchase", ledger.END).otherwise(ledger.BEAT)
+    signals = _table(spark, folder, "events").select(
+        F.col("user_id").alias("job_id"), F.floor(F.col("event_id") / 40).alias("run_id"), kind.alias("signal"), F.col("ts").alias("at"))
+    limits = signals.select("job_id").distinct().withColumn("limit_seconds", 86400.0 * (1 + F.col("job_id") % 9))
+    found = ledger.open_runs(signals, dt.datetime(2024, 1, 20, 12), limits, 5 * 86400)
+    return found.select("job_id", "run_id", "start_time", "last_seen", "reason")
+
+
 # --- streams --------------------------------------------------------------
 
 def _event_files(spark, folder) -> tuple[DataFrame, str]:

@@ -279,3 +279,60 @@ def test_a_roll_up_reads_closed_commits_only(spark, database):
     store.ledger.roll_up()
     plan = store.history("a")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("StartsWith") and plan.count("= a") >= 2  # the job's folders on both sides of the anti-join
+
+
+# --- runs that have not ended ---------------------------------------------
+
+def _signals(spark, rows):
+    return spark.createDataFrame([(j, r, s, dt.datetime(2024, 1, 1, h, m)) for j, r, s, h, m in rows], "job_id string, run_id string, signal string, at timestamp_ntz")
+
+
+def test_open_runs_are_overdue_or_silent(spark):
+    rows = [
+        ("a", "done", "START", 1, 0), ("a", "done", "END", 1, 5),
+        ("a", "quiet", "START", 8, 0), ("a", "quiet", "BEAT", 8, 10), ("a", "quiet", "BEAT", 8, 10),
+        ("a", "long", "START", 6, 0), ("a", "long", "BEAT", 9, 55), ("a", "late end", "START", 9, 50), ("a", "late end", "END", 10, 5),
+        ("b", "both", "START", 2, 0), ("b", "young", "START", 9, 58),
+        ("b", "resumed", "START", 3, 0), ("b", "resumed", "END", 3, 10), ("b", "resumed", "START", 9, 57), ("b", "resumed", "BEAT", 9, 59),
+        ("c", "no start", "BEAT", 9, 0), ("c", "only end", "END", 9, 0), (None, "no job", "START", 1, 0)]
+    moment = dt.datetime(2024, 1, 1, 10, 0)
+    limits = spark.createDataFrame([("a", 3 * 3600.0), ("a", 9 * 3600.0), ("b", 3600.0), (None, 60.0)], "job_id string, limit_seconds double")
+    found = {(r.job_id, r.run_id): (r.reason, r.open_seconds, r.silent_seconds) for r in ledger.open_runs(_signals(spark, rows), moment, limits, 1800).collect()}
+    assert found == {
+        ("a", "quiet"): ("SILENT", 7200.0, 6600.0), ("a", "long"): ("OVERDUE", 4 * 3600.0, 300.0), ("b", "both"): ("OVERDUE,SILENT", 8 * 3600.0, 8 * 3600.0),
+        ("b", "resumed"): ("OVERDUE", 7 * 3600.0, 60.0), ("c", "no start"): ("SILENT", 3600.0, 3600.0), (None, "no job"): ("OVERDUE,SILENT", 9 * 3600.0, 9 * 3600.0)}
+    # one limit for all, and none at all
+    assert ledger.open_runs(_signals(spark, rows), moment, 5 * 3600).count() == 3
+    assert ledger.open_runs(_signals(spark, rows), moment).count() == 0
+    assert ledger.open_runs(_signals(spark, []), moment, 1, 1).count() == 0
+    spans = {r.run_id: (r.end_time, r.last_seen, r.beats) for r in ledger.run_intervals(_signals(spark, rows), moment).collect()}
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    assert spans["late end"] == (None, at(9, 50), 0)  # not known to have ended yet
+    assert spans["done"] == (at(1, 5), at(1, 0), 0) and spans["only end"] == (at(9, 0), at(9, 0), 0) and spans["quiet"] == (None, at(8, 10), 2)
+
+
+def test_open_runs_take_one_shuffle(spark):
+    rows = [("a", str(k % 50), "START", 1, k % 60) for k in range(500)]
+    plan = ledger.open_runs(_signals(spark, rows), dt.datetime(2024, 1, 2), 60, 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_a_load_leaves_signals(spark, database):
+    from tidemark import LoadSpec, run_load
+    from tidemark.operators.quality import QualityError
+    from tidemark.sinks.ledgers import RunSignals
+
+    def spec(**sections):
+        return LoadSpec.from_dict({
+            "task": {"task_id": "j", "task_name": "j", "signals": True}, "source": {"type": "table", "connection": "c", "schema": "s", "table": "t"},
+            "load": {"type": "full"}, "target": {"type": "parquet", "catalog": "spark_catalog", "database": database, "table": "t"},
+            "preload": {"enabled": False}, "postload": {"enabled": False}, "audit_columns": {"enabled": False}, **sections})
+
+    run_load(spark, spec(), batch=spark.range(3), state_database=database, run_id="one")
+    with pytest.raises(QualityError):
+        run_load(spark, spec(data_quality={"minimum_rows": 9}), batch=spark.range(3), state_database=database, run_id="two", force=True)
+    book = RunSignals(spark, database)
+    assert values(book.read().select("run_id", "signal", "step")) == [
+        ("one", "BEAT", "published"), ("one", "BEAT", "staged"), ("one", "END", "done"), ("one", "START", ""), ("two", "END", "failed"), ("two", "START", "")]
+    book.record("j", "dead", ledger.START, at=dt.datetime(2024, 1, 1))
+    assert [r.run_id for r in ledger.open_runs(book.read(), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), 3600).collect()] == ["dead"]

@@ -11,11 +11,12 @@ from __future__ import annotations
 import fnmatch
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.columns import col, require_columns
+from tidemark.functions.names import as_utc
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -219,6 +220,55 @@ def sla_breaches(ledger: DataFrame, limit_seconds: float | DataFrame, duration:
     return ledger.where(col(duration) > F.lit(limit_seconds))
 
 
+# Kinds of a run's signals.
+START, BEAT, END = "START", "BEAT", "END"
+
+
+def run_intervals(signals: DataFrame, as_of: datetime | Column, at: str = "at") -> DataFrame:
+    """``(job_id, run_id, start_time, end_time, last_seen, beats)`` of each run, from signals
+    ``(job_id, run_id, signal, at)`` as they were known at ``as_of``.
+
+    A run begins with its first START. It has ended with its last END, unless a START came
+    after that: a resumed run is open again. ``last_seen`` is its last START or BEAT, or its
+    END if that was earlier. A run without a START begins with what is known of it first.
+    Minima and maxima say all that, so signals are combined before the one shuffle, by job and
+    run, and neither a job of many runs nor a run of many beats is held in a task.
+    """
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_utc(as_of))
+    moment = moment.cast(signals.schema[at].dataType)
+    known = signals.where(col(at) <= moment)
+    is_ = lambda kind: F.col("signal") == kind
+    runs = known.groupBy("job_id", "run_id").agg(
+        F.min(F.when(is_(START), col(at))).alias("__start"), F.min(col(at)).alias("__first"), F.max(F.when(is_(START), col(at))).alias("__again"),
+        F.max(F.when(is_(END), col(at))).alias("__last_end"), F.max(F.when(is_(BEAT), col(at))).alias("__beat"), F.count_if(is_(BEAT)).alias("beats"))
+    ended = F.when(F.col("__last_end").isNotNull() & (F.col("__again").isNull() | (F.col("__last_end") >= F.col("__again"))), F.col("__last_end"))
+    runs = runs.withColumns({"start_time": F.coalesce("__start", "__first"), "end_time": ended})
+    seen = F.greatest("start_time", "__again", "__beat")
+    return runs.select("job_id", "run_id", "start_time", "end_time", F.least(seen, F.coalesce("end_time", seen)).alias("last_seen"), "beats")
+
+
+def open_runs(signals: DataFrame, as_of: datetime, limit_seconds: float | DataFrame | None = None, silent_seconds: float | None = None,
+              at: str = "at") -> DataFrame:
+    """``(job_id, run_id, start_time, last_seen, open_seconds, silent_seconds, reason)`` of runs
+    that have started and not ended by ``as_of``, and are OVERDUE (open longer than the
+    limit: one for all, or ``(job_id, limit_seconds)`` rows; no row is no limit), SILENT (no
+    sign of life for ``silent_seconds``), or both."""
+    moment = F.lit(as_utc(as_of))
+    runs = run_intervals(signals, as_of, at).where(F.col("end_time").isNull())
+    since = lambda name: (moment.cast("timestamp").cast("double") - F.col(name).cast("timestamp").cast("double"))
+    runs = runs.withColumns({"open_seconds": since("start_time"), "silent_seconds": since("last_seen")})
+    if isinstance(limit_seconds, DataFrame):
+        limits = limit_seconds.groupBy(F.col("job_id").alias("__job")).agg(F.min("limit_seconds").alias("__limit"))
+        runs = runs.join(limits, F.col("job_id").eqNullSafe(F.col("__job")), "left")
+    else:
+        runs = runs.withColumn("__limit", F.lit(limit_seconds).cast("double"))
+    overdue = F.when(F.col("open_seconds") > F.col("__limit"), "OVERDUE")
+    silent = F.when(F.col("silent_seconds") > F.lit(silent_seconds).cast("double"), "SILENT")
+    reason = F.concat_ws(",", overdue, silent)
+    return runs.withColumn("reason", reason).where("reason <> ''").select(
+        "job_id", "run_id", "start_time", "last_seen", "open_seconds", "silent_seconds", "reason")
+
+
 def config_name(path: Column) -> Column:
     """The file name of a spec's path: the same spec may be deployed to several folders."""
     return F.regexp_extract(path, "([^/\\\\]*)$", 1)
@@ -233,9 +283,9 @@ def daily_counts(runs: DataFrame, job: str, ts: str, rows: Column | None = None)
 def calendar(daily: DataFrame, job: str) -> DataFrame:
     """``(job, day, n)`` with a row of 0 for every day without one, between a job's first
     day and the last day of all jobs: a job that stays away is the worst drop."""
-    last = F.lit(daily.agg(F.max("day")).first()[0]).cast("date")
-    spans = daily.groupBy(col(job)).agg(F.min("day").alias("__first"))
-    days = spans.select(col(job), F.explode(F.sequence("__first", last)).alias("day"))
+    last = F.broadcast(daily.agg(F.max("day").alias("__last")))  # one row
+    spans = daily.groupBy(col(job)).agg(F.min("day").alias("__first")).crossJoin(last)
+    days = spans.select(col(job), F.explode(F.sequence("__first", "__last")).alias("day"))
     return days.join(daily, [job, "day"], "left").select(col(job), "day", F.coalesce("n", F.lit(0)).alias("n"))
 
 

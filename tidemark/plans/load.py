@@ -28,7 +28,7 @@ from tidemark.operators.watermark import Watermark, advance, boundary, high_valu
 from tidemark.plans import hooks
 from tidemark.plans.spec import LoadSpec, SpecError
 from tidemark.sinks import ddl
-from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, RunLedger, WatermarkStore
+from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, RunLedger, RunSignals, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder, path_exists
 from tidemark.sinks.tables import MergeError, ParquetTable, Staged
@@ -110,12 +110,16 @@ def run_load(
         "source_type": spec.source.type, "target_table": spec.target.full_name,
         "load_type": spec.load.type, "config_path": config_path, "start_time": started or utc_now(),
     }
+    signal = _signals(spark, spec, run, state_database)
+    signal(runs.START, "", run["start_time"])
     try:
-        result = _execute(spark, spec, run, batch, connection, state_database, job_user, as_of)
+        result = _execute(spark, spec, run, batch, connection, state_database, job_user, as_of, signal)
     except Exception as problem:
+        signal(runs.END, "failed")
         ledger.record(run, problem)
         _notify(spark, spec, run, state_database, problem)
         raise
+    signal(runs.END, "done")
     ended = utc_now()
     ledger.record(run | {"status": result.status, "end_time": ended, "rows_read": result.rows_read, "rows_written": result.rows_written})
     seconds = (ended - run["start_time"]).total_seconds()
@@ -227,7 +231,15 @@ def _transformed(spec: LoadSpec, df, run_id, job_user, as_of):
     )
 
 
-def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_user, as_of) -> LoadResult:
+def _signals(spark, spec: LoadSpec, run: dict, state_database: str):
+    """Records signs of life, if the spec asks for them."""
+    if not spec.task.signals:
+        return lambda *_: None
+    book = RunSignals(spark, state_database)
+    return lambda kind, step, at=None: book.record(run["job_id"], run["run_id"], kind, step, at)
+
+
+def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_user, as_of, signal) -> LoadResult:
     store = WatermarkStore(spark, state_database)
     table = open_target(spark, spec)
     since = _start(spec, store.get(spec.task.id) if spec.load.is_incremental else None)
@@ -235,13 +247,13 @@ def _execute(spark, spec: LoadSpec, run, batch, connection, state_database, job_
 
     found = _extract(spark, spec, batch, connection, state_database, since)
     try:
-        return _load_batch(spark, spec, run, found, table, store, since, outcome, state_database, job_user, as_of)
+        return _load_batch(spark, spec, run, found, table, store, since, outcome, state_database, job_user, as_of, signal)
     finally:
         if found.pinned:
             delete_path(spark, found.pinned)
 
 
-def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since, outcome, state_database, job_user, as_of) -> LoadResult:
+def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since, outcome, state_database, job_user, as_of, signal) -> LoadResult:
     if found.df is None:  # no file: the gate sees a batch of no rows
         verdict = enforce(judge(replace(spec.quality, null_check=(), unique_check=()), 0, 0, 0))
         return LoadResult("NO_DATA", run["run_id"], watermark=since, quality=verdict, hooks=outcome)
@@ -307,6 +319,7 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
             delete_path(spark, staged.path)
         raise
 
+    signal(runs.BEAT, "staged")
     dropped = 0
     if ambiguous and spec.load.watermark_column:  # the newest row of a key is taken
         rows = staged.rows(spark)
@@ -334,6 +347,7 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
     if listing is not None:
         _file_audit(spark, spec, state_database).record(listing, _plain_paths(counts), spec.target.full_name)
         delete_path(spark, counted)
+    signal(runs.BEAT, "published")
     outcome |= hooks.postload(spec, table, mark)
     return LoadResult("SUCCESS", run["run_id"], total, total - dropped, dropped, mark, verdict, outcome)
 

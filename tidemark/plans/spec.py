@@ -96,6 +96,7 @@ class Task:
     description: str = ""
     depends_on: tuple[str, ...] = ()
     sla_seconds: int = 0  # a longer run is reported; 0 is no limit
+    signals: bool = False  # whether starts, steps and ends are recorded as they happen
 
 
 @dataclass(frozen=True)
@@ -282,6 +283,7 @@ def _task(s: _Section) -> Task:
     return Task(
         s.required("task_id", "job_id"), s.required("task_name", "job_name"), s.flag("enabled"),
         s.text("description"), s.names("depends_on", commas=True), s.number("sla_seconds", default=0),
+        s.flag("signals", default=False),
     )
 
 

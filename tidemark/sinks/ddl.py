@@ -52,6 +52,8 @@ RUNS = (
 )
 # Beyond the telemetry columns: what the per-run success and failure records hold.
 RUN_DETAILS = "job_name STRING, load_type STRING, config_path STRING, error_type STRING, error_trace STRING"
+# Signs of life of runs: that they have started, go on, have ended.
+SIGNALS = "job_id STRING, run_id STRING, signal STRING, at TIMESTAMP, step STRING"
 # Rows of feeds that did not fit their file's columns.
 REJECTED = "file_path STRING, raw_text STRING, reason STRING, run_id STRING, rejected_at TIMESTAMP"
 NOTIFICATIONS = (

@@ -267,6 +267,18 @@ class RunLedger(Ledger):
         self.append_row([run.get(n) for n in self.fields.names], run["end_time"].date())
 
 
+class RunSignals(Ledger):
+    """Starts, heartbeats and ends of runs, each recorded when it happens: what is missing
+    tells which runs have died (``tidemark.operators.ledger.open_runs``)."""
+
+    def __init__(self, spark: SparkSession, database: str = "etl_audit", table: str = "etl_run_signals"):
+        super().__init__(spark, database, table, ddl.SIGNALS, "commit_day", "date")
+
+    def record(self, job_id: str, run_id: str, signal: str, step: str = "", at: datetime | None = None) -> None:
+        at = at or utc_now()
+        self.append_row((job_id, run_id, signal, at, step), at.date())
+
+
 class FileAudit(Ledger):
     """One row per ingested file; its successful rows are the file state that
     decides which files are new."""
