@@ -52,3 +52,19 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def nothing(spark):
     return empty(spark)
+
+
+def shares(sizes, weights=(1, 2, 3), repeats=3):
+    """Words that sources give, in their order: by weight, at most ``repeats`` times their size."""
+    weight = [weights[k % len(weights)] for k in range(len(sizes))]
+    out, rest, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while rest:
+        total = sum(weight[k] for k in rest)
+        full = [k for k in rest if left * weight[k] / total > repeats * sizes[k]]
+        for k in full or rest:
+            out[k] = float(repeats * sizes[k]) if full else left * weight[k] / total
+        if not full:
+            break
+        left -= sum(out[k] for k in full)
+        rest -= set(full)
+    return out

@@ -1,21 +1,39 @@
 from collections import defaultdict
 
+import pytest
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
-from samples import docs, nothing, spaced  # noqa: F401
+from samples import docs, nothing, shares, spaced  # noqa: F401
 from tidemark.llm import mixing
 
 
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=12))
-def test_targets_share_everything_within_their_caps(sizes):
-    out = mixing.targets([(str(k), n) for k, n in enumerate(sizes)], (1, 2, 3), 3)
+def test_shares_are_within_their_caps(sizes):
+    out = shares(sizes)
     assert abs(sum(out) - sum(sizes)) < 1e-6 * max(1, sum(sizes))
     assert all(t <= 3 * n + 1e-9 for t, n in zip(out, sizes))
     free = [t / (k % 3 + 1) for k, (t, n) in enumerate(zip(out, sizes)) if t < 3 * n - 1e-6]
     assert not free or max(free) - min(free) < 1e-6 * max(1, max(free))
 
 
+@pytest.mark.parametrize("sizes", [[0], [5], [0, 0, 0], [1, 1000, 3], [1000, 1, 1], [7, 0, 100, 3, 3, 900, 2, 1, 1], list(range(40)), [2**k for k in range(25)]])
+def test_targets(spark, sizes):
+    names = sorted([None if k == len(sizes) - 1 else f"s{k:03}" for k in range(len(sizes))], key=lambda s: (s is None, s or ""))
+    sources = spark.createDataFrame(list(zip(names, sizes)), "source string, n long").repartition(3)
+    found = {r.source: (r.n, r.target) for r in mixing.targets(sources, (1, 2, 3), 3).collect()}
+    assert found == {s: (n, t) for s, n, t in zip(names, sizes, shares(sizes))}
+
+
+def test_very_many_sources(spark):
+    """None is a row on the driver; a tenth has most of the words."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', CASE WHEN id % 10 = 0 THEN 50 ELSE 1 END) AS text")
+    out = mixing.mix(docs)
+    assert out.count() == 30_000 and out.where("target > 3 * source_size + 1e-9 or copies > 3").count() == 0
+    given_, wanted = out.agg(F.sum("target"), F.sum("size")).first()
+    assert abs(given_ - wanted) < 1e-3
+
+
 def check(rows, docs):
     sizes, taken, target, largest = defaultdict(int), defaultdict(int), {}, defaultdict(int)
     for r in rows:
@@ -24,7 +42,7 @@ def check(rows, docs):
         taken[r.source] += r["size"] * r.copies
         target[r.source] = r.target
         largest[r.source] = max(largest[r.source], r["size"])
-    wanted = dict(zip(order := sorted(sizes, key=lambda s: (s is None, s or "")), mixing.targets([(s, sizes[s]) for s in order], (1, 2, 3), 3)))
+    wanted = dict(zip(order := sorted(sizes, key=lambda s: (s is None, s or "")), shares([sizes[s] for s in order])))
     assert wanted == target
     # rows of one id and text have one hash: at most two of them here
     assert all(abs(taken[s] - target[s]) <= largest[s] + 1 for s in sizes)

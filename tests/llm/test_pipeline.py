@@ -5,10 +5,10 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from conftest import SF
-from samples import docs, plain, spaced  # noqa: F401
+from samples import docs, nothing, plain, shares, spaced  # noqa: F401
 from test_decontamination import brute as contaminated
 from test_ngram_join import brute as classes
-from tidemark.llm import language, mixing
+from tidemark.llm import language
 from tidemark.llm.folders import written
 from tidemark.llm.queries import held_out, tokenizer_path
 
@@ -31,12 +31,11 @@ def test_each_stage_against_brute_force(spark):
     for r in clean:
         sizes[r.source] = sizes.get(r.source, 0) + len(spaced(r.text))
     order = sorted(sizes)
-    for source, target in zip(order, mixing.targets([(s, sizes[s]) for s in order], (1, 2, 3), 3)):
+    for source, target in zip(order, shares([sizes[s] for s in order])):
         mine = [len(spaced(r.text)) for r in mixed if r.source == source]
         assert abs(sum(mine) - target) <= max(len(spaced(r.text)) for r in clean if r.source == source)
     assert all(list(r.asDict()) == columns for r in mixed)
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     crc = lambda text: zlib.crc32(np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes())
     assert sorted((r.doc_id, r.ids_crc32) for r in files) == sorted((r.doc_id, crc(r.text)) for r in mixed)
     assert plain("x") == ["x"]
@@ -53,3 +52,11 @@ def test_rows_that_break_things(spark, docs):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) >= {"doc_id", "start", "n_tokens", "ids_crc32"} and out.count() > 100
+
+
+def test_empty_tables(spark, nothing):
+    """Every stage on a table without rows keeps its columns."""
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = written(stage(spark, nothing, SF), "stage")
+        assert out.columns == nothing.columns and out.count() == 0
+    assert corpus_pipeline.STAGES[4][1](spark, nothing, SF).count() == 0

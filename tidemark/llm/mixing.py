@@ -20,8 +20,6 @@ from tidemark.llm.text import NON_SPACE, blocks, bounded_batches
 
 #: Bits of a hash, and how many each level of buckets looks at.
 HASH_BITS, LEVEL_BITS = 60, 12
-#: Sources come to the driver as one row each; more are refused.
-MAX_SOURCES = 1_000_000
 
 
 def word_counts(documents: DataFrame, text_column: str = "text", name: str = "size") -> DataFrame:
@@ -42,27 +40,39 @@ def word_counts(documents: DataFrame, text_column: str = "text", name: str = "si
     return source.mapInArrow(read, source.drop("__text").schema.add(name, "long"))
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...], repeats: int) -> list[float]:
-    """Words each source shall give. Sources are in their order, weights repeat.
+def _numbered(sources: DataFrame) -> DataFrame:
+    """Sources ``(source, n)`` with their place by code point, null last. They are sorted by
+    ranges; the number of rows of each range, and nothing else, comes to the driver."""
+    order = F.col("source").asc_nulls_last()
+    placed = written(sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id()), "sources")
+    part = F.shiftright("at", 33).cast("int")
+    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    before = np.cumsum([0] + [n for _, n in sizes])
+    starts = placed.sparkSession.createDataFrame([(p, int(b)) for (p, _), b in zip(sizes, before)], "part int, before long")
+    return placed.join(F.broadcast(starts), part == F.col("part")).select(
+        "source", "n", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("place"))
 
-    The sources share the sum of all sizes by weight; a source stops at ``repeats``
-    times its size, and what it can't give is shared again by the others.
+
+def targets(sources: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
+    """``(source, n, target)``: the words each source of ``(source, n)`` shall give.
+
+    The sources, by code point, null last, have the weights in turn and share the sum of all
+    sizes by weight; a source stops at ``repeats`` times its size, and what it can't give is
+    shared again by the others. Each round finds, by one sum over the sources, which are
+    full at the share of the last one; shares only grow, and after a few rounds no more get full.
     """
-    weight = [weights[k % len(weights)] for k in range(len(sizes))]
-    out = [0.0] * len(sizes)
-    open_ones, left = set(range(len(sizes))), float(sum(n for _, n in sizes))
-    while open_ones:
-        total = sum(weight[k] for k in open_ones)
-        full = [k for k in open_ones if left * weight[k] / total > repeats * sizes[k][1]]
-        if not full:
-            for k in open_ones:
-                out[k] = left * weight[k] / total
+    place = F.pmod(F.col("place"), F.lit(len(weights))) + 1
+    weighed = written(_numbered(sources).select("source", "n", F.element_at(F.array(*map(F.lit, weights)), place.cast("int")).alias("weight")), "weights")
+    total, open_weight = weighed.agg(F.sum("n"), F.sum("weight")).first()
+    left, most = float(total or 0), F.lit(repeats) * F.col("n")
+    share = lambda: F.lit(left) * F.col("weight") / F.lit(open_weight)
+    while open_weight:
+        full = share() > most
+        spent, rest = weighed.agg(F.sum(F.when(full, most).otherwise(0)), F.sum(F.when(full, 0).otherwise(F.col("weight")))).first()
+        if (float(total - spent), rest) == (left, open_weight):
             break
-        for k in full:
-            out[k] = float(repeats * sizes[k][1])
-        left -= sum(out[k] for k in full)
-        open_ones -= set(full)
-    return out
+        left, open_weight = float(total - spent), rest
+    return weighed.select("source", "n", F.least(share(), most).cast("double").alias("target") if open_weight else most.cast("double").alias("target"))
 
 
 def _thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -102,12 +112,10 @@ def _hash(id_column: str, text_column: str) -> Column:
 
 def _plan(sized: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
     """``(s, source_size, target, whole, below, edge)`` of each source s."""
-    sums = sized.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(sums) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    wanted = targets([(r[0], r[1]) for r in sums], weights, repeats)
-    plan = sized.sparkSession.createDataFrame(
-        [(r[0], r[1], t, *_whole(t, r[1])) for r, t in zip(sums, wanted)], "s string, source_size long, target double, whole int, budget double")
+    wanted = targets(sized.groupBy("source").agg(F.sum("size").alias("n")), weights, repeats)
+    whole = F.when(F.col("n") > 0, F.floor(F.col("target") / F.col("n"))).otherwise(0).cast("int")
+    plan = wanted.select(F.col("source").alias("s"), F.col("n").alias("source_size"), "target", whole.alias("whole"))
+    plan = written(plan.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
     limits = _thresholds(sized, plan.where("budget > 0").withColumnRenamed("s", "source"))
     return written(plan.join(limits, F.col("source").eqNullSafe(F.col("s")), "left").drop("source", "budget"), "plan")
 
@@ -146,9 +154,3 @@ def taken(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
     rows = documents.select(F.struct("*").alias("row"), F.col(source_column).cast("string").alias("source"), _hash(id_column, text_column).alias("hash"))
     copies = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row", _copies(F.col("hash")).alias("copies"))
     return copies.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
-
-
-def _whole(target: float, size: int) -> tuple[int, float]:
-    """Whole copies of a source, and the words that are wanted beyond them."""
-    copies = int(target // size) if size else 0
-    return copies, target - copies * size
