@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -9,7 +10,8 @@ def brute(rows, part=chat.PART_TURNS):
     convs = {}
     for c, t, r, x in {(c, t, r or "", x or "") for c, t, r, x in rows}:
         convs.setdefault(c, []).append((t is not None, t, r, x))
-    convs = {c: sorted(v, key=lambda z: (z[0], z[1] or 0, z[2], z[3])) for c, v in convs.items()}
+    mark = lambda z: hashlib.md5(f"{z[2]}\0{z[3]}".encode()).hexdigest()
+    convs = {c: sorted(v, key=lambda z: (z[0], z[1] or 0, mark(z))) for c, v in convs.items()}
     bare = {c: [z[2:] for z in v] for c, v in convs.items()}
     key = lambda c: (c is None, c or 0)
     out = []
@@ -17,8 +19,8 @@ def brute(rows, part=chat.PART_TURNS):
         if any(d != c and bare[d][:len(v)] == bare[c] and (len(bare[d]) > len(v) or key(d) < key(c)) for d in bare):
             continue
         parts = {}
-        for z in v:
-            parts.setdefault((z[1] or 0) // part, []).append(f"<|{z[2]}|>\n{z[3]}\n<|end|>\n")
+        for k, z in enumerate(v):
+            parts.setdefault(k // part, []).append(f"<|{z[2]}|>\n{z[3]}\n<|end|>\n")
         out += [(c, p, len(v), "".join(x)) for p, x in parts.items()]
     return sorted(out, key=str)
 
@@ -60,10 +62,24 @@ def test_a_conversation_of_one_turn_number_is_cut(spark, turn):
         hashed = chat.prefix_hashes(turns)
         assert [r.place for r in hashed.where("conv IS NULL").select("place").orderBy("place").collect()] == list(range(1, 3001))
         assert hashed.groupBy("conv", "task").count().agg({"count": "max"}).first()[0] < 1000
-        assert got(chat.render(table(spark, rows))) == brute(rows)
+        found = got(chat.render(table(spark, rows)))
+        assert found == brute(rows) and max(x[3].count("<|end|>") for x in found) == 256 and len([x for x in found if x[0] is None]) == 12
     finally:
         spark.conf.unset(name)
 
 
 def test_empty(spark):
     assert chat.render(table(spark, [(1, 0, "u", "a")]).limit(0)).collect() == []
+
+
+def test_sql_agrees_on_odd_rows(spark):
+    """Null ids, null and repeated turn numbers mean the same to the query's SQL."""
+    import duckdb
+
+    from tidemark.llm.queries import SQL
+
+    rows = [(None, None, "u", "z"), (None, None, "u", "a"), (None, 3, None, "b"), (7, None, "u", "z"), (7, None, "u", "a"), (7, 3, "", "b"), (8, -1, "u", None), (8, 5, "u", "x"),
+            (9, -1, "u", ""), (9, 5, "u", "x"), (9, 5, "u", "y")] + [(10, 4, "u", f"t{k}") for k in range(300)]
+    conversations = table(spark, rows).selectExpr("conv_id", "CAST(turn AS long) AS turn", "role", "text").toArrow()  # noqa: F841
+    want = duckdb.sql(SQL["op5_chat_format"]).fetchall()
+    assert sorted(want, key=str) == got(chat.render(table(spark, rows)))

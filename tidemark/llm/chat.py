@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.folders import written
 
-#: Turn numbers of a part, and turns that are rendered together before a part is put
-#: together from them.
+#: Turns of a part.
 PART_TURNS = 256
 #: The rendering of a turn.
 TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
@@ -32,11 +31,12 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     each task come first; those of earlier tasks are added to the places and the running
     sums within a task.
     """
-    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    # the bounds of ranges are sampled: a digest stands for role and text
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.md5(F.concat_ws("\0", "role", "text"))]
     ordered = turns.groupBy("conv", "turn", "role", "text").count().drop("count").repartitionByRange(*order).sortWithinPartitions(*order)
     # the upper bits of this number are the task's
     ordered = ordered.withColumn("at", F.monotonically_increasing_id())
-    ordered = written(ordered.withColumns({"task": F.shiftright("at", 33), "slot": F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS)}), "turns")
+    ordered = written(ordered.withColumn("task", F.shiftright("at", 33)), "turns")
     tasks = ordered.groupBy("conv", "task").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     earlier = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = tasks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumnsRenamed({"conv": "c", "task": "s"})
@@ -49,7 +49,7 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     hashed = hashed.drop("c", "s").join(sums, same)
     running = Window.partitionBy("conv", "task").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return hashed.select(
-        "conv", "task", "slot", "place", "turn", "role", "text", F.col("x_before").bitwiseXOR(F.bit_xor("one").over(running)).alias("one"),
+        "conv", "task", "place", "turn", "role", "text", F.col("x_before").bitwiseXOR(F.bit_xor("one").over(running)).alias("one"),
         F.col("y_before").bitwiseXOR(F.bit_xor("two").over(running)).alias("two"))
 
 
@@ -70,12 +70,10 @@ def render(conversations: DataFrame, id_column: str = "conv_id", turn_column: st
 
     A conversation that is the beginning of another is left out, and of equal ones all
     but that with the smallest id. Null roles and texts are empty; rows with a null id
-    are one conversation; repeated rows are one turn, and turns of one number are in
-    order of role and text. Turns 0 to PART_TURNS - 1 are part 0, and so on; ``n_turns``
-    counts the whole conversation. Other columns are ignored.
-
-    Only the last step holds a whole part: it is one text by contract, however many turns
-    have its numbers.
+    are one conversation, its id comes after all others; repeated rows are one turn. Turns
+    are in order of their numbers, null first, those of one number by the MD5 of role and
+    text. The first PART_TURNS turns are part 0, and so on, whatever their numbers are;
+    ``n_turns`` counts the whole conversation. Other columns are ignored.
     """
     empty = F.lit("")
     turns = conversations.select(
@@ -84,13 +82,7 @@ def render(conversations: DataFrame, id_column: str = "conv_id", turn_column: st
     hashed = written(prefix_hashes(turns), "hashed")
     kept = maximal(hashed).withColumnsRenamed({"conv": "c"})
     lines = hashed.join(kept, F.col("conv").eqNullSafe(F.col("c"))).select(
-        "conv", F.col("slot").alias("part"), F.floor((F.col("place") - 1) / PART_TURNS).alias("piece"), "place", "n_turns",
-        _turn(F.col("role"), F.col("text")).alias("line"))
-    pieces = _joined(lines, ["conv", "part", "piece"], "place", "line")
-    return _joined(pieces, ["conv", "part"], "piece", "line").withColumnRenamed("line", "text")
-
-
-def _joined(lines: DataFrame, keys: list[str], order: str, line: str) -> DataFrame:
-    """One text for each group, in order."""
-    lists = lines.groupBy(*keys).agg(F.max("n_turns").alias("n_turns"), F.array_sort(F.collect_list(F.struct(order, line))).alias("lines"))
-    return lists.select(*keys, "n_turns", F.array_join(f"lines.{line}", "").alias(line))
+        "conv", F.floor((F.col("place") - 1) / PART_TURNS).alias("part"), "place", "n_turns", _turn(F.col("role"), F.col("text")).alias("line"))
+    # a part has PART_TURNS turns at most, however many a conversation has
+    parts = lines.groupBy("conv", "part").agg(F.max("n_turns").alias("n_turns"), F.array_sort(F.collect_list(F.struct("place", "line"))).alias("lines"))
+    return parts.select("conv", "part", "n_turns", F.array_join("lines.line", "").alias("text"))

@@ -177,13 +177,14 @@ def op4_url_filter(spark, folder):
 
 @query("""
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-c AS (SELECT conv_id, list(role || chr(0) || text ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(0) || text)) AS place FROM t),
+c AS (SELECT conv_id, list(role || chr(0) || text ORDER BY place) AS turns FROM p GROUP BY conv_id),
 kept AS (SELECT conv_id, len(turns) AS n_turns FROM c a WHERE NOT EXISTS (
   SELECT 1 FROM c b WHERE b.turns[1] = a.turns[1] AND len(b.turns) >= len(a.turns) AND b.turns[:len(a.turns)] = a.turns
-    AND (len(b.turns) > len(a.turns) OR b.conv_id < a.conv_id)))
-SELECT conv_id, (turn // 256)::BIGINT AS part, any_value(n_turns)::BIGINT AS n_turns,
-       string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS text
-FROM t JOIN kept USING (conv_id) GROUP BY ALL
+    AND (len(b.turns) > len(a.turns) OR b.conv_id < a.conv_id OR (a.conv_id IS NULL AND b.conv_id IS NOT NULL))))
+SELECT p.conv_id, ((place - 1) // 256)::BIGINT AS part, any_value(n_turns)::BIGINT AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY place) AS text
+FROM p JOIN kept ON p.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY ALL
 """)
 def op5_chat_format(spark, folder):
     return chat.render(_table(spark, folder, "conversations")).withColumnRenamed("conv", "conv_id")
