@@ -16,9 +16,7 @@ from tidemark.llm.text import blocks
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 known = ChunkEncoder(tokenizer_path())
