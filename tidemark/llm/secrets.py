@@ -35,29 +35,47 @@ BASE_RULES = (
 #: Names the rules in the ledger; new rules need a new one.
 BASE_VERSION = "base-1"
 
+#: Matches whose places are worked out together.
+RUN = 512
+
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
 def _matches(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of a rule's matches by code point, leftmost and without overlap.
 
-    The texts between matches and the matches alternate, so lengths give the places.
+    The texts between matches and the matches alternate, so lengths give the places: first
+    within runs of RUN matches, then the runs are moved to theirs. No array grows by more
+    than a run at a time, however many matches a text has.
     """
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     counted = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
     between = F.split(text, rule.pattern, -1)
-    rows = F.arrays_zip(whole.alias("m"), F.slice(between, 1, F.size(whole)).alias("b"), counted.alias("g"))
+    rows = F.transform(
+        F.arrays_zip(whole.alias("m"), F.slice(between, 1, F.size(whole)).alias("b"), counted.alias("g")),
+        lambda row: F.struct(F.length(row["b"]).alias("b"), F.length(row["m"]).alias("m"), (F.length(row["g"]) >= rule.least).alias("kept")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(state: Column, row: Column) -> Column:
-        begin = state["at"] + F.length(row["b"])
-        end = begin + F.length(row["m"])
+        begin = state["at"] + row["b"]
+        end = begin + row["m"]
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.length(row["g"]) >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(
-            state["spans"]).alias("spans"))
+        return F.struct(end.alias("at"), F.when(row["kept"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+
+    def moved(spans: Column, by: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), (s["end"] + by).alias("end")))
+
+    def placed(rows: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / RUN).cast("int")), lambda k: F.aggregate(F.slice(rows, k * RUN + 1, RUN), start, step))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("parts"))
+        return F.aggregate(
+            runs, first, lambda done, run: F.struct((done["at"] + run["at"]).alias("at"), F.concat(done["parts"], F.array(moved(run["spans"], done["at"]))).alias("parts")),
+            lambda done: F.flatten(done["parts"]))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(rows, start, step, lambda s: s["spans"])).otherwise(F.array().cast(_SPANS))
+    # bound to a name, so that it is worked out once
+    found = F.element_at(F.transform(F.array(rows), placed), 1)
+    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(_SPANS))
 
 
 def spans(text: Column, rules: tuple[Rule, ...] = BASE_RULES) -> Column:
@@ -86,11 +104,10 @@ def scan(versions: DataFrame, ledger: str, path_column: str = "doc_id", text_col
     home = f"{ledger}/rules={rules_version}"
     if path_exists(spark, home):
         blobs = blobs.join(spark.read.parquet(home).select("blob"), "blob", "left_anti")
-    # One row of each new blob goes to the scan: that of its smallest path.
-    chosen = blobs.withColumnRenamed("blob", "b")
-    new = source.withColumn("q", F.coalesce(F.col("path").cast("string"), F.lit(""))).join(
-        chosen, (F.col("blob") == F.col("b")) & (F.col("q") == F.col("p")), "left_semi")
-    found = new.select("blob", spans(F.col("text"), rules).alias("spans"))
-    # A path may have a blob in several rows; what was found is the same.
-    found.groupBy("blob").agg(F.first("spans").alias("spans")).write.mode("append").parquet(home)
+    # One row of each new blob goes to the scan: of its smallest path, where equal rows are
+    # one for each task before they are shuffled.
+    chosen = blobs.withColumnsRenamed({"blob": "b"})
+    rows = source.withColumn("q", F.coalesce(F.col("path").cast("string"), F.lit(""))).groupBy("blob", "q").agg(F.first("text").alias("text"))
+    new = rows.join(chosen, (F.col("blob") == F.col("b")) & (F.col("q") == F.col("p")), "left_semi")
+    new.select("blob", spans(F.col("text"), rules).alias("spans")).write.mode("append").parquet(home)
     return source.select("path", "blob").join(spark.read.parquet(home), "blob", "left").select("path", "blob", "spans")
