@@ -7,7 +7,7 @@ A token folder has two tables:
              id), ``ids`` (raw, little-endian), and the directory of its documents,
              ``keys`` and ``lengths``.
 ``index``    one row for each part of the keys: the levels and bits of a minimal perfect
-             hash, and at a key's number its fingerprint, shard, offset and length.
+             hash, and at a key's number its fingerprint, shard, row (``first``), offset and length.
 
 Documents are in ascending order of id (null first, then by a hash of the text) over
 all shards. Both are written by Spark's own writer, so any shared store will do and a
@@ -97,23 +97,23 @@ def index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def directory(table: DataFrame) -> DataFrame:
-    """``(id, shard, offset, n_tokens, place)`` of each document; place is its number in
-    the shard. The ids themselves are not read."""
+    """``(id, shard, first, offset, n_tokens, place)`` of each document; first is that of its
+    row of ids, place its number in the shard. The ids themselves are not read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 keys = batch.column(2)[k].values
                 lengths = np.frombuffer(batch.column(3)[k].as_py(), "<i8")
-                offsets = batch.column(1)[k].as_py() + np.cumsum(lengths) - lengths
+                first = batch.column(1)[k].as_py()
                 yield pa.RecordBatch.from_arrays([
-                    keys, pa.array(np.full(len(keys), batch.column(0)[k].as_py(), np.int32)), pa.array(offsets),
-                    pa.array(lengths), pa.array(batch.column(4)[k].as_py() + np.arange(len(keys)))],
-                    ["id", "shard", "offset", "n_tokens", "place"])
+                    keys, pa.array(np.full(len(keys), batch.column(0)[k].as_py(), np.int32)), pa.array(np.full(len(keys), first, np.int64)),
+                    pa.array(first + np.cumsum(lengths) - lengths), pa.array(lengths), pa.array(batch.column(4)[k].as_py() + np.arange(len(keys)))],
+                    ["id", "shard", "first", "offset", "n_tokens", "place"])
 
     kind = table.schema["keys"].dataType.elementType.simpleString()
     return table.select("shard", "first", "keys", "lengths", "before").mapInArrow(
-        read, f"id {kind}, shard int, offset long, n_tokens long, place long")
+        read, f"id {kind}, shard int, first long, offset long, n_tokens long, place long")
 
 
 def shard_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,7 +135,7 @@ def numbered(entries: DataFrame, starts: DataFrame) -> DataFrame:
     placed = entries.join(starts, "shard").withColumn("place", F.col("rows") + F.col("place"))
     least = placed.groupBy(F.col("id").alias("i")).agg(F.min("place").alias("least"))
     return placed.join(least, F.col("id").eqNullSafe(F.col("i"))).select(
-        "id", (F.col("place") - F.col("least")).alias("occurrence"), "shard", "offset", "n_tokens")
+        "id", (F.col("place") - F.col("least")).alias("occurrence"), "shard", "first", "offset", "n_tokens")
 
 
 def _keys() -> list:
@@ -144,8 +144,8 @@ def _keys() -> list:
 
 
 def write_index(entries: DataFrame, folder: str) -> DataFrame:
-    """Index ``(id, occurrence, shard, offset, n_tokens)`` entries."""
-    keyed = entries.select(*_keys(), "shard", "offset", "n_tokens")
+    """Index ``(id, occurrence, shard, first, offset, n_tokens)`` entries."""
+    keyed = entries.select(*_keys(), "shard", "first", "offset", "n_tokens")
     parts = max(1, -(-entries.count() // PART_KEYS))
 
     def build(table: pa.Table) -> pa.Table:
@@ -160,16 +160,16 @@ def write_index(entries: DataFrame, folder: str) -> DataFrame:
         return pa.table({
             "part": table.column("part").slice(0, 1), "sizes": [sizes], "bits": pa.array([bits.tobytes()], pa.binary()),
             "prints": pa.array([at(two.astype(np.uint32))], pa.binary()),
-            **{c: pa.array([at(table.column(c).to_numpy())], pa.binary()) for c in ("shard", "offset", "n_tokens")}})
+            **{c: pa.array([at(table.column(c).to_numpy())], pa.binary()) for c in ("shard", "first", "offset", "n_tokens")}})
 
     keyed.withColumn("part", F.pmod("one", F.lit(parts))).groupBy("part").applyInArrow(
-        build, "part long, sizes array<long>, bits binary, prints binary, shard binary, offset binary, n_tokens binary"
+        build, "part long, sizes array<long>, bits binary, prints binary, shard binary, first binary, offset binary, n_tokens binary"
     ).withColumn("parts", F.lit(parts)).write.parquet(f"{folder}/index")
     return index(entries.sparkSession, folder)
 
 
 def locate(keys: DataFrame, table: DataFrame) -> DataFrame:
-    """``(id, occurrence, shard, offset, n_tokens)`` of the keys that the index has. Each
+    """``(id, occurrence, shard, first, offset, n_tokens)`` of the keys that the index has. Each
     costs a hash, a bit, a rank and a fingerprint, however many keys there are."""
     first = table.select("parts").first()
     parts = first[0] if first else 1
@@ -186,18 +186,18 @@ def locate(keys: DataFrame, table: DataFrame) -> DataFrame:
         prints = np.frombuffer(row["prints"], np.uint32)
         found = np.flatnonzero((number >= 0) & (prints[np.maximum(number, 0)] == two.astype(np.uint32)))
         out, number = out.take(pa.array(found)), number[found]
-        for name, type_ in (("shard", np.int32), ("offset", np.int64), ("n_tokens", np.int64)):
+        for name, type_ in (("shard", np.int32), ("first", np.int64), ("offset", np.int64), ("n_tokens", np.int64)):
             out = out.append_column(name, pa.array(np.frombuffer(row[name], type_)[number]))
         return out
 
     def _empty(out: pa.Table) -> pa.Table:
         out = out.slice(0, 0)
-        for name, type_ in (("shard", pa.int32()), ("offset", pa.int64()), ("n_tokens", pa.int64())):
+        for name, type_ in (("shard", pa.int32()), ("first", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())):
             out = out.append_column(name, pa.array([], type_))
         return out
 
     return asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(
-        find, f"id {kind}, occurrence long, shard int, offset long, n_tokens long")
+        find, f"id {kind}, occurrence long, shard int, first long, offset long, n_tokens long")
 
 
 def documents_of(table: DataFrame) -> DataFrame:
@@ -219,13 +219,11 @@ def documents_of(table: DataFrame) -> DataFrame:
 
 
 def fetch(keys: DataFrame, folder: str) -> DataFrame:
-    """``(id, occurrence, ids)`` for ``(id, occurrence)`` keys: only blocks that hold them are sent on.
-    The first document of an id has occurrence 0."""
+    """``(id, occurrence, ids)`` for ``(id, occurrence)`` keys: the index names the row of ids
+    that holds each. The first document of an id has occurrence 0."""
     spark = keys.sparkSession
     found = locate(keys, index(spark, folder))
-    rows = payload(spark, folder)
-    inside = found.join(rows.select("shard", "first", "n_ids"), "shard").where("offset >= first and offset < first + n_ids")
-    located = inside.drop("n_ids").join(rows.select("shard", "first", "width", "ids"), ["shard", "first"])
+    located = found.join(payload(spark, folder).select("shard", "first", "width", "ids"), ["shard", "first"])
     size = F.col("width").cast("long")
     cut = located.select("id", "occurrence", "width", F.substring(
         "ids", ((F.col("offset") - F.col("first")) * size + 1).cast("int"), (F.col("n_tokens") * size).cast("int")).alias("raw"))
