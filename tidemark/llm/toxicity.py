@@ -190,13 +190,19 @@ class ToxicityModel:
     @classmethod
     def fit(cls, documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             label_column: str = "toxic", rows: int = FIT_ROWS) -> ToxicityModel:
-        """Fit on up to ``rows`` labelled documents. Null labels, ids and texts teach nothing;
-        of several labels of an id the highest counts."""
+        """Fit on up to ``rows`` labelled documents, those with the smallest hashes of their ids.
+        Null labels, ids and texts teach nothing; of several labels of an id the highest counts,
+        equal rows are one."""
         bounded_batches(documents.sparkSession)
         chosen = labels.select(F.col(id_column).alias("i"), F.col(label_column).cast("int").alias("label")).where("i is not null and label is not null")
         chosen = chosen.groupBy("i").agg((F.max("label") > 0).cast("int").alias("label")).orderBy(F.xxhash64("i"), "i").limit(rows)
         source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).where("text is not null")
-        sample = source.join(F.broadcast(chosen), F.col("id") == F.col("i")).drop("i")
+        # An id may stand for many rows: equal ones are one, and the bound holds for the others too.
+        mark = F.xxhash64("text")
+        sample = source.join(F.broadcast(chosen), F.col("id") == F.col("i")).groupBy("id", "label", mark.alias("mark")).agg(F.first("text").alias("text"))
+        sample = written(sample, "labelled")
+        kept = sample.select(F.col("id").alias("k"), F.col("mark").alias("m")).orderBy(F.xxhash64("k"), "k", "m").limit(rows)
+        sample = sample.join(F.broadcast(kept), (F.col("id") == F.col("k")) & (F.col("mark") == F.col("m"))).drop("k", "m", "mark")
         sample = written(sample.withColumn("half", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int")), "sample")
         counts = sample.agg(F.count("*"), F.sum("label")).first()
         base = float(counts[1] or 0) / counts[0] if counts[0] else 0.0
