@@ -185,7 +185,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_column: str = "
     """
     bounded_batches(documents.sparkSession)
     items = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(item_text_column).cast("string").alias("text"))
-    items = items.where("text is not null")
+    items = items.where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // index_bytes) + 1
     text = F.col(text_column).cast("string")
