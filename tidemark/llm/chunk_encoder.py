@@ -42,8 +42,10 @@ class ChunkEncoder:
         starts = cuts(block)
         ends = np.append(starts[1:], len(block.data))
         keys = block.hashes(starts, ends, fold=False)
-        total = np.concatenate([np.zeros(1, U64), np.cumsum(_CHECK_CODES[block.data])])
+        total = np.zeros(len(block.data) + 1, U64)
+        np.cumsum(_CHECK_CODES[block.data], out=total[1:])
         checks = total[ends] - total[starts]
+        del total
         kinds, first, kind = np.unique(keys, return_index=True, return_inverse=True)
         rows = np.searchsorted(block.offsets, starts, "right") - 1
         place = self._places(block, kinds, checks[first], starts[first], ends[first])

@@ -38,7 +38,7 @@ TASK_GRAMS = 4_000_000
 #: Rounds in which the texts of a list are counted against a few of them, and how many those are.
 STAR_ROUNDS, STAR_CENTRES = 2, 3
 #: Bytes of text that make one batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def _sets(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:

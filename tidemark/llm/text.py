@@ -20,8 +20,8 @@ from pyspark.sql import SparkSession
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _INVERSE = U64(pow(int(_BASE), -1, 2**64))
-#: Bytes of text that are hashed together; bounds the memory of a step.
-SPAN = 1 << 20
+#: Bytes of text that are worked on together; bounds the memory of a step, which takes some fifty times as much.
+SPAN = 1 << 18
 #: Bytes of a batch of rows on its way to Python; Spark's default is sixteen times that.
 BATCH = 4 << 20
 #: Longer words are hashed one by one: sums of powers modulo 2^64 are weak there.
