@@ -826,6 +826,36 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(out)
 
 
+def _files_in_place(spark, rows: DataFrame, folder: str) -> None:
+    """Write rows as CSV files of fixed names, over those that are there."""
+    from tidemark.sinks.places import delete_path, move_path, paths_like
+
+    fresh = fresh_folder(spark, "csv")
+    rows.write.option("header", True).csv(fresh)
+    for k, path in enumerate(sorted(paths_like(spark, f"{fresh}/part-*"))):
+        delete_path(spark, f"{folder}-{k}.csv")
+        move_path(spark, path, f"{folder}-{k}.csv")
+
+
+@query("SELECT o_orderkey, o_orderstatus, CAST(1 AS BIGINT) AS copies FROM orders")
+def stream_rewritten_files(spark, folder):
+    """A stream of files of which some are rewritten in place between two triggers, and none
+    before a third: the rows of a rewritten file replace those it had, once."""
+    from tidemark.streaming import rewrites
+
+    database, path, state = _database(spark), fresh_folder(spark, "feed"), fresh_folder(spark, "state")
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus").repartition(3, "o_orderkey")
+    opened = F.col("o_orderstatus") == "O"
+    target = rewrites.target(spark, database, "target", buckets=4)
+    _files_in_place(spark, orders.where(~opened), f"{path}/other")
+    _files_in_place(spark, orders.where(opened).withColumn("o_orderstatus", F.lit("?")), f"{path}/open")
+    for rewritten in (False, True, False):
+        if rewritten:
+            _files_in_place(spark, orders.where(opened), f"{path}/open")
+        rewrites.ingest(spark, path, "o_orderkey BIGINT, o_orderstatus STRING", target, f"{state}/check", f"{state}/listings").awaitTermination()
+    return target.read().groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("copies"))
+
+
 # --- whole loads ----------------------------------------------------------
 
 @query("""
@@ -1218,6 +1248,114 @@ def load_feed_incremental(spark, folder):
     return ParquetTable(spark, database, "target").read()
 
 
+@query("""
+WITH d AS (SELECT o_orderkey % 1000 AS k, count(*) AS n FROM orders GROUP BY 1),
+bad AS (SELECT count(*) AS nulls FROM orders WHERE o_orderstatus = 'P')
+SELECT 'null_check' AS rule, CAST(least(nulls, 50) AS BIGINT) AS shown, CAST(least(nulls, 50) AS BIGINT) AS violating, CAST(0 AS BIGINT) AS in_target FROM bad WHERE nulls > 0
+UNION ALL SELECT 'unique_check', least(sum(n), 50)::BIGINT, least(sum(n), 50)::BIGINT, 0::BIGINT FROM d WHERE n > 1 HAVING count(*) > 0""")
+def load_refused_samples(spark, folder):
+    """A load refused for NULLs and one for repeated keys, each with up to 50 of the rows it
+    was refused for."""
+    from tidemark.sinks.ledgers import QualitySamples
+
+    database, orders = _database(spark), _table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    batches = {
+        "null_check": orders.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))),
+        "unique_check": orders.withColumn("o_orderkey", F.col("o_orderkey") % 1000)}
+    for rule, column in (("null_check", "o_orderstatus"), ("unique_check", "o_orderkey")):
+        try:
+            run_load(spark, _spec(database, {"type": "full"}, data_quality={rule: [column]}), batch=batches[rule], state_database=database, force=True)
+        except quality.QualityError:
+            pass
+    target = ParquetTable(spark, database, "target")
+    held = target.read().count() if target.exists() else 0
+    rows = QualitySamples(spark, database).read().withColumn("v", F.from_json("row", "o_orderkey BIGINT, o_orderstatus STRING"))
+    repeated = batches["unique_check"].groupBy("o_orderkey").count().where("count > 1").select(F.col("o_orderkey").alias("k"))
+    rows = rows.join(repeated, F.col("v.o_orderkey") == F.col("k"), "left")
+    bad = F.when(F.col("rule") == "null_check", F.col("v.o_orderstatus").isNull()).otherwise(F.col("k").isNotNull())
+    return rows.groupBy("rule").agg(F.count(F.lit(1)).alias("shown"), F.count_if(bad).alias("violating")).withColumn("in_target", F.lit(held).cast("bigint"))
+
+
+@query("""
+SELECT 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_type, CAST(count(*) AS BIGINT) AS in_target FROM customer
+UNION ALL SELECT 'FAILED', 'QualityError', CAST(count(*) AS BIGINT) FROM customer
+UNION ALL SELECT 'FAILED', 'QualityError', CAST(count(*) AS BIGINT) FROM customer""")
+def load_primary_key(spark, folder):
+    """A primary key that is checked where the spec asks for it: a batch that repeats one, and
+    one that lacks one, are refused."""
+    from tidemark.sinks.ledgers import RunLedger
+
+    database, customer = _database(spark), _table(spark, folder, "customer").select("c_custkey", "c_name")
+    spec = _spec(database, {"type": "full"}, keys={"primary_key": ["C_CUSTKEY"]}, data_quality={"check_null_keys": True, "check_duplicate_keys": True})
+    lacking = customer.withColumn("c_custkey", F.when(F.col("c_custkey") % 100 != 0, F.col("c_custkey")))
+    for batch in (customer, customer.unionAll(customer.where("c_custkey % 7 = 0")), lacking):
+        try:
+            run_load(spark, spec, batch=batch, state_database=database, force=True)
+        except quality.QualityError:
+            pass
+    held = ParquetTable(spark, database, "target").read().count()
+    return RunLedger(spark, database).read().select("status", "error_type", F.lit(held).cast("bigint").alias("in_target"))
+
+
+@query("""
+SELECT 'customer' AS name, 'updated_at_day' AS partitions, CAST(count(*) AS BIGINT) AS n FROM customer UNION ALL
+SELECT 'mysql_orders', 'created_at_day', count(*)::BIGINT FROM orders UNION ALL
+SELECT 'etl_email_audit', 'sent_timestamp_day,email_status', count(*)::BIGINT FROM events""")
+def sink_fixed_tables(spark, folder):
+    """Bronze and governance tables by their fixed columns and partitioning, filled by name."""
+    from pyspark.sql import types as T
+    from tidemark.functions.partitioning import PartitionRules
+    from tidemark.sinks import ddl
+
+    database = _database(spark)
+    when = F.lit("2024-01-01").cast("timestamp")
+    rows = {
+        "customer": _table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"), when.alias("updated_at")),
+        "mysql_orders": _table(spark, folder, "orders").select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("timestamp").alias("created_at")),
+        "etl_email_audit": _table(spark, folder, "events").select(
+            F.col("event_id").cast("string").alias("notification_id"), F.col("ts").cast("timestamp").alias("sent_timestamp"), F.col("event_type").alias("email_status"))}
+    made = None
+    for name, batch in rows.items():
+        if name in ddl.BRONZE:
+            columns, kind, column = ddl.BRONZE[name]
+            rule = PartitionRule.parse(kind, column)
+        else:
+            columns, by = ddl.GOVERNANCE[name]
+            rule = PartitionRules.parse(by)
+        table = ParquetTable(spark, database, name, rule)
+        table.create(T.StructType.fromDDL(columns))
+        table.append(batch)
+        counted = table.read().agg(F.lit(name).alias("name"), F.lit(",".join(table.partition.names)).alias("partitions"), F.count(F.lit(1)).alias("n"))
+        made = counted if made is None else made.unionByName(counted)
+    return made
+
+
+@query("""
+SELECT count(*) AS files, count(DISTINCT o_orderkey) AS paths, CAST(0 AS BIGINT) AS new_files FROM orders""")
+def feed_state_snapshot(spark, folder):
+    """The state of a feed's files as a snapshot and the days after it: each order stands for a
+    file that was loaded on its day, a fifth of them once more, rewritten, on the last one."""
+    from tidemark.sinks.ledgers import FileAudit
+
+    audit, orders = FileAudit(spark, _database(spark)), _table(spark, folder, "orders")
+    [first, last] = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    listing = orders.select(
+        F.col("o_orderkey").cast("string").alias("file_name"), F.col("o_orderkey").cast("string").alias("file_path"), F.col("o_custkey").alias("file_size"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS").alias("last_modified"), F.lit(None).cast("string").alias("file_owner"))
+    counts = listing.select("file_path", F.lit(1).cast("bigint").alias("record_count"))
+    rewritten = listing.where("file_path % 5 = 0").withColumn("file_size", F.col("file_size") + 1)
+    audit.record(listing, counts, "t", at=first)
+    audit.snapshot("t", (first + dt.timedelta(days=1)).date())
+    audit.record(rewritten, counts, "t", at=last)
+    audit.snapshot("t", (last + dt.timedelta(days=1)).date())
+    now = listing.where("file_path % 5 <> 0").unionByName(rewritten)
+    new = feeds.new_files(now, audit.loaded("t")).agg(F.count(F.lit(1)).alias("new_files"))
+    known = audit.loaded("t").agg(F.count(F.lit(1)).alias("files"), F.count_distinct("file_path").alias("paths"))
+    return known.crossJoin(new)  # a row each
+
+
 # --- driver contract ------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -121,3 +121,48 @@ def test_stream_upsert_survives_out_of_order_files(spark, database, tmp_path):
         stream = streams.read(spark, f"file:{tmp_path}/in", "k int, v string, at int", files_per_batch=1, options={"header": True})
         streams.upsert(stream, table, ["k"], ["at"], f"{tmp_path}/check").awaitTermination()
     assert values(table.read()) == [(1, "new", 5), (2, "b2", 2), (3, "c", 1)]
+
+
+def test_a_rewritten_file_replaces_its_rows_once(spark, database, tmp_path):
+    from tidemark.streaming import rewrites
+
+    source, state = tmp_path / "in", f"file:{tmp_path}/state"
+    source.mkdir()
+    table = rewrites.target(spark, database, "t", buckets=4)
+
+    def run():
+        rewrites.ingest(spark, f"file:{source}", "k int, v string", table, f"{state}/check", f"{state}/listings").awaitTermination()
+        return values(table.read().select("k", "v"))
+
+    (source / "a b.csv").write_text("k,v\n1,x\n2,y\n")
+    (source / "c.csv").write_text("k,v\n3,z\n")
+    assert run() == [(1, "x"), (2, "y"), (3, "z")]
+    files = {f for f in spark.table(table.name).inputFiles()}
+    assert run() == [(1, "x"), (2, "y"), (3, "z")] and {f for f in spark.table(table.name).inputFiles()} == files  # nothing has changed
+    (source / "a b.csv").write_text("k,v\n2,new\n9,q\n")
+    os.utime(source / "a b.csv", (2_000_000_000, 2_000_000_000))
+    (source / "d.csv").write_text("k,v\n4,d\n")
+    want = [(2, "new"), (3, "z"), (4, "d"), (9, "q")]
+    assert run() == want and run() == want
+    # the same batch again, as after a failure between publish and commit
+    files = spark.createDataFrame([(f"file:{source}/a b.csv",)], f"{rewrites.FILE} string")
+    rows = spark.createDataFrame([(2, "new", f"file:{source}/a b.csv"), (9, "q", f"file:{source}/a b.csv")], f"k int, v string, {rewrites.FILE} string")
+    table.replace_by(files, rows, rewrites.FILE)
+    assert values(table.read().select("k", "v")) == want
+    # a file that becomes empty leaves no row
+    (source / "c.csv").write_text("k,v\n")
+    os.utime(source / "c.csv", (2_000_000_001, 2_000_000_001))
+    assert run() == [(2, "new"), (4, "d"), (9, "q")]
+
+
+def test_rows_are_replaced_in_an_unpartitioned_table(spark, database):
+    from tidemark.sinks.tables import ParquetTable
+
+    table = ParquetTable(spark, database, "t")
+    rows = lambda *r: spark.createDataFrame(r, "f string, v int")
+    table.publish_new(table.stage(rows(("a", 1), ("a", 2), ("b", 3), (None, 4))))
+    for _ in range(2):
+        table.replace_by(rows(("a", 0), ("c", 0), (None, 0)), rows(("a", 7)), "F")
+        assert values(table.read()) == [(None, 4), ("a", 7), ("b", 3)]
+    by_other = ParquetTable(spark, database, "u", None)
+    assert by_other.exists() is False

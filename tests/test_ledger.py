@@ -336,3 +336,33 @@ def test_a_load_leaves_signals(spark, database):
         ("one", "BEAT", "published"), ("one", "BEAT", "staged"), ("one", "END", "done"), ("one", "START", ""), ("two", "END", "failed"), ("two", "START", "")]
     book.record("j", "dead", ledger.START, at=dt.datetime(2024, 1, 1))
     assert [r.run_id for r in ledger.open_runs(book.read(), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), 3600).collect()] == ["dead"]
+
+
+def test_file_state_snapshots(spark, database):
+    """A load reads the snapshot and the days after it; of a rewritten file the last fingerprint counts."""
+    columns = "file_name string, file_path string, file_size long, last_modified string, file_owner string"
+    audit = FileAudit(spark, database)
+
+    def loaded(path, size, day, status="SUCCESS", target="db.t"):
+        listing = spark.createDataFrame([(path, path, size, f"m{size}", None)], columns)
+        audit.record(listing, spark.createDataFrame([(path, 1)], "file_path string, record_count long"), target, status, at=dt.datetime(2024, 1, day, 5))
+
+    loaded("/a", 1, 1)
+    loaded("/b", 2, 1)
+    loaded("/a", 3, 2)  # rewritten
+    loaded("/c", 4, 2, "FAILED")
+    loaded("/x", 9, 2, target="db.u")
+    loaded("/d", 5, 3)
+    before = values(audit.loaded("db.t"))
+    assert before == [("/a", 1, "m1"), ("/a", 3, "m3"), ("/b", 2, "m2"), ("/d", 5, "m5")]
+    audit.snapshot("db.t", dt.date(2024, 1, 3))
+    want = [("/a", 3, "m3"), ("/b", 2, "m2"), ("/d", 5, "m5")]
+    assert values(audit.loaded("db.t")) == want and values(audit.loaded("db.u")) == [("/x", 9, "m9")]
+    files = audit.loaded("db.t").inputFiles()
+    assert not any("commit_day=2024-01-01" in f or "commit_day=2024-01-02" in f for f in files)
+    audit.snapshot("db.t", dt.date(2024, 1, 2))  # older than what there is: nothing happens
+    assert values(audit.loaded("db.t")) == want
+    loaded("/b", 6, 4)
+    audit.snapshot("db.t", dt.date(2024, 1, 5))
+    assert values(audit.loaded("db.t")) == [("/a", 3, "m3"), ("/b", 6, "m6"), ("/d", 5, "m5")]
+    assert len(audit._state.commits()["db.t"]) == 1

@@ -505,3 +505,21 @@ def test_a_feed_of_bad_rows_alone(spark, database, tmp_path):
     (tmp_path / "a.csv").write_text("k,at,v\nx,2024-01-01 00:00:00,x\n")
     run_load(spark, _feed(database, tmp_path, bad_share=1), state_database=database)
     assert target(spark, database).read().count() == 0 and len(_rejected(spark, database)) == 1
+
+
+def test_a_refused_load_leaves_the_rows_it_was_refused_for(spark, database):
+    from tidemark.sinks.ledgers import QualitySamples
+
+    nulls = spark.range(200).selectExpr("CASE WHEN id % 2 = 0 THEN id END AS k", "id AS n")
+    twice = spark.range(10).selectExpr("id % 9 AS k", "id AS n")
+    rules = {"null_check": ["k"], "unique_check": ["k"]}
+    for batch in (nulls, twice, spark.range(3).selectExpr("id AS k", "id AS n")):
+        try:
+            run_load(spark, make(database, data_quality=rules), batch=batch, state_database=database, force=True, run_id=f"r{batch.count()}")
+        except QualityError:
+            pass
+    found = QualitySamples(spark, database).read()
+    assert found.where("rule = 'unique_check' and run_id = 'r200'").count() == 50  # NULLs are a group of equal keys
+    assert values(found.where("rule = 'unique_check' and run_id <> 'r200'").select("run_id", "row")) == [("r10", '{"k":0,"n":0}'), ("r10", '{"k":0,"n":9}')]
+    shown = [r.row for r in found.where("rule = 'null_check'").collect()]
+    assert len(shown) == 50 and all('"k"' not in r for r in shown) and found.where("run_id = 'r3'").count() == 0

@@ -168,5 +168,22 @@ def check(df: DataFrame | None, rules: QualityRules, merge_keys: Iterable[str] |
 
 
 def sample(violations: DataFrame, rows: int = 50) -> DataFrame:
-    """A few violating rows for a report; the limit is the point of it."""
-    return violations.limit(rows)
+    """A few violating rows for a report, the same ones each time: those with the smallest
+    hashes of their JSON form. The limit is the point of it."""
+    shown = violations.select(F.to_json(F.struct(*[col(c) for c in violations.columns])).alias("row"))
+    return shown.orderBy(F.xxhash64("row"), "row").limit(rows)
+
+
+def violations(df: DataFrame, rules: QualityRules, result: QualityResult, rows: int = 50) -> DataFrame | None:
+    """``(rule, row)`` for the rules that a batch has failed: up to ``rows`` rows of each. Minimum
+    rows has none to show."""
+    parts = []
+    if result.null_key_count:
+        parts.append(("null_check", null_rows(df, rules.null_check)))
+    if result.duplicate_key_count:
+        parts.append(("unique_check", duplicate_rows(df, rules.unique_check)))
+    out = None
+    for name, found in parts:
+        part = sample(found, rows).select(F.lit(name).alias("rule"), "row")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -21,14 +21,14 @@ from tidemark.functions.names import utc_now
 from tidemark.functions.zone import require_utc
 from tidemark.operators import ledger as runs
 from tidemark.operators.dedup import latest
-from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge
+from tidemark.operators.quality import QualityError, QualityResult, duplicate_count, enforce, judge, violations
 from tidemark.operators.schema import additions, conform
 from tidemark.operators.transform import project, transform
 from tidemark.operators.watermark import Watermark, advance, boundary, high_value, start_value, without_seen
 from tidemark.plans import hooks
 from tidemark.plans.spec import LoadSpec, SpecError
 from tidemark.sinks import ddl
-from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, RunLedger, RunSignals, WatermarkStore
+from tidemark.sinks.ledgers import BoundaryStore, FileAudit, NotificationAudit, QualitySamples, RunLedger, RunSignals, WatermarkStore
 from tidemark.sinks.native import NativeTable, has_plugin
 from tidemark.sinks.places import delete_path, fresh_folder, path_exists
 from tidemark.sinks.tables import MergeError, ParquetTable, Staged
@@ -302,7 +302,10 @@ def _load_batch(spark, spec: LoadSpec, run, found: _Batch, table, store, since,
         duplicates = 0
         if rules.enabled and rules.unique_check and total:
             duplicates = duplicate_count(staged.rows(spark), rules.unique_check).first()[0]
-        verdict = enforce(judge(rules, total, staged.metrics["nulls"], duplicates))
+        verdict = judge(rules, total, staged.metrics["nulls"], duplicates)
+        if not verdict.passed and (shown := violations(feeds.without_extras(staged.rows(spark)), rules, verdict)) is not None:
+            QualitySamples(spark, state_database).record(run["job_id"], run["run_id"], shown)
+        enforce(verdict)
         ambiguous = bool(keys and total) and not (rules.enabled and set(rules.unique_check) == set(keys)) and bool(
             duplicate_count(staged.rows(spark).where(~any_null(keys)), keys).first()[0])
         if counts is not None:  # kept apart, as publishing may drop the staged files

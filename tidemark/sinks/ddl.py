@@ -52,6 +52,10 @@ RUNS = (
 )
 # Beyond the telemetry columns: what the per-run success and failure records hold.
 RUN_DETAILS = "job_name STRING, load_type STRING, config_path STRING, error_type STRING, error_trace STRING"
+# Rows for which a batch was refused.
+QUALITY_SAMPLES = "job_id STRING, run_id STRING, rule STRING, row STRING, recorded_at TIMESTAMP"
+# What a file looked like when it was loaded last, by target.
+FILE_STATE = "target_table STRING, file_path STRING, file_size BIGINT, last_modified STRING, until DATE"
 # Signs of life of runs: that they have started, go on, have ended.
 SIGNALS = "job_id STRING, run_id STRING, signal STRING, at TIMESTAMP, step STRING"
 # Rows of feeds that did not fit their file's columns.

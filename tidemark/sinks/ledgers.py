@@ -287,13 +287,54 @@ class FileAudit(Ledger):
         super().__init__(spark, database, table, ddl.FILE_AUDIT, "commit_day", "date")
 
     def loaded(self, target_table: str | None = None) -> DataFrame:
-        """``(file_path, file_size, last_modified)`` of the files already loaded."""
-        done = self.read().where(F.col("status") == SUCCESS)
-        if target_table:
-            done = done.where(F.col("target_table") == F.lit(target_table))
-        return done.select(
-            "file_path", F.col("file_size_bytes").alias("file_size"), F.col("last_modified_ts").alias("last_modified")
-        )
+        """``(file_path, file_size, last_modified)`` of the files already loaded. With a
+        snapshot of the target's state, only audit days that it does not cover are read."""
+        if target_table is None:
+            return self._successes(self.read())
+        until, state = self._snapshot(target_table)
+        audit = self.read() if until is None else self.since(until)
+        later = self._successes(audit.where(F.col("target_table") == F.lit(target_table)))
+        return later if state is None else later.unionByName(state)
+
+    @staticmethod
+    def _successes(audit: DataFrame) -> DataFrame:
+        done = audit.where(F.col("status") == SUCCESS)
+        return done.select("file_path", F.col("file_size_bytes").alias("file_size"), F.col("last_modified_ts").alias("last_modified"))
+
+    @property
+    def _state(self) -> Ledger:
+        return Ledger(self.spark, self.database, f"{self.table}_state", ddl.FILE_STATE, "target_table", "string")
+
+    def _snapshot(self, target_table: str) -> tuple[date | None, DataFrame | None]:
+        """The day up to which the newest snapshot goes, and its files."""
+        book = self._state
+        if not self.spark.catalog.tableExists(book.name):
+            return None, None
+        mine = book.visible().where(F.col("target_table") == F.lit(target_table))
+        until = mine.agg(F.max("until")).first()[0]
+        if until is None:
+            return None, None
+        return until, mine.where(F.col("until") == F.lit(until)).select("file_path", "file_size", "last_modified")
+
+    def snapshot(self, target_table: str, until: date) -> None:
+        """Write the state of a target's files as of the start of a day that is over: of each path
+        the fingerprint that was loaded last. Loads then read the snapshot and later days."""
+        before, state = self._snapshot(target_table)
+        if before is not None and before >= until:
+            return
+        audit = self.read() if before is None else self.since(before)
+        new = audit.where((F.col("target_table") == F.lit(target_table)) & (F.col("status") == SUCCESS)).where(
+            F.to_date("load_timestamp") < F.lit(until))
+        rows = new.select("file_path", F.col("file_size_bytes").alias("file_size"), F.col("last_modified_ts").alias("last_modified"),
+                          F.col("load_timestamp").alias("loaded"))
+        if state is not None:
+            rows = rows.unionByName(state.withColumn("loaded", F.lit("")))
+        latest = rows.groupBy("file_path").agg(F.max_by(F.struct("file_size", "last_modified"), F.struct("loaded", "last_modified")).alias("f"))
+        book, old = self._state, []
+        book.ensure()
+        old = book.commits().get(target_table, [])
+        book.append(latest.select("file_path", "f.file_size", "f.last_modified", F.lit(until).alias("until")), target_table)
+        book.detach({target_table: old})
 
     def record(self, listing: DataFrame, counts: DataFrame, target_table: str, status: str = SUCCESS,
                error: str | None = None, at: datetime | None = None) -> None:
@@ -310,6 +351,19 @@ class FileAudit(Ledger):
         self.append(audited, at.date())
 
 
+class QualitySamples(Ledger):
+    """Rows for which a batch was refused, as JSON: what a notice of it can show."""
+
+    def __init__(self, spark: SparkSession, database: str = "etl_audit", table: str = "etl_quality_samples"):
+        super().__init__(spark, database, table, ddl.QUALITY_SAMPLES, "commit_day", "date")
+
+    def record(self, job_id: str, run_id: str, rows: DataFrame) -> None:
+        """Append ``(rule, row)`` rows."""
+        now = utc_now()
+        self.append(rows.select(F.lit(job_id).alias("job_id"), F.lit(run_id).alias("run_id"), "rule", "row",
+                                F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp").alias("recorded_at")), now.date())
+
+
 class NotificationAudit(Ledger):
     """One row per notification decision; sending mail is left to others."""
 

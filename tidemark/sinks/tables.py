@@ -247,14 +247,34 @@ class ParquetTable:
             scope, touched = self._touched(source, names, preserve)
         staged = self.stage(update_matched(scope, source, names, preserve, newer_by))
         self._stage_more(staged, unmatched(source, staged.rows(self.spark), names))
-        if rule is None:
+        self._publish_touched(staged, touched)
+        return staged
+
+    def replace_by(self, values: DataFrame, rows: DataFrame, column: str) -> Staged:
+        """Delete the rows whose ``column`` has one of the values, insert ``rows``, and publish:
+        only partitions that hold or get such rows are rewritten. Doing it again changes nothing.
+        Both inputs are read several times, so store them first."""
+        [name] = require_columns(self.schema().names, [column])
+        values = values.select(col(require_columns(values.columns, [column])[0]).alias(name)).where(col(name).isNotNull()).distinct()
+        rows = conform(rows, self.schema())
+        rule, scope, touched = self.partition, self.read(), set()
+        if rule:
+            if any(r.column.casefold() != name.casefold() for r in rule.parts):
+                raise ValueError(f"{self.name} is not partitioned by {name!r}")
+            scope, touched = self._touched(values, [name], ())
+        staged = self.stage(scope.join(values, name, "left_anti").select(*[col(c) for c in scope.columns]).unionByName(rows))
+        self._publish_touched(staged, touched)
+        return staged
+
+    def _publish_touched(self, staged: Staged, touched: set[tuple]) -> None:
+        """Publish what replaces the touched partitions; those left without a row go."""
+        if staged.rule is None:
             self.publish_replace(staged)
-            return staged
+            return
         incoming = staged.partitions(self.spark)
         emptied = {s for s in self._partition_specs() - set(incoming) if spec_values(s) in touched}
         self._point(incoming)
         self._drop(emptied)
-        return staged
 
     def _touched(self, source: DataFrame, keys: list[str], preserve: Iterable[str]) -> tuple[DataFrame, set[tuple]]:
         """The rows of the partitions a merge has to rewrite, and their values."""
