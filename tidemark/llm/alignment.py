@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.chunk_encoder import cuts
 from tidemark.llm.folders import written
-from tidemark.llm.text import SPAN, U64, Block, blocks, bounded_batches, ranges
+from tidemark.llm.text import U64, Block, blocks, bounded_batches, ranges
 
 #: Kinds of pieces that a worker remembers; beyond that it keeps those that came most often.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Bytes of text that are cut into pieces together.
+SPAN = 4 << 20
 #: Pieces that are encoded together.
 AT_ONCE = 16_384
 #: Pairs of different bytes whose counts are broadcast.
@@ -310,8 +312,10 @@ class Reader:
         ends = np.append(starts[1:], len(block.data))
         row = np.searchsorted(block.offsets, starts, "right") - 1
         keys = block.hashes(starts, ends, fold=False)
-        total = np.concatenate([np.zeros(1, U64), np.cumsum(_CHECKS[block.data])])
+        total = np.zeros(len(block.data) + 1, U64)
+        np.cumsum(_CHECKS[block.data], out=total[1:])
         checks = total[ends] - total[starts]
+        del total
         distinct, first, back, uses = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         if (checks != checks[first][back]).any():  # two pieces of one hash: go by their bytes
             pieces = [block.data[s:e].tobytes() for s, e in zip(starts, ends)]
@@ -400,7 +404,7 @@ def pair_counts(documents: DataFrame, a: str, b: str, id_column: str = "doc_id",
         read = reader(a, b, False)
         counts = PairCounts(read.known)
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SPAN):
                 found, whole = [], np.ones(len(block), bool)
                 for span in read.spans(block):
                     whole &= span.whole()
@@ -486,7 +490,7 @@ def align(documents: DataFrame, a: str, b: str, id_column: str = "doc_id", text_
             return figures
 
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), SPAN):
                 sums, whole = np.zeros((len(block), 6), np.int64), np.ones(len(block), bool)
                 texts = [None] * len(block)
                 rest = []
