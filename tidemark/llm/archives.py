@@ -180,7 +180,7 @@ def _warc_date(date: str) -> str | None:
 def _save(archives: DataFrame, folder: str, separator: str) -> None:
     """One file for each row. The separator ends the last record."""
     archives.select(F.col("archive").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option(
-        "lineSep", separator).option("compression", "gzip").text(folder)
+        "lineSep", separator).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(folder)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
