@@ -958,7 +958,7 @@ def load_bad_rows(spark, folder):
 
     database, path = _database(spark), fresh_folder(spark, "feed")
     orders = _table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
-    orders.unionByName(orders.select(F.concat(F.lit("x"), "k").alias("k"), "o_orderstatus")).coalesce(1).write.option("header", True).csv(path)
+    orders.unionByName(orders.select(F.concat(F.lit("x"), "k").alias("k"), "o_orderstatus")).repartition(4, "o_orderstatus").write.option("header", True).csv(path)
     source = {"type": "sftp", "connection": "feed", "schema": "feed", "table": "orders", "path": path, "file_pattern": "*.csv",
               "columns_ddl": "k BIGINT, o_orderstatus STRING"}
     target = ParquetTable(spark, database, "target")
