@@ -1313,7 +1313,7 @@ def sink_fixed_tables(spark, folder):
         "customer": _table(spark, folder, "customer").select(
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"), when.alias("updated_at")),
         "mysql_orders": _table(spark, folder, "orders").select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("timestamp").alias("created_at")),
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.date_trunc("year", "o_orderdate").cast("timestamp").alias("created_at")),
         "etl_email_audit": _table(spark, folder, "events").select(
             F.col("event_id").cast("string").alias("notification_id"), F.col("ts").cast("timestamp").alias("sent_timestamp"), F.col("event_type").alias("email_status"))}
     made = None
