@@ -17,7 +17,7 @@ from tidemark.llm.text import U64, Block, ranges
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker remembers; it forgets older ones beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Pieces that are encoded together: the library keeps a kilobyte or so for each.
 AT_ONCE = 4_096
 _CHECK_CODES = np.random.default_rng(77).integers(0, 2**63, 256, dtype=U64)

@@ -33,7 +33,7 @@ BLOCK_IDS = 1 << 20
 #: Keys in one part of the index.
 PART_KEYS = 1 << 16
 #: Bytes of text that are encoded together.
-_BLOCK_BYTES = 2 << 20
+_BLOCK_BYTES = 1 << 20
 _TYPES = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
 
