@@ -301,6 +301,29 @@ def test_a_merge_reads_its_target_once(spark, database, orders):
     assert set(spark.read.parquet(table.location).columns) == set(orders.columns)
 
 
+@pytest.mark.parametrize("rows,broadcast", [(200_000, False), (50, True)])
+def test_a_batch_of_many_rows_is_not_broadcast(spark, database, tmp_path, monkeypatch, rows, broadcast):
+    from tidemark.sinks import tables as sinks
+
+    plans = []
+
+    def seen(function):
+        def run(*args):
+            df = function(*args)
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return df
+        return run
+
+    for name in ("update_matched", "unmatched", "touched_values"):
+        monkeypatch.setattr(sinks, name, seen(getattr(sinks, name)))
+    held = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("p"), F.lit("old").alias("v"))
+    table = new_table(spark, database, held, PartitionRule.parse(None, "p"))
+    spark.range(rows).select(F.col("id").alias("k"), (F.col("id") % 3).alias("p"), F.lit("new").alias("v")).write.parquet(f"file:{tmp_path}/batch")
+    table.merge(spark.read.parquet(f"file:{tmp_path}/batch"), ["k"])
+    assert len(plans) == 3 and [("BroadcastHashJoin" in p) for p in plans] == [broadcast] * 3
+    assert table.read().where("v = 'new'").count() == rows and table.read().count() == max(rows, 1000)
+
+
 def test_many_partitions_are_published_in_seconds(spark, database):
     import time
 

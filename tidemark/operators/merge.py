@@ -9,6 +9,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import any_null, col, require_columns
 
+#: Of more rows a batch is joined by a shuffle. Below that Spark's own size check decides.
+BROADCAST_ROWS = 100_000
+
+
+def by_rows(source: DataFrame) -> DataFrame:
+    """The batch, never to be broadcast if it has many rows. Spark judges a stored batch by its
+    compressed files, and millions of alike rows fit a few megabytes there, but not the driver.
+    Counting a stored batch reads no column."""
+    return source.hint("merge") if source.count() > BROADCAST_ROWS else source
+
+
 def on_keys(keys: Iterable[str], left: str, right: str) -> Column:
     """``left.k = right.k AND ...``; not null-safe, as MERGE conditions are."""
     names = list(keys)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.columns import any_null, col, find_column, require_columns
 from tidemark.functions.names import identifier, sql_text, unique
 from tidemark.functions.partitioning import Partitioning, PartitionRule, PartitionRules
-from tidemark.operators.merge import touched_values, unmatched, update_matched
+from tidemark.operators.merge import by_rows, touched_values, unmatched, update_matched
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.schema import SchemaError, add_columns_ddl, additions, conform
 from tidemark.sinks import ddl
@@ -242,6 +242,7 @@ class ParquetTable:
         source = conform(source, self.schema())
         if not keys_verified and duplicate_keys(source.where(~any_null(names)), names).head(1):
             raise MergeError(f"several source rows share a key {names}")
+        source = by_rows(source)
         rule, scope, touched = self.partition, self.read(), set()
         if rule:
             scope, touched = self._touched(source, names, preserve)
