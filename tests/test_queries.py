@@ -32,5 +32,17 @@ def test_query(spark, oracle, name):
     assert got == sorted(tuple(map(str, r)) for r in expected)
 
 
+def test_quarantine_of_orders_without_pending_ones_in_the_first_partition(spark, tmp_path):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    for part in ("o_orderstatus <> 'P'", "o_orderstatus = 'P'"):  # a partition of the scan each, the larger one first
+        orders.where(part).coalesce(1).write.mode("append").parquet(f"file:{tmp_path}/orders.parquet")
+    assert spark.read.parquet(f"file:{tmp_path}/orders.parquet").rdd.getNumPartitions() == 2
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    expected = connection.execute(registry.oracle_sql()["load_quarantine"]).fetchall()
+    got = registry.queries()["load_quarantine"](spark, f"file:{tmp_path}").select("what", "k", "detail").collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
