@@ -324,6 +324,26 @@ def test_a_batch_of_many_rows_is_not_broadcast(spark, database, tmp_path, monkey
     assert table.read().where("v = 'new'").count() == rows and table.read().count() == max(rows, 1000)
 
 
+def test_partitioned_writes_do_not_sort(spark, database, orders, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    table = new_table(spark, database, orders, PartitionRule.parse("years", "o_orderdate"))
+    plan = lambda: spark.sql(f"EXPLAIN INSERT INTO {table.name} SELECT * FROM {table.name}").first()[0]
+    assert "Sort" in plan()
+    plans, parquet, insert = [], DataFrameWriter.parquet, DataFrameWriter.insertInto
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *args: (plans.append(plan()), parquet(*args))[1])
+    monkeypatch.setattr(DataFrameWriter, "insertInto", lambda *args: (plans.append(plan()), insert(*args))[1])
+    table.merge(orders.withColumn("o_orderkey", F.col("o_orderkey") + 7), ["o_orderkey"])
+    table.append(orders.limit(1))
+    assert len(plans) == 3 and "Sort" not in "".join(plans)
+    assert "Sort" in plan()  # the session is as it was
+    # one task with more partitions than it has files open
+    rows = spark.range(1000).select("id", F.pmod(F.xxhash64("id"), F.lit(100)).alias("p")).coalesce(1)
+    many = ParquetTable(spark, database, "many", PartitionRule.parse(None, "p"))
+    many.publish_new(many.stage(rows, rebalance=False))
+    assert values(many.read()) == values(rows) and len(many._partition_specs()) == len(spark.table(many.name).inputFiles()) == 100
+
+
 def test_many_partitions_are_published_in_seconds(spark, database):
     import time
 

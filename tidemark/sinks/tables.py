@@ -13,8 +13,9 @@ transactional tables (``tidemark.sinks.native``) has no such window.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -31,6 +32,8 @@ from tidemark.sinks.places import delete_path, make_folder
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _STATEMENT_PARTITIONS = 200
 _STATEMENTS_AT_ONCE = 16
+#: Files that a task of a partitioned write has open at once.
+_OPEN_FILES = 32
 _UNKNOWN = object()
 
 
@@ -158,7 +161,8 @@ class ParquetTable:
         path = f"{self.versions}/{unique('v')}"
         writer = out.write.option("compression", "zstd")
         folders = ([tag] if tag else []) + (rule.names if rule else [])
-        (writer.partitionBy(*folders) if folders else writer).parquet(path)
+        with _unsorted(out):
+            (writer.partitionBy(*folders) if folders else writer).parquet(path)
         schema = T.StructType([f for f in out.schema.fields if f.name != tag])
         return Staged(path, _partition_last(schema, rule), rule, observation.get if observation else {})
 
@@ -220,7 +224,8 @@ class ParquetTable:
         out = conform(df, self.schema())
         out = rule.add_to(out) if rule else out
         columns = self.spark.table(self.name).columns
-        out.select(*[col(c) for c in columns]).write.insertInto(self.name)
+        with _unsorted(out):
+            out.select(*[col(c) for c in columns]).write.insertInto(self.name)
 
     def merge(
         self,
@@ -305,7 +310,8 @@ class ParquetTable:
         if rule:
             df = rule.add_to(df).hint("rebalance", *[col(n) for n in rule.names])
         writer = df.write.mode("append").option("compression", "zstd")
-        (writer.partitionBy(*rule.names) if rule else writer).parquet(staged.path)
+        with _unsorted(df):
+            (writer.partitionBy(*rule.names) if rule else writer).parquet(staged.path)
 
     # -- partition pointers ----------------------------------------------
 
@@ -336,6 +342,24 @@ class ParquetTable:
             self.refresh()
 
 
+@contextmanager
+def _unsorted(df: DataFrame) -> Iterator[None]:
+    """Partitioned writes of a task's rows as they come, with a file open for each partition.
+
+    Otherwise Spark first sorts a task's rows by partition, all of them in memory. Those of a
+    few compressed megabytes can be millions of rows. Only what is beyond ``_OPEN_FILES``
+    partitions is sorted then. A session that has the setting keeps its own."""
+    settings, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    if settings.get(name, "0") != "0":
+        yield
+        return
+    settings.set(name, str(_OPEN_FILES))
+    try:
+        yield
+    finally:
+        settings.unset(name)
+
+
 def _partition_last(schema: T.StructType, rule: Partitioning | None) -> T.StructType:
     if rule is None:
         return schema
