@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from samples import docs, nothing  # noqa: F401
-from tidemark.llm import perfect_hash, token_files
+from tidemark.llm import mixing, perfect_hash, token_files
 from tidemark.llm.chunk_encoder import ChunkEncoder
 from tidemark.llm.folders import folder
 from tidemark.llm.queries import tokenizer_path
@@ -54,6 +54,27 @@ def test_one_hash_for_two_pieces_is_noticed(tokenizer, monkeypatch):
     assert ids.tolist() == [i for t in ("some words here", "and there") for i in tokenizer.encode(t, add_special_tokens=False).ids]
 
 
+def test_a_remembered_piece_takes_few_bytes(tokenizer):
+    texts = [f"word{k} and{k}\nnumber {k * 7919}" for k in range(20_000)]
+    fresh = ChunkEncoder(tokenizer_path())
+    for block in blocks(pa.array(texts)):
+        ids, _ = fresh.encode_block(block)
+        assert ids[:40].tolist() == [i for k in range(20) for i in tokenizer.encode(block.text(k), add_special_tokens=False).ids][:40]
+    held = sum(x.nbytes for x in (fresh.keys, fresh.checks, fresh.starts, fresh.lengths))
+    assert len(fresh.keys) > 40_000 and held <= 24 * len(fresh.keys) and fresh.ids.itemsize == fresh.width == 2
+
+
+def test_no_frame_is_made_from_a_list(spark, monkeypatch):
+    """For a list Spark starts other Python workers than those of the operators, and keeps them."""
+    from pyspark import SparkContext
+
+    rows = spark.range(200).selectExpr("id AS doc_id", "concat('word ', id) AS text", "concat('s', id % 3) AS source")
+    path = folder(spark, "plain")
+    monkeypatch.setattr(SparkContext, "parallelize", lambda *_: pytest.fail("a frame was made from a list"))
+    assert token_files.write_tokens(rows, path, tokenizer_path(), 2).count() == 200
+    assert mixing.mix(rows).count() == 200
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal(n):
     rng = np.random.default_rng(n)

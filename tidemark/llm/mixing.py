@@ -48,7 +48,9 @@ def _numbered(sources: DataFrame) -> DataFrame:
     part = F.shiftright("at", 33).cast("int")
     sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
     before = np.cumsum([0] + [n for _, n in sizes])
-    starts = placed.sparkSession.createDataFrame([(p, int(b)) for (p, _), b in zip(sizes, before)], "part int, before long")
+    # An Arrow table needs no Python workers: for a list Spark starts others than those of the operators, and keeps them.
+    starts = placed.sparkSession.createDataFrame(pa.table({
+        "part": pa.array([p for p, _ in sizes], pa.int32()), "before": pa.array(before[:-1], pa.int64())}))
     return placed.join(F.broadcast(starts), part == F.col("part")).select(
         "source", "n", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("place"))
 

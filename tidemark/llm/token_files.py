@@ -33,7 +33,7 @@ BLOCK_IDS = 1 << 20
 #: Keys in one part of the index.
 PART_KEYS = 1 << 16
 #: Bytes of text that are encoded together.
-_BLOCK_BYTES = 2 << 20
+_BLOCK_BYTES = 1 << 20
 _TYPES = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
 
@@ -122,8 +122,9 @@ def shard_starts(spark: SparkSession, folder: str) -> DataFrame:
     ends = payload(spark, folder).groupBy("shard").agg(
         F.sum("n_ids").alias("ids"), F.sum(F.size("keys")).alias("documents")).orderBy("shard").collect()
     starts, rows = np.cumsum([0] + [r["ids"] for r in ends]), np.cumsum([0] + [r["documents"] for r in ends])
-    return spark.createDataFrame(
-        [(r["shard"], int(s), int(n)) for r, s, n in zip(ends, starts, rows)], "shard int, start long, rows long")
+    # An Arrow table needs no Python workers: for a list Spark starts others than those of the operators, and keeps them.
+    return spark.createDataFrame(pa.table({
+        "shard": pa.array([r["shard"] for r in ends], pa.int32()), "start": pa.array(starts[:-1], pa.int64()), "rows": pa.array(rows[:-1], pa.int64())}))
 
 
 def numbered(entries: DataFrame, starts: DataFrame) -> DataFrame:
