@@ -344,6 +344,16 @@ def test_partitioned_writes_do_not_sort(spark, database, orders, monkeypatch):
     assert values(many.read()) == values(rows) and len(many._partition_specs()) == len(spark.table(many.name).inputFiles()) == 100
 
 
+@pytest.mark.parametrize("column", [None, "p"])
+def test_a_file_has_a_bounded_number_of_rows(spark, database, monkeypatch, column):
+    from tidemark.sinks import tables as sinks
+
+    monkeypatch.setattr(sinks, "_FILE_ROWS", 100)
+    rows = spark.range(1000).select("id", (F.col("id") % 2).alias("p")).coalesce(1)
+    table = new_table(spark, database, rows, PartitionRule.parse(None, column) if column else None)
+    assert len(spark.table(table.name).inputFiles()) == 10 and values(table.read(), "id", "p") == values(rows)
+
+
 def test_many_partitions_are_published_in_seconds(spark, database):
     import time
 

@@ -34,6 +34,8 @@ _STATEMENT_PARTITIONS = 200
 _STATEMENTS_AT_ONCE = 16
 #: Files that a task of a partitioned write has open at once.
 _OPEN_FILES = 32
+#: Rows of a file. A task that reads alike rows has a whole row group of them, by size up to 15 million.
+_FILE_ROWS = 1_000_000
 _UNKNOWN = object()
 
 
@@ -159,7 +161,7 @@ class ParquetTable:
         if observation:
             out = out.observe(observation, *measures)
         path = f"{self.versions}/{unique('v')}"
-        writer = out.write.option("compression", "zstd")
+        writer = out.write.options(compression="zstd", maxRecordsPerFile=_FILE_ROWS)
         folders = ([tag] if tag else []) + (rule.names if rule else [])
         with _unsorted(out):
             (writer.partitionBy(*folders) if folders else writer).parquet(path)
@@ -309,7 +311,7 @@ class ParquetTable:
         rule = staged.rule
         if rule:
             df = rule.add_to(df).hint("rebalance", *[col(n) for n in rule.names])
-        writer = df.write.mode("append").option("compression", "zstd")
+        writer = df.write.mode("append").options(compression="zstd", maxRecordsPerFile=_FILE_ROWS)
         with _unsorted(df):
             (writer.partitionBy(*rule.names) if rule else writer).parquet(staged.path)
 
