@@ -64,6 +64,41 @@ def test_a_remembered_piece_takes_few_bytes(tokenizer):
     assert len(fresh.keys) > 40_000 and held <= 24 * len(fresh.keys) and fresh.ids.itemsize == fresh.width == 2
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_pieces_are_encoded_together(tokenizer):
+    texts = [f"word{k} and{k}, number {k * 7919}\nnext{k}  caf\u00e9{k} <|endoftext|> \u4e2d{k}\n\nlast{k}\n" for k in range(3_000)]
+    fresh = ChunkEncoder(tokenizer_path())
+    fresh.tokenizer = Counted(fresh.tokenizer)
+    for block in blocks(pa.array(texts)):
+        ids, number = fresh.encode_block(block)
+        want = [tokenizer.encode(block.text(k), add_special_tokens=False).ids for k in range(len(block))]
+        assert number.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(fresh.keys) > 15_000 and fresh.tokenizer.texts < len(fresh.keys) / 2
+
+
+def test_ids_that_do_not_spell_the_text(tokenizer, tmp_path):
+    """A normalizer changes the bytes, so ends of pieces can't be told from ids."""
+    from tokenizers import normalizers
+
+    changed = Tokenizer.from_file(tokenizer_path())
+    changed.normalizer = normalizers.Replace("ab", "")
+    changed.save(str(tmp_path / "changed.json"))
+    texts = ["ab", "cabin fever ab", " ab absent\nab", "", "no change"]
+    ids, number = ChunkEncoder(str(tmp_path / "changed.json")).encode_block(next(blocks(pa.array(texts))))
+    want = [changed.encode(t, add_special_tokens=False).ids for t in texts]
+    assert number.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def test_no_frame_is_made_from_a_list(spark, monkeypatch):
     """For a list Spark starts other Python workers than those of the operators, and keeps them."""
     from pyspark import SparkContext
