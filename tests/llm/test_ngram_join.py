@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from samples import docs, nothing, spaced, words  # noqa: F401
-from tidemark.llm import ngram_join
+from tidemark.llm import components as steps, ngram_join
 from tidemark.llm.components import components
 
 
@@ -71,6 +71,48 @@ def test_lists_left_open_by_the_stars(spark, monkeypatch):
     assert got(ngram_join.near_duplicates(df)) == brute(rows)
 
 
+def test_chains_grow_over_the_rounds(spark, monkeypatch):
+    """Components of one round are joined by links of the next ones and of the last count."""
+    monkeypatch.setattr(ngram_join, "STAR_CENTRES", 1)
+    rng, rows = random.Random(7), []
+    for family in range(3):
+        text = words(rng, 80)
+        for _ in range(15):
+            text = list(text)
+            text[rng.randrange(80)] = words(rng, 1)[0]
+            rows.append((len(rows), " ".join(text)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(ngram_join.near_duplicates(df)) == brute(rows)
+
+
+@pytest.fixture
+def steps_written(monkeypatch):
+    """Names of what the steps write, in order."""
+    names = []
+    for module in (steps, ngram_join):
+        monkeypatch.setattr(module, "written", lambda df, name, real=module.written: names.append(name) or real(df, name))
+    return names
+
+
+def test_a_round_without_links_repeats_no_step(spark, steps_written):
+    """Copies around one text are linked in the first round; nothing is left for the others."""
+    rng = random.Random(3)
+    base, rows = words(rng, 60), []
+    for k in range(12):
+        rows.append((k, " ".join(base[:59] + [f"end{k}"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(ngram_join.near_duplicates(df)) == brute(rows)
+    assert steps_written.count("edges") <= 4 and steps_written.count("open") == 1
+
+
+def test_stars_are_written_once(spark, steps_written):
+    df = spark.createDataFrame([(k, 0) for k in range(1, 9)] + [(11, 10)], "a long, b long")
+    want = {(k, 0) for k in range(9)} | {(11, 10), (10, 10)}
+    assert {tuple(r) for r in components(df).collect()} == want
+    assert steps_written == ["edges"]
+
+
 def test_many_ids_are_joined_by_a_shuffle(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
     assert got(ngram_join.near_duplicates(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])

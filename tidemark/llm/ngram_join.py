@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import stars
 from tidemark.llm.folders import drop_written, written
 from tidemark.llm.text import NON_SPACE, U64, Block, blocks, bounded_batches, grams, mix, ranges
 
@@ -280,34 +280,49 @@ def _fits(threshold: int) -> F.Column:
 
 
 def _counted(pairs: DataFrame, segments: DataFrame, threshold: int) -> DataFrame:
-    """The pairs ``(a, b)`` that reach the threshold: overlaps of segments, summed per pair."""
+    """The pairs ``(a, b)`` that reach the threshold, or what they link, ``(high, low)``, if
+    pairs have that: overlaps of segments, summed per pair."""
     left = segments.select(F.col("node").alias("a"), F.col("n"), "fragment", F.col("grams").alias("one"))
     right = segments.select(F.col("node").alias("b"), F.col("n").alias("m"), "fragment", F.col("grams").alias("other"))
+    linked = [c for c in ("high", "low") if c in pairs.columns]
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "n", "m", F.size(F.array_intersect("one", "other")).alias("common"))
-    common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
-    return common.where((100 + threshold) * F.col("common") >= threshold * (F.col("n") + F.col("m"))).select("a", "b")
+        "a", "b", "n", "m", *linked, F.size(F.array_intersect("one", "other")).alias("common"))
+    common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), *[F.first(c).alias(c) for c in ("n", "m", *linked)])
+    found = common.where((100 + threshold) * F.col("common") >= threshold * (F.col("n") + F.col("m")))
+    if not linked:
+        return found.select("a", "b")
+    return found.select(F.col("high").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def linked_texts(texts: DataFrame, threshold: int) -> DataFrame:
-    """``(node, component)`` of the texts that have links."""
+    """``(node, component)`` of the texts that are linked with a smaller one."""
     segments, prefix = _segment_table(texts)
-    prefix = written(prefix, "prefix")
-    edges = None
-    open_lists = prefix.withColumn("component", F.col("node"))
+    lists = prefix = written(prefix, "prefix")
+    nodes = None
     for turn in range(STAR_ROUNDS):
-        stars = written(_stars(open_lists, turn, threshold), "stars")
-        links = _counted(stars, segments, threshold)
-        edges = written(links if edges is None else edges.unionByName(links), "links")
-        # Texts without a link are components of their own; lists of one component need no further count.
-        labelled = prefix.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_lists = written(_mixed(labelled), "open")
-    other = open_lists.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("there"),
-                              F.col("component").alias("its"))
-    cross = open_lists.join(other, "gram").where("component < its").where(_fits(threshold)).select(
-        F.col("node").alias("a"), "b").distinct()
-    more = _counted(written(cross, "cross"), segments, threshold)
-    return components(edges.unionByName(more))
+        found, number = stars(_counted(written(_stars(lists, turn, threshold), "stars"), segments, threshold))
+        nodes = found if nodes is None else _joined(nodes, found, number)
+        if number:
+            # Components only grow: lists of one component need no further count.
+            lists = written(_mixed(_labelled(lists, found)), "open")
+    pairs = _pairs(lists.join(_others(lists), "gram"), "<", threshold)
+    nodes = _joined(nodes, *stars(_counted(written(pairs, "cross"), segments, threshold)))
+    return nodes.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _joined(nodes: DataFrame, found: DataFrame, number: int) -> DataFrame:
+    """Stars ``(a, b)`` of texts, and of their components, as stars of texts."""
+    if not number:
+        return nodes
+    more = found.select(F.col("a").alias("was"), F.col("b").alias("now"))
+    return nodes.join(more, F.col("b") == F.col("was"), "left").select("a", F.coalesce("now", "b").alias("b")).unionByName(found)
+
+
+def _labelled(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists with the components that stars ``(a, b)`` make of the texts, or of earlier components."""
+    earlier = F.col("component" if "component" in lists.columns else "node")
+    joined = lists.join(found.select(F.col("a").alias("was"), F.col("b").alias("now")), earlier == F.col("was"), "left")
+    return joined.withColumn("component", F.coalesce("now", earlier)).drop("was", "now")
 
 
 def _mixed(labelled: DataFrame) -> DataFrame:
@@ -316,18 +331,33 @@ def _mixed(labelled: DataFrame) -> DataFrame:
     return labelled.join(mixed.where("low <> high").select("gram"), "gram")
 
 
+def _others(rows: DataFrame) -> DataFrame:
+    """Rows of lists under the names of a pair's second text."""
+    names = {"node": "b", "n": "m", "place": "there", "component": "its"}
+    return rows.select("gram", *[F.col(c).alias(names[c]) for c in rows.columns if c in names])
+
+
+def _pairs(joined: DataFrame, order: str, threshold: int) -> DataFrame:
+    """Pairs ``(a, b)`` that may reach the threshold, of texts of different components in the
+    given order, with these as ``(high, low)``; before any are known each text is its own."""
+    ends = [F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")]
+    if "component" not in joined.columns:
+        return joined.where(f"node {order} b").where(_fits(threshold)).select(ends).distinct()
+    return joined.where(f"component {order} its").where(_fits(threshold)).select(
+        *ends, F.greatest("component", "its").alias("high"), F.least("component", "its").alias("low")).distinct()
+
+
 def _stars(lists: DataFrame, turn: int, threshold: int) -> DataFrame:
     """Pairs ``(a, b)`` of each text in a list with a few of the list: the one with the
     smallest share of n-grams that no other text has, as copies differ from their
     original in such, and some that a hash picks."""
     ranks = [F.col("alone") / F.col("n")] + [F.lit(0.0)] * (STAR_CENTRES - 1)
+    row = [c for c in lists.columns if c not in ("gram", "alone")]
     picked = lists.groupBy("gram").agg(*[
-        F.min(F.struct(rank.alias("r"), F.xxhash64("node", F.lit(STAR_CENTRES * turn + k)).alias("h"), "node", "n", "place", "component"))
+        F.min(F.struct(rank.alias("r"), F.xxhash64("node", F.lit(STAR_CENTRES * turn + k)).alias("h"), *row))
         .alias(f"s{k}") for k, rank in enumerate(ranks)])
-    centres = picked.select("gram", F.explode(F.array(*[f"s{k}" for k in range(STAR_CENTRES)])).alias("s")).select(
-        "gram", F.col("s.node").alias("b"), F.col("s.n").alias("m"), F.col("s.place").alias("there"), F.col("s.component").alias("its"))
-    return lists.join(centres, "gram").where(F.col("component") != F.col("its")).where(_fits(threshold)).select(
-        F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    centres = picked.select("gram", F.explode(F.array(*[f"s{k}" for k in range(STAR_CENTRES)])).alias("s")).select("gram", "s.*")
+    return _pairs(lists.join(_others(centres), "gram"), "<>", threshold)
 
 
 def _classes(documents: DataFrame, id_column: str, text_column: str, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
@@ -340,9 +370,9 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, n: int, thr
     batches = written(batch_table(source, n, False), "batches")
     sets = written(document_table(batches), "sets")
     ids = sets.where("n_grams > 0").groupBy("key").agg(F.min("id").alias("id"))
-    first = written(_filtered(batches, _fragments(batches), False).select("key").distinct(), "first")
-    drop_written(batches)
+    first = _filtered(batches, _fragments(batches), False).select("key")
     chosen = written(ids.join(first, "key", "left_semi"), "chosen")
+    drop_written(batches)
     wanted = chosen.select(F.col("id").alias("wanted")).distinct()
     if chosen.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
